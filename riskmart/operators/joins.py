@@ -1,0 +1,17 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is shipped to every task only when it has at most this many rows
+# (country codes, nations: hundreds).  Beyond it the join falls back to a
+# shuffle join, where AQE splits skewed partitions of the large side.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``dim`` with a broadcast hint iff its row count is within bound."""
+    n = dim.count()
+    return F.broadcast(dim) if n <= max_rows else dim
