@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskmart.operators import bi
 from riskmart.operators import silver as SV
@@ -178,3 +179,352 @@ register("bi_dashboard_table", O.q(
 register("bi_heatmap", O.q(
     f"SELECT NAM_CITY, {O.units_sum('NUM_RISK_SCORE', 2)} AS weight FROM gold GROUP BY NAM_CITY"))(
     lambda spark, sf: bi.heatmap(gold_df(spark, sf)))
+
+
+# --- Sources ----------------------------------------------------------------------
+from riskmart.plans import pipeline as P  # noqa: E402
+from riskmart.schemas import EVENT_COLUMN_NAMES, POSITIONAL_NAMES  # noqa: E402
+from riskmart.session import new_work_dir  # noqa: E402
+from riskmart.sinks import writers as W  # noqa: E402
+from riskmart.sources import files as SRC  # noqa: E402
+
+FEED_COLS = ", ".join(POSITIONAL_NAMES)
+FEED_WITH_DAY = f"{FEED_COLS}, strftime(ingest_day, '%Y-%m-%d') AS ingestion_date"
+LANDING_DAY = "2024-01-16"
+
+
+def landed(spark: SparkSession, sf: str, tag: str) -> tuple[str, dict[str, str]]:
+    root = new_work_dir(spark, tag)
+    return root, FX.land_fixture(spark, sf, root)
+
+
+@register("src_events_tsv", O.q(f"SELECT {FEED_COLS} FROM feed"))
+def _src_events_tsv(spark, sf):
+    _, paths = landed(spark, sf, "src-events")
+    return SRC.read_events(spark, paths["events"]).select(*POSITIONAL_NAMES)
+
+
+@register("src_events_named", O.q("SELECT " + ", ".join(
+    f"{p} AS {n}" for p, n in zip(POSITIONAL_NAMES, EVENT_COLUMN_NAMES)) + " FROM feed"))
+def _src_events_named(spark, sf):
+    _, paths = landed(spark, sf, "src-named")
+    return SRC.read_events(spark, paths["events"], named=True).select(*EVENT_COLUMN_NAMES)
+
+
+@register("src_reference_csv", O.q("SELECT * FROM ref_raw"))
+def _src_reference_csv(spark, sf):
+    out = new_work_dir(spark, "src-ref") + "/gdelt_country_risk"
+    W.write_csv(reference_raw(spark, sf), out)
+    return SRC.read_reference(spark, out)
+
+
+@register("src_gold_csv_coerce", O.q("SELECT * FROM gold"))
+def _src_gold_csv(spark, sf):
+    out = new_work_dir(spark, "src-goldcsv") + "/gold_csv"
+    W.write_csv(gold_df(spark, sf), out)
+    return SRC.read_gold_csv(spark, out)
+
+
+@register("src_latest_reference", O.q("SELECT * FROM ref_raw"))
+def _src_latest_reference(spark, sf):
+    _, paths = landed(spark, sf, "src-latest")
+    return SRC.latest_reference(spark, paths["reference"])
+
+
+@register("src_landing_partition", O.q(
+    f"SELECT {FEED_WITH_DAY} FROM feed WHERE ingest_day = DATE '{LANDING_DAY}'"))
+def _src_landing_partition(spark, sf):
+    _, paths = landed(spark, sf, "src-day")
+    return SRC.read_events(spark, paths["events"], ingestion_dates=[LANDING_DAY])
+
+
+def _put_file(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = W._hadoop_fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+@register("src_landing_filter", O.q(f"SELECT {FEED_WITH_DAY} FROM feed"))
+def _src_landing_filter(spark, sf):
+    root, paths = landed(spark, sf, "src-filter")
+    junk_row = "\t".join(["999"] * 58) + "\n"
+    _put_file(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/manifest.json", junk_row)
+    _put_file(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/notes.txt", junk_row)
+    _put_file(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/part-extra.csv.tmp", junk_row)
+    return SRC.read_events(spark, paths["events"])
+
+
+# --- Sinks and whole runs ----------------------------------------------------------
+def _run_cfg(spark, sf, tag, **kw) -> P.RunConfig:
+    root, _ = landed(spark, sf, tag)
+    return P.RunConfig.under(root, ingestion_ts=K.RUN_TS, **kw)
+
+
+@register("snk_bronze_events", O.q(f"SELECT {FEED_WITH_DAY} FROM feed"))
+def _snk_bronze_events(spark, sf):
+    cfg = _run_cfg(spark, sf, "snk-bronze")
+    P.bronze(spark, cfg)
+    return SRC.read_events(spark, cfg.bronze_events)
+
+
+@register("snk_bronze_reference", O.q(
+    "SELECT r.*, d.ingestion_date FROM ref_raw r CROSS JOIN "
+    "(SELECT DISTINCT strftime(ingest_day, '%Y-%m-%d') AS ingestion_date FROM feed) d"))
+def _snk_bronze_reference(spark, sf):
+    cfg = _run_cfg(spark, sf, "snk-bronze-ref")
+    P.bronze(spark, cfg)
+    return SRC.read_reference(spark, cfg.bronze_reference, partitioned=True)
+
+
+@register("snk_bronze_metadata", O.q(
+    "SELECT strftime(ingest_day, '%Y-%m-%d') AS ingestion_date, 'gdelt' AS source_system, "
+    "COUNT(*) AS n_rows, true AS files_named_csv FROM feed GROUP BY ingest_day"))
+def _snk_bronze_metadata(spark, sf):
+    from riskmart.operators.quality import bronze_metadata
+    cfg = _run_cfg(spark, sf, "snk-bronze-meta")
+    P.bronze(spark, cfg)
+    meta = bronze_metadata(SRC.read_events(spark, cfg.bronze_events))
+    return meta.groupBy("ingestion_date", "source_system").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(F.col("source_file").endswith(".csv")).alias("files_named_csv"))
+
+
+@register("snk_silver_parquet", O.q(f"SELECT {O.SILVER_SELECT} FROM silver", per_day=True))
+def _snk_silver(spark, sf):
+    cfg = _run_cfg(spark, sf, "snk-silver")
+    P.silver_run(spark, cfg)
+    return SRC.read_silver(spark, cfg.silver)
+
+
+@register("snk_gold_table", O.q("SELECT * FROM gold"))
+def _snk_gold_table(spark, sf):
+    out = new_work_dir(spark, "snk-gold") + "/gold"
+    W.write_gold(gold_df(spark, sf), out, mode="replace", days=[K.RUN_DATE])
+    return SRC.read_gold(spark, out)
+
+
+@register("snk_gold_csv", O.q("SELECT * FROM gold", per_day=True))
+def _snk_gold_csv(spark, sf):
+    root, _ = landed(spark, sf, "snk-goldcsv")
+    cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS, gold_csv=f"{root}/export/gold_csv")
+    P.run(spark, cfg, with_bronze=False)
+    return SRC.read_gold_csv(spark, cfg.gold_csv)
+
+
+@register("snk_gold_preview", O.q(f"SELECT * FROM gold ORDER BY {GOLD_ORDER} LIMIT 100", per_day=True))
+def _snk_gold_preview(spark, sf):
+    cfg = _run_cfg(spark, sf, "snk-preview")
+    stored = P.run(spark, cfg, with_bronze=False)
+    return stored.orderBy(*bi.grain_order()).limit(100)
+
+
+@register("snk_modes", O.q("SELECT * FROM gold UNION ALL SELECT * FROM gold"))
+def _snk_modes(spark, sf):
+    out = new_work_dir(spark, "snk-modes") + "/gold"
+    mart = gold_df(spark, sf)
+    W.write_gold(mart, out, mode="append")
+    W.write_gold(mart, out, mode="overwrite")      # replaces everything
+    W.write_gold(mart, out, mode="append")         # adds a second copy
+    return SRC.read_gold(spark, out)
+
+
+@register("pipeline_e2e", O.q("SELECT * FROM gold", per_day=True))
+def _pipeline_e2e(spark, sf):
+    cfg = _run_cfg(spark, sf, "e2e")
+    return P.run(spark, cfg)
+
+
+@register("inc_rerun", O.q("SELECT * FROM gold", per_day=True))
+def _inc_rerun(spark, sf):
+    cfg = _run_cfg(spark, sf, "rerun")
+    P.run(spark, cfg, with_bronze=False)
+    again = P.RunConfig(**{**cfg.__dict__, "ingestion_dates": ["2024-01-10", LANDING_DAY]})
+    return P.run(spark, again, with_bronze=False)
+
+
+@register("inc_backfill", O.q("SELECT * FROM gold", per_day=True))
+def _inc_backfill(spark, sf):
+    cfg = _run_cfg(spark, sf, "backfill")
+    P.backfill(spark, cfg, end="2024-01-15")
+    return P.backfill(spark, cfg, start="2024-01-16")
+
+
+# --- Notebook analysis ---------------------------------------------------------------
+from riskmart.operators import analysis as A  # noqa: E402
+from riskmart.operators import profile as PR  # noqa: E402
+from riskmart.operators import quality as Q  # noqa: E402
+
+register("nb_trend", O.q(
+    f"SELECT DTE_EVENT, CAST(SUM(CNT_EVENTS) AS BIGINT) AS total_events, {O.units_avg('NUM_RISK_SCORE', 2)} AS avg_score, "
+    "MAX(NUM_RISK_SCORE) AS max_score FROM gold WHERE DTE_EVENT IS NOT NULL GROUP BY DTE_EVENT ORDER BY DTE_EVENT"))(
+    lambda spark, sf: A.trend(gold_df(spark, sf)))
+
+register("nb_top_countries", O.q(
+    f"SELECT NAM_COUNTRY, {O.units_sum('NUM_RISK_SCORE', 2)} AS total_score, CAST(SUM(CNT_EVENTS) AS BIGINT) AS total_events "
+    "FROM gold WHERE NAM_COUNTRY IS NOT NULL GROUP BY NAM_COUNTRY "
+    "ORDER BY total_score DESC NULLS LAST, NAM_COUNTRY ASC LIMIT 15"))(
+    lambda spark, sf: A.top_countries(gold_df(spark, sf)))
+
+register("nb_top20", O.q(
+    "SELECT DTE_EVENT, NAM_COUNTRY, NAM_CITY, CNT_EVENTS, NUM_GOLDSTEIN_AVG, NUM_RISK_SCORE FROM gold "
+    f"ORDER BY NUM_RISK_SCORE DESC NULLS LAST, {GOLD_ORDER}, CNT_EVENTS ASC LIMIT 20"))(
+    lambda spark, sf: A.top_rows(gold_df(spark, sf)))
+
+register("nb_level_counts", O.q(
+    f"SELECT RISK_LEVEL, COUNT(*) AS count FROM (SELECT {LEVEL_NB} AS RISK_LEVEL FROM gold) GROUP BY RISK_LEVEL"))(
+    lambda spark, sf: A.level_counts(gold_df(spark, sf)))
+
+PROPOSED_CTE = """, parts AS (
+  SELECT *, ln(1 + CAST(coalesce(CNT_EVENTS, 0) AS DOUBLE)) AS _vol,
+         CASE WHEN NUM_GOLDSTEIN_AVG IS NOT NULL THEN greatest(-NUM_GOLDSTEIN_AVG, 0.0::DOUBLE) END AS _conf
+  FROM gold),
+bounds AS (SELECT min(_vol) AS vmin, max(_vol) AS vmax, min(_conf) AS cmin, max(_conf) AS cmax FROM parts),
+normed AS (
+  SELECT *, (_vol - vmin) / (vmax - vmin + 1e-9) AS vol_n, (_conf - cmin) / (cmax - cmin + 1e-9) AS conf_n
+  FROM parts CROSS JOIN bounds),
+proposed AS (
+  SELECT DTE_EVENT, NAM_COUNTRY, NAM_CITY, CNT_EVENTS, NUM_GOLDSTEIN_AVG, NUM_RISK_SCORE,
+         round(vol_n, 6) + 0.0 AS VOL_NORM, round(conf_n, 6) + 0.0 AS CONF_NORM,
+         round(100 * (0.6 * vol_n + 0.4 * conf_n), 6) + 0.0 AS RISK_SCORE_PROPOSED
+  FROM normed)
+"""
+
+register("score_proposed", O.ctes().rstrip() + PROPOSED_CTE + "SELECT * FROM proposed")(
+    lambda spark, sf: A.proposed_score(gold_df(spark, sf)))
+
+register("score_corr", O.ctes().rstrip() + PROPOSED_CTE + (
+    "SELECT round(corr(NUM_RISK_SCORE, RISK_SCORE_PROPOSED), 9) AS corr, "
+    "COUNT(*) FILTER (WHERE NUM_RISK_SCORE IS NOT NULL AND RISK_SCORE_PROPOSED IS NOT NULL) AS pairs FROM proposed"))(
+    lambda spark, sf: A.score_correlation(gold_df(spark, sf)))
+
+register("prof_nulls", O.q(" UNION ALL ".join(
+    f"SELECT '{n}' AS column_name, COUNT(*) FILTER (WHERE {p} IS NULL) AS null_count, COUNT(*) AS total_rows FROM feed"
+    for p, n in zip(POSITIONAL_NAMES, EVENT_COLUMN_NAMES))))(
+    lambda spark, sf: A.null_counts(feed(spark, sf).toDF(*EVENT_COLUMN_NAMES)))
+
+PROFILE_NUMERIC = ["quadclass", "goldstein_scale", "actiongeo_lat", "actiongeo_long", "risk_weight_adj"]
+PROFILE_TEXT = ["country", "city"]
+
+
+def _profile_sql() -> str:
+    parts = []
+    for c in PROFILE_NUMERIC:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, COUNT({x}) AS count, COUNT(DISTINCT {x}) AS \"unique\", "
+            f"CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, "
+            f"round({O.units_sum(x)} / COUNT({x}), 6) AS mean, round(stddev_samp({x}), 6) AS std, "
+            f"min({x}) AS min, round(quantile_cont({x}, 0.25), 6) AS p25, round(quantile_cont({x}, 0.5), 6) AS p50, "
+            f"round(quantile_cont({x}, 0.75), 6) AS p75, max({x}) AS max FROM silver")
+    for c in PROFILE_TEXT:
+        top = f"(SELECT {c} AS v, COUNT(*) AS n FROM silver WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, v ASC LIMIT 1)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, COUNT({c}) AS count, COUNT(DISTINCT {c}) AS \"unique\", "
+            f"(SELECT v FROM {top}) AS top, (SELECT n FROM {top}) AS freq, "
+            "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, "
+            "CAST(NULL AS DOUBLE) AS p25, CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75, "
+            "CAST(NULL AS DOUBLE) AS max FROM silver")
+    return O.q(" UNION ALL ".join(parts))
+
+
+register("prof_describe", _profile_sql())(
+    lambda spark, sf: PR.describe(silver_df(spark, sf), PROFILE_NUMERIC, PROFILE_TEXT))
+
+
+# --- Data quality ------------------------------------------------------------------------
+def _rules_sql(layer: str, rules: list, source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{r.name}' AS rule, '{r.severity}' AS severity, "
+        f"COUNT(*) FILTER (WHERE {r.violation}) AS violations, COUNT(*) AS total FROM {source}" for r in rules)
+
+
+register("dq_silver", O.q(_rules_sql("silver", Q.silver_rules(), "silver")))(
+    lambda spark, sf: Q.evaluate(silver_df(spark, sf), "silver", Q.silver_rules()))
+
+register("dq_gold", O.q(_rules_sql("gold", Q.gold_rules(), "gold")))(
+    lambda spark, sf: Q.evaluate(gold_df(spark, sf), "gold", Q.gold_rules()))
+
+register("dq_reference", O.q(_rules_sql("reference", Q.reference_rules(), "ref_typed")))(
+    lambda spark, sf: Q.evaluate(SV.prepare_reference(reference_raw(spark, sf)), "reference", Q.reference_rules()))
+
+
+@register("dq_bronze", O.q(_rules_sql("bronze", Q.bronze_rules(), (
+    "(SELECT *, strftime(ingest_day, '%Y-%m-%d') AS ingestion_date, 'part.csv' AS source_file, "
+    "'gdelt' AS source_system, 'now' AS ingestion_ts FROM feed)"))))
+def _dq_bronze(spark, sf):
+    cfg = _run_cfg(spark, sf, "dq-bronze")
+    P.bronze(spark, cfg)
+    return Q.evaluate(Q.bronze_metadata(SRC.read_events(spark, cfg.bronze_events)), "bronze", Q.bronze_rules())
+
+
+def _pk_sql(stage: str, source: str) -> str:
+    return (f"SELECT '{stage}' AS stage, CAST(SUM(n) AS BIGINT) AS \"rows\", COUNT(*) AS distinct_keys, "
+            "COUNT(*) FILTER (WHERE n > 1) AS duplicate_keys, "
+            "CAST(coalesce(SUM(CASE WHEN n > 1 THEN n - 1 END), 0) AS BIGINT) AS surplus_rows "
+            f"FROM (SELECT globaleventid, COUNT(*) AS n FROM {source} GROUP BY globaleventid)")
+
+
+@register("dq_silver_pk", O.q(_pk_sql("accepted", "accepted") + " UNION ALL " + _pk_sql("silver", "silver")))
+def _dq_silver_pk(spark, sf):
+    gated = SV.prepare(feed(spark, sf), K.RUN_DATE, K.RUN_TS)
+    return (Q.primary_key_check(gated, ["globaleventid"], "accepted")
+            .unionByName(Q.primary_key_check(silver_df(spark, sf), ["globaleventid"], "silver")))
+
+
+register("dq_rejects", O.q(
+    "SELECT outcome, COUNT(*) AS \"rows\" FROM (SELECT CASE WHEN event_date IS NULL THEN 'missing_event_date' "
+    "WHEN globaleventid IS NULL THEN 'missing_event_id' WHEN country IS NULL THEN 'missing_country' "
+    "WHEN length(country) <> 2 THEN 'country_not_2_chars' END AS outcome FROM prepared) "
+    "WHERE outcome IS NOT NULL GROUP BY outcome "
+    "UNION ALL SELECT 'accepted', (SELECT COUNT(*) FROM dedup) "
+    "UNION ALL SELECT 'duplicate', (SELECT COUNT(*) FROM accepted) - (SELECT COUNT(*) FROM dedup)"))(
+    lambda spark, sf: Q.reject_accounting(feed(spark, sf), K.RUN_DATE, K.RUN_TS))
+
+
+def _conformance_sql() -> str:
+    parts = []
+    for layer, source in (("silver", "silver"), ("gold", "gold"), ("reference", "ref_typed")):
+        schema, required = Q.LAYER_SCHEMAS[layer]
+        for f in schema.fields:
+            if f.name in required:
+                t = f.dataType.simpleString()
+                parts.append(f"SELECT '{layer}' AS layer, '{f.name}' AS column_name, '{t}' AS expected_type, "
+                             f"'{t}' AS actual_type, true AS present, true AS type_ok, "
+                             f"COUNT({f.name}) AS non_null FROM {source}")
+    return O.q(" UNION ALL ".join(parts))
+
+
+@register("dq_required_columns", _conformance_sql())
+def _dq_required_columns(spark, sf):
+    out = None
+    for layer, df in (("silver", silver_df(spark, sf)), ("gold", gold_df(spark, sf)),
+                      ("reference", SV.prepare_reference(reference_raw(spark, sf)))):
+        schema, required = Q.LAYER_SCHEMAS[layer]
+        part = Q.schema_conformance(df, layer, schema, required)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- Streaming ------------------------------------------------------------------------------
+from riskmart import schemas as S  # noqa: E402
+from riskmart.streaming import incremental as ST  # noqa: E402
+
+
+def _stream_to_table(spark, sf, tag, with_reference: bool) -> DataFrame:
+    root, paths = landed(spark, sf, tag)
+    ref = SRC.latest_reference(spark, paths["reference"]) if with_reference else None
+    stream = ST.silver_stream(spark, paths["events"], ref, K.RUN_TS, max_files_per_trigger=8)
+    schema = stream.schema
+    ST.run_available(stream, f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream")
+    # A second run over the same checkpoint finds nothing new: exactly-once.
+    ST.run_available(ST.silver_stream(spark, paths["events"], ref, K.RUN_TS, max_files_per_trigger=8),
+                     f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream")
+    return ST.read_stream_output(spark, f"{root}/silver_stream", schema)
+
+
+register("str_incremental_silver", O.q(f"SELECT {O.SILVER_SELECT} FROM silver", per_day=True))(
+    lambda spark, sf: _stream_to_table(spark, sf, "str-silver", True).select(*S.SILVER_COLUMNS))
+
+register("str_dedup", O.q("SELECT * FROM dedup", per_day=True))(
+    lambda spark, sf: _stream_to_table(spark, sf, "str-dedup", False))

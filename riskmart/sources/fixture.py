@@ -102,3 +102,23 @@ def reference_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def old_reference_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older delivery with other values (newest must win)."""
     return _reference(spark, sf_dir, 50, 5, OLD_REFERENCE_UPDATED_AT)
+
+
+def land_fixture(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """Write the derived feed into a landing area laid out like production:
+
+    ``root/landing/events/ingestion_date=D/part-*.csv`` (tab-separated, one
+    folder per arrival day) and two reference deliveries under
+    ``root/landing/country_risk/ingestion_date=D/`` (an old and the current
+    one).  Returns the two landing roots.
+    """
+    from riskmart.sinks.writers import write_csv, write_events_tsv
+
+    r = root.rstrip("/")
+    events_root, ref_root = f"{r}/landing/events", f"{r}/landing/country_risk"
+    feed = event_feed(spark, sf_dir, with_ingest_day=True)
+    landed = feed.withColumn("ingestion_date", F.date_format("ingest_day", "yyyy-MM-dd")).drop("ingest_day")
+    write_events_tsv(landed, events_root, partition_by="ingestion_date")
+    write_csv(old_reference_feed(spark, sf_dir), f"{ref_root}/ingestion_date={OLD_REFERENCE_INGESTION_DATE}")
+    write_csv(reference_feed(spark, sf_dir), f"{ref_root}/ingestion_date={REFERENCE_INGESTION_DATE}")
+    return {"events": events_root, "reference": ref_root}
