@@ -53,13 +53,22 @@ def level_counts(gold: DataFrame) -> DataFrame:
                 .orderBy(F.col("count").desc(), F.col("RISK_LEVEL").asc()))
 
 
-def proposed_score(gold: DataFrame, w_volume: float = W_VOLUME, w_conflict: float = W_CONFLICT) -> DataFrame:
+def proposed_score(gold: DataFrame, w_volume: float = W_VOLUME, w_conflict: float = W_CONFLICT,
+                   materialize: bool = True) -> DataFrame:
     """PRJ-15..18 + AGG-14: volume/conflict composite normalised over the frame.
 
     volume   = log1p(events), conflict = max(0, -Goldstein) (null stays null);
     each is min-max normalised over the whole frame; the score is
     100 * (w_volume * volume_n + w_conflict * conflict_n).
+
+    The frame is read twice (bounds, then rows).  ``materialize`` writes it
+    once to the shared checkpoint folder so a computed mart is not rebuilt;
+    pass ``False`` when ``gold`` is already a stored table.
     """
+    if materialize:
+        from riskmart.session import shared_dir
+        shared_dir(gold.sparkSession)
+        gold = gold.checkpoint(eager=True)
     parts = gold.select(
         "*",
         F.log1p(F.coalesce(F.col("CNT_EVENTS"), F.lit(0)).cast("double")).alias("_vol"),

@@ -12,6 +12,10 @@ MAX_BROADCAST_ROWS = 200_000
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``dim`` with a broadcast hint iff its row count is within bound."""
-    n = dim.count()
+    """Return ``dim`` with a broadcast hint iff its row count is within bound.
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
+    the "dimension" turns out to be large.
+    """
+    n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
