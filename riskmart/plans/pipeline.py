@@ -44,21 +44,8 @@ class RunConfig:
 
 
 def landed_days(spark: SparkSession, root: str) -> list[str]:
-    """Ingestion days present under a landing root, from the folder listing
-    (no file is opened)."""
-    base, fs = W._hadoop_fs(spark, root)
-    if not fs.exists(base):
-        return []
-    days = []
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("ingestion_date="):
-            day = name.split("=", 1)[1]
-            try:
-                days.append(SV.check_ingestion_date(day))
-            except ValueError:
-                continue
-    return sorted(days)
+    """Ingestion days present under a landing root (folder listing only)."""
+    return SRC.partition_days(spark, root)
 
 
 def _days(spark: SparkSession, cfg: RunConfig) -> list[str]:

@@ -58,19 +58,45 @@ def read_reference(spark: SparkSession, path: str, partitioned: bool = False) ->
             .option("pathGlobFilter", "*.csv").csv(path))
 
 
+def partition_days(spark: SparkSession, root: str, column: str = "ingestion_date") -> list[str]:
+    """Valid ``column=YYYY-MM-DD`` folder values under ``root``, from the
+    folder listing alone (no file is opened)."""
+    from datetime import date
+
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    days = []
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(column + "="):
+            value = name.split("=", 1)[1]
+            try:
+                if len(value) == 10 and date.fromisoformat(value):
+                    days.append(value)
+            except ValueError:
+                continue
+    return sorted(days)
+
+
 def latest_reference(spark: SparkSession, root: str) -> DataFrame:
     """SRC-5: the newest delivery under ``root/ingestion_date=D/``.
 
-    Newest = greatest ``ingestion_date`` (ISO text orders as dates); among
-    several files of that day the first path in name order wins.  Two one-row
-    aggregates pick the day and the file; the final read is pruned to them.
+    Newest = greatest ``ingestion_date`` taken from the folder names; among
+    several files of that day the first path in name order wins (one small
+    aggregate over that day's files only).  Raises if nothing was delivered.
     """
-    df = read_reference(spark, root, partitioned=True).withColumn("_file", F.col("_metadata.file_path"))
-    latest = df.agg(F.max("ingestion_date").alias("d")).first()["d"]
-    if latest is None:
+    days = partition_days(spark, root)
+    if not days:
         raise FileNotFoundError(f"no reference delivery under {root}/ingestion_date=...")
-    day = df.where(F.col("ingestion_date") == latest)
+    day = (read_reference(spark, root, partitioned=True)
+           .where(F.col("ingestion_date") == days[-1])
+           .withColumn("_file", F.col("_metadata.file_path")))
     first_file = day.agg(F.min("_file").alias("f")).first()["f"]
+    if first_file is None:
+        raise FileNotFoundError(f"reference delivery {root}/ingestion_date={days[-1]} holds no rows")
     return day.where(F.col("_file") == first_file).select(*S.REFERENCE_COLUMNS)
 
 
