@@ -182,7 +182,7 @@ register("bi_heatmap", O.q(
 
 
 # --- Sources ----------------------------------------------------------------------
-from riskmart.plans import pipeline as P  # noqa: E402
+from riskmart.plans import runs as P  # noqa: E402
 from riskmart.schemas import EVENT_COLUMN_NAMES, POSITIONAL_NAMES  # noqa: E402
 from riskmart.session import new_work_dir  # noqa: E402
 from riskmart.sinks import writers as W  # noqa: E402
@@ -329,8 +329,8 @@ def _snk_modes(spark, sf):
     return SRC.read_gold(spark, out)
 
 
-@register("pipeline_e2e", O.q("SELECT * FROM gold", per_day=True))
-def _pipeline_e2e(spark, sf):
+@register("e2e_run", O.q("SELECT * FROM gold", per_day=True))
+def _e2e_run(spark, sf):
     cfg = _run_cfg(spark, sf, "e2e")
     return P.run(spark, cfg)
 

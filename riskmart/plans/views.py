@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.plans.pipeline import RunConfig
+from riskmart.plans.runs import RunConfig
 from riskmart.sources import files as SRC
 
 GOLD_VIEW = "risk_events"

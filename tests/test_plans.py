@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 from riskmart.operators import bi
 from riskmart.plans import catalog as C
-from riskmart.plans import pipeline as P
+from riskmart.plans import runs as P
 from riskmart.session import new_work_dir
 from riskmart.sources import files as SRC
 from riskmart.sources import fixture as FX
