@@ -145,21 +145,24 @@ def rejected_rows(raw: DataFrame, ingestion_date: str | None, ingestion_ts: str)
 def reject_accounting(raw: DataFrame, ingestion_date: str | None, ingestion_ts: str) -> DataFrame:
     """Raw rows by outcome: each reject reason, duplicate, accepted.
 
-    Outcomes add up to the raw row count.  Duplicates are counted per
-    (ingestion, event) group after a partial aggregation, so a hot key never
-    lands whole in one task.
+    One scan, two aggregations.  Rows are first counted per (reason, day, id)
+    -- rejected rows carry no key, so they collapse into one group per reason
+    during map-side partial aggregation (a flood of null ids costs one buffer
+    row per task), accepted rows count per (day, id).  The second aggregation
+    turns groups into outcomes; outcomes add up to the raw row count.
     """
     derived = with_derived(typed_events(raw), ingestion_date, ingestion_ts).withColumn("_reason", reject_reason())
-    rejects = (derived.where(F.col("_reason").isNotNull())
-                      .groupBy(F.col("_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("rows")))
-    groups = (derived.where(F.col("_reason").isNull())
-                     .groupBy(*DEDUP_KEYS).agg(F.count(F.lit(1)).alias("n")))
-    kept = groups.agg(F.count(F.lit(1)).alias("accepted"), (F.sum("n") - F.count(F.lit(1))).alias("duplicate"))
-    kept_rows = kept.select(F.explode(F.array(
-        F.struct(F.lit("accepted").alias("outcome"), F.col("accepted").cast("bigint").alias("rows")),
-        F.struct(F.lit("duplicate").alias("outcome"), F.coalesce(F.col("duplicate"), F.lit(0)).cast("bigint").alias("rows")),
-    )).alias("o")).select("o.*")
-    return rejects.unionByName(kept_rows)
+    accepted = F.col("_reason").isNull()
+    per_key = (derived.groupBy("_reason", *[F.when(accepted, F.col(k)).alias(k) for k in DEDUP_KEYS])
+                      .agg(F.count(F.lit(1)).alias("n")))
+    per_reason = per_key.groupBy("_reason").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"))
+    outcomes = F.when(F.col("_reason").isNotNull(),
+                      F.array(F.struct(F.col("_reason").alias("outcome"), F.col("rows").alias("rows"))))\
+                .otherwise(F.array(F.struct(F.lit("accepted").alias("outcome"), F.col("keys").alias("rows")),
+                                   F.struct(F.lit("duplicate").alias("outcome"),
+                                            (F.col("rows") - F.col("keys")).alias("rows"))))
+    return (per_reason.select(F.explode(outcomes).alias("o"))
+                      .select("o.outcome", F.col("o.rows").cast("bigint").alias("rows")))
 
 
 # --- Bronze metadata (SNK-9) ------------------------------------------------------------

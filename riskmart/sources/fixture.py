@@ -41,58 +41,49 @@ def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.join(F.broadcast(nation), (F.col("user_id") % N_NATIONS) == F.col("n_nationkey"))
 
 
+# Feed positions filled from the driver tables (Spark SQL expressions over
+# events x nation; ``cc`` is the two-letter code of the event's nation).
+_CC = "concat(chr(97 + n_nationkey), chr(97 + n_regionkey))"
+_FEED_EXPRS = {
+    0: "CASE WHEN event_id % 101 = 0 THEN concat('bad', CAST(event_id AS STRING)) ELSE CAST(event_id AS STRING) END",
+    1: "CASE WHEN event_id % 97 = 0 THEN '20240230' ELSE date_format(CAST(ts AS DATE), 'yyyyMMdd') END",
+    29: "CASE event_type " + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in CLASS_OF_EVENT_TYPE.items()) + " END",
+    30: "CAST(round(10.0D - value / 5, 2) AS STRING)",
+    50: ("CASE WHEN user_id % 11 = 0 THEN NULL WHEN user_id % 17 = 0 THEN n_name "
+         "ELSE concat('City ', CAST(user_id % 7 AS STRING), ', ', n_name) END"),
+    51: f"CASE WHEN user_id % 29 = 0 THEN NULL WHEN user_id % 13 = 0 THEN 'xyz' ELSE {_CC} END",
+    52: f"concat(upper({_CC}), lpad(CAST(n_nationkey AS STRING), 2, '0'))",
+    53: "concat(CAST(n_nationkey * 3 - 36 AS STRING), '.5')",
+    54: "concat(CAST(n_regionkey * 40 - 80 AS STRING), '.25')",
+}
+
+
 def event_feed(spark: SparkSession, sf_dir: str, with_ingest_day: bool = False) -> DataFrame:
     """58 text columns ``_c0.._c57`` (optionally plus ``ingest_day`` date).
 
     ``ingest_day`` is the day after the event's own date: the landing folder a
-    file holding that event would arrive in.
+    file holding that event would arrive in.  Every tenth event is delivered
+    twice (identical copies).
     """
-    b = _event_base(spark, sf_dir)
-    cc = F.concat(F.expr("chr(97 + n_nationkey)"), F.expr("chr(97 + n_regionkey)"))
-    event_day = F.col("ts").cast("date")
-    eid, uid = F.col("event_id"), F.col("user_id")
-
-    cls = None
-    for et, code in CLASS_OF_EVENT_TYPE.items():
-        cls = F.when(F.col("event_type") == et, F.lit(code)) if cls is None else cls.when(F.col("event_type") == et, F.lit(code))
-
-    picked = {
-        0: F.when(eid % 101 == 0, F.concat(F.lit("bad"), eid.cast("string"))).otherwise(eid.cast("string")),
-        1: F.when(eid % 97 == 0, F.lit("20240230")).otherwise(F.date_format(event_day, "yyyyMMdd")),
-        29: cls,
-        30: F.round(F.lit(10.0) - F.col("value") / 5, 2).cast("string"),
-        50: (F.when(uid % 11 == 0, F.lit(None).cast("string"))
-             .when(uid % 17 == 0, F.col("n_name"))
-             .otherwise(F.concat(F.lit("City "), (uid % 7).cast("string"), F.lit(", "), F.col("n_name")))),
-        51: (F.when(uid % 29 == 0, F.lit(None).cast("string"))
-             .when(uid % 13 == 0, F.lit("xyz"))
-             .otherwise(cc)),
-        52: F.concat(F.upper(cc), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")),
-        53: F.concat((F.col("n_nationkey") * 3 - 36).cast("string"), F.lit(".5")),
-        54: F.concat((F.col("n_regionkey") * 40 - 80).cast("string"), F.lit(".25")),
-    }
-    cols = [(picked[i] if i in picked else F.lit(None).cast("string")).alias(n)
-            for i, n in enumerate(S.POSITIONAL_NAMES)]
+    exprs = [f"{_FEED_EXPRS.get(i, 'CAST(NULL AS STRING)')} AS {n}" for i, n in enumerate(S.POSITIONAL_NAMES)]
     if with_ingest_day:
-        cols.append(F.date_add(event_day, 1).alias("ingest_day"))
-    # Every tenth event is delivered twice (identical copies).
-    copies = F.when(eid % 10 == 0, F.lit(2)).otherwise(F.lit(1))
-    return (b.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-             .select(*cols))
+        exprs.append("date_add(CAST(ts AS DATE), 1) AS ingest_day")
+    return (_event_base(spark, sf_dir)
+            .selectExpr("*", "explode(sequence(1, CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END)) AS _copy")
+            .selectExpr(*exprs))
 
 
 def _reference(spark: SparkSession, sf_dir: str, mult_base: int, base_offset: int,
                updated_at: str) -> DataFrame:
-    nation = read_table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
-    cc = F.concat(F.expr("chr(97 + n_nationkey)"), F.expr("chr(97 + n_regionkey)"))
-    hundredths = F.lit(mult_base) + k * 5
-    mult_text = F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."),
-                         F.lpad((hundredths % 100).cast("string"), 2, "0"))
-    base_text = F.concat(F.lit("0."), F.lpad((k * 3 + base_offset).cast("string"), 2, "0"))
-    return (nation.where(F.col("n_regionkey") < REFERENCE_REGIONS_BELOW)
-                  .select(F.upper(cc).alias("country"), base_text.alias("baseline_risk"),
-                          mult_text.alias("risk_multiplier"), F.lit(updated_at).alias("updated_at")))
+    hundredths = f"({mult_base} + n_nationkey * 5)"
+    return (read_table(spark, sf_dir, "nation")
+            .where(F.col("n_regionkey") < REFERENCE_REGIONS_BELOW)
+            .selectExpr(
+                f"upper({_CC}) AS country",
+                f"concat('0.', lpad(CAST(n_nationkey * 3 + {base_offset} AS STRING), 2, '0')) AS baseline_risk",
+                f"concat(CAST(div({hundredths}, 100) AS STRING), '.', "
+                f"lpad(CAST({hundredths} % 100 AS STRING), 2, '0')) AS risk_multiplier",
+                f"'{updated_at}' AS updated_at"))
 
 
 def reference_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
