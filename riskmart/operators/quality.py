@@ -63,7 +63,10 @@ SOURCE_SYSTEMS = ["gdelt"]
 def silver_rules() -> list[Rule]:
     return ([not_null(c) for c in SILVER_NOT_NULL]
             + [length_is("country", 2), length_is("actiongeo_countrycode", 2),
-               between("quadclass", 1, 4), between("baseline_risk", 0, 1)])
+               between("quadclass", 1, 4), between("baseline_risk", 0, 1),
+               # country codes the reference does not know (code systems may differ):
+               # the event keeps multiplier 1.0; reported, not rejected
+               Rule("reference_match", "risk_multiplier IS NULL", "warning")])
 
 
 def gold_rules() -> list[Rule]:

@@ -73,3 +73,17 @@ def test_latest_reference_missing_raises(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(FileNotFoundError):
         SRC.latest_reference(spark, str(tmp_path / "empty"))
+
+
+def test_stream_equals_batch(spark, sf_small):
+    from riskmart.streaming import incremental as ST
+    root = new_work_dir(spark, "test-stream")
+    paths = FX.land_fixture(spark, sf_small, root)
+    cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS)
+    P.silver_run(spark, cfg)
+    batch = SRC.read_silver(spark, cfg.silver)
+    ref = SRC.latest_reference(spark, paths["reference"])
+    stream = ST.silver_stream(spark, paths["events"], ref, K.RUN_TS, max_files_per_trigger=4)
+    ST.run_available(stream, f"{root}/stream_out", f"{root}/_ckpt")
+    streamed = ST.read_stream_output(spark, f"{root}/stream_out", stream.schema).select(*batch.columns)
+    assert batch.exceptAll(streamed).count() == 0 and streamed.exceptAll(batch).count() == 0
