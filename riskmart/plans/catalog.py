@@ -514,9 +514,11 @@ from riskmart.streaming import incremental as ST  # noqa: E402
 def _stream_to_table(spark, sf, tag, with_reference: bool) -> DataFrame:
     root, paths = landed(spark, sf, tag)
     ref = SRC.latest_reference(spark, paths["reference"]) if with_reference else None
+    state_partitions = spark.sparkContext.defaultParallelism
     stream = ST.silver_stream(spark, paths["events"], ref, K.RUN_TS, max_files_per_trigger=8)
     schema = stream.schema
-    ST.run_available(stream, f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream")
+    ST.run_available(stream, f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream",
+                     state_partitions=state_partitions)
     # A second run over the same checkpoint finds nothing new: exactly-once.
     ST.run_available(ST.silver_stream(spark, paths["events"], ref, K.RUN_TS, max_files_per_trigger=8),
                      f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream")

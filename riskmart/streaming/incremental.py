@@ -54,14 +54,27 @@ def silver_stream(spark: SparkSession, landing_root: str, ref_raw: DataFrame | N
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str,
-                  partition_by: tuple[str, ...] = ("ingestion_date", "event_date")) -> None:
-    """Process every file available now, in micro-batches, then stop."""
-    q = (stream.writeStream.format("parquet")
-               .option("checkpointLocation", checkpoint)
-               .partitionBy(*partition_by)
-               .outputMode("append")
-               .trigger(availableNow=True)
-               .start(out))
+                  partition_by: tuple[str, ...] = ("ingestion_date", "event_date"),
+                  state_partitions: int | None = None) -> None:
+    """Process every file available now, in micro-batches, then stop.
+
+    ``state_partitions`` sizes the dedup state store (streaming does not use
+    AQE; the count is fixed by the checkpoint at the first start).  It only
+    applies while the query starts; the session setting is restored.
+    """
+    spark = stream.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = (stream.writeStream.format("parquet")
+                   .option("checkpointLocation", checkpoint)
+                   .partitionBy(*partition_by)
+                   .outputMode("append")
+                   .trigger(availableNow=True)
+                   .start(out))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
