@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      upper_bound_of: DataFrame | None = None) -> DataFrame:
     """Return ``dim`` with a broadcast hint iff its row count is within bound.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the "dimension" turns out to be large.
+    ``upper_bound_of`` may name a cheaper frame with at least as many rows as
+    ``dim`` (e.g. the raw delivery a dedup/filter reduces); it is counted
+    instead.  The check reads at most ``max_rows + 1`` rows, so it stays cheap
+    even when the "dimension" turns out to be large.
     """
-    n = dim.limit(max_rows + 1).count()
+    probe = upper_bound_of if upper_bound_of is not None else dim
+    n = probe.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim

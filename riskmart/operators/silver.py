@@ -130,9 +130,15 @@ def reference_dimension(ref_raw: DataFrame) -> DataFrame:
     return dedup_reference(prepare_reference(ref_raw).where(F.length("country") == 2))
 
 
-def enrich(events: DataFrame, ref_dim: DataFrame, broadcast_checked: bool = True) -> DataFrame:
-    """PRJ-6/7 + JON-1: weight, left join on country, adjusted weight."""
-    dim = bounded_broadcast(ref_dim) if broadcast_checked else ref_dim
+def enrich(events: DataFrame, ref_dim: DataFrame, broadcast_checked: bool = True,
+           ref_raw: DataFrame | None = None) -> DataFrame:
+    """PRJ-6/7 + JON-1: weight, left join on country, adjusted weight.
+
+    The reference is broadcast after a size check; ``ref_raw`` (the delivery
+    ``ref_dim`` was derived from by filtering and dedup, so never smaller) is
+    the cheaper frame to count.
+    """
+    dim = bounded_broadcast(ref_dim, upper_bound_of=ref_raw) if broadcast_checked else ref_dim
     joined = events.join(dim, on="country", how="left")
     return joined.select(
         "globaleventid", "event_date", "quadclass", "goldstein_scale", "actiongeo_fullname",
@@ -146,4 +152,5 @@ def enrich(events: DataFrame, ref_dim: DataFrame, broadcast_checked: bool = True
 
 def silver(raw: DataFrame, ref_raw: DataFrame, ingestion_date: str | None, ingestion_ts: str) -> DataFrame:
     """PIP-2: the whole Silver transformation as one lazy plan."""
-    return enrich(dedup_events(prepare(raw, ingestion_date, ingestion_ts)), reference_dimension(ref_raw))
+    return enrich(dedup_events(prepare(raw, ingestion_date, ingestion_ts)), reference_dimension(ref_raw),
+                  ref_raw=ref_raw)

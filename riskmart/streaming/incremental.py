@@ -50,7 +50,7 @@ def silver_stream(spark: SparkSession, landing_root: str, ref_raw: DataFrame | N
     """STR-1: the streaming Silver plan (``ref_raw=None``: dedup step only)."""
     raw = landing_stream(spark, landing_root, max_files_per_trigger)
     deduped = dedup_stream(prepare(raw, None, ingestion_ts), window)
-    return deduped if ref_raw is None else enrich(deduped, reference_dimension(ref_raw))
+    return deduped if ref_raw is None else enrich(deduped, reference_dimension(ref_raw), ref_raw=ref_raw)
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str,
