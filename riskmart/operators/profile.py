@@ -51,8 +51,15 @@ def _ranked(vc: DataFrame, partitions: int) -> DataFrame:
                   .withColumn("rank_lo", F.col("_start") + F.coalesce(F.sum("n").over(within), F.lit(0))))
 
 
-def exact_quantiles(vc: DataFrame, partitions: int = 64) -> DataFrame:
-    """(column, p25, p50, p75) from a value-count table."""
+def exact_quantiles(vc: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(column, p25, p50, p75) from a value-count table.
+
+    ``partitions`` (default: the session's shuffle partitions) sets how many
+    range partitions the distinct values are spread over; each running-rank
+    window sees one of them.
+    """
+    if partitions is None:
+        partitions = int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     totals = vc.where(F.col("num").isNotNull()).groupBy("column_name").agg(F.sum("n").alias("N"))
     targets = totals.select("column_name", "N", F.explode(F.array(*[
         F.struct(F.lit(k).alias("q_name"), F.lit(q).alias("q")) for k, q in QUANTILES.items()])).alias("t"))
@@ -75,7 +82,7 @@ def exact_quantiles(vc: DataFrame, partitions: int = 64) -> DataFrame:
                   .agg(F.first(F.round(value, STAT_DIGITS))))
 
 
-def describe(df: DataFrame, numeric: list[str], categorical: list[str], partitions: int = 64) -> DataFrame:
+def describe(df: DataFrame, numeric: list[str], categorical: list[str], partitions: int | None = None) -> DataFrame:
     """AGG-17: one row per profiled column.
 
     Numeric columns get count, unique, mean, std (sample), min, quartiles, max;
