@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A dimension is shipped to every task only when it has at most this many rows
-# (country codes, nations: hundreds).  Beyond it the join falls back to a
-# shuffle join, where AQE splits skewed partitions of the large side.
+# (country codes, nations: hundreds).  Beyond it no hint is given: Spark's own
+# size-based choice applies (a shuffle join for a large side, where AQE splits
+# skewed partitions of the large side).
 MAX_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+def bounded_broadcast(dim: DataFrame, max_rows: int | None = None,
                       upper_bound_of: DataFrame | None = None) -> DataFrame:
     """Return ``dim`` with a broadcast hint iff its row count is within bound.
 
@@ -20,6 +21,7 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     instead.  The check reads at most ``max_rows + 1`` rows, so it stays cheap
     even when the "dimension" turns out to be large.
     """
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     probe = upper_bound_of if upper_bound_of is not None else dim
     n = probe.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
