@@ -182,6 +182,7 @@ register("bi_heatmap", O.q(
 
 
 # --- Sources ----------------------------------------------------------------------
+from riskmart import fs  # noqa: E402
 from riskmart.plans import runs as P  # noqa: E402
 from riskmart.schemas import EVENT_COLUMN_NAMES, POSITIONAL_NAMES  # noqa: E402
 from riskmart.session import new_work_dir  # noqa: E402
@@ -238,20 +239,13 @@ def _src_landing_partition(spark, sf):
     return SRC.read_events(spark, paths["events"], ingestion_dates=[LANDING_DAY])
 
 
-def _put_file(spark: SparkSession, path: str, text: str) -> None:
-    p, fs = W._hadoop_fs(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-
-
 @register("src_landing_filter", O.q(f"SELECT {FEED_WITH_DAY} FROM feed"))
 def _src_landing_filter(spark, sf):
     root, paths = landed(spark, sf, "src-filter")
     junk_row = "\t".join(["999"] * 58) + "\n"
-    _put_file(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/manifest.json", junk_row)
-    _put_file(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/notes.txt", junk_row)
-    _put_file(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/part-extra.csv.tmp", junk_row)
+    fs.write_text(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/manifest.json", junk_row)
+    fs.write_text(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/notes.txt", junk_row)
+    fs.write_text(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/part-extra.csv.tmp", junk_row)
     return SRC.read_events(spark, paths["events"])
 
 

@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart import fs
 from riskmart.operators import silver as SV
 from riskmart.operators.gold import gold
 from riskmart.sinks import writers as W
@@ -45,7 +46,7 @@ class RunConfig:
 
 def landed_days(spark: SparkSession, root: str) -> list[str]:
     """Ingestion days present under a landing root (folder listing only)."""
-    return SRC.partition_days(spark, root)
+    return fs.partition_days(spark, root)
 
 
 def _days(spark: SparkSession, cfg: RunConfig) -> list[str]:
@@ -59,10 +60,10 @@ def bronze(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     days = _days(spark, cfg)
     events = SRC.read_events(spark, cfg.landing_events, ingestion_dates=days)
     ref = SRC.latest_reference(spark, cfg.landing_reference)
-    W.remove_partitions(spark, cfg.bronze_events, "ingestion_date", days)
+    fs.remove_partitions(spark, cfg.bronze_events, "ingestion_date", days)
     W.write_events_tsv(events, cfg.bronze_events, partition_by="ingestion_date", mode="append")
     ref_out = ref.crossJoin(F.broadcast(spark.createDataFrame([(d,) for d in days], "ingestion_date string")))
-    W.remove_partitions(spark, cfg.bronze_reference, "ingestion_date", days)
+    fs.remove_partitions(spark, cfg.bronze_reference, "ingestion_date", days)
     W.write_csv(ref_out, cfg.bronze_reference, partition_by="ingestion_date", mode="append")
     return events, ref
 
@@ -101,11 +102,6 @@ def backfill(spark: SparkSession, cfg: RunConfig, start: str | None = None, end:
     days = [d for d in landed_days(spark, cfg.landing_events)
             if (start is None or d >= start) and (end is None or d <= end)]
     if not days:
-        return SRC.read_gold(spark, cfg.gold) if _exists(spark, cfg.gold) else None
+        return SRC.read_gold(spark, cfg.gold) if fs.exists(spark, cfg.gold) else None
     cfg_days = RunConfig(**{**cfg.__dict__, "ingestion_dates": days})
     return run(spark, cfg_days, with_bronze=False)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = W._hadoop_fs(spark, path)
-    return fs.exists(p)

@@ -12,30 +12,15 @@ whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart import fs
 from riskmart.sources.files import NO_QUOTE
 
 MODES = ("replace", "append", "overwrite")
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def remove_partitions(spark: SparkSession, root: str, column: str, values: list[str]) -> None:
-    """Delete ``root/column=value`` folders (idempotent)."""
-    jvm = spark.sparkContext._jvm
-    base, fs = _hadoop_fs(spark, root)
-    for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(base, f"{column}={v}")
-        if fs.exists(p):
-            fs.delete(p, True)
-
-
 def run_days(df: DataFrame, column: str) -> list[str]:
     """Distinct ingestion days of a run (one small aggregate; days, not rows)."""
     return sorted(str(r[0]) for r in df.select(F.col(column).cast("string")).distinct().collect())
@@ -65,7 +50,7 @@ def _write_layered(df: DataFrame, root: str, day_col: str, leaf_col: str, mode:
     spark = df.sparkSession
     if mode == "replace":
         days = days if days is not None else run_days(df, day_col)
-        remove_partitions(spark, root, day_col, days)
+        fs.remove_partitions(spark, root, day_col, days)
     # Cluster rows by partition folder so each task writes few files.  The
     # rebalance hint lets AQE split a folder holding a large share of the rows
     # over several tasks (several files) instead of one.  Rows are then sorted

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmart import fs
 from riskmart import schemas as S
 from riskmart.functions.columns import lenient_double, lenient_integral
 
@@ -58,29 +59,6 @@ def read_reference(spark: SparkSession, path: str, partitioned: bool = False) ->
             .option("pathGlobFilter", "*.csv").csv(path))
 
 
-def partition_days(spark: SparkSession, root: str, column: str = "ingestion_date") -> list[str]:
-    """Valid ``column=YYYY-MM-DD`` folder values under ``root``, from the
-    folder listing alone (no file is opened)."""
-    from datetime import date
-
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return []
-    days = []
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(column + "="):
-            value = name.split("=", 1)[1]
-            try:
-                if len(value) == 10 and date.fromisoformat(value):
-                    days.append(value)
-            except ValueError:
-                continue
-    return sorted(days)
-
-
 def latest_reference(spark: SparkSession, root: str) -> DataFrame:
     """SRC-5: the newest delivery under ``root/ingestion_date=D/``.
 
@@ -88,7 +66,7 @@ def latest_reference(spark: SparkSession, root: str) -> DataFrame:
     several files of that day the first path in name order wins (one small
     aggregate over that day's files only).  Raises if nothing was delivered.
     """
-    days = partition_days(spark, root)
+    days = fs.partition_days(spark, root)
     if not days:
         raise FileNotFoundError(f"no reference delivery under {root}/ingestion_date=...")
     day = (read_reference(spark, root, partitioned=True)
