@@ -95,23 +95,28 @@ def describe(df: DataFrame, numeric: list[str], categorical: list[str], partitio
     # the shared checkpoint folder instead of rescanning the input.
     vc = value_counts(df, numeric, categorical).checkpoint(eager=True)
     scale = float(10 ** MEASURE_DIGITS)
+    # fixed-width buffers only, so this stays a hash aggregate (no sort of vc)
     base = vc.groupBy("column_name").agg(
         F.sum("n").cast("bigint").alias("count"),
         F.count(F.lit(1)).alias("unique"),
-        F.min(F.when(F.col("txt").isNotNull(), F.struct((-F.col("n")).alias("neg_n"), F.col("txt").alias("v")))).alias("_top"),
         (F.sum(F.rint(F.col("num") * scale).cast("bigint") * F.col("n")).cast("double") / scale).alias("_sum"),
         F.min("num").alias("min"),
         F.max("num").alias("max"),
     ).withColumn("mean", F.try_divide(F.col("_sum"), F.when(F.col("min").isNotNull(), F.col("count"))))
+    # top / freq: highest count per text column, then the smallest value with it
+    text = vc.where(F.col("txt").isNotNull())
+    freq = text.groupBy("column_name").agg(F.max("n").alias("freq"))
+    top = (text.join(F.broadcast(freq), "column_name").where(F.col("n") == F.col("freq"))
+               .groupBy("column_name", "freq").agg(F.min("txt").alias("top")))
     spread = (vc.where(F.col("num").isNotNull())
                 .join(F.broadcast(base.select("column_name", "mean", "count")), "column_name")
                 .groupBy("column_name")
                 .agg(F.sqrt(F.try_divide(F.sum(F.col("n") * (F.col("num") - F.col("mean")) ** 2),
                                          F.max("count") - 1)).alias("std")))
     quart = exact_quantiles(vc, partitions)
-    return (base.join(spread, "column_name", "left").join(quart, "column_name", "left")
-                .select("column_name", "count", "unique",
-                        F.col("_top.v").alias("top"), (-F.col("_top.neg_n")).alias("freq"),
+    return (base.join(top, "column_name", "left").join(spread, "column_name", "left")
+                .join(quart, "column_name", "left")
+                .select("column_name", "count", "unique", "top", "freq",
                         F.round("mean", STAT_DIGITS).alias("mean"), F.round("std", STAT_DIGITS).alias("std"),
                         "min", *QUANTILES, "max"))
 
