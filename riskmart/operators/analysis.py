@@ -1,7 +1,7 @@
 """Analysis of the Gold mart and of raw inputs (notebook computations).
 
 Frame-wide statistics (min/max for normalisation) are a one-row aggregate
-joined back with a broadcast of that single row, not an unpartitioned window.
+whose four values are applied as literals: no unpartitioned window, no join.
 """
 
 from __future__ import annotations
@@ -75,12 +75,13 @@ def proposed_score(gold: DataFrame, w_volume: float = W_VOLUME, w_conflict: floa
         F.when(F.col("NUM_GOLDSTEIN_AVG").isNotNull(),
                F.greatest(-F.col("NUM_GOLDSTEIN_AVG"), F.lit(0.0))).alias("_conf"),
     )
-    bounds = parts.agg(F.min("_vol").alias("_vmin"), F.max("_vol").alias("_vmax"),
-                       F.min("_conf").alias("_cmin"), F.max("_conf").alias("_cmax"))
-    joined = parts.crossJoin(F.broadcast(bounds))      # exactly one row
-    vol_n = (F.col("_vol") - F.col("_vmin")) / (F.col("_vmax") - F.col("_vmin") + NORM_EPSILON)
-    conf_n = (F.col("_conf") - F.col("_cmin")) / (F.col("_cmax") - F.col("_cmin") + NORM_EPSILON)
-    return joined.select(
+    # four scalars from a one-row aggregate (no join back to the frame)
+    b = parts.agg(F.min("_vol").alias("vmin"), F.max("_vol").alias("vmax"),
+                  F.min("_conf").alias("cmin"), F.max("_conf").alias("cmax")).first()
+    lit = lambda v: F.lit(v).cast("double")  # noqa: E731  (None stays a typed null)
+    vol_n = (F.col("_vol") - lit(b["vmin"])) / (lit(b["vmax"]) - lit(b["vmin"]) + NORM_EPSILON)
+    conf_n = (F.col("_conf") - lit(b["cmin"])) / (lit(b["cmax"]) - lit(b["cmin"]) + NORM_EPSILON)
+    return parts.select(
         "DTE_EVENT", "NAM_COUNTRY", "NAM_CITY", "CNT_EVENTS", "NUM_GOLDSTEIN_AVG", "NUM_RISK_SCORE",
         F.round(vol_n, PROPOSED_DIGITS).alias("VOL_NORM"),
         F.round(conf_n, PROPOSED_DIGITS).alias("CONF_NORM"),

@@ -263,8 +263,8 @@ def _snk_bronze_events(spark, sf):
 
 
 @register("snk_bronze_reference", O.q(
-    "SELECT r.*, d.ingestion_date FROM ref_raw r CROSS JOIN "
-    "(SELECT DISTINCT strftime(ingest_day, '%Y-%m-%d') AS ingestion_date FROM feed) d"))
+    "SELECT r.*, unnest((SELECT list(DISTINCT strftime(ingest_day, '%Y-%m-%d')) FROM feed)) AS ingestion_date "
+    "FROM ref_raw r"))
 def _snk_bronze_reference(spark, sf):
     cfg = _run_cfg(spark, sf, "snk-bronze-ref")
     P.bronze(spark, cfg)
@@ -373,10 +373,12 @@ PROPOSED_CTE = """, parts AS (
   SELECT *, ln(1 + CAST(coalesce(CNT_EVENTS, 0) AS DOUBLE)) AS _vol,
          CASE WHEN NUM_GOLDSTEIN_AVG IS NOT NULL THEN greatest(-NUM_GOLDSTEIN_AVG, 0.0::DOUBLE) END AS _conf
   FROM gold),
-bounds AS (SELECT min(_vol) AS vmin, max(_vol) AS vmax, min(_conf) AS cmin, max(_conf) AS cmax FROM parts),
 normed AS (
-  SELECT *, (_vol - vmin) / (vmax - vmin + 1e-9) AS vol_n, (_conf - cmin) / (cmax - cmin + 1e-9) AS conf_n
-  FROM parts CROSS JOIN bounds),
+  SELECT *,
+    (_vol - (SELECT min(_vol) FROM parts)) / ((SELECT max(_vol) FROM parts) - (SELECT min(_vol) FROM parts) + 1e-9) AS vol_n,
+    (_conf - (SELECT min(_conf) FROM parts)) / ((SELECT max(_conf) FROM parts) - (SELECT min(_conf) FROM parts) + 1e-9)
+      AS conf_n
+  FROM parts),
 proposed AS (
   SELECT DTE_EVENT, NAM_COUNTRY, NAM_CITY, CNT_EVENTS, NUM_GOLDSTEIN_AVG, NUM_RISK_SCORE,
          round(vol_n, 6) + 0.0 AS VOL_NORM, round(conf_n, 6) + 0.0 AS CONF_NORM,

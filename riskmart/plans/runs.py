@@ -62,7 +62,8 @@ def bronze(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     ref = SRC.latest_reference(spark, cfg.landing_reference)
     fs.remove_partitions(spark, cfg.bronze_events, "ingestion_date", days)
     W.write_events_tsv(events, cfg.bronze_events, partition_by="ingestion_date", mode="append")
-    ref_out = ref.crossJoin(F.broadcast(spark.createDataFrame([(d,) for d in days], "ingestion_date string")))
+    # one snapshot of the reference per run day (the day list is small)
+    ref_out = ref.withColumn("ingestion_date", F.explode(F.array(*[F.lit(d) for d in days])))
     fs.remove_partitions(spark, cfg.bronze_reference, "ingestion_date", days)
     W.write_csv(ref_out, cfg.bronze_reference, partition_by="ingestion_date", mode="append")
     return events, ref
