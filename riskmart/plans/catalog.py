@@ -494,7 +494,8 @@ def _conformance_sql() -> str:
 @register("dq_required_columns", _conformance_sql())
 def _dq_required_columns(spark, sf):
     out = None
-    for layer, df in (("silver", silver_df(spark, sf)), ("gold", gold_df(spark, sf)),
+    silver_frame = silver_df(spark, sf)
+    for layer, df in (("silver", silver_frame), ("gold", gold(silver_frame)),
                       ("reference", SV.prepare_reference(reference_raw(spark, sf)))):
         schema, required = Q.LAYER_SCHEMAS[layer]
         part = Q.schema_conformance(df, layer, schema, required)
