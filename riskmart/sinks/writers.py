@@ -57,7 +57,9 @@ def _write_layered(df: DataFrame, root: str, day_col: str, leaf_col: str, mode:
     # inside each file for row-group min/max skipping.
     out = (df.hint("rebalance", day_col, leaf_col)
              .sortWithinPartitions(day_col, leaf_col, *cluster_by))
+    # "overwrite" means the whole table whatever the session's overwrite mode
     (out.write.mode("overwrite" if mode == "overwrite" else "append")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(day_col, leaf_col).parquet(root))
     return days or []
 

@@ -103,3 +103,17 @@ def test_cli_run_and_backfill(spark, sf_small):
                     "--skip-bronze", "--gold-csv", csv_out], spark=spark)
     exported = SRC.read_gold_csv(spark, csv_out)
     assert exported.count() == one.where(F.col("DTE_INGESTION") == F.lit("2024-01-05").cast("date")).count() > 0
+
+
+def test_gold_csv_coercion_nulls_bad_cells(spark, tmp_path):
+    (tmp_path / "gold.csv").write_text(
+        "DTE_EVENT,NAM_COUNTRY,NAM_CITY,CNT_EVENTS,NUM_GOLDSTEIN_AVG,NUM_RISK_SCORE,DTE_INGESTION\n"
+        "2024-01-05,FR,Paris,3,-1.5,62.5,2024-01-06\n"
+        "2024-02-30,NA,,x,abc,1e2,not-a-date\n")
+    rows = SRC.read_gold_csv(spark, str(tmp_path)).orderBy("NAM_COUNTRY").collect()
+    bad, good = rows[1], rows[0]
+    assert (str(good.DTE_EVENT), good.CNT_EVENTS, good.NUM_GOLDSTEIN_AVG, good.NUM_RISK_SCORE) == \
+        ("2024-01-05", 3, -1.5, 62.5)
+    assert bad.NAM_COUNTRY == "NA" and bad.NAM_CITY is None
+    assert (bad.DTE_EVENT, bad.CNT_EVENTS, bad.NUM_GOLDSTEIN_AVG, bad.DTE_INGESTION) == (None, None, None, None)
+    assert bad.NUM_RISK_SCORE == 100.0
