@@ -6,7 +6,7 @@ whose four values are applied as literals: no unpartitioned window, no join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.columns import RISK_LEVEL_UNKNOWN, risk_level
@@ -53,6 +53,11 @@ def level_counts(gold: DataFrame) -> DataFrame:
                 .orderBy(F.col("count").desc(), F.col("RISK_LEVEL").asc()))
 
 
+def _double(v: float | None) -> Column:
+    """A double literal (None stays a typed null)."""
+    return F.lit(v).cast("double")
+
+
 def proposed_score(gold: DataFrame, w_volume: float = W_VOLUME, w_conflict: float = W_CONFLICT,
                    materialize: bool = True) -> DataFrame:
     """PRJ-15..18 + AGG-14: volume/conflict composite normalised over the frame.
@@ -78,9 +83,8 @@ def proposed_score(gold: DataFrame, w_volume: float = W_VOLUME, w_conflict: floa
     # four scalars from a one-row aggregate (no join back to the frame)
     b = parts.agg(F.min("_vol").alias("vmin"), F.max("_vol").alias("vmax"),
                   F.min("_conf").alias("cmin"), F.max("_conf").alias("cmax")).first()
-    lit = lambda v: F.lit(v).cast("double")  # noqa: E731  (None stays a typed null)
-    vol_n = (F.col("_vol") - lit(b["vmin"])) / (lit(b["vmax"]) - lit(b["vmin"]) + NORM_EPSILON)
-    conf_n = (F.col("_conf") - lit(b["cmin"])) / (lit(b["cmax"]) - lit(b["cmin"]) + NORM_EPSILON)
+    vol_n = (F.col("_vol") - _double(b["vmin"])) / (_double(b["vmax"]) - _double(b["vmin"]) + NORM_EPSILON)
+    conf_n = (F.col("_conf") - _double(b["cmin"])) / (_double(b["cmax"]) - _double(b["cmin"]) + NORM_EPSILON)
     return parts.select(
         "DTE_EVENT", "NAM_COUNTRY", "NAM_CITY", "CNT_EVENTS", "NUM_GOLDSTEIN_AVG", "NUM_RISK_SCORE",
         F.round(vol_n, PROPOSED_DIGITS).alias("VOL_NORM"),
