@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart import schemas as S
+from riskmart.functions.columns import country_of, lenient_integral, parse_event_date
 from riskmart.operators.silver import DEDUP_KEYS, typed_events, with_derived
 
 
@@ -139,10 +140,25 @@ def reject_reason() -> Column:
              .when(F.length("country") != 2, "country_not_2_chars"))
 
 
-def rejected_rows(raw: DataFrame, ingestion_date: str | None, ingestion_ts: str) -> DataFrame:
-    """Quarantine frame: every row the gate drops, with its reason."""
-    derived = with_derived(typed_events(raw), ingestion_date, ingestion_ts)
-    return derived.withColumn("reject_reason", reject_reason()).where(F.col("reject_reason").isNotNull())
+def rejected_rows(raw: DataFrame, ingestion_date: str | None = None) -> DataFrame:
+    """Quarantine frame: the as-delivered rows the gate drops, all 58 fields
+    kept as text (so they can be fixed and replayed), plus the reason.
+
+    Only the three gate inputs are typed, with the same column rules as Silver.
+    ``ingestion_date`` adds the run day when ``raw`` has no such column.
+    """
+    checked = raw.select(
+        "*",
+        parse_event_date(S.POSITIONAL_NAMES[S.POS_DATE]).alias("event_date"),
+        lenient_integral(S.POSITIONAL_NAMES[S.POS_ID], "bigint").alias("globaleventid"),
+        country_of(S.POSITIONAL_NAMES[S.POS_GEO_COUNTRY]).alias("country"),
+    )
+    out = (checked.withColumn("reject_reason", reject_reason())
+                  .where(F.col("reject_reason").isNotNull())
+                  .drop("event_date", "globaleventid", "country"))
+    if "ingestion_date" not in raw.columns:
+        out = out.withColumn("ingestion_date", F.lit(ingestion_date).cast("string"))
+    return out.select(*S.POSITIONAL_NAMES, "reject_reason", F.col("ingestion_date").cast("string"))
 
 
 def reject_accounting(raw: DataFrame, ingestion_date: str | None, ingestion_ts: str) -> DataFrame:

@@ -478,6 +478,22 @@ register("dq_rejects", O.q(
     lambda spark, sf: Q.reject_accounting(feed(spark, sf), K.RUN_DATE, K.RUN_TS))
 
 
+QUARANTINE_REASON = ("CASE WHEN try_strptime(_c1, '%Y%m%d') IS NULL THEN 'missing_event_date' "
+                     "WHEN try_cast(_c0 AS BIGINT) IS NULL THEN 'missing_event_id' "
+                     "WHEN _c51 IS NULL THEN 'missing_country' "
+                     "WHEN length(upper(_c51)) <> 2 THEN 'country_not_2_chars' END")
+
+
+@register("dq_quarantine", O.q(
+    f"SELECT * FROM (SELECT {FEED_COLS}, {QUARANTINE_REASON} AS reject_reason, "
+    "strftime(ingest_day, '%Y-%m-%d') AS ingestion_date FROM feed) WHERE reject_reason IS NOT NULL"))
+def _dq_quarantine(spark, sf):
+    from riskmart import schemas as S
+    cfg = _run_cfg(spark, sf, "dq-quarantine").with_quarantine()
+    P.silver_run(spark, cfg)
+    return spark.read.schema(S.QUARANTINE).parquet(cfg.quarantine).select(*S.QUARANTINE.fieldNames())
+
+
 def _conformance_sql() -> str:
     parts = []
     for layer, source in (("silver", "silver"), ("gold", "gold"), ("reference", "ref_typed")):

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart import fs
+from riskmart.operators import quality as Q
 from riskmart.operators import silver as SV
 from riskmart.operators.gold import gold
 from riskmart.sinks import writers as W
@@ -35,6 +36,7 @@ class RunConfig:
     mode_silver: str = "replace"
     mode_gold: str = "replace"
     gold_csv: str | None = None                   # optional CSV export of the run's Gold rows
+    quarantine: str | None = None                 # optional folder for rejected rows (as delivered)
 
     @staticmethod
     def under(root: str, **kw) -> "RunConfig":
@@ -43,6 +45,11 @@ class RunConfig:
                          bronze_events=f"{r}/bronze/events", bronze_reference=f"{r}/bronze/country_risk",
                          silver=f"{r}/silver/events", gold=f"{r}/gold/risk_events", **kw)
 
+    def with_quarantine(self) -> "RunConfig":
+        """Same run, also keeping rejected rows under ``<silver>/../quarantine``."""
+        base = self.silver.rstrip("/").rsplit("/", 1)[0]
+        return RunConfig(**{**self.__dict__, "quarantine": f"{base}/quarantine"})
+
 
 def landed_days(spark: SparkSession, root: str) -> list[str]:
     """Ingestion days present under a landing root (folder listing only)."""
@@ -76,6 +83,8 @@ def silver_run(spark: SparkSession, cfg: RunConfig, ref_raw: DataFrame | None =
     ref_raw = ref_raw if ref_raw is not None else SRC.latest_reference(spark, cfg.landing_reference)
     out = SV.silver(events, ref_raw, None, cfg.ingestion_ts)
     W.write_silver(out, cfg.silver, mode=cfg.mode_silver, days=days)
+    if cfg.quarantine:
+        W.write_quarantine(Q.rejected_rows(events), cfg.quarantine, days)
     return days
 
 

@@ -37,6 +37,12 @@ POS_GEO_NAME, POS_GEO_COUNTRY, POS_GEO_ADM1, POS_GEO_LAT, POS_GEO_LONG = 50, 51,
 EVENTS_POSITIONAL = T.StructType([T.StructField(n, T.StringType(), True) for n in POSITIONAL_NAMES])
 EVENTS_NAMED = T.StructType([T.StructField(n, T.StringType(), True) for n in EVENT_COLUMN_NAMES])
 
+# Rejected rows kept as delivered, with the gate's reason and the arrival day.
+QUARANTINE = T.StructType(EVENTS_POSITIONAL.fields + [
+    T.StructField("reject_reason", T.StringType(), True),
+    T.StructField("ingestion_date", T.StringType(), True),
+])
+
 # --- Country-risk reference --------------------------------------------------
 REFERENCE_COLUMNS = ["country", "baseline_risk", "risk_multiplier", "updated_at"]
 # As delivered: read as text, typed by ``prepare_reference`` (ANSI-safe).

@@ -74,6 +74,13 @@ def write_gold(df: DataFrame, root: str, mode: str = "replace", days: list[str]
     return _write_layered(df, root, "DTE_INGESTION", "DTE_EVENT", mode, days, ["NAM_COUNTRY", "NAM_CITY"])
 
 
+def write_quarantine(df: DataFrame, root: str, days: list[str]) -> None:
+    """DQ-9: rejected rows as Parquet by ingestion day (replaces the run's days)."""
+    fs.remove_partitions(df.sparkSession, root, "ingestion_date", days)
+    (df.hint("rebalance", "ingestion_date")
+       .write.mode("append").partitionBy("ingestion_date").parquet(root))
+
+
 def write_table(df: DataFrame, fmt: str, options: dict[str, str] | None = None, mode: str = "append",
                 path: str | None = None) -> None:
     """SNK-4, any connector: ``format`` + options (warehouse connectors need their jar)."""
