@@ -34,6 +34,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--mode-silver", default="replace", choices=MODES)
     p.add_argument("--mode-gold", default="replace", choices=MODES)
     p.add_argument("--gold-csv", help="also export the run's Gold rows as CSV here")
+    p.add_argument("--quarantine", help="keep rejected rows (as delivered, with reason) here")
     p.add_argument("--skip-bronze", action="store_true")
     p.add_argument("--app-name", default="riskmart-run")
     p.add_argument("--preview", type=int, default=0, help="print the first N Gold rows")
@@ -43,7 +44,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def config_from(args: argparse.Namespace) -> RunConfig:
     extra = {k: v for k, v in {"ingestion_dates": args.ingestion_dates, "ingestion_ts": args.ingestion_ts,
                                "mode_silver": args.mode_silver, "mode_gold": args.mode_gold,
-                               "gold_csv": args.gold_csv}.items() if v is not None}
+                               "gold_csv": args.gold_csv, "quarantine": args.quarantine}.items()
+             if v is not None}
     if args.root:
         cfg = RunConfig.under(args.root, **extra)
     else:
