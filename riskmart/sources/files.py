@@ -38,6 +38,26 @@ def events_reader(spark: SparkSession, named: bool = False, quote: str | None =
             .option("pathGlobFilter", EVENT_FILE_GLOB))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split scan over the cluster's task slots.
+
+    A file whose rows sit in one indivisible unit (one Parquet row group, one
+    gzip file) is read by a single task, and all narrow work up to the first
+    shuffle (parsing, typing, the map side of dedup) then runs in that task.
+    When the scan yields fewer partitions than ``min_partitions`` (default:
+    the session's default parallelism) its rows are hash-partitioned on their
+    position in the scan: even shares, no hot partition even when many rows
+    are identical copies, no sort (unlike round-robin), and the same split
+    when a lost task re-reads its file.  A scan that is already split at
+    least that wide -- every large input -- is returned unchanged, so no
+    shuffle is added at scale.  Planning only: no job runs to decide.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, F.monotonically_increasing_id())
+
+
 def read_events(spark: SparkSession, path: str, named: bool = False,
                 ingestion_dates: list[str] | None = None) -> DataFrame:
     """SRC-1/3/6/7: landing or Bronze events, optionally pruned to some days."""

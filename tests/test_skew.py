@@ -61,3 +61,24 @@ def test_reference_join_fallback_without_broadcast(spark):
     finally:
         joins.MAX_BROADCAST_ROWS = original
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_spread_splits_a_one_unit_scan_evenly(spark, sf_small):
+    from riskmart.sources.files import spread
+    # the driver's events file is one Parquet row group: one scan task
+    scan = spark.read.parquet(f"{sf_small}/events.parquet")
+    assert scan.rdd.getNumPartitions() == 1
+    # a third of the rows are identical copies: they must not share one partition
+    copies = (scan.limit(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(scan.count() // 2))).alias("_k"))
+                  .drop("_k"))
+    wide = spread(scan.unionByName(copies).coalesce(1), 4)
+    sizes = [r["count"] for r in wide.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 4 and max(sizes) <= 1.2 * min(sizes)
+    assert wide.exceptAll(scan.unionByName(copies)).count() == 0
+    assert wide.count() == scan.count() + scan.count() // 2
+
+
+def test_spread_leaves_a_wide_scan_alone(spark):
+    from riskmart.sources.files import spread
+    df = spark.range(0, 1000, 1, 8)
+    assert spread(df, 4) is df
