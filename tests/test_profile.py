@@ -31,3 +31,23 @@ def test_describe_matches_numpy(spark, partitions):
     assert rl["count"] == len(present) and rl["unique"] == len(values)
     assert rl["top"] == values[np.argmax(counts)] and rl["freq"] == counts.max()
     assert rl["mean"] is None and rl["p50"] is None
+
+
+def test_describe_approximate_quartiles_within_rank_error(spark):
+    rng = np.random.default_rng(7)
+    n = 20000
+    x = np.round(rng.normal(0, 5, n), 2)
+    x[: n // 3] = 1.25                      # one value holds a third of the rows
+    df = spark.createDataFrame([(float(v), "a") for v in x], "x double, lab string").repartition(5)
+    exact = describe(df, ["x"], ["lab"]).collect()[0]
+    accuracy = 200
+    approx = describe(df, ["x"], ["lab"], approximate=True, accuracy=accuracy).collect()[0]
+    for c in ("count", "unique", "mean", "std", "min", "max"):
+        assert approx[c] == exact[c]
+    s = np.sort(x)
+    for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        v = approx[name]
+        lo, hi = np.searchsorted(s, v, "left"), np.searchsorted(s, v, "right")   # ranks holding v
+        target = q * (n - 1)
+        slack = n / accuracy + 1
+        assert lo - slack <= target <= hi + slack
