@@ -1,8 +1,8 @@
 """Folder-level operations on any Hadoop-compatible store (HDFS, S3A, GCS, local).
 
 Used for the few things the DataFrame API does not cover: listing partition
-folders (so run days come from metadata, not from scanning data), removing the
-folders of the days a run replaces, and existence checks.  Goes through the
+folders (so run days come from metadata, not from scanning data), swapping in
+the staged folders of the days a run replaces, and existence checks.  Goes through the
 session's Hadoop FileSystem via the JVM gateway, the usual PySpark way.
 """
 
@@ -46,14 +46,26 @@ def partition_days(spark: SparkSession, root: str, column: str = "ingestion_date
     return days
 
 
-def remove_partitions(spark: SparkSession, root: str, column: str, values: list[str]) -> None:
-    """Delete ``root/column=value`` folders (idempotent)."""
+def swap_partitions(spark: SparkSession, staging: str, root: str, column: str, values: list[str]) -> list[str]:
+    """Replace ``root/column=v`` by ``staging/column=v`` for every listed value
+    and every value present in ``staging``; a listed value with nothing staged
+    is removed.  Folder renames only (no data is copied on HDFS-like stores),
+    so the rows of the table change only after the staged write has committed.
+    Removes ``staging`` afterwards.  Returns the values replaced."""
     jvm = spark.sparkContext._jvm
     base, fs = _path_fs(spark, root)
-    for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(base, f"{column}={v}")
-        if fs.exists(p):
-            fs.delete(p, True)
+    fs.mkdirs(base)
+    replaced = sorted(set(values) | set(partition_values(spark, staging, column)))
+    for v in replaced:
+        name = f"{column}={v}"
+        dst = jvm.org.apache.hadoop.fs.Path(base, name)
+        src = jvm.org.apache.hadoop.fs.Path(staging.rstrip("/") + "/" + name)
+        if fs.exists(dst):
+            fs.delete(dst, True)
+        if fs.exists(src) and not fs.rename(src, dst):
+            raise OSError(f"could not move {src} to {dst}")
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    return replaced
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

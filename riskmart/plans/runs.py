@@ -67,12 +67,12 @@ def bronze(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     days = _days(spark, cfg)
     events = SRC.read_events(spark, cfg.landing_events, ingestion_dates=days)
     ref = SRC.latest_reference(spark, cfg.landing_reference)
-    fs.remove_partitions(spark, cfg.bronze_events, "ingestion_date", days)
-    W.write_events_tsv(events, cfg.bronze_events, partition_by="ingestion_date", mode="append")
+    W.replace_days(events, cfg.bronze_events, "ingestion_date", days,
+                   lambda frame, path: W.write_events_tsv(frame, path, partition_by="ingestion_date"))
     # one snapshot of the reference per run day (the day list is small)
     ref_out = ref.withColumn("ingestion_date", F.explode(F.array(*[F.lit(d) for d in days])))
-    fs.remove_partitions(spark, cfg.bronze_reference, "ingestion_date", days)
-    W.write_csv(ref_out, cfg.bronze_reference, partition_by="ingestion_date", mode="append")
+    W.replace_days(ref_out, cfg.bronze_reference, "ingestion_date", days,
+                   lambda frame, path: W.write_csv(frame, path, partition_by="ingestion_date"))
     return events, ref
 
 

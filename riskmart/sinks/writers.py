@@ -4,14 +4,22 @@ No writer funnels data through one task (no ``coalesce(1)``): files are
 written in parallel by the tasks that produced the rows.  Partitioned layers
 are laid out ``ingestion_date=D/event_date=E`` (Silver) and
 ``DTE_INGESTION=D/DTE_EVENT=E`` (Gold).  ``replace`` mode rewrites exactly the
-ingestion days present in the run (their old folders are removed first, then
-the new rows are appended), so re-running a day yields the same table and
-never touches other days; ``append`` adds rows; ``overwrite`` replaces the
+ingestion days present in the run, so re-running a day yields the same table
+and never touches other days; ``append`` adds rows; ``overwrite`` replaces the
 whole table.
+
+``replace`` is staged: the rows are written through Spark's commit protocol
+into a hidden ``_staging-*`` folder under the table root (readers skip
+``_``-prefixed folders), and only after that job has committed are the day
+folders swapped in by renames.  A job that fails while computing or writing
+leaves the table as it was; re-running the day finishes the work.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +34,16 @@ def run_days(df: DataFrame, column: str) -> list[str]:
     return sorted(str(r[0]) for r in df.select(F.col(column).cast("string")).distinct().collect())
 
 
+def replace_days(df: DataFrame, root: str, column: str, days: list[str],
+                 write: Callable[[DataFrame, str], None]) -> list[str]:
+    """Staged replace of the ``column=D`` folders of ``days`` (and of any other
+    day the rows hold): ``write(df, staging)`` writes them partitioned by
+    ``column``, then the folders are swapped in."""
+    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
+    write(df, staging)
+    return fs.swap_partitions(df.sparkSession, staging, root, column, days)
+
+
 def write_events_tsv(df: DataFrame, out: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
     """SNK-1 / landing: tab-separated, no header, no quoting."""
     w = (df.write.mode(mode).option("sep", "\t").option("header", "false")
@@ -47,20 +65,22 @@ def _write_layered(df: DataFrame, root: str, day_col: str, leaf_col: str, mode:
                    days: list[str] | None, cluster_by: list[str]) -> list[str]:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    spark = df.sparkSession
-    if mode == "replace":
-        days = days if days is not None else run_days(df, day_col)
-        fs.remove_partitions(spark, root, day_col, days)
     # Cluster rows by partition folder so each task writes few files.  The
     # rebalance hint lets AQE split a folder holding a large share of the rows
     # over several tasks (several files) instead of one.  Rows are then sorted
     # inside each file for row-group min/max skipping.
     out = (df.hint("rebalance", day_col, leaf_col)
              .sortWithinPartitions(day_col, leaf_col, *cluster_by))
-    # "overwrite" means the whole table whatever the session's overwrite mode
-    (out.write.mode("overwrite" if mode == "overwrite" else "append")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(day_col, leaf_col).parquet(root))
+
+    def parquet(frame: DataFrame, path: str, write_mode: str) -> None:
+        # "overwrite" means the whole target whatever the session's overwrite mode
+        (frame.write.mode(write_mode).option("partitionOverwriteMode", "static")
+              .partitionBy(day_col, leaf_col).parquet(path))
+
+    if mode == "replace":
+        days = days if days is not None else run_days(df, day_col)
+        return replace_days(out, root, day_col, days, lambda frame, path: parquet(frame, path, "overwrite"))
+    parquet(out, root, mode)
     return days or []
 
 
@@ -76,9 +96,8 @@ def write_gold(df: DataFrame, root: str, mode: str = "replace", days: list[str]
 
 def write_quarantine(df: DataFrame, root: str, days: list[str]) -> None:
     """DQ-9: rejected rows as Parquet by ingestion day (replaces the run's days)."""
-    fs.remove_partitions(df.sparkSession, root, "ingestion_date", days)
-    (df.hint("rebalance", "ingestion_date")
-       .write.mode("append").partitionBy("ingestion_date").parquet(root))
+    replace_days(df.hint("rebalance", "ingestion_date"), root, "ingestion_date", days,
+                 lambda frame, path: frame.write.mode("overwrite").partitionBy("ingestion_date").parquet(path))
 
 
 def write_table(df: DataFrame, fmt: str, options: dict[str, str] | None = None, mode: str = "append",

@@ -1,5 +1,8 @@
 """Whole-pipeline properties: accounting, order invariance, idempotent re-runs."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from riskmart.operators import quality as Q
@@ -117,3 +120,20 @@ def test_gold_csv_coercion_nulls_bad_cells(spark, tmp_path):
     assert bad.NAM_COUNTRY == "NA" and bad.NAM_CITY is None
     assert (bad.DTE_EVENT, bad.CNT_EVENTS, bad.NUM_GOLDSTEIN_AVG, bad.DTE_INGESTION) == (None, None, None, None)
     assert bad.NUM_RISK_SCORE == 100.0
+
+
+def test_failed_replace_leaves_the_stored_day_untouched(spark, sf_small):
+    from riskmart.sinks import writers as W
+    out = new_work_dir(spark, "replace-fail") + "/gold"
+    mart = C.gold_df(spark, sf_small)
+    W.write_gold(mart, out, mode="replace", days=[K.RUN_DATE])
+    before = sorted(SRC.read_gold(spark, out).collect())
+    # a replace whose job fails mid-way (ANSI error while computing the rows)
+    broken = mart.withColumn("CNT_EVENTS", (F.col("CNT_EVENTS") / F.lit(0)).cast("bigint"))
+    with pytest.raises(Exception):
+        W.write_gold(broken, out, mode="replace", days=[K.RUN_DATE])
+    assert sorted(SRC.read_gold(spark, out).collect()) == before
+    # and a later replace finishes the work, leaving no staging folder visible
+    W.write_gold(mart, out, mode="replace", days=[K.RUN_DATE])
+    assert sorted(SRC.read_gold(spark, out).collect()) == before
+    assert [n for n in os.listdir(out.removeprefix("file:")) if n.startswith("DTE_")] == [f"DTE_INGESTION={K.RUN_DATE}"]
