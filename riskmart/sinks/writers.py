@@ -21,7 +21,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from riskmart import fs
 from riskmart.sources.files import NO_QUOTE
@@ -29,11 +28,6 @@ from riskmart.sources.files import NO_QUOTE
 MODES = ("replace", "append", "overwrite")
 
 
-def run_days(df: DataFrame, column: str) -> list[str]:
-    """Distinct ingestion days of a run (one small aggregate; days, not rows)."""
-    return sorted(str(r[0]) for r in df.select(F.col(column).cast("string")).distinct().collect())
-
-
 def replace_days(df: DataFrame, root: str, column: str, days: list[str],
                  write: Callable[[DataFrame, str], None]) -> list[str]:
     """Staged replace of the ``column=D`` folders of ``days`` (and of any other
@@ -78,8 +72,8 @@ def _write_layered(df: DataFrame, root: str, day_col: str, leaf_col: str, mode:
               .partitionBy(day_col, leaf_col).parquet(path))
 
     if mode == "replace":
-        days = days if days is not None else run_days(df, day_col)
-        return replace_days(out, root, day_col, days, lambda frame, path: parquet(frame, path, "overwrite"))
+        # without a day list the days are those the staged write produced (no extra pass over the rows)
+        return replace_days(out, root, day_col, days or [], lambda frame, path: parquet(frame, path, "overwrite"))
     parquet(out, root, mode)
     return days or []
 

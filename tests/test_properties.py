@@ -137,3 +137,23 @@ def test_failed_replace_leaves_the_stored_day_untouched(spark, sf_small):
     W.write_gold(mart, out, mode="replace", days=[K.RUN_DATE])
     assert sorted(SRC.read_gold(spark, out).collect()) == before
     assert [n for n in os.listdir(out.removeprefix("file:")) if n.startswith("DTE_")] == [f"DTE_INGESTION={K.RUN_DATE}"]
+
+
+def test_replace_without_day_list_replaces_exactly_the_written_days(spark, sf_small):
+    from riskmart.sinks import writers as W
+    out = new_work_dir(spark, "replace-days") + "/gold"
+    mart = C.gold_df(spark, sf_small)
+    other = mart.withColumn("DTE_INGESTION", F.date_add("DTE_INGESTION", 1))
+    W.write_gold(mart.unionByName(other), out, mode="replace")
+    n = mart.count()
+    assert SRC.read_gold(spark, out).count() == 2 * n
+    # replace only the second day (no day list given) by a subset: the first day is untouched
+    subset = other.where(F.col("NAM_CITY").isNotNull())
+    m = subset.count()
+    assert 0 < m < n
+    replaced = W.write_gold(subset, out, mode="replace")
+    day2 = sorted(r[0] for r in other.select(F.col("DTE_INGESTION").cast("string")).distinct().collect())
+    assert replaced == day2
+    stored = SRC.read_gold(spark, out)
+    assert stored.where(F.col("DTE_INGESTION") == F.lit(K.RUN_DATE).cast("date")).count() == n
+    assert stored.where(F.col("DTE_INGESTION") != F.lit(K.RUN_DATE).cast("date")).count() == m
