@@ -50,7 +50,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     are identical copies, no sort (unlike round-robin), and the same split
     when a lost task re-reads its file.  A scan that is already split at
     least that wide -- every large input -- is returned unchanged, so no
-    shuffle is added at scale.  Planning only: no job runs to decide.
+    shuffle is added at scale.
+
+    ``df`` is a file scan, optionally with projections and filters: its
+    partition count is read off the planned scan and no job runs to decide.
+    (On a plan holding a shuffle, Spark would run the stages below it to
+    answer, so apply this right at the read.)
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

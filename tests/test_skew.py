@@ -78,6 +78,15 @@ def test_spread_splits_a_one_unit_scan_evenly(spark, sf_small):
     assert wide.count() == scan.count() + scan.count() // 2
 
 
+def test_spread_decides_without_running_a_job(spark, sf_small):
+    from riskmart.sources.files import spread
+    scan = spark.read.parquet(f"{sf_small}/events.parquet").select("event_id", "user_id")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    spread(scan.where("event_id > 5"))
+    assert set(tracker.getJobIdsForGroup(None)) == before
+
+
 def test_spread_leaves_a_wide_scan_alone(spark):
     from riskmart.sources.files import spread
     df = spark.range(0, 1000, 1, 8)
