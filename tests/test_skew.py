@@ -91,3 +91,27 @@ def test_spread_leaves_a_wide_scan_alone(spark):
     from riskmart.sources.files import spread
     df = spark.range(0, 1000, 1, 8)
     assert spread(df, 4) is df
+
+
+def test_hot_partition_folder_is_written_by_several_tasks(spark, tmp_path):
+    import os
+    from riskmart.sinks import writers as W
+    n = 60000
+    hot = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 40 + 2)   # one date holds a third
+    df = (spark.range(0, n, 1, 8)
+               .select(F.lit("2024-01-06").alias("ingestion_date"),
+                       F.date_add(F.lit("2024-01-01").cast("date"), hot.cast("int")).alias("event_date"),
+                       F.col("id").alias("globaleventid"),
+                       F.sha2(F.col("id").cast("string"), 256).alias("payload")))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    previous = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "256k")
+        W.write_silver(df, str(tmp_path / "silver"), mode="replace")
+    finally:
+        spark.conf.set(key, previous)
+    folder = tmp_path / "silver" / "ingestion_date=2024-01-06" / "event_date=2024-01-02"
+    files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert len(files) > 1
+    back = spark.read.parquet(str(tmp_path / "silver"))
+    assert back.count() == n and back.where(F.col("event_date") == "2024-01-02").count() == n // 3
