@@ -115,3 +115,19 @@ def test_hot_partition_folder_is_written_by_several_tasks(spark, tmp_path):
     assert len(files) > 1
     back = spark.read.parquet(str(tmp_path / "silver"))
     assert back.count() == n and back.where(F.col("event_date") == "2024-01-02").count() == n // 3
+
+
+def test_stream_dedup_with_a_hot_id_across_files_and_batches(spark, tmp_path):
+    from riskmart.sinks import writers as W
+    from riskmart.streaming import incremental as ST
+    feed = _hot_feed(spark)                  # a third of the rows share id 7, plus a null-id flood
+    landed = (feed.withColumn("ingestion_date", F.lit("2024-01-06"))
+                  .unionByName(feed.withColumn("ingestion_date", F.lit("2024-01-07")))   # redelivered next day
+                  .repartition(6))
+    root = str(tmp_path / "landing")
+    W.write_events_tsv(landed, root, partition_by="ingestion_date")
+    stream = ST.silver_stream(spark, root, None, "t", max_files_per_trigger=2)   # several micro-batches
+    ST.run_available(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), state_partitions=4)
+    out = ST.read_stream_output(spark, str(tmp_path / "out"), stream.schema)
+    assert out.where(F.col("globaleventid") == 7).count() == 1
+    assert out.count() == out.select("globaleventid").distinct().count() == 1 + 2000
