@@ -131,3 +131,29 @@ def test_stream_dedup_with_a_hot_id_across_files_and_batches(spark, tmp_path):
     out = ST.read_stream_output(spark, str(tmp_path / "out"), stream.schema)
     assert out.where(F.col("globaleventid") == 7).count() == 1
     assert out.count() == out.select("globaleventid").distinct().count() == 1 + 2000
+
+
+def test_gold_hot_group_matches_brute_force(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    from riskmart.operators.gold import gold
+    n = 3000
+    rows = []
+    for i in range(n):
+        hot = i % 3 == 0                     # a third of all events fall in one (day, country, city) group
+        rows.append({0: str(10_000 + i), 1: "20240105" if hot else f"202401{10 + i % 9:02d}",
+                     29: str(1 + i % 4), 30: f"{(i % 40) - 20}.25",
+                     50: "Tehran, IR" if hot else f"City {i % 6}, X", 51: "ir" if hot else ["fr", "mx"][i % 2]})
+    raw = raw_rows(spark, rows).repartition(5)
+    ref = spark.createDataFrame([("IR", "0.85", "1.4", "2024-01-01"), ("FR", "0.5", "1.2", "2024-01-01")],
+                                "country string, baseline_risk string, risk_multiplier string, updated_at string")
+    mart = gold(SV.silver(raw, ref, "2024-01-06", "t"))
+    got = mart.where((F.col("NAM_COUNTRY") == "IR") & (F.col("NAM_CITY") == "Tehran")).collect()
+    assert len(got) == 1
+    hot_rows = [r for i, r in enumerate(rows) if i % 3 == 0]
+    weights = [Decimal(str({1: 0.25, 2: 0.5, 3: 0.75, 4: 1.0}[int(r[29])])) * Decimal("1.4") for r in hot_rows]
+    score = (sum(weights) / len(weights) * 100).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    gold_avg = sum(Decimal(r[30]) for r in hot_rows) / len(hot_rows)
+    assert got[0].CNT_EVENTS == n // 3
+    assert got[0].NUM_RISK_SCORE == float(score)
+    assert abs(got[0].NUM_GOLDSTEIN_AVG - float(gold_avg)) < 1e-9
+    assert mart.agg(F.sum("CNT_EVENTS")).first()[0] == n
