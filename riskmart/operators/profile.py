@@ -53,6 +53,7 @@ def _ranked(vc: DataFrame, partitions: int) -> DataFrame:
         "_start", F.coalesce(F.sum("_pn").over(
             Window.partitionBy("column_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     within = Window.partitionBy("column_name", "_part").orderBy("num").rowsBetween(Window.unboundedPreceding, -1)
+    # broadcast size: (profiled columns) x (range partitions) rows, fixed by the caller, not by the data
     return (ranged.join(F.broadcast(offsets.select("column_name", "_part", "_start")), ["column_name", "_part"])
                   .withColumn("rank_lo", F.col("_start") + F.coalesce(F.sum("n").over(within), F.lit(0))))
 
@@ -74,6 +75,7 @@ def exact_quantiles(vc: DataFrame, partitions: int | None = None) -> DataFrame:
     ).select("column_name", "q_name", "h", F.floor("h").alias("lo"), F.ceil("h").alias("hi"))
     ranked = _ranked(vc, partitions)
     # each target rank falls in exactly one value's [rank_lo, rank_lo + n) range
+    # broadcast size: (numeric columns) x (3 quartiles) rows
     hit = (ranked.join(F.broadcast(targets), "column_name")
                  .where(((F.col("lo") >= F.col("rank_lo")) & (F.col("lo") < F.col("rank_lo") + F.col("n")))
                         | ((F.col("hi") >= F.col("rank_lo")) & (F.col("hi") < F.col("rank_lo") + F.col("n")))))
@@ -123,6 +125,7 @@ def describe(df: DataFrame, numeric: list[str], categorical: list[str], partitio
     # top / freq: highest count per text column, then the smallest value with it
     text = vc.where(F.col("txt").isNotNull())
     freq = text.groupBy("column_name").agg(F.max("n").alias("freq"))
+    # broadcast sizes below: one row per profiled column
     top = (text.join(F.broadcast(freq), "column_name").where(F.col("n") == F.col("freq"))
                .groupBy("column_name", "freq").agg(F.min("txt").alias("top")))
     spread = (vc.where(F.col("num").isNotNull())
