@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from riskmart.llm.mixing import OP7_SQL, op7_mixing
+from riskmart.llm.packing import op2_packing
 from riskmart.llm.simhash import op1_simhash
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
     "op7_mixing": op7_mixing,
 }
 
