@@ -5,13 +5,16 @@ from __future__ import annotations
 from riskmart.llm.mixing import OP7_SQL, op7_mixing
 from riskmart.llm.packing import op2_packing
 from riskmart.llm.simhash import op1_simhash
+from riskmart.llm.substrings import OP8_SQL, op8_substrings
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op7_mixing": op7_mixing,
+    "op8_substrings": op8_substrings,
 }
 
 ORACLE = {
     "op7_mixing": OP7_SQL,
+    "op8_substrings": OP8_SQL,
 }
