@@ -6,15 +6,18 @@ from riskmart.llm.mixing import OP7_SQL, op7_mixing
 from riskmart.llm.packing import op2_packing
 from riskmart.llm.simhash import op1_simhash
 from riskmart.llm.substrings import OP8_SQL, op8_substrings
+from riskmart.llm.topk import OP10_SQL, op10_topk
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op7_mixing": op7_mixing,
     "op8_substrings": op8_substrings,
+    "op10_topk": op10_topk,
 }
 
 ORACLE = {
     "op7_mixing": OP7_SQL,
     "op8_substrings": OP8_SQL,
+    "op10_topk": OP10_SQL,
 }
