@@ -156,12 +156,12 @@ def op10_topk(spark, sf_dir) -> DataFrame:
 
 
 OP10_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
            FROM embeddings
            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (SELECT a.vec_id AS query_id, b.vec_id,
-             CAST(list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2])) AS BIGINT) AS score
+             CAST(list_sum([z[1] * z[2] FOR z IN list_zip(a.q, b.q)]) AS BIGINT) AS score
       FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
 FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
