@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskmart.llm.licenses import op6_licenses
 from riskmart.llm.mixing import OP7_SQL, op7_mixing
 from riskmart.llm.packing import op2_packing
 from riskmart.llm.simhash import op1_simhash
@@ -11,6 +12,7 @@ from riskmart.llm.topk import OP10_SQL, op10_topk
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op6_licenses": op6_licenses,
     "op7_mixing": op7_mixing,
     "op8_substrings": op8_substrings,
     "op10_topk": op10_topk,
