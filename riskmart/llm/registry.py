@@ -7,11 +7,13 @@ from riskmart.llm.mixing import OP7_SQL, op7_mixing
 from riskmart.llm.packing import op2_packing
 from riskmart.llm.simhash import op1_simhash
 from riskmart.llm.substrings import OP8_SQL, op8_substrings
+from riskmart.llm.syncmers import op5_syncmers
 from riskmart.llm.topk import OP10_SQL, op10_topk
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op5_syncmers": op5_syncmers,
     "op6_licenses": op6_licenses,
     "op7_mixing": op7_mixing,
     "op8_substrings": op8_substrings,
