@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskmart.llm.langid import op4_langid
 from riskmart.llm.licenses import op6_licenses
 from riskmart.llm.mixing import OP7_SQL, op7_mixing
 from riskmart.llm.packing import op2_packing
@@ -13,6 +14,7 @@ from riskmart.llm.topk import OP10_SQL, op10_topk
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op4_langid": op4_langid,
     "op5_syncmers": op5_syncmers,
     "op6_licenses": op6_licenses,
     "op7_mixing": op7_mixing,
