@@ -10,6 +10,7 @@ from riskmart.llm.simhash import op1_simhash
 from riskmart.llm.substrings import OP8_SQL, op8_substrings
 from riskmart.llm.syncmers import op5_syncmers
 from riskmart.llm.topk import OP10_SQL, op10_topk
+from riskmart.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_licenses": op6_licenses,
     "op7_mixing": op7_mixing,
     "op8_substrings": op8_substrings,
+    "op9_toxicity": op9_toxicity,
     "op10_topk": op10_topk,
 }
 
