@@ -22,8 +22,8 @@ Cases: vectors that are null, or hold a null or non-finite component, take no
 part; shorter vectors count as padded with zeros; repeated ids are candidates
 each, but never of their own id; a null vec_id is no query and no candidate;
 ties go to the smaller vec_id; fewer candidates than k give all of them; an
-empty table gives no rows; other columns are ignored.  Components beyond
-2 ** 20 in size are outside the exact range of the arithmetic and raise an error.
+empty table gives no rows; other columns are ignored.  Scores outside 64 bits
+are held at their border.
 """
 
 from __future__ import annotations
@@ -43,9 +43,14 @@ QUERY_EVERY = 50
 CANDIDATES = 8192
 QUERIES = 1024
 #: Ranges a dimension is cut into.
-LEVELS = 16
+LEVELS = 32
 #: Rescoring is cheaper than another segment from so many vectors on, as a share of the block.
-FEW = 1 / 32
+FEW = 1 / 4
+#: Steps in which a query's segments are processed, with a proof attempt between.
+STEPS = 16
+#: Largest quantised impact, and what an accumulator counts a met dimension as: sums stay exact up to 2 ** 10 dimensions.
+IMPACT, COUNT = 1 << 28, float(1 << 40)
+#: Components up to this size have exact scores in doubles; larger ones are summed as Python integers.
 LIMIT = 1 << 20
 
 
@@ -55,50 +60,63 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, levels: int = LEVELS):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.low, self.high, self.members = [], [], []
-        self.dimension = []
-        for d in range(self.vectors.shape[1]):
-            column = self.vectors[:, d]
-            by_value = np.argsort(column, kind="stable")
-            cuts = np.unique(np.linspace(0, len(by_value), levels + 1).astype(int))
-            for a, b in zip(cuts, cuts[1:]):
-                self.members.append(by_value[a:b])
-                self.low.append(column[by_value[a]])
-                self.high.append(column[by_value[b - 1]])
-                self.dimension.append(d)
-        self.low, self.high, self.dimension = map(np.array, (self.low, self.high, self.dimension))
-        self.few = max(4 * K, int(len(self.ids) * FEW))
+        n, dims = self.vectors.shape
+        width = max(1, -(-n // levels))
+        levels = -(-n // width)
+        # (dimension, level, member): equal lengths; the last segment is filled up with n, which nobody is.
+        ranked = np.full((dims, levels * width), n, np.int32)
+        ranked[:, :n] = np.argsort(self.vectors, axis=0, kind="stable").T
+        cuts = np.minimum(np.arange(levels + 1) * width, n)
+        sorted_ = np.sort(self.vectors, axis=0)
+        self.members = ranked.reshape(dims * levels, width)
+        self.low = sorted_[cuts[:-1]].T.ravel()
+        self.high = sorted_[cuts[1:] - 1].T.ravel()
+        self.dimension = np.repeat(np.arange(dims), levels)
+        self.few = max(4 * K, int(n * FEW))
+        self.largest = np.abs(self.vectors).max(initial=0)
 
     def search(self, query: np.ndarray, own: int, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best vectors of the block other than ``own``, ties to the smaller id."""
         n, dims = self.vectors.shape
         if n == 0:
             return self.ids[:0], self.ids[:0]
-        weight = query[self.dimension] if dims else np.zeros(0)
+        weight = query[self.dimension]
         impact = np.maximum(weight * self.low, weight * self.high)
+        # Whole quantised impacts, rounded up, small enough to be summed beside a count of dimensions.
+        scale = max(1.0, np.abs(impact).max(initial=0) / IMPACT)
+        impact = np.ceil(impact / scale)
         order = np.argsort(-impact, kind="stable")
-        bound = np.zeros(n)
-        met = np.zeros(n, np.int64)
+        impact = impact[order]
+        gathered = np.zeros(n + 1)
         other = self.ids != own
         possible = np.flatnonzero(other)
-        check = max(1, len(order) // 16)
-        for done, s in enumerate(order.tolist()):
-            if done % check == 0 and done and impact[s] <= impact[order[0]] / 4 and len(possible) > self.few:
-                reach = bound + (dims - met) * impact[s]
+        per_step = max(1, len(order) // STEPS)
+        for at in range(0, len(order), per_step):
+            if at and impact[at] * 8 <= impact[0] and len(possible) > self.few:
+                met = np.rint(gathered[:n] / COUNT)
+                reach = gathered[:n] - met * COUNT + (dims - met) * impact[at]
                 lead = possible[np.argpartition(-reach[possible], min(4 * k, len(possible) - 1))[:4 * k]]
-                exact = np.sort(self.vectors[lead] @ query)
+                exact = np.sort(self._scores(lead, query))
                 if len(exact) >= k:
-                    left = np.flatnonzero(other & (reach >= exact[-k]))
+                    left = np.flatnonzero(other & (reach * scale >= exact[-k]))
                     if len(left) <= self.few:  # proof: no other vector can reach the threshold
                         possible = left
                         break
-            rows = self.members[s]
-            bound[rows] += impact[s]
-            met[rows] += 1
-        scores = self.vectors[possible] @ query
+            segments = order[at:at + per_step]
+            gathered += np.bincount(self.members[segments].ravel(), minlength=n + 1,
+                                    weights=np.repeat(impact[at:at + per_step] + COUNT, self.members.shape[1]))
+        scores = self._scores(possible, query)
         best = np.lexsort((self.ids[possible], -scores))[:k]
         return self.ids[possible][best], scores[best]
 
+    def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact whole-number scores."""
+        found = self.vectors[rows] @ query
+        if self.largest <= LIMIT and np.abs(query).max(initial=0) <= LIMIT:
+            return found
+        whole = [sum(int(a) * int(b) for a, b in zip(v, query)) for v in self.vectors[rows]]
+        return np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in whole], object)
+
 
 def quantised(vectors: DataFrame, column: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(vec_id, q): floor(scale * x) of the vectors that take part."""
@@ -131,8 +149,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, candidates_per_blo
         if len(candidates) and len(asked):
             width = max(candidates["q"].map(len).max(), asked["q"].map(len).max())
             rows, questions = padded(candidates, width), padded(asked, width)
-            if max(np.abs(rows).max(initial=0), np.abs(questions).max(initial=0)) > LIMIT:
-                raise ValueError("a component is outside the exact range")
             index = ImpactIndex(candidates["vec_id"].to_numpy(), rows)
             for own, question in zip(asked["vec_id"].to_numpy(), questions):
                 found, score = index.search(question, own, k)
@@ -140,7 +156,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, candidates_per_blo
                 ranks += found.tolist()
                 scores += score.tolist()
         return pd.DataFrame({"query_id": np.array(ids, np.int64), "vec_id": np.array(ranks, np.int64),
-                             "score": np.array(scores, np.float64).astype(np.int64)})
+                             "score": np.array([int(x) for x in scores], np.int64)})
 
     found = left.groupBy("c", "b").cogroup(right.groupBy("c", "b")).applyInPandas(
         run, "query_id long, vec_id long, score long")
