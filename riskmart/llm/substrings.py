@@ -14,8 +14,8 @@ super-k-mer and travel as one string of their words to the minimiser's bucket.
    sorted, equal ones stand together, the smallest document of each is known,
    and every row learns which of its windows start in a smaller document too.
 4. A minimiser with more than ``BUCKET`` super-k-mers is not gathered: its windows
-   become single rows keyed by a 128-bit digest of their words, counted by a
-   grouped minimum and a join, which Spark combines and splits as it needs.
+   become single rows keyed by a 128-bit digest of their words and a salt; the
+   smallest document is found per salt, then per digest, and joined back per salt.
 
 Hashes only choose where windows meet; in a bucket, windows are compared as words.
 
@@ -44,6 +44,8 @@ WINDOW = 50
 INNER = 8
 #: Super-k-mers of one minimiser that a task gathers.
 BUCKET = 4096
+#: Tasks that the windows with one digest are dealt over.
+SALTS = 16
 
 
 def super_kmers(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, inner: int = INNER):
@@ -215,10 +217,15 @@ def _large_spans(packed: DataFrame, window: int) -> DataFrame:
                 [pa.array(digest, pa.binary()), batch.column(1).take(take), batch.column(2).take(take),
                  pa.array(place, pa.int64())], ["digest", "row", "doc", "place"])
 
-    single = stored(packed.select("h", "row", "doc", "place", "words")
-                    .mapInArrow(run, "digest binary, row long, doc long, place long"), "substring-windows")
-    least = single.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    hit = single.join(least, "digest").where("least < doc")
+    digested = packed.select("h", "row", "doc", "place", "words").mapInArrow(
+        run, "digest binary, row long, doc long, place long")
+    # One exchange, read by both sides below; a digest's rows are dealt over SALTS tasks.
+    single = digested.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))).repartition("digest", "salt")
+    parts = single.groupBy("digest", "salt").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
+    least = parts.groupBy("digest").agg(F.min("a").alias("least"), F.max("b").alias("most"),
+                                        F.collect_set("salt").alias("salts")).where("least < most")
+    least = least.select("digest", "least", F.explode("salts").alias("salt"))
+    hit = single.join(least, ["digest", "salt"]).where("least < doc")
     return hit.select("row", F.col("place").alias("a"), (F.col("place") + window).alias("b"))
 
 
@@ -239,10 +246,9 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, inner: int = INNER, buck
     wanted = stored(wanted, "substring-wanted")
     texts = keyed.repartition("row")  # both text passes use this one exchange
     asked = texts.join(wanted, "row")
-    found = _bucket_spans(_packed(asked.select("row", "doc", "text", "small"), window, inner), window)
-    if shared.where("large").limit(1).count():
-        big = _packed(asked.where(F.size("big") > 0).select("row", "doc", "text", "big"), window, inner)
-        found = found.union(_large_spans(big, window))
+    listed = lambda name: asked.where(F.size(name) > 0).select("row", "doc", "text", name)
+    found = _bucket_spans(_packed(listed("small"), window, inner), window).union(
+        _large_spans(_packed(listed("big"), window, inner), window))
     cover = found.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
