@@ -7,6 +7,7 @@ from riskmart.llm.licenses import op6_licenses
 from riskmart.llm.mixing import OP7_SQL, op7_mixing
 from riskmart.llm.packing import op2_packing
 from riskmart.llm.simhash import op1_simhash
+from riskmart.llm.styletree import op3_html
 from riskmart.llm.substrings import OP8_SQL, op8_substrings
 from riskmart.llm.syncmers import op5_syncmers
 from riskmart.llm.topk import OP10_SQL, op10_topk
@@ -15,6 +16,7 @@ from riskmart.llm.toxicity import op9_toxicity
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_html": op3_html,
     "op4_langid": op4_langid,
     "op5_syncmers": op5_syncmers,
     "op6_licenses": op6_licenses,
