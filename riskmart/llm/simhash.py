@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import as_bytes, stored, table
@@ -66,17 +66,18 @@ def text_fingerprint(text: bytes, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long) of every row."""
+    """(row, doc_id, fp long) of every row; ``row`` is a hash of doc_id and text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = as_bytes(batch.column(1))
+            data, offsets = as_bytes(batch.column(2))
             raw, cuts = data.tobytes(), offsets.tolist()
             values = [text_fingerprint(raw[a:b], width) for a, b in zip(cuts, cuts[1:])]
             fps = np.array(values, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], ["row", "doc_id", "fp"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(run, "row long, doc_id long, fp long")
 
 
 def block_masks(blocks: int, radius: int) -> list[int]:
@@ -244,14 +245,26 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, group
 
 def classes(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS,
             group: int = GROUP) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp (long), component_id (smallest doc_id reachable)."""
+    """One row per row of ``docs``: row, doc_id, fp (long), root (smallest fingerprint reachable, as a long)
+    and component_id (smallest doc_id reachable)."""
     fps = stored(fingerprints(docs, width), "simhash")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(links(distinct, radius, blocks, group)).withColumnRenamed("node", "fp")
     joined = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = joined.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select("row", "doc_id", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of every class: that of the smallest doc_id (a null is larger than any),
+    by row hash among rows that share it."""
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    chosen = classes(docs, **options).groupBy("root").agg(F.min_by("row", rank).alias("row"))
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    rows = rows.join(stored(chosen.select("row"), "simhash-chosen"), "row", "left_semi")
+    first = F.row_number().over(Window.partitionBy("row").orderBy("row"))  # of fully equal rows one
+    return rows.withColumn("_n", first).where("_n = 1").select("_row.*")
 
 
 def op1_simhash(spark, sf_dir) -> DataFrame:

@@ -229,12 +229,14 @@ def _large_spans(packed: DataFrame, window: int) -> DataFrame:
     return hit.select("row", F.col("place").alias("a"), (F.col("place") + window).alias("b"))
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW, inner: int = INNER, bucket: int = BUCKET) -> DataFrame:
+def deduplicated(docs: DataFrame, window: int = WINDOW, inner: int = INNER, bucket: int = BUCKET,
+                 verbatim: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept (the kept words joined by one
-    space) and ``_row`` (the other columns, text left out)."""
+    space; ``verbatim``: the text as it is where nothing is removed) and ``_row`` (the other columns
+    without text, and ``_null``: the text was null)."""
     if not 0 < inner <= window:
         raise ValueError("a minimiser is made inside a window")
-    rest = F.struct(*[docs[c] for c in docs.columns if c not in ("doc_id", "text")], F.lit(0).alias("_")).alias("_row")
+    rest = F.struct(*[docs[c] for c in docs.columns if c not in ("doc_id", "text")], F.col("text").isNull().alias("_null")).alias("_row")
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long").alias("doc"),
                         F.col("text").cast("binary").alias("text"), rest)
     seen = stored(_minimisers(keyed, window, inner), "substring-minimisers")
@@ -265,7 +267,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, inner: int = INNER, buck
                         keep[s["a"]:s["b"]] = False
                     words = [w for w, k in zip(words, keep.tolist()) if k]
                 gone.append(total[-1] - len(words))
-                kept.append(b" ".join(words))
+                kept.append(raw[a:b] if verbatim and not gone[-1] else b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array(kept, pa.binary()).cast(pa.string()), batch.column(3)],
@@ -278,6 +280,18 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, inner: int = INNER, buck
     return joined.mapInArrow(run, schema)
 
 
+def without_repeats(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with its texts shortened (n_chars follows, where there is one); a row that loses all of its
+    words goes, one that had none stays."""
+    out = deduplicated(docs, verbatim=True, **options).where("n_removed = 0 OR n_removed < n_words")
+    text = F.when(~F.col("_row._null"), F.col("kept"))
+    value = {"doc_id": F.col("doc_id"), "text": text}
+    if "n_chars" in docs.columns:
+        value["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("_row.n_chars"))
+    return out.select(*[value.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+
+
 def op8_substrings(spark, sf_dir) -> DataFrame:
     """Every text of ``documents`` without the 50-word passages that a smaller doc_id has too."""
     out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -55,7 +55,7 @@ def test_matches_brute_force(spark, window, inner, bucket):
     out = S.deduplicated(docs(spark, rows), window, inner, bucket)
     got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in out.collect()), key=str)
     assert got == brute(rows, window)
-    assert out.select("_row.*").columns == ["lang", "n_words", "spans", "_"]
+    assert out.select("_row.*").columns == ["lang", "n_words", "spans", "_null"]
 
 
 def test_sql_agrees(spark):
