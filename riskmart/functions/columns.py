@@ -7,6 +7,8 @@ the data-quality gate instead of failing the job.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,7 +44,9 @@ def lenient_integral(c: str | Column, sql_type: str = "bigint") -> Column:
 
 
 def lenient_double(c: str | Column) -> Column:
-    return _col(c).try_cast("double")
+    """Text -> finite double; malformed text, ``NaN`` and infinities give null like other bad cells."""
+    value = _col(c).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def parse_event_date(c: str | Column, pattern: str = "yyyyMMdd") -> Column:
@@ -79,3 +83,11 @@ def risk_level(score: str | Column, null_label: str | None = None) -> Column:
     for bound, label in RISK_LEVEL_CUTOFFS:
         expr = expr.when(s >= bound, F.lit(label))
     return expr.otherwise(F.lit(RISK_LEVEL_FLOOR))
+
+
+def check_ingestion_date(value: str) -> str:
+    """A run's ingestion date must be ISO ``YYYY-MM-DD`` (fail fast otherwise)."""
+    date.fromisoformat(value)
+    if len(value) != 10:
+        raise ValueError(f"ingestion date must be YYYY-MM-DD, got {value!r}")
+    return value

@@ -1,12 +1,12 @@
 """Analysis of the Gold mart and of raw inputs (notebook computations).
 
 Frame-wide statistics (min/max for normalisation) are a one-row aggregate
-whose four values are applied as literals: no unpartitioned window, no join.
+used as scalar subqueries: no unpartitioned window, no join, no driver round trip.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.columns import RISK_LEVEL_UNKNOWN, risk_level
@@ -17,15 +17,13 @@ from riskmart.operators.gold import exact_avg, exact_sum
 W_VOLUME = 0.6
 W_CONFLICT = 0.4
 NORM_EPSILON = 1e-9
-SCORE_DIGITS = 2
-PROPOSED_DIGITS = 6   # published precision of the proposed score
 
 
 def trend(gold: DataFrame) -> DataFrame:
     """AGG-11: per day: total events, mean and max score (null days dropped)."""
     return (gold.where(F.col("DTE_EVENT").isNotNull()).groupBy("DTE_EVENT")
                 .agg(F.sum("CNT_EVENTS").alias("total_events"),
-                     exact_avg("NUM_RISK_SCORE", SCORE_DIGITS).alias("avg_score"),
+                     exact_avg("NUM_RISK_SCORE").alias("avg_score"),
                      F.max("NUM_RISK_SCORE").alias("max_score"))
                 .orderBy("DTE_EVENT"))
 
@@ -33,7 +31,7 @@ def trend(gold: DataFrame) -> DataFrame:
 def top_countries(gold: DataFrame, k: int = 15) -> DataFrame:
     """AGG-12: countries by total score (null country dropped), top k."""
     return (gold.where(F.col("NAM_COUNTRY").isNotNull()).groupBy("NAM_COUNTRY")
-                .agg(exact_sum("NUM_RISK_SCORE", SCORE_DIGITS).alias("total_score"),
+                .agg(exact_sum("NUM_RISK_SCORE").alias("total_score"),
                      F.sum("CNT_EVENTS").alias("total_events"))
                 .orderBy(F.col("total_score").desc_nulls_last(), F.col("NAM_COUNTRY").asc())
                 .limit(k))
@@ -53,60 +51,48 @@ def level_counts(gold: DataFrame) -> DataFrame:
                 .orderBy(F.col("count").desc(), F.col("RISK_LEVEL").asc()))
 
 
-def _double(v: float | None) -> Column:
-    """A double literal (None stays a typed null)."""
-    return F.lit(v).cast("double")
-
-
-def proposed_score(gold: DataFrame, w_volume: float = W_VOLUME, w_conflict: float = W_CONFLICT,
-                   materialize: bool = True) -> DataFrame:
+def proposed_score(gold: DataFrame, w_volume: float = W_VOLUME, w_conflict: float = W_CONFLICT) -> DataFrame:
     """PRJ-15..18 + AGG-14: volume/conflict composite normalised over the frame.
 
     volume   = log1p(events), conflict = max(0, -Goldstein) (null stays null);
     each is min-max normalised over the whole frame; the score is
     100 * (w_volume * volume_n + w_conflict * conflict_n).
 
-    The frame is read twice (bounds, then rows).  ``materialize`` writes it
-    once to the shared checkpoint folder so a computed mart is not rebuilt;
-    pass ``False`` when ``gold`` is already a stored table.
+    The bounds are a one-row aggregate joined as scalar subqueries would be: the
+    plan runs no job while it is built.  ``gold`` is read twice, so pass a stored mart.
     """
-    if materialize:
-        from riskmart.session import shared_dir
-        shared_dir(gold.sparkSession)
-        gold = gold.checkpoint(eager=True)
     parts = gold.select(
         "*",
         F.log1p(F.coalesce(F.col("CNT_EVENTS"), F.lit(0)).cast("double")).alias("_vol"),
         F.when(F.col("NUM_GOLDSTEIN_AVG").isNotNull(),
                F.greatest(-F.col("NUM_GOLDSTEIN_AVG"), F.lit(0.0))).alias("_conf"),
     )
-    # four scalars from a one-row aggregate (no join back to the frame)
-    b = parts.agg(F.min("_vol").alias("vmin"), F.max("_vol").alias("vmax"),
-                  F.min("_conf").alias("cmin"), F.max("_conf").alias("cmax")).first()
-    vol_n = (F.col("_vol") - _double(b["vmin"])) / (_double(b["vmax"]) - _double(b["vmin"]) + NORM_EPSILON)
-    conf_n = (F.col("_conf") - _double(b["cmin"])) / (_double(b["cmax"]) - _double(b["cmin"]) + NORM_EPSILON)
+    bounds = parts.agg(F.min("_vol").alias("vmin"), F.max("_vol").alias("vmax"),
+                       F.min("_conf").alias("cmin"), F.max("_conf").alias("cmax"))
+    bound = {c: bounds.select(c).scalar() for c in bounds.columns}
+    vol_n = (F.col("_vol") - bound["vmin"]) / (bound["vmax"] - bound["vmin"] + NORM_EPSILON)
+    conf_n = (F.col("_conf") - bound["cmin"]) / (bound["cmax"] - bound["cmin"] + NORM_EPSILON)
     return parts.select(
         "DTE_EVENT", "NAM_COUNTRY", "NAM_CITY", "CNT_EVENTS", "NUM_GOLDSTEIN_AVG", "NUM_RISK_SCORE",
-        F.round(vol_n, PROPOSED_DIGITS).alias("VOL_NORM"),
-        F.round(conf_n, PROPOSED_DIGITS).alias("CONF_NORM"),
-        F.round(100 * (w_volume * vol_n + w_conflict * conf_n), PROPOSED_DIGITS).alias("RISK_SCORE_PROPOSED"),
+        vol_n.alias("VOL_NORM"), conf_n.alias("CONF_NORM"),
+        (100 * (w_volume * vol_n + w_conflict * conf_n)).alias("RISK_SCORE_PROPOSED"),
     )
 
 
-def score_correlation(gold: DataFrame, digits: int = 9) -> DataFrame:
+def score_correlation(gold: DataFrame) -> DataFrame:
     """AGG-13: Pearson correlation of current vs proposed score (null pairs skipped)."""
     p = proposed_score(gold)
-    return p.agg(F.round(F.corr("NUM_RISK_SCORE", "RISK_SCORE_PROPOSED"), digits).alias("corr"),
+    return p.agg(F.corr("NUM_RISK_SCORE", "RISK_SCORE_PROPOSED").alias("corr"),
                  F.count(F.when(F.col("NUM_RISK_SCORE").isNotNull() & F.col("RISK_SCORE_PROPOSED").isNotNull(),
                                 F.lit(1))).alias("pairs"))
 
 
-def null_counts(df: DataFrame) -> DataFrame:
-    """AGG-16/18: nulls per column and the row count, one pass, most nulls first."""
+def null_counts(df: DataFrame, dataset: str) -> DataFrame:
+    """AGG-16/18: nulls per column and the row count of one input, one pass, most nulls first."""
     counts = df.agg(F.count(F.lit(1)).alias("_rows"),
                     *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
     long = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_count"))
                                for i, c in enumerate(df.columns)]))
     return (counts.select(long.alias("x"), F.col("_rows").alias("total_rows"))
-                  .select("x.column_name", "x.null_count", "total_rows")
+                  .select(F.lit(dataset).alias("dataset"), "x.column_name", "x.null_count", "total_rows")
                   .orderBy(F.col("null_count").desc(), F.col("column_name").asc()))

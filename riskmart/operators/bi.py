@@ -4,7 +4,7 @@ Each function takes a Gold DataFrame and returns a lazy DataFrame.  Every
 ``limit`` carries a full tie-break on the grain columns with explicit null
 ordering, so results are reproducible; ``orderBy().limit(k)`` plans as a
 per-partition top-k followed by a k-row merge (TakeOrderedAndProject).
-Sums of scores are exact (see ``gold.exact_sum``).
+Sums of scores do not depend on row order (see ``gold.exact_sum``).
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from riskmart.functions.columns import risk_level
 from riskmart.operators.gold import exact_avg, exact_sum
 
-SCORE_DIGITS = 2
 CRITICAL_SCORE = 75.0
 DEMO_SCORE = 60.0
 
@@ -43,7 +42,7 @@ def demo(gold: DataFrame, threshold: float = DEMO_SCORE, k: int = 25) -> DataFra
 def country_avg(gold: DataFrame) -> DataFrame:
     """AGG-2."""
     return (gold.groupBy("NAM_COUNTRY")
-                .agg(exact_avg("NUM_RISK_SCORE", SCORE_DIGITS).alias("avg_risk_score"))
+                .agg(exact_avg("NUM_RISK_SCORE").alias("avg_risk_score"))
                 .orderBy(F.col("avg_risk_score").desc_nulls_last(), F.col("NAM_COUNTRY").asc_nulls_first()))
 
 
@@ -71,7 +70,7 @@ def events_per_day(gold: DataFrame) -> DataFrame:
 def time_evolution(gold: DataFrame) -> DataFrame:
     """AGG-5."""
     return (gold.groupBy("DTE_EVENT")
-                .agg(exact_avg("NUM_RISK_SCORE", SCORE_DIGITS).alias("avg_risk_score"),
+                .agg(exact_avg("NUM_RISK_SCORE").alias("avg_risk_score"),
                      F.max("NUM_RISK_SCORE").alias("max_risk_score"))
                 .orderBy(F.col("DTE_EVENT").asc_nulls_first()))
 
@@ -80,7 +79,7 @@ def top_hotspots(gold: DataFrame, k: int = 10) -> DataFrame:
     """AGG-6 / PRJ-12: location = 'city, country' (null city -> null location)."""
     location = F.concat(F.col("NAM_CITY"), F.lit(", "), F.col("NAM_COUNTRY"))
     return (gold.groupBy(location.alias("location"))
-                .agg(exact_sum("NUM_RISK_SCORE", SCORE_DIGITS).alias("total_risk"))
+                .agg(exact_sum("NUM_RISK_SCORE").alias("total_risk"))
                 .orderBy(F.col("total_risk").desc_nulls_last(), F.col("location").asc_nulls_first())
                 .limit(k))
 
@@ -88,7 +87,7 @@ def top_hotspots(gold: DataFrame, k: int = 10) -> DataFrame:
 def top_cities(gold: DataFrame, k: int = 20) -> DataFrame:
     """AGG-7."""
     return (gold.groupBy("NAM_COUNTRY", "NAM_CITY")
-                .agg(exact_sum("NUM_RISK_SCORE", SCORE_DIGITS).alias("total_risk_score"),
+                .agg(exact_sum("NUM_RISK_SCORE").alias("total_risk_score"),
                      F.sum("CNT_EVENTS").alias("total_events"))
                 .orderBy(F.col("total_risk_score").desc_nulls_last(), F.col("NAM_COUNTRY").asc_nulls_first(),
                          F.col("NAM_CITY").asc_nulls_first())
@@ -98,7 +97,7 @@ def top_cities(gold: DataFrame, k: int = 20) -> DataFrame:
 def country_total(gold: DataFrame, k: int = 20) -> DataFrame:
     """AGG-8."""
     return (gold.groupBy("NAM_COUNTRY")
-                .agg(exact_sum("NUM_RISK_SCORE", SCORE_DIGITS).alias("total_risk_score"),
+                .agg(exact_sum("NUM_RISK_SCORE").alias("total_risk_score"),
                      F.sum("CNT_EVENTS").alias("total_events"))
                 .orderBy(F.col("total_risk_score").desc_nulls_last(), F.col("NAM_COUNTRY").asc_nulls_first())
                 .limit(k))
@@ -114,7 +113,7 @@ def country_by_day(gold: DataFrame, day: str, k: int = 20) -> DataFrame:
     """FLT-4 / AGG-10: one event date (partition-pruned on a stored mart)."""
     return (gold.where(F.col("DTE_EVENT") == F.lit(day).cast("date"))
                 .groupBy("NAM_COUNTRY")
-                .agg(exact_sum("NUM_RISK_SCORE", SCORE_DIGITS).alias("total_score"))
+                .agg(exact_sum("NUM_RISK_SCORE").alias("total_score"))
                 .orderBy(F.col("total_score").desc_nulls_last(), F.col("NAM_COUNTRY").asc_nulls_first())
                 .limit(k))
 
@@ -134,10 +133,10 @@ def dashboard_table(gold: DataFrame) -> DataFrame:
     return (with_risk_level(gold)
             .groupBy("DTE_EVENT", "NAM_COUNTRY", "NAM_CITY", "RISK_LEVEL")
             .agg(F.sum("CNT_EVENTS").alias("CNT_EVENTS"),
-                 exact_avg("NUM_RISK_SCORE", SCORE_DIGITS).alias("NUM_RISK_SCORE"),
+                 exact_avg("NUM_RISK_SCORE").alias("NUM_RISK_SCORE"),
                  exact_avg("NUM_GOLDSTEIN_AVG").alias("NUM_GOLDSTEIN_AVG")))
 
 
 def heatmap(gold: DataFrame) -> DataFrame:
     """AGG-20: map weight = summed score per city."""
-    return gold.groupBy("NAM_CITY").agg(exact_sum("NUM_RISK_SCORE", SCORE_DIGITS).alias("weight"))
+    return gold.groupBy("NAM_CITY").agg(exact_sum("NUM_RISK_SCORE").alias("weight"))

@@ -3,12 +3,12 @@
 One hash aggregation with partial (map-side) combine, so a hot group costs one
 buffer row per map task, not one task.
 
-Sums are accumulated exactly as 64-bit integers in units of 10^-d (inputs
-carry at most d decimals: weights x multipliers 4, Goldstein 2, scores 2) and
-converted back to double once per group.  Unlike a double sum the result does
-not depend on row order, so re-runs, other engines and the SQL oracle agree to
-the last bit, and the aggregation buffer stays fixed-width (fast hash
-aggregate, no decimal arithmetic per row).
+Sums are the same for every row order where the values allow it: a value is
+split into whole units of 10^-6 (summed as 64-bit integers, which is exact) and
+the rest (summed as a double, and exactly 0 for values of up to six decimals).
+Nothing is cut: smaller values live in the rest, values of 10^9 and more are
+all rest, and should the integer sum overflow, the units are summed as doubles.
+The buffers are fixed-width, so the aggregate stays a hash aggregate.
 """
 
 from __future__ import annotations
@@ -17,27 +17,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GROUP_KEYS = ["ingestion_date", "event_date", "country", "city"]
-WEIGHT_DIGITS = 6       # risk_weight_adj: 4 decimals in practice
-MEASURE_DIGITS = 6      # Goldstein and averages of averages
+UNITS = 1e6
+ALL_REST = 1e9
 
 
-def exact_sum(c: str | Column, digits: int = MEASURE_DIGITS) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    units = F.rint(col * float(10 ** digits)).cast("bigint")
-    return F.sum(units).cast("double") / float(10 ** digits)
+def exact_sum(c: str | Column) -> Column:
+    """Sum of the non-null values (null when there are none), as described above."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    units = F.when(F.abs(x) < ALL_REST, F.rint(x * UNITS)).when(x.isNotNull(), F.lit(0.0))
+    whole = F.coalesce(F.try_sum(units.cast("bigint")).cast("double"), F.sum(units)) / UNITS
+    return whole + F.sum(x - units / UNITS)
 
 
-def exact_avg(c: str | Column, digits: int = MEASURE_DIGITS) -> Column:
+def exact_avg(c: str | Column) -> Column:
     """Mean of the non-null values (null when there are none)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_divide(exact_sum(col, digits), F.count(col))
+    return F.try_divide(exact_sum(col), F.count(col))
 
 
 def gold(silver: DataFrame) -> DataFrame:
     """PIP-3 / AGG-1 + PRJ-9..11."""
     agg = silver.groupBy(*GROUP_KEYS).agg(
         F.count(F.lit(1)).alias("CNT_EVENTS"),
-        exact_sum("risk_weight_adj", WEIGHT_DIGITS).alias("_w"),
+        exact_sum("risk_weight_adj").alias("_w"),
         exact_avg("goldstein_scale").alias("NUM_GOLDSTEIN_AVG"),
     )
     return agg.select(

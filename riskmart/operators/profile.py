@@ -1,39 +1,43 @@
 """Column profile (count, unique, top, freq, mean, std, min, quartiles, max).
 
-Exact and distributed; nothing is gathered into one task:
-
-1. One scan turns the profiled columns into (column, value) pairs and counts
-   each distinct pair (partial aggregation first, so a value held by a third
-   of the rows is one buffer row per map task).
-2. Everything else is computed from that value-count table:
-   count / unique / top / freq / min / max / mean are aggregates per column;
-   the sample standard deviation uses the mean joined back (one row per column).
-3. Exact quartiles need each value's rank.  The value-count table is range
-   partitioned by (column, value); per-partition totals (a few rows per
-   partition) give each partition's starting rank, and a running sum inside
-   each partition completes the rank.  The values at the two ranks around
-   (n - 1) * q are then picked with a broadcast of the (column, quantile)
-   targets and interpolated linearly (the usual "linear" percentile).
-
-``approximate=True`` takes the quartiles from ``percentile_approx`` instead:
-each task keeps one fixed-size quantile sketch per column and the sketches
-are merged, so the cost no longer depends on how many distinct values a
-column has (rank error about n / accuracy).  The other statistics stay exact.
+Exact and distributed; nothing unbounded is gathered into one task:
+
+1. count, mean, standard deviation, min and max of all columns are one
+   two-phase aggregate over the rows.
+2. ``unique``, ``top``, ``freq`` and the quartiles come from the table of
+   distinct (column, value) counts (partial aggregation first, so a value held
+   by a third of the rows is one buffer row per map task), written once to the
+   shared folder.
+3. A quartile is the value at a rank.  Its bracket starts as the whole column;
+   a round picks cut values inside every bracket, counts the rows between them
+   and keeps the part that holds the rank, until few distinct values are left
+   to be ranked.  Parts are told apart by value alone, so results do not depend
+   on partitioning, and a round brings (columns x quartiles x cuts) numbers to
+   the driver, whatever the size of the data.
+
+``approximate=True`` takes the quartiles from ``percentile_approx`` instead
+(mergeable sketches, rank error about n / accuracy).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.operators.gold import exact_avg
+from riskmart.session import new_work_dir
+
 QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 APPROX_ACCURACY = 10_000
-STAT_DIGITS = 6
-MEASURE_DIGITS = 6
+#: Cut values of a bracket in one round, and distinct values few enough to be ranked.
+CUTS = 64
+FEW = 2_000
+
+COLUMNS = ["column_name", "count", "unique", "top", "freq", "mean", "std", "min", *QUANTILES, "max"]
 
 
 def value_counts(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """(column, num, txt, n): distinct non-null values per profiled column."""
+    """(column_name, num, txt, n): distinct non-null values per profiled column."""
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("num"),
                       F.lit(None).cast("string").alias("txt")) for c in numeric]
     pairs += [F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("double").alias("num"),
@@ -43,55 +47,73 @@ def value_counts(df: DataFrame, numeric: list[str], categorical: list[str]) -> D
                 .groupBy("column_name", "num", "txt").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _ranked(vc: DataFrame, partitions: int) -> DataFrame:
-    """Add ``rank_lo`` (0-based rank of the first row holding the value)."""
-    ranged = (vc.where(F.col("num").isNotNull())
-                .repartitionByRange(partitions, "column_name", "num")
-                .withColumn("_part", F.spark_partition_id()))
-    part_tot = ranged.groupBy("column_name", "_part").agg(F.sum("n").alias("_pn"))
-    offsets = part_tot.withColumn(
-        "_start", F.coalesce(F.sum("_pn").over(
-            Window.partitionBy("column_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = Window.partitionBy("column_name", "_part").orderBy("num").rowsBetween(Window.unboundedPreceding, -1)
-    # broadcast size: (profiled columns) x (range partitions) rows, fixed by the caller, not by the data
-    return (ranged.join(F.broadcast(offsets.select("column_name", "_part", "_start")), ["column_name", "_part"])
-                  .withColumn("rank_lo", F.col("_start") + F.coalesce(F.sum("n").over(within), F.lit(0))))
-
-
-def exact_quantiles(vc: DataFrame, partitions: int | None = None) -> DataFrame:
-    """(column, p25, p50, p75) from a value-count table.
-
-    ``partitions`` (default: the session's shuffle partitions) sets how many
-    range partitions the distinct values are spread over; each running-rank
-    window sees one of them.
-    """
-    if partitions is None:
-        partitions = int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    totals = vc.where(F.col("num").isNotNull()).groupBy("column_name").agg(F.sum("n").alias("N"))
-    targets = totals.select("column_name", "N", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("q_name"), F.lit(q).alias("q")) for k, q in QUANTILES.items()])).alias("t"))
-    targets = targets.select(
-        "column_name", "t.q_name", ((F.col("N") - 1) * F.col("t.q")).alias("h")
-    ).select("column_name", "q_name", "h", F.floor("h").alias("lo"), F.ceil("h").alias("hi"))
-    ranked = _ranked(vc, partitions)
-    # each target rank falls in exactly one value's [rank_lo, rank_lo + n) range
-    # broadcast size: (numeric columns) x (3 quartiles) rows
-    hit = (ranked.join(F.broadcast(targets), "column_name")
-                 .where(((F.col("lo") >= F.col("rank_lo")) & (F.col("lo") < F.col("rank_lo") + F.col("n")))
-                        | ((F.col("hi") >= F.col("rank_lo")) & (F.col("hi") < F.col("rank_lo") + F.col("n")))))
-    picked = hit.groupBy("column_name", "q_name", "h", "lo").agg(
-        F.max(F.when((F.col("lo") >= F.col("rank_lo")) & (F.col("lo") < F.col("rank_lo") + F.col("n")),
-                     F.col("num"))).alias("v_lo"),
-        F.max(F.when((F.col("hi") >= F.col("rank_lo")) & (F.col("hi") < F.col("rank_lo") + F.col("n")),
-                     F.col("num"))).alias("v_hi"))
-    value = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo"))
-    return (picked.groupBy("column_name")
-                  .pivot("q_name", list(QUANTILES))
-                  .agg(F.first(F.round(value, STAT_DIGITS))))
+def _brackets(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    schema = "column_name string, q string, lo double, hi double, cuts array<double>"
+    return spark.createDataFrame(rows, schema)
+
+
+def exact_quantiles(vc: DataFrame, cuts: int = CUTS, few: int = FEW) -> dict[str, dict[str, float]]:
+    """{column: {p25, p50, p75}} by linear interpolation between neighbouring ranks."""
+    spark = vc.sparkSession
+    nums = vc.where(F.col("num").isNotNull()).select("column_name", "num", "n")
+    # (column, rank) -> [lo, hi, rows below lo, distinct values inside]; ranks of all quartiles of a column
+    totals = nums.groupBy("column_name").agg(F.sum("n"), F.count(F.lit(1)), F.min("num"), F.max("num")).collect()
+    wanted = {(c, r): [lo, hi, 0, distinct] for c, n, distinct, lo, hi in totals
+              for q in QUANTILES.values() for r in {int((n - 1) * q), -int(-(n - 1) * q // 1)}}
+    found: dict[tuple, float] = {}
+
+    def inside(rows: list[tuple]) -> DataFrame:
+        # At most 6 brackets a column with ``cuts`` values each.
+        b = F.broadcast(_brackets(spark, rows))
+        return nums.join(b, "column_name").where((F.col("num") >= F.col("lo")) & (F.col("num") <= F.col("hi")))
+
+    while wanted:
+        small = {k: v for k, v in wanted.items() if v[3] <= few}
+        large = {k: v for k, v in wanted.items() if v[3] > few}
+        if small:
+            rows = [(c, str(r), lo, hi, []) for (c, r), (lo, hi, _, _) in small.items()]
+            ranked = inside(rows).groupBy("column_name", "q").agg(F.array_sort(F.collect_list(F.struct("num", "n"))).alias("v"))
+            # the value at which the running count passes the rank; at most ``few`` values a group
+            start = spark.createDataFrame([(c, str(r), r - v[2]) for (c, r), v in small.items()],
+                                          "column_name string, q string, left long")
+            run = F.aggregate("v", F.struct(F.col("left").alias("left"), F.lit(None).cast("double").alias("hit")),
+                              lambda acc, x: F.struct((acc["left"] - x["n"]).alias("left"),
+                                                      F.when((acc["left"] >= 0) & (acc["left"] < x["n"]), x["num"])
+                                                      .otherwise(acc["hit"]).alias("hit")))
+            for c, r, hit in ranked.join(F.broadcast(start), ["column_name", "q"]).select(
+                    "column_name", "q", run["hit"]).collect():
+                found[c, int(r)] = hit
+        if large:
+            rows = [(c, str(r), lo, hi, []) for (c, r), (lo, hi, _, _) in large.items()]
+            at = [i / cuts for i in range(1, cuts)]
+            picked = inside(rows).groupBy("column_name", "q").agg(F.percentile_approx("num", at, 20 * cuts).alias("cuts"))
+            cut = {(c, int(r)): sorted(set(v)) for c, r, v in picked.collect()}
+            rows = [(c, str(r), lo, hi, cut[c, r]) for (c, r), (lo, hi, _, _) in large.items()]
+            part = F.size(F.filter("cuts", lambda x: x < F.col("num")))
+            counted = inside(rows).groupBy("column_name", "q", part.alias("part")).agg(
+                F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct"), F.min("num").alias("lo"), F.max("num").alias("hi"))
+            parts: dict[tuple, list] = {}
+            for c, r, p, n, distinct, lo, hi in counted.collect():
+                parts.setdefault((c, int(r)), []).append((p, n, distinct, lo, hi))
+            for k, v in large.items():
+                below = v[2]
+                for _, n, distinct, lo, hi in sorted(parts[k]):
+                    if below <= k[1] < below + n:
+                        wanted[k] = [lo, hi, below, distinct]
+                        break
+                    below += n
+        wanted = {k: v for k, v in wanted.items() if k not in found}
+    out: dict[str, dict[str, float]] = {}
+    for c, n, *_ in totals:
+        for name, q in QUANTILES.items():
+            h = (n - 1) * q
+            lo, hi = found[c, int(h)], found[c, -int(-h // 1)]
+            out.setdefault(c, {})[name] = lo + (hi - lo) * (h - int(h))
+    return out
 
 
 def approx_quantiles(df: DataFrame, numeric: list[str], accuracy: int = APPROX_ACCURACY) -> DataFrame:
-    """(column, p25, p50, p75) from mergeable sketches (values of the data, not interpolated)."""
+    """(column_name, p25, p50, p75) from mergeable sketches (values of the data, not interpolated)."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("num")) for c in numeric])).alias("p"))
     q = (long.select("p.*").where(F.col("num").isNotNull())
@@ -100,44 +122,41 @@ def approx_quantiles(df: DataFrame, numeric: list[str], accuracy: int = APPROX_A
     return q.select("column_name", *[F.col("_q")[i].alias(k) for i, k in enumerate(QUANTILES)])
 
 
-def describe(df: DataFrame, numeric: list[str], categorical: list[str], partitions: int | None = None,
-             approximate: bool = False, accuracy: int = APPROX_ACCURACY) -> DataFrame:
+def _measures(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """count, mean, std, min, max of every column: one aggregate, one row a column."""
+    wide = df.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(c).alias("count"), exact_avg(c).alias("mean"),
+                             F.stddev_samp(F.col(c).cast("double")).alias("std"),
+                             F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max"))
+                    .alias(f"m{i}") for i, c in enumerate(numeric)],
+                  *[F.struct(F.lit(c).alias("column_name"), F.count(c).alias("count"),
+                             *[F.lit(None).cast("double").alias(x) for x in ("mean", "std", "min", "max")]).alias(f"t{i}")
+                    for i, c in enumerate(categorical)])
+    return wide.select(F.explode(F.array(*wide.columns)).alias("m")).select("m.*")
+
+
+def describe(df: DataFrame, numeric: list[str], categorical: list[str], approximate: bool = False,
+             accuracy: int = APPROX_ACCURACY, cuts: int = CUTS, few: int = FEW) -> DataFrame:
     """AGG-17: one row per profiled column.
 
     Numeric columns get count, unique, mean, std (sample), min, quartiles, max;
     text columns get count, unique, top (most frequent, smallest on ties) and
-    freq.
+    freq.  A column without values has count and unique 0 and nulls.
     """
-    from riskmart.session import shared_dir
-    shared_dir(df.sparkSession)            # checkpoint folder (shared storage)
-    # The value-count table feeds three aggregates: materialise it once in
-    # the shared checkpoint folder instead of rescanning the input.
-    vc = value_counts(df, numeric, categorical).checkpoint(eager=True)
-    scale = float(10 ** MEASURE_DIGITS)
-    # fixed-width buffers only, so this stays a hash aggregate (no sort of vc)
-    base = vc.groupBy("column_name").agg(
-        F.sum("n").cast("bigint").alias("count"),
-        F.count(F.lit(1)).alias("unique"),
-        (F.sum(F.rint(F.col("num") * scale).cast("bigint") * F.col("n")).cast("double") / scale).alias("_sum"),
-        F.min("num").alias("min"),
-        F.max("num").alias("max"),
-    ).withColumn("mean", F.try_divide(F.col("_sum"), F.when(F.col("min").isNotNull(), F.col("count"))))
-    # top / freq: highest count per text column, then the smallest value with it
+    spark = df.sparkSession
+    path = new_work_dir(spark, "value-counts")
+    value_counts(df, numeric, categorical).write.parquet(path)
+    vc = spark.read.parquet(path)
+    unique = vc.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique"))
     text = vc.where(F.col("txt").isNotNull())
     freq = text.groupBy("column_name").agg(F.max("n").alias("freq"))
-    # broadcast sizes below: one row per profiled column
-    top = (text.join(F.broadcast(freq), "column_name").where(F.col("n") == F.col("freq"))
+    top = (text.join(freq, "column_name").where(F.col("n") == F.col("freq"))
                .groupBy("column_name", "freq").agg(F.min("txt").alias("top")))
-    spread = (vc.where(F.col("num").isNotNull())
-                .join(F.broadcast(base.select("column_name", "mean", "count")), "column_name")
-                .groupBy("column_name")
-                .agg(F.sqrt(F.try_divide(F.sum(F.col("n") * (F.col("num") - F.col("mean")) ** 2),
-                                         F.max("count") - 1)).alias("std")))
-    quart = approx_quantiles(df, numeric, accuracy) if approximate else exact_quantiles(vc, partitions)
-    return (base.join(top, "column_name", "left").join(spread, "column_name", "left")
-                .join(quart, "column_name", "left")
-                .select("column_name", "count", "unique", "top", "freq",
-                        F.round("mean", STAT_DIGITS).alias("mean"), F.round("std", STAT_DIGITS).alias("std"),
-                        "min", *QUANTILES, "max"))
-
-
+    if approximate:
+        quart = approx_quantiles(df, numeric, accuracy)
+    else:
+        rows = [(c, *[v[k] for k in QUANTILES]) for c, v in exact_quantiles(vc, cuts, few).items()]
+        quart = spark.createDataFrame(rows, "column_name string, " + ", ".join(f"{k} double" for k in QUANTILES))
+    return (_measures(df, numeric, categorical)
+            .join(unique, "column_name", "left").join(top, "column_name", "left").join(quart, "column_name", "left")
+            .withColumn("unique", F.coalesce("unique", F.lit(0)))
+            .select(*COLUMNS))

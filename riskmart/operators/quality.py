@@ -96,6 +96,22 @@ def evaluate(df: DataFrame, layer: str, rules: list[Rule]) -> DataFrame:
         F.lit(layer).alias("layer"), "r.rule", "r.severity", "r.violations", F.col("_total").alias("total"))
 
 
+#: What must hold before a write, layer by layer: the columns the tables declare as never null.
+BEFORE_WRITE = {"silver": [not_null(c) for c in ("globaleventid", "event_date", "country", "ingestion_date")],
+                "gold": [not_null(c) for c in ("CNT_EVENTS", "DTE_EVENT", "NAM_COUNTRY", "DTE_INGESTION")]}
+
+
+class ContractError(ValueError):
+    """Rows about to be written break a contract."""
+
+
+def require(df: DataFrame, layer: str) -> None:
+    """DQ-8: raise if a row breaks one of the layer's rules for a write (one aggregate, one row back)."""
+    broken = evaluate(df, layer, BEFORE_WRITE[layer]).where("violations > 0").collect()
+    if broken:
+        raise ContractError("; ".join(f"{r.layer}.{r.rule}: {r.violations} of {r.total} rows" for r in broken))
+
+
 def primary_key_check(df: DataFrame, keys: list[str], stage: str) -> DataFrame:
     """DQ-6: rows, distinct keys, keys seen more than once and surplus rows.
 
@@ -112,14 +128,15 @@ def primary_key_check(df: DataFrame, keys: list[str], stage: str) -> DataFrame:
 
 
 def schema_conformance(df: DataFrame, layer: str, expected: T.StructType, required: list[str]) -> DataFrame:
-    """DQ-1/5: per contract column: present, expected vs actual type, and how
-    many rows hold a value (one aggregate pass over the data)."""
+    """DQ-1/5: per contract column: required, present, expected vs actual type, and
+    how many rows hold a value (one aggregate pass over the data)."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    cols = [f for f in expected.fields if f.name in required]
+    cols = expected.fields
     filled = df.agg(*[(F.count(f.name) if f.name in actual else F.lit(None).cast("bigint")).alias(f"_n{i}")
                       for i, f in enumerate(cols)])
     rows = F.explode(F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("expected_type"),
+        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.name in required).alias("required"),
+                 F.lit(f.dataType.simpleString()).alias("expected_type"),
                  F.lit(actual.get(f.name)).cast("string").alias("actual_type"),
                  F.lit(f.name in actual).alias("present"),
                  F.lit(actual.get(f.name) == f.dataType.simpleString()).alias("type_ok"),
@@ -185,16 +202,14 @@ def reject_accounting(raw: DataFrame, ingestion_date: str | None, ingestion_ts:
 
 
 # --- Bronze metadata (SNK-9) ------------------------------------------------------------
-def bronze_metadata(events: DataFrame, source_system: str = "gdelt", ingestion_ts: Column | None = None) -> DataFrame:
-    """Ingestion metadata next to each Bronze row: file name, day, system, time."""
-    return events.select(
-        "*",
-        F.col("_metadata.file_name").alias("source_file"),
-        F.lit(source_system).alias("source_system"),
-        (ingestion_ts if ingestion_ts is not None
-         else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("ingestion_ts"),
-    )
+def bronze_metadata(landing: DataFrame, ingestion_ts: str, source_system: str = "gdelt") -> DataFrame:
+    """One row per delivered file: its name and day as landed, the source system, the
+    run's UTC time and the number of rows.  ``landing`` is a scan of the delivered files."""
+    return (landing.select("ingestion_date", F.col("_metadata.file_name").alias("source_file"))
+            .groupBy("ingestion_date", "source_file").agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(ingestion_ts).alias("ingestion_ts"), "ingestion_date", "source_file",
+                    F.lit(source_system).alias("source_system"), "rows"))
 
 
-LAYER_SCHEMAS = {"silver": (S.SILVER, SILVER_REQUIRED), "gold": (S.GOLD, GOLD_REQUIRED),
-                 "reference": (S.REFERENCE_TYPED, REFERENCE_REQUIRED)}
+LAYER_SCHEMAS = {"bronze": (S.BRONZE_METADATA, BRONZE_METADATA), "silver": (S.SILVER, SILVER_REQUIRED),
+                 "gold": (S.GOLD, GOLD_REQUIRED), "reference": (S.REFERENCE_TYPED, REFERENCE_REQUIRED)}

@@ -10,18 +10,17 @@ Split into three steps so the same code serves batch and streaming:
                  *before* the shuffle, so a key duplicated in a third of all
                  rows ships at most one row per map task.
 * ``enrich``   – conflict weight and the country multiplier (left join against
-                 a size-checked broadcast of the reference).
+                 the reference; Spark picks the join from run-time sizes).
 """
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart import schemas as S
 from riskmart.functions.columns import (
+    check_ingestion_date,
     city_of,
     country_of,
     lenient_double,
@@ -29,7 +28,6 @@ from riskmart.functions.columns import (
     parse_event_date,
     risk_weight,
 )
-from riskmart.operators.joins import bounded_broadcast
 
 TYPED_COLUMNS = ["globaleventid", "event_date", "quadclass", "goldstein_scale", "actiongeo_fullname",
                  "actiongeo_countrycode", "actiongeo_adm1code", "actiongeo_lat", "actiongeo_long"]
@@ -61,14 +59,6 @@ def typed_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def check_ingestion_date(value: str) -> str:
-    """A run's ingestion date must be ISO ``YYYY-MM-DD`` (fail fast otherwise)."""
-    date.fromisoformat(value)
-    if len(value) != 10:
-        raise ValueError(f"ingestion date must be YYYY-MM-DD, got {value!r}")
-    return value
-
-
 def with_derived(typed: DataFrame, ingestion_date: str | None, ingestion_ts: str) -> DataFrame:
     """PRJ-3/4/5: country, city and lineage columns.
 
@@ -130,16 +120,14 @@ def reference_dimension(ref_raw: DataFrame) -> DataFrame:
     return dedup_reference(prepare_reference(ref_raw).where(F.length("country") == 2))
 
 
-def enrich(events: DataFrame, ref_dim: DataFrame, broadcast_checked: bool = True,
-           ref_raw: DataFrame | None = None) -> DataFrame:
+def enrich(events: DataFrame, ref_dim: DataFrame) -> DataFrame:
     """PRJ-6/7 + JON-1: weight, left join on country, adjusted weight.
 
-    The reference is broadcast after a size check; ``ref_raw`` (the delivery
-    ``ref_dim`` was derived from by filtering and dedup, so never smaller) is
-    the cheaper frame to count.
+    No hint: adaptive execution broadcasts the reference when its size at run
+    time is below the session's threshold, and shuffles (splitting skewed
+    countries) when it is not.
     """
-    dim = bounded_broadcast(ref_dim, upper_bound_of=ref_raw) if broadcast_checked else ref_dim
-    joined = events.join(dim, on="country", how="left")
+    joined = events.join(ref_dim, on="country", how="left")
     return joined.select(
         "globaleventid", "event_date", "quadclass", "goldstein_scale", "actiongeo_fullname",
         "actiongeo_countrycode", "actiongeo_adm1code", "actiongeo_lat", "actiongeo_long",
@@ -152,5 +140,4 @@ def enrich(events: DataFrame, ref_dim: DataFrame, broadcast_checked: bool = True
 
 def silver(raw: DataFrame, ref_raw: DataFrame, ingestion_date: str | None, ingestion_ts: str) -> DataFrame:
     """PIP-2: the whole Silver transformation as one lazy plan."""
-    return enrich(dedup_events(prepare(raw, ingestion_date, ingestion_ts)), reference_dimension(ref_raw),
-                  ref_raw=ref_raw)
+    return enrich(dedup_events(prepare(raw, ingestion_date, ingestion_ts)), reference_dimension(ref_raw))

@@ -8,6 +8,7 @@ their input below the session's shared folder first and read it back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,11 @@ def gold_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold(silver_df(spark, sf_dir))
 
 
+def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Round results whose last bits depend on the order of additions, for the comparison with SQL only."""
+    return df.withColumns({c: F.round(c, digits) + 0.0 for c in columns})
+
+
 GOLD_ORDER = "DTE_EVENT ASC NULLS FIRST, NAM_COUNTRY ASC NULLS FIRST, NAM_CITY ASC NULLS FIRST, DTE_INGESTION ASC NULLS FIRST"
 
 
@@ -110,7 +116,7 @@ register("bi_demo", O.q(
     lambda spark, sf: bi.demo(gold_df(spark, sf)))
 
 register("bi_country_avg", O.q(
-    f"SELECT NAM_COUNTRY, {O.units_avg('NUM_RISK_SCORE', 2)} AS avg_risk_score FROM gold GROUP BY NAM_COUNTRY "
+    f"SELECT NAM_COUNTRY, {O.exact_avg('NUM_RISK_SCORE')} AS avg_risk_score FROM gold GROUP BY NAM_COUNTRY "
     "ORDER BY avg_risk_score DESC NULLS LAST, NAM_COUNTRY ASC NULLS FIRST"))(
     lambda spark, sf: bi.country_avg(gold_df(spark, sf)))
 
@@ -125,23 +131,23 @@ register("bi_events_per_day", O.q(
     lambda spark, sf: bi.events_per_day(gold_df(spark, sf)))
 
 register("bi_time_evolution", O.q(
-    f"SELECT DTE_EVENT, {O.units_avg('NUM_RISK_SCORE', 2)} AS avg_risk_score, MAX(NUM_RISK_SCORE) AS max_risk_score "
+    f"SELECT DTE_EVENT, {O.exact_avg('NUM_RISK_SCORE')} AS avg_risk_score, MAX(NUM_RISK_SCORE) AS max_risk_score "
     "FROM gold GROUP BY DTE_EVENT ORDER BY DTE_EVENT ASC NULLS FIRST"))(
     lambda spark, sf: bi.time_evolution(gold_df(spark, sf)))
 
 register("bi_top_hotspots", O.q(
-    f"SELECT NAM_CITY || ', ' || NAM_COUNTRY AS location, {O.units_sum('NUM_RISK_SCORE', 2)} AS total_risk "
+    f"SELECT NAM_CITY || ', ' || NAM_COUNTRY AS location, {O.exact_sum('NUM_RISK_SCORE')} AS total_risk "
     "FROM gold GROUP BY location ORDER BY total_risk DESC NULLS LAST, location ASC NULLS FIRST LIMIT 10"))(
     lambda spark, sf: bi.top_hotspots(gold_df(spark, sf)))
 
 register("bi_top_cities", O.q(
-    f"SELECT NAM_COUNTRY, NAM_CITY, {O.units_sum('NUM_RISK_SCORE', 2)} AS total_risk_score, "
+    f"SELECT NAM_COUNTRY, NAM_CITY, {O.exact_sum('NUM_RISK_SCORE')} AS total_risk_score, "
     "CAST(SUM(CNT_EVENTS) AS BIGINT) AS total_events FROM gold GROUP BY NAM_COUNTRY, NAM_CITY "
     "ORDER BY total_risk_score DESC NULLS LAST, NAM_COUNTRY ASC NULLS FIRST, NAM_CITY ASC NULLS FIRST LIMIT 20"))(
     lambda spark, sf: bi.top_cities(gold_df(spark, sf)))
 
 register("bi_country_total", O.q(
-    f"SELECT NAM_COUNTRY, {O.units_sum('NUM_RISK_SCORE', 2)} AS total_risk_score, "
+    f"SELECT NAM_COUNTRY, {O.exact_sum('NUM_RISK_SCORE')} AS total_risk_score, "
     "CAST(SUM(CNT_EVENTS) AS BIGINT) AS total_events FROM gold GROUP BY NAM_COUNTRY "
     "ORDER BY total_risk_score DESC NULLS LAST, NAM_COUNTRY ASC NULLS FIRST LIMIT 20"))(
     lambda spark, sf: bi.country_total(gold_df(spark, sf)))
@@ -151,7 +157,7 @@ register("bi_rows_per_day", O.q(
     lambda spark, sf: bi.rows_per_day(gold_df(spark, sf)))
 
 register("bi_country_by_day", O.q(
-    f"SELECT NAM_COUNTRY, {O.units_sum('NUM_RISK_SCORE', 2)} AS total_score FROM gold "
+    f"SELECT NAM_COUNTRY, {O.exact_sum('NUM_RISK_SCORE')} AS total_score FROM gold "
     f"WHERE DTE_EVENT = DATE '{K.REPORT_DAY}' GROUP BY NAM_COUNTRY "
     "ORDER BY total_score DESC NULLS LAST, NAM_COUNTRY ASC NULLS FIRST LIMIT 20"))(
     lambda spark, sf: bi.country_by_day(gold_df(spark, sf), K.REPORT_DAY))
@@ -172,17 +178,18 @@ register("prj_risk_level", O.q(f"SELECT *, {LEVEL_NB} AS RISK_LEVEL FROM gold"))
 
 register("bi_dashboard_table", O.q(
     f"SELECT DTE_EVENT, NAM_COUNTRY, NAM_CITY, RISK_LEVEL, CAST(SUM(CNT_EVENTS) AS BIGINT) AS CNT_EVENTS, "
-    f"{O.units_avg('NUM_RISK_SCORE', 2)} AS NUM_RISK_SCORE, {O.units_avg('NUM_GOLDSTEIN_AVG')} AS NUM_GOLDSTEIN_AVG "
+    f"{O.exact_avg('NUM_RISK_SCORE')} AS NUM_RISK_SCORE, round(avg(NUM_GOLDSTEIN_AVG), 9) + 0.0 AS NUM_GOLDSTEIN_AVG "
     f"FROM (SELECT *, {LEVEL_BI} AS RISK_LEVEL FROM gold) GROUP BY DTE_EVENT, NAM_COUNTRY, NAM_CITY, RISK_LEVEL"))(
-    lambda spark, sf: bi.dashboard_table(gold_df(spark, sf)))
+    lambda spark, sf: rounded(bi.dashboard_table(gold_df(spark, sf)), 9, "NUM_GOLDSTEIN_AVG"))
 
 register("bi_heatmap", O.q(
-    f"SELECT NAM_CITY, {O.units_sum('NUM_RISK_SCORE', 2)} AS weight FROM gold GROUP BY NAM_CITY"))(
+    f"SELECT NAM_CITY, {O.exact_sum('NUM_RISK_SCORE')} AS weight FROM gold GROUP BY NAM_CITY"))(
     lambda spark, sf: bi.heatmap(gold_df(spark, sf)))
 
 
 # --- Sources ----------------------------------------------------------------------
 from riskmart import fs  # noqa: E402
+from riskmart.plans import arrival as AR  # noqa: E402
 from riskmart.plans import runs as P  # noqa: E402
 from riskmart.schemas import EVENT_COLUMN_NAMES, POSITIONAL_NAMES  # noqa: E402
 from riskmart.session import new_work_dir  # noqa: E402
@@ -194,7 +201,20 @@ FEED_WITH_DAY = f"{FEED_COLS}, strftime(ingest_day, '%Y-%m-%d') AS ingestion_dat
 LANDING_DAY = "2024-01-16"
 
 
+_LANDED: dict[tuple[str, str], dict[str, str]] = {}
+
+
 def landed(spark: SparkSession, sf: str, tag: str) -> tuple[str, dict[str, str]]:
+    """(fresh root for a query's own tables, landing roots); the landing copy is
+    made once a session and only read after that."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDED:
+        _LANDED[key] = FX.land_fixture(spark, sf, new_work_dir(spark, "landing"))
+    return new_work_dir(spark, tag), _LANDED[key]
+
+
+def landed_anew(spark: SparkSession, sf: str, tag: str) -> tuple[str, dict[str, str]]:
+    """A landing copy of its own, for queries that add files to it."""
     root = new_work_dir(spark, tag)
     return root, FX.land_fixture(spark, sf, root)
 
@@ -228,8 +248,7 @@ def _src_gold_csv(spark, sf):
 
 @register("src_latest_reference", O.q("SELECT * FROM ref_raw"))
 def _src_latest_reference(spark, sf):
-    _, paths = landed(spark, sf, "src-latest")
-    return SRC.latest_reference(spark, paths["reference"])
+    return SRC.latest_reference(spark, FX.land_reference(spark, sf, new_work_dir(spark, "src-latest")))
 
 
 @register("src_landing_partition", O.q(
@@ -241,23 +260,35 @@ def _src_landing_partition(spark, sf):
 
 @register("src_landing_filter", O.q(f"SELECT {FEED_WITH_DAY} FROM feed"))
 def _src_landing_filter(spark, sf):
-    root, paths = landed(spark, sf, "src-filter")
+    root, paths = landed_anew(spark, sf, "src-filter")
     junk_row = "\t".join(["999"] * 58) + "\n"
     fs.write_text(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/manifest.json", junk_row)
     fs.write_text(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/notes.txt", junk_row)
     fs.write_text(spark, f"{paths['events']}/ingestion_date={LANDING_DAY}/part-extra.csv.tmp", junk_row)
+    for folder in ("garbage", "2024-02-30"):
+        fs.write_text(spark, f"{paths['events']}/ingestion_date={folder}/events.csv", junk_row)
     return SRC.read_events(spark, paths["events"])
 
 
 # --- Sinks and whole runs ----------------------------------------------------------
 def _run_cfg(spark, sf, tag, **kw) -> P.RunConfig:
-    root, _ = landed(spark, sf, tag)
-    return P.RunConfig.under(root, ingestion_ts=K.RUN_TS, **kw)
+    root, paths = landed(spark, sf, tag)
+    cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS, **kw)
+    return replace(cfg, landing_events=paths["events"], landing_reference=paths["reference"])
+
+
+# Cells with blanks around them: what Bronze must not trim.
+PADDED = "CASE WHEN _c50 IS NOT NULL THEN '  ' || _c50 || ' ' END"
 
 
-@register("snk_bronze_events", O.q(f"SELECT {FEED_WITH_DAY} FROM feed"))
+@register("snk_bronze_events", O.q(f"SELECT * REPLACE ({PADDED} AS _c50) FROM (SELECT {FEED_WITH_DAY} FROM feed)"))
 def _snk_bronze_events(spark, sf):
-    cfg = _run_cfg(spark, sf, "snk-bronze")
+    root = new_work_dir(spark, "snk-bronze")
+    cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS)
+    day = F.date_format("ingest_day", "yyyy-MM-dd").alias("ingestion_date")
+    padded = FX.event_feed(spark, sf, with_ingest_day=True).withColumn("_c50", F.expr(PADDED))
+    W.write_events_tsv(padded.select(*POSITIONAL_NAMES, day), cfg.landing_events, partition_by="ingestion_date")
+    FX.land_reference(spark, sf, root)
     P.bronze(spark, cfg)
     return SRC.read_events(spark, cfg.bronze_events)
 
@@ -272,16 +303,17 @@ def _snk_bronze_reference(spark, sf):
 
 
 @register("snk_bronze_metadata", O.q(
-    "SELECT strftime(ingest_day, '%Y-%m-%d') AS ingestion_date, 'gdelt' AS source_system, "
-    "COUNT(*) AS n_rows, true AS files_named_csv FROM feed GROUP BY ingest_day"))
+    f"SELECT strftime(ingest_day, '%Y-%m-%d') AS ingestion_date, 'gdelt' AS source_system, '{K.RUN_TS}' AS ingestion_ts, "
+    "'events-' || strftime(ingest_day, '%Y%m%d') || '-0.csv' AS first_file, CAST(COUNT(*) AS BIGINT) AS n_rows, "
+    "true AS named_by_day FROM feed GROUP BY ingest_day"))
 def _snk_bronze_metadata(spark, sf):
-    from riskmart.operators.quality import bronze_metadata
     cfg = _run_cfg(spark, sf, "snk-bronze-meta")
     P.bronze(spark, cfg)
-    meta = bronze_metadata(SRC.read_events(spark, cfg.bronze_events))
-    return meta.groupBy("ingestion_date", "source_system").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.bool_and(F.col("source_file").endswith(".csv")).alias("files_named_csv"))
+    meta = P.read_bronze_metadata(spark, cfg)
+    named = F.col("source_file").rlike("^events-[0-9]{8}-[0-9]+[.]csv$") & F.col("source_file").contains(
+        F.regexp_replace("ingestion_date", "-", ""))
+    return meta.groupBy("ingestion_date", "source_system", "ingestion_ts").agg(
+        F.min("source_file").alias("first_file"), F.sum("rows").alias("n_rows"), F.bool_and(named).alias("named_by_day"))
 
 
 @register("snk_silver_parquet", O.q(f"SELECT {O.SILVER_SELECT} FROM silver", per_day=True))
@@ -300,8 +332,8 @@ def _snk_gold_table(spark, sf):
 
 @register("snk_gold_csv", O.q("SELECT * FROM gold", per_day=True))
 def _snk_gold_csv(spark, sf):
-    root, _ = landed(spark, sf, "snk-goldcsv")
-    cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS, gold_csv=f"{root}/export/gold_csv")
+    cfg = _run_cfg(spark, sf, "snk-goldcsv")
+    cfg = replace(cfg, gold_csv=f"{cfg.gold}_csv")
     P.run(spark, cfg, with_bronze=False)
     return SRC.read_gold_csv(spark, cfg.gold_csv)
 
@@ -333,29 +365,61 @@ def _e2e_run(spark, sf):
 def _inc_rerun(spark, sf):
     cfg = _run_cfg(spark, sf, "rerun")
     P.run(spark, cfg, with_bronze=False)
-    again = P.RunConfig(**{**cfg.__dict__, "ingestion_dates": ["2024-01-10", LANDING_DAY]})
+    again = replace(cfg, ingestion_dates=["2024-01-10", LANDING_DAY])
     return P.run(spark, again, with_bronze=False)
 
 
-@register("inc_backfill", O.q("SELECT * FROM gold", per_day=True))
+@register("inc_backfill", O.q(
+    "SELECT *, (SELECT COUNT(*) FROM feed) AS bronze_rows FROM gold", per_day=True))
 def _inc_backfill(spark, sf):
     cfg = _run_cfg(spark, sf, "backfill")
     P.backfill(spark, cfg, end="2024-01-15")
-    return P.backfill(spark, cfg, start="2024-01-16")
+    gold_ = P.backfill(spark, cfg, start="2024-01-16")
+    return gold_.withColumn("bronze_rows", SRC.read_events(spark, cfg.bronze_events).agg(F.count(F.lit(1))).scalar())
+
+
+@register("inc_append", O.q("SELECT * FROM gold UNION ALL SELECT * FROM gold", per_day=True))
+def _inc_append(spark, sf):
+    cfg = _run_cfg(spark, sf, "append", mode_silver="append", mode_gold="append")
+    P.run(spark, cfg, with_bronze=False)
+    return P.run(spark, cfg, with_bronze=False)
+
+
+@register("e2e_one_file", O.q(
+    f"SELECT * FROM gold WHERE DTE_INGESTION = DATE '{LANDING_DAY}'", per_day=True, reference="ref_old_raw"))
+def _e2e_one_file(spark, sf):
+    """One named events file with a chosen, older reference."""
+    root = new_work_dir(spark, "one-file")
+    one, ref = f"{root}/ingestion_date={LANDING_DAY}/named.csv", f"{root}/chosen_reference"
+    day = F.col("ingest_day") == F.lit(LANDING_DAY).cast("date")
+    W.write_events_tsv(FX.event_feed(spark, sf, with_ingest_day=True).where(day).drop("ingest_day"), one)
+    W.write_csv(FX.old_reference_feed(spark, sf), ref)
+    return P.run(spark, P.RunConfig.under(root, ingestion_ts=K.RUN_TS, events_file=one, reference_file=ref))
+
+
+@register("inc_arrival", O.q("SELECT * FROM gold", per_day=True, redelivered=(K.REDELIVERED_DAY, K.REDELIVERY_DAY)))
+def _inc_arrival(spark, sf):
+    """Landed files start the run of their days; the second call sees only the redelivery."""
+    root, paths = landed_anew(spark, sf, "arrival")
+    cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS)
+    AR.run_arrived(spark, cfg, f"{root}/_arrivals")
+    FX.land_redelivery(spark, sf, root, K.REDELIVERED_DAY, K.REDELIVERY_DAY)
+    return AR.run_arrived(spark, cfg, f"{root}/_arrivals")
 
 
 # --- Notebook analysis ---------------------------------------------------------------
 from riskmart.operators import analysis as A  # noqa: E402
+from riskmart.functions.columns import lenient_double  # noqa: E402
 from riskmart.operators import profile as PR  # noqa: E402
 from riskmart.operators import quality as Q  # noqa: E402
 
 register("nb_trend", O.q(
-    f"SELECT DTE_EVENT, CAST(SUM(CNT_EVENTS) AS BIGINT) AS total_events, {O.units_avg('NUM_RISK_SCORE', 2)} AS avg_score, "
+    f"SELECT DTE_EVENT, CAST(SUM(CNT_EVENTS) AS BIGINT) AS total_events, {O.exact_avg('NUM_RISK_SCORE')} AS avg_score, "
     "MAX(NUM_RISK_SCORE) AS max_score FROM gold WHERE DTE_EVENT IS NOT NULL GROUP BY DTE_EVENT ORDER BY DTE_EVENT"))(
     lambda spark, sf: A.trend(gold_df(spark, sf)))
 
 register("nb_top_countries", O.q(
-    f"SELECT NAM_COUNTRY, {O.units_sum('NUM_RISK_SCORE', 2)} AS total_score, CAST(SUM(CNT_EVENTS) AS BIGINT) AS total_events "
+    f"SELECT NAM_COUNTRY, {O.exact_sum('NUM_RISK_SCORE')} AS total_score, CAST(SUM(CNT_EVENTS) AS BIGINT) AS total_events "
     "FROM gold WHERE NAM_COUNTRY IS NOT NULL GROUP BY NAM_COUNTRY "
     "ORDER BY total_score DESC NULLS LAST, NAM_COUNTRY ASC LIMIT 15"))(
     lambda spark, sf: A.top_countries(gold_df(spark, sf)))
@@ -381,77 +445,115 @@ normed AS (
   FROM parts),
 proposed AS (
   SELECT DTE_EVENT, NAM_COUNTRY, NAM_CITY, CNT_EVENTS, NUM_GOLDSTEIN_AVG, NUM_RISK_SCORE,
-         round(vol_n, 6) + 0.0 AS VOL_NORM, round(conf_n, 6) + 0.0 AS CONF_NORM,
-         round(100 * (0.6 * vol_n + 0.4 * conf_n), 6) + 0.0 AS RISK_SCORE_PROPOSED
+         vol_n AS VOL_NORM, conf_n AS CONF_NORM, 100 * (0.6 * vol_n + 0.4 * conf_n) AS RISK_SCORE_PROPOSED
   FROM normed)
 """
 
-register("score_proposed", O.ctes().rstrip() + PROPOSED_CTE + "SELECT * FROM proposed")(
-    lambda spark, sf: A.proposed_score(gold_df(spark, sf)))
+PROPOSED = ("VOL_NORM", "CONF_NORM", "RISK_SCORE_PROPOSED")
+
+
+def stored_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart as a written table."""
+    out = new_work_dir(spark, "gold") + "/gold"
+    W.write_gold(gold_df(spark, sf), out, days=[K.RUN_DATE])
+    return SRC.read_gold(spark, out)
+
+
+register("score_proposed", O.ctes().rstrip() + PROPOSED_CTE + (
+    "SELECT * REPLACE (" + ", ".join(f"round({c}, 9) + 0.0 AS {c}" for c in PROPOSED) + ") FROM proposed"))(
+    lambda spark, sf: rounded(A.proposed_score(stored_gold(spark, sf)), 9, *PROPOSED))
 
 register("score_corr", O.ctes().rstrip() + PROPOSED_CTE + (
-    "SELECT round(corr(NUM_RISK_SCORE, RISK_SCORE_PROPOSED), 9) AS corr, "
+    "SELECT round(corr(NUM_RISK_SCORE, RISK_SCORE_PROPOSED), 9) + 0.0 AS corr, "
     "COUNT(*) FILTER (WHERE NUM_RISK_SCORE IS NOT NULL AND RISK_SCORE_PROPOSED IS NOT NULL) AS pairs FROM proposed"))(
-    lambda spark, sf: A.score_correlation(gold_df(spark, sf)))
+    lambda spark, sf: rounded(A.score_correlation(stored_gold(spark, sf)), 9, "corr"))
 
-register("prof_nulls", O.q(" UNION ALL ".join(
-    f"SELECT '{n}' AS column_name, COUNT(*) FILTER (WHERE {p} IS NULL) AS null_count, COUNT(*) AS total_rows FROM feed"
-    for p, n in zip(POSITIONAL_NAMES, EVENT_COLUMN_NAMES))))(
-    lambda spark, sf: A.null_counts(feed(spark, sf).toDF(*EVENT_COLUMN_NAMES)))
+register("bi_stored_country_by_day", O.q(
+    f"SELECT NAM_COUNTRY, {O.exact_sum('NUM_RISK_SCORE')} AS total_score FROM gold "
+    f"WHERE DTE_EVENT = DATE '{K.REPORT_DAY}' GROUP BY NAM_COUNTRY "
+    "ORDER BY total_score DESC NULLS LAST, NAM_COUNTRY ASC NULLS FIRST LIMIT 20"))(
+    lambda spark, sf: bi.country_by_day(stored_gold(spark, sf), K.REPORT_DAY))
 
-PROFILE_NUMERIC = ["quadclass", "goldstein_scale", "actiongeo_lat", "actiongeo_long", "risk_weight_adj"]
-PROFILE_TEXT = ["country", "city"]
 
+def _nulls_sql(dataset: str, source: str, columns: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, '{name}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+        f"COUNT(*) AS total_rows FROM {source}" for c, name in columns)
 
-def _profile_sql() -> str:
-    parts = []
-    for c in PROFILE_NUMERIC:
-        x = f"CAST({c} AS DOUBLE)"
-        parts.append(
-            f"SELECT '{c}' AS column_name, COUNT({x}) AS count, COUNT(DISTINCT {x}) AS \"unique\", "
-            f"CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, "
-            f"round({O.units_sum(x)} / COUNT({x}), 6) AS mean, round(stddev_samp({x}), 6) AS std, "
-            f"min({x}) AS min, round(quantile_cont({x}, 0.25), 6) AS p25, round(quantile_cont({x}, 0.5), 6) AS p50, "
-            f"round(quantile_cont({x}, 0.75), 6) AS p75, max({x}) AS max FROM silver")
-    for c in PROFILE_TEXT:
-        top = f"(SELECT {c} AS v, COUNT(*) AS n FROM silver WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, v ASC LIMIT 1)"
-        parts.append(
-            f"SELECT '{c}' AS column_name, COUNT({c}) AS count, COUNT(DISTINCT {c}) AS \"unique\", "
-            f"(SELECT v FROM {top}) AS top, (SELECT n FROM {top}) AS freq, "
-            "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, "
-            "CAST(NULL AS DOUBLE) AS p25, CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75, "
-            "CAST(NULL AS DOUBLE) AS max FROM silver")
-    return O.q(" UNION ALL ".join(parts))
-
-
-register("prof_describe", _profile_sql())(
-    lambda spark, sf: PR.describe(silver_df(spark, sf), PROFILE_NUMERIC, PROFILE_TEXT))
 
+@register("prof_nulls", O.q(" UNION ALL ".join((
+    _nulls_sql("events", "feed", list(zip(POSITIONAL_NAMES, EVENT_COLUMN_NAMES))),
+    _nulls_sql("country_risk", "ref_raw", [(c, c) for c in ("country", "baseline_risk", "risk_multiplier", "updated_at")]),
+    _nulls_sql("gold", "gold", [(c, c) for c in ("DTE_EVENT", "NAM_COUNTRY", "NAM_CITY", "CNT_EVENTS", "NUM_GOLDSTEIN_AVG",
+                                                 "NUM_RISK_SCORE", "DTE_INGESTION")])))))
+def _prof_nulls(spark, sf):
+    return (A.null_counts(feed(spark, sf).toDF(*EVENT_COLUMN_NAMES), "events")
+            .unionByName(A.null_counts(reference_raw(spark, sf), "country_risk"))
+            .unionByName(A.null_counts(gold_df(spark, sf), "gold")))
 
-# --- Data quality ------------------------------------------------------------------------
-def _rules_sql(layer: str, rules: list, source: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{layer}' AS layer, '{r.name}' AS rule, '{r.severity}' AS severity, "
-        f"COUNT(*) FILTER (WHERE {r.violation}) AS violations, COUNT(*) AS total FROM {source}" for r in rules)
+
+# The feed's fields that hold numbers; the others are text.
+EVENT_NUMBERS = ["GlobalEventID", "SQLDATE", "MonthYear", "Year", "FractionDate", "IsRootEvent", "QuadClass", "GoldsteinScale",
+                 "NumMentions", "NumSources", "NumArticles", "AvgTone", "Actor1Geo_Lat", "Actor1Geo_Long", "Actor2Geo_Lat",
+                 "Actor2Geo_Long", "ActionGeo_Lat", "ActionGeo_Long", "DateAdded"]
+REFERENCE_NUMBERS = ["baseline_risk", "risk_multiplier"]
+REFERENCE_TEXT = ["country", "updated_at"]
 
 
-register("dq_silver", O.q(_rules_sql("silver", Q.silver_rules(), "silver")))(
+def _profile_sql(dataset: str, source: str, names: dict[str, str], numbers: list[str]) -> str:
+    parts = []
+    for c, name in names.items():
+        if name in numbers:
+            x = f"try_cast({c} AS DOUBLE)"
+            quart = ", ".join(f"round(quantile_cont({x}, {p}), 6) + 0.0 AS {k}" for k, p in PR.QUANTILES.items())
+            parts.append(
+                f"SELECT '{dataset}' AS dataset, '{name}' AS column_name, COUNT({x}) AS count, COUNT(DISTINCT {x}) AS \"unique\", "
+                f"CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, round(avg({x}), 6) + 0.0 AS mean, "
+                f"round(stddev_samp({x}), 6) + 0.0 AS std, min({x}) AS min, {quart}, max({x}) AS max FROM {source}")
+        else:
+            top = f"(SELECT {c} AS v, COUNT(*) AS n FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, v ASC LIMIT 1)"
+            empty = ", ".join(f"CAST(NULL AS DOUBLE) AS {k}" for k in ("mean", "std", "min", "p25", "p50", "p75", "max"))
+            parts.append(
+                f"SELECT '{dataset}' AS dataset, '{name}' AS column_name, COUNT({c}) AS count, COUNT(DISTINCT {c}) AS \"unique\", "
+                f"(SELECT v FROM {top}) AS top, (SELECT n FROM {top}) AS freq, {empty} FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
+def _described(df: DataFrame, dataset: str, numbers: list[str]) -> DataFrame:
+    """All columns of a raw input; number fields are read leniently, so a malformed cell counts as missing."""
+    typed = df.select(*[lenient_double(c).alias(c) if c in numbers else F.col(c) for c in df.columns])
+    out = PR.describe(typed, [c for c in df.columns if c in numbers], [c for c in df.columns if c not in numbers])
+    return rounded(out, 6, "mean", "std", *PR.QUANTILES).select(F.lit(dataset).alias("dataset"), *PR.COLUMNS)
+
+
+@register("prof_describe", O.q(
+    _profile_sql("events", "feed", dict(zip(POSITIONAL_NAMES, EVENT_COLUMN_NAMES)), EVENT_NUMBERS) + " UNION ALL "
+    + _profile_sql("country_risk", "ref_raw", {c: c for c in REFERENCE_TEXT + REFERENCE_NUMBERS}, REFERENCE_NUMBERS)))
+def _prof_describe(spark, sf):
+    return (_described(feed(spark, sf).toDF(*EVENT_COLUMN_NAMES), "events", EVENT_NUMBERS)
+            .unionByName(_described(reference_raw(spark, sf), "country_risk", REFERENCE_NUMBERS)))
+
+
+# --- Data quality ------------------------------------------------------------------------
+register("dq_silver", O.q(O.contract_sql("silver", "silver")))(
     lambda spark, sf: Q.evaluate(silver_df(spark, sf), "silver", Q.silver_rules()))
 
-register("dq_gold", O.q(_rules_sql("gold", Q.gold_rules(), "gold")))(
+register("dq_gold", O.q(O.contract_sql("gold", "gold")))(
     lambda spark, sf: Q.evaluate(gold_df(spark, sf), "gold", Q.gold_rules()))
 
-register("dq_reference", O.q(_rules_sql("reference", Q.reference_rules(), "ref_typed")))(
+register("dq_reference", O.q(O.contract_sql("reference", "ref_typed")))(
     lambda spark, sf: Q.evaluate(SV.prepare_reference(reference_raw(spark, sf)), "reference", Q.reference_rules()))
 
 
-@register("dq_bronze", O.q(_rules_sql("bronze", Q.bronze_rules(), (
-    "(SELECT *, strftime(ingest_day, '%Y-%m-%d') AS ingestion_date, 'part.csv' AS source_file, "
-    "'gdelt' AS source_system, 'now' AS ingestion_ts FROM feed)"))))
-def _dq_bronze(spark, sf):
-    cfg = _run_cfg(spark, sf, "dq-bronze")
+def bronze_files(spark: SparkSession, sf: str, tag: str) -> DataFrame:
+    cfg = _run_cfg(spark, sf, tag)
     P.bronze(spark, cfg)
-    return Q.evaluate(Q.bronze_metadata(SRC.read_events(spark, cfg.bronze_events)), "bronze", Q.bronze_rules())
+    return P.read_bronze_metadata(spark, cfg)
+
+
+@register("dq_bronze", O.q(O.contract_sql("bronze", O.BRONZE_FILES)))
+def _dq_bronze(spark, sf):
+    return Q.evaluate(bronze_files(spark, sf, "dq-bronze"), "bronze", Q.bronze_rules())
 
 
 def _pk_sql(stage: str, source: str) -> str:
@@ -494,25 +596,14 @@ def _dq_quarantine(spark, sf):
     return spark.read.schema(S.QUARANTINE).parquet(cfg.quarantine).select(*S.QUARANTINE.fieldNames())
 
 
-def _conformance_sql() -> str:
-    parts = []
-    for layer, source in (("silver", "silver"), ("gold", "gold"), ("reference", "ref_typed")):
-        schema, required = Q.LAYER_SCHEMAS[layer]
-        for f in schema.fields:
-            if f.name in required:
-                t = f.dataType.simpleString()
-                parts.append(f"SELECT '{layer}' AS layer, '{f.name}' AS column_name, '{t}' AS expected_type, "
-                             f"'{t}' AS actual_type, true AS present, true AS type_ok, "
-                             f"COUNT({f.name}) AS non_null FROM {source}")
-    return O.q(" UNION ALL ".join(parts))
-
-
-@register("dq_required_columns", _conformance_sql())
+@register("dq_required_columns", O.q(" UNION ALL ".join((
+    O.columns_sql("bronze", O.BRONZE_FILES), O.columns_sql("silver", "silver"), O.columns_sql("gold", "gold"),
+    O.columns_sql("reference", "ref_typed")))))
 def _dq_required_columns(spark, sf):
     out = None
     silver_frame = silver_df(spark, sf)
-    for layer, df in (("silver", silver_frame), ("gold", gold(silver_frame)),
-                      ("reference", SV.prepare_reference(reference_raw(spark, sf)))):
+    for layer, df in (("bronze", bronze_files(spark, sf, "dq-columns")), ("silver", silver_frame),
+                      ("gold", gold(silver_frame)), ("reference", SV.prepare_reference(reference_raw(spark, sf)))):
         schema, required = Q.LAYER_SCHEMAS[layer]
         part = Q.schema_conformance(df, layer, schema, required)
         out = part if out is None else out.unionByName(part)
@@ -525,21 +616,22 @@ from riskmart.streaming import incremental as ST  # noqa: E402
 
 
 def _stream_to_table(spark, sf, tag, with_reference: bool) -> DataFrame:
-    root, paths = landed(spark, sf, tag)
+    """Two starts over one checkpoint.  Between them a day's events land again with
+    another value: in the same day's folder (copies, dropped) and in a later day's (kept)."""
+    root, paths = landed_anew(spark, sf, tag)
     ref = SRC.latest_reference(spark, paths["reference"]) if with_reference else None
-    state_partitions = spark.sparkContext.defaultParallelism
-    stream = ST.silver_stream(spark, paths["events"], ref, K.RUN_TS, max_files_per_trigger=8)
-    schema = stream.schema
-    ST.run_available(stream, f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream",
-                     state_partitions=state_partitions)
-    # A second run over the same checkpoint finds nothing new: exactly-once.
-    ST.run_available(ST.silver_stream(spark, paths["events"], ref, K.RUN_TS, max_files_per_trigger=8),
-                     f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream")
-    return ST.read_stream_output(spark, f"{root}/silver_stream", schema)
-
-
-register("str_incremental_silver", O.q(f"SELECT {O.SILVER_SELECT} FROM silver", per_day=True))(
+    for start in (1, 2):
+        stream = ST.silver_stream(spark, paths["events"], ref, K.RUN_TS)
+        ST.run_available(stream, f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream",
+                         state_partitions=spark.sparkContext.defaultParallelism)
+        if start == 1:
+            FX.land_redelivery(spark, sf, root, K.REDELIVERED_DAY, K.REDELIVERY_DAY)
+    return ST.read_stream_output(spark, f"{root}/silver_stream", stream.schema)
+
+
+register("str_incremental_silver", O.q(f"SELECT {O.SILVER_SELECT} FROM silver", per_day=True,
+                                       redelivered=(K.REDELIVERY_DAY,)))(
     lambda spark, sf: _stream_to_table(spark, sf, "str-silver", True).select(*S.SILVER_COLUMNS))
 
-register("str_dedup", O.q("SELECT * FROM dedup", per_day=True))(
+register("str_dedup", O.q("SELECT * FROM dedup", per_day=True, redelivered=(K.REDELIVERY_DAY,)))(
     lambda spark, sf: _stream_to_table(spark, sf, "str-dedup", False))

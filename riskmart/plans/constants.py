@@ -9,3 +9,5 @@ from riskmart.sources.fixture import OLD_REFERENCE_UPDATED_AT, REFERENCE_UPDATED
 RUN_DATE = "2024-01-31"
 RUN_TS = "2024-01-31T06:00:00Z"
 REPORT_DAY = "2024-01-15"      # the one-day runbook report (FLT-4)
+REDELIVERED_DAY = "2024-01-16"  # delivered a second time ...
+REDELIVERY_DAY = "2024-02-20"   # ... also in this later day's folder

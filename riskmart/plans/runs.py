@@ -1,21 +1,28 @@
 """Whole runs: Bronze -> Silver -> Gold over a landing area.
 
-A run covers one or more ingestion days (``None`` = every landed day).  Each
-day is processed with the same semantics as a single-day run (dedup within
-the day, Gold grouped per ingestion), but all days of a run share one Spark
-job per layer.  The events feed is parsed twice (Bronze copy, Silver); Gold
-reads the written Silver back, which also cuts the lineage of the Silver plan.
+A run covers one or more ingestion days (``None`` = every landed day), or one
+named events file, with the newest or a chosen reference file.  Each day is
+processed with the same semantics as a single-day run (dedup within the day,
+Gold grouped per ingestion), but all days of a run share one Spark job per
+layer.  The events feed is parsed once for Bronze and once for Silver (and once
+more for the quarantine, when asked for).
+
+Silver is staged, checked and read back; Gold is computed from exactly these
+rows, staged and checked too; only then do both become part of their tables.
+So a failed check or write changes neither table, and an appended Silver run
+never counts rows of earlier runs again.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart import fs
+from riskmart import schemas as S
 from riskmart.operators import quality as Q
 from riskmart.operators import silver as SV
 from riskmart.operators.gold import gold
@@ -32,9 +39,12 @@ class RunConfig:
     silver: str
     gold: str
     ingestion_dates: list[str] | None = None      # None: every landed day
+    events_file: str | None = None                # one named file instead (its day: the one ingestion date, or its folder)
+    reference_file: str | None = None             # a chosen reference instead of the newest
     ingestion_ts: str = field(default_factory=lambda: datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
     mode_silver: str = "replace"
     mode_gold: str = "replace"
+    check: bool = True                            # stop before a write that breaks a contract
     gold_csv: str | None = None                   # optional CSV export of the run's Gold rows
     quarantine: str | None = None                 # optional folder for rejected rows (as delivered)
 
@@ -45,10 +55,14 @@ class RunConfig:
                          bronze_events=f"{r}/bronze/events", bronze_reference=f"{r}/bronze/country_risk",
                          silver=f"{r}/silver/events", gold=f"{r}/gold/risk_events", **kw)
 
+    @property
+    def bronze_metadata(self) -> str:
+        return self.bronze_events.rstrip("/") + "_metadata"
+
     def with_quarantine(self) -> "RunConfig":
         """Same run, also keeping rejected rows under ``<silver>/../quarantine``."""
         base = self.silver.rstrip("/").rsplit("/", 1)[0]
-        return RunConfig(**{**self.__dict__, "quarantine": f"{base}/quarantine"})
+        return replace(self, quarantine=f"{base}/quarantine")
 
 
 def landed_days(spark: SparkSession, root: str) -> list[str]:
@@ -57,18 +71,38 @@ def landed_days(spark: SparkSession, root: str) -> list[str]:
 
 
 def _days(spark: SparkSession, cfg: RunConfig) -> list[str]:
-    if cfg.ingestion_dates is None:
-        return landed_days(spark, cfg.landing_events)
-    return [SV.check_ingestion_date(d) for d in cfg.ingestion_dates]
+    if cfg.ingestion_dates is not None:
+        days = [SV.check_ingestion_date(d) for d in cfg.ingestion_dates]
+    elif cfg.events_file:
+        days = [SRC.file_day(cfg.events_file)]
+    else:
+        days = landed_days(spark, cfg.landing_events)
+    if cfg.events_file and len(days) != 1:
+        raise ValueError("one events file has one ingestion date")
+    return days
+
+
+def _events(spark: SparkSession, cfg: RunConfig, days: list[str]) -> DataFrame:
+    if cfg.events_file:
+        return SRC.read_events_file(spark, cfg.events_file).withColumn("ingestion_date", F.lit(days[0]))
+    return SRC.read_events(spark, cfg.landing_events, ingestion_dates=days)
+
+
+def _reference(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    if cfg.reference_file:
+        return SRC.read_reference(spark, cfg.reference_file)
+    return SRC.latest_reference(spark, cfg.landing_reference)
 
 
 def bronze(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """PIP-1: as-delivered copies of the run's event files and the reference."""
+    """PIP-1: as-delivered copies of the run's event files and the reference, and
+    beside them the metadata of every delivered file."""
     days = _days(spark, cfg)
-    events = SRC.read_events(spark, cfg.landing_events, ingestion_dates=days)
-    ref = SRC.latest_reference(spark, cfg.landing_reference)
+    events, ref = _events(spark, cfg, days), _reference(spark, cfg)
     W.replace_days(events, cfg.bronze_events, "ingestion_date", days,
                    lambda frame, path: W.write_events_tsv(frame, path, partition_by="ingestion_date"))
+    W.replace_days(Q.bronze_metadata(events, cfg.ingestion_ts), cfg.bronze_metadata, "ingestion_date", days,
+                   lambda frame, path: frame.write.partitionBy("ingestion_date").parquet(path))
     # one snapshot of the reference per run day (the day list is small)
     ref_out = ref.withColumn("ingestion_date", F.explode(F.array(*[F.lit(d) for d in days])))
     W.replace_days(ref_out, cfg.bronze_reference, "ingestion_date", days,
@@ -76,42 +110,62 @@ def bronze(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     return events, ref
 
 
-def silver_run(spark: SparkSession, cfg: RunConfig, ref_raw: DataFrame | None = None) -> list[str]:
-    """PIP-2: landing -> Silver table (replaces the run's days)."""
+def read_bronze_metadata(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    return spark.read.schema(S.BRONZE_METADATA).parquet(cfg.bronze_metadata).select(*S.BRONZE_METADATA.fieldNames())
+
+
+def _checked(df: DataFrame, layer: str, cfg: RunConfig) -> DataFrame:
+    if cfg.check:
+        Q.require(df, layer)
+    return df
+
+
+def _stage_silver(spark: SparkSession, cfg: RunConfig, ref_raw: DataFrame | None) -> tuple[str, list[str]]:
     days = _days(spark, cfg)
-    events = SRC.read_events(spark, cfg.landing_events, ingestion_dates=days)
-    ref_raw = ref_raw if ref_raw is not None else SRC.latest_reference(spark, cfg.landing_reference)
-    out = SV.silver(events, ref_raw, None, cfg.ingestion_ts)
-    W.write_silver(out, cfg.silver, mode=cfg.mode_silver, days=days)
+    events = _events(spark, cfg, days)
+    out = SV.silver(events, ref_raw if ref_raw is not None else _reference(spark, cfg), None, cfg.ingestion_ts)
+    staging = W.stage_silver(out, cfg.silver)
+    _checked(SRC.read_staged_silver(spark, staging), "silver", cfg)
     if cfg.quarantine:
         W.write_quarantine(Q.rejected_rows(events), cfg.quarantine, days)
+    return staging, days
+
+
+def silver_run(spark: SparkSession, cfg: RunConfig, ref_raw: DataFrame | None = None) -> list[str]:
+    """PIP-2: landing -> Silver table."""
+    staging, days = _stage_silver(spark, cfg, ref_raw)
+    W.commit_silver(spark, staging, cfg.silver, cfg.mode_silver, days)
     return days
 
 
-def gold_run(spark: SparkSession, cfg: RunConfig, days: list[str]) -> DataFrame:
-    """PIP-3: Silver (read back, pruned to the run's days) -> Gold table."""
-    mart = gold(SRC.read_silver(spark, cfg.silver, ingestion_dates=days))
-    W.write_gold(mart, cfg.gold, mode=cfg.mode_gold, days=days)
+def run(spark: SparkSession, cfg: RunConfig, with_bronze: bool = True) -> DataFrame:
+    """PIP-4: end to end; returns the stored Gold table."""
+    ref = bronze(spark, cfg)[1] if with_bronze else None
+    staged_silver, days = _stage_silver(spark, cfg, ref)
+    # PIP-3: Gold of this run's Silver rows, whatever else the table holds.
+    mart = gold(SRC.read_staged_silver(spark, staged_silver))
+    staged_gold = W.stage_gold(mart, cfg.gold)
+    run_gold = _checked(SRC.read_staged_gold(spark, staged_gold), "gold", cfg)
     if cfg.gold_csv:
-        day_filter = F.col("DTE_INGESTION").isin([F.lit(d).cast("date") for d in days])
-        W.write_csv(SRC.read_gold(spark, cfg.gold).where(day_filter), cfg.gold_csv)
+        W.write_csv(run_gold, cfg.gold_csv)
+    W.commit_silver(spark, staged_silver, cfg.silver, cfg.mode_silver, days)
+    W.commit_gold(spark, staged_gold, cfg.gold, cfg.mode_gold, days)
     return SRC.read_gold(spark, cfg.gold)
 
 
-def run(spark: SparkSession, cfg: RunConfig, with_bronze: bool = True) -> DataFrame:
-    """PIP-4: end to end; returns the stored Gold table."""
-    ref = None
-    if with_bronze:
-        _, ref = bronze(spark, cfg)
-    days = silver_run(spark, cfg, ref)
-    return gold_run(spark, cfg, days)
+def gold_run(spark: SparkSession, cfg: RunConfig, days: list[str]) -> DataFrame:
+    """PIP-3 on its own: Gold of the stored Silver rows of ``days``."""
+    mart = gold(SRC.read_silver(spark, cfg.silver, ingestion_dates=days))
+    staging = W.stage_gold(mart, cfg.gold)
+    _checked(SRC.read_staged_gold(spark, staging), "gold", cfg)
+    W.commit_gold(spark, staging, cfg.gold, cfg.mode_gold, days)
+    return SRC.read_gold(spark, cfg.gold)
 
 
 def backfill(spark: SparkSession, cfg: RunConfig, start: str | None = None, end: str | None = None) -> DataFrame:
-    """STR-4: run every landed day in [start, end] with the newest reference."""
+    """STR-4: run every landed day in [start, end], Bronze included, with the newest reference."""
     days = [d for d in landed_days(spark, cfg.landing_events)
             if (start is None or d >= start) and (end is None or d <= end)]
     if not days:
         return SRC.read_gold(spark, cfg.gold) if fs.exists(spark, cfg.gold) else None
-    cfg_days = RunConfig(**{**cfg.__dict__, "ingestion_dates": days})
-    return run(spark, cfg_days, with_bronze=False)
+    return run(spark, replace(cfg, ingestion_dates=days))

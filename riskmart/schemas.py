@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # --- Landing events: 58 tab-separated text fields ---------------------------
+# The feed's public field names and, below, the mart's column names.
 # Business names follow the public GDELT 1.0 event layout as the job reads it
 # (ActionGeo full name at 50, country at 51, ADM1 at 52, lat/long at 53/54).
 _ACTOR_FIELDS = ("Code", "Name", "CountryCode", "KnownGroupCode", "EthnicCode",
@@ -43,6 +44,15 @@ QUARANTINE = T.StructType(EVENTS_POSITIONAL.fields + [
     T.StructField("ingestion_date", T.StringType(), True),
 ])
 
+# What Bronze keeps of every delivered file, beside the verbatim copy of its rows.
+BRONZE_METADATA = T.StructType([
+    T.StructField("ingestion_ts", T.StringType(), True),
+    T.StructField("ingestion_date", T.StringType(), True),
+    T.StructField("source_file", T.StringType(), True),
+    T.StructField("source_system", T.StringType(), True),
+    T.StructField("rows", T.LongType(), True),
+])
+
 # --- Country-risk reference --------------------------------------------------
 REFERENCE_COLUMNS = ["country", "baseline_risk", "risk_multiplier", "updated_at"]
 # As delivered: read as text, typed by ``prepare_reference`` (ANSI-safe).

@@ -8,11 +8,15 @@ ingestion days present in the run, so re-running a day yields the same table
 and never touches other days; ``append`` adds rows; ``overwrite`` replaces the
 whole table.
 
-``replace`` is staged: the rows are written through Spark's commit protocol
-into a hidden ``_staging-*`` folder under the table root (readers skip
-``_``-prefixed folders), and only after that job has committed are the day
-folders swapped in by renames.  A job that fails while computing or writing
-leaves the table as it was; re-running the day finishes the work.
+Every mode is staged: the rows are written through Spark's commit protocol into
+a hidden ``_staging-*`` folder under the table root (readers skip ``_``-prefixed
+folders), and only after that job has committed do renames make them part of
+the table.  A job that fails while computing or writing leaves the table as it
+was.  The renames themselves are not one transaction: see
+``fs.swap_partitions`` for what readers can see and how a cut-off swap is undone.
+On stores where a rename copies (S3, GCS without hierarchical namespace) they
+cost a copy of the run's output, made by the driver's client; there a table
+format with its own commit (through ``write_table``) is the better sink.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from riskmart import fs
 from riskmart.sources.files import NO_QUOTE
@@ -28,20 +32,26 @@ from riskmart.sources.files import NO_QUOTE
 MODES = ("replace", "append", "overwrite")
 
 
+def staging_folder(root: str) -> str:
+    """A fresh hidden folder below the table root."""
+    return f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
+
+
 def replace_days(df: DataFrame, root: str, column: str, days: list[str],
                  write: Callable[[DataFrame, str], None]) -> list[str]:
     """Staged replace of the ``column=D`` folders of ``days`` (and of any other
     day the rows hold): ``write(df, staging)`` writes them partitioned by
     ``column``, then the folders are swapped in."""
-    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
+    staging = staging_folder(root)
     write(df, staging)
     return fs.swap_partitions(df.sparkSession, staging, root, column, days)
 
 
 def write_events_tsv(df: DataFrame, out: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
-    """SNK-1 / landing: tab-separated, no header, no quoting."""
+    """SNK-1 / landing: tab-separated, no header, no quoting, cells as they are."""
     w = (df.write.mode(mode).option("sep", "\t").option("header", "false")
-           .option("quote", NO_QUOTE).option("escape", NO_QUOTE))
+           .option("quote", NO_QUOTE).option("escape", NO_QUOTE)
+           .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
     if partition_by:
         w = w.partitionBy(partition_by)
     w.csv(out)
@@ -49,43 +59,60 @@ def write_events_tsv(df: DataFrame, out: str, partition_by: str | None = None, m
 
 def write_csv(df: DataFrame, out: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
     """SNK-2 / SNK-5: CSV with header."""
-    w = df.write.mode(mode).option("header", "true")
+    w = (df.write.mode(mode).option("header", "true")
+           .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
     if partition_by:
         w = w.partitionBy(partition_by)
     w.csv(out)
 
 
-def _write_layered(df: DataFrame, root: str, day_col: str, leaf_col: str, mode: str,
-                   days: list[str] | None, cluster_by: list[str]) -> list[str]:
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+def _stage(df: DataFrame, root: str, day_col: str, leaf_col: str, cluster_by: list[str]) -> str:
     # Cluster rows by partition folder so each task writes few files.  The
     # rebalance hint lets AQE split a folder holding a large share of the rows
     # over several tasks (several files) instead of one.  Rows are then sorted
     # inside each file for row-group min/max skipping.
-    out = (df.hint("rebalance", day_col, leaf_col)
-             .sortWithinPartitions(day_col, leaf_col, *cluster_by))
+    staging = staging_folder(root)
+    (df.hint("rebalance", day_col, leaf_col).sortWithinPartitions(day_col, leaf_col, *cluster_by)
+       .write.partitionBy(day_col, leaf_col).parquet(staging))
+    return staging
+
+
+def _commit(spark: SparkSession, staging: str, root: str, day_col: str, mode: str, days: list[str] | None) -> list[str]:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if mode == "append":
+        return fs.add_partitions(spark, staging, root, day_col)
+    gone = list(days or []) if mode == "replace" else fs.partition_values(spark, root, day_col)
+    return fs.swap_partitions(spark, staging, root, day_col, gone)
+
+
+def stage_silver(df: DataFrame, root: str) -> str:
+    """SNK-3: Silver rows in a hidden folder, laid out as the table."""
+    return _stage(df, root, "ingestion_date", "event_date", ["globaleventid"])
+
+
+def commit_silver(spark: SparkSession, staging: str, root: str, mode: str, days: list[str] | None) -> list[str]:
+    """SNK-8: staged Silver becomes part of the table; metadata operations only."""
+    return _commit(spark, staging, root, "ingestion_date", mode, days)
+
+
+def stage_gold(df: DataFrame, root: str) -> str:
+    """SNK-4 / SNK-7: partition by date, cluster by country and city."""
+    return _stage(df, root, "DTE_INGESTION", "DTE_EVENT", ["NAM_COUNTRY", "NAM_CITY"])
 
-    def parquet(frame: DataFrame, path: str, write_mode: str) -> None:
-        # "overwrite" means the whole target whatever the session's overwrite mode
-        (frame.write.mode(write_mode).option("partitionOverwriteMode", "static")
-              .partitionBy(day_col, leaf_col).parquet(path))
 
-    if mode == "replace":
-        # without a day list the days are those the staged write produced (no extra pass over the rows)
-        return replace_days(out, root, day_col, days or [], lambda frame, path: parquet(frame, path, "overwrite"))
-    parquet(out, root, mode)
-    return days or []
+def commit_gold(spark: SparkSession, staging: str, root: str, mode: str, days: list[str] | None) -> list[str]:
+    return _commit(spark, staging, root, "DTE_INGESTION", mode, days)
 
 
 def write_silver(df: DataFrame, root: str, mode: str = "replace", days: list[str] | None = None) -> list[str]:
-    """SNK-3 + SNK-8."""
-    return _write_layered(df, root, "ingestion_date", "event_date", mode, days, ["globaleventid"])
+    """SNK-3 + SNK-8; without a day list a replace takes the days the rows hold."""
+    return commit_silver(df.sparkSession, stage_silver(df, root), root, mode, days)
 
 
 def write_gold(df: DataFrame, root: str, mode: str = "replace", days: list[str] | None = None) -> list[str]:
-    """SNK-4 / SNK-7 + SNK-8: partition by date, cluster by country and city."""
-    return _write_layered(df, root, "DTE_INGESTION", "DTE_EVENT", mode, days, ["NAM_COUNTRY", "NAM_CITY"])
+    """SNK-4 / SNK-7 + SNK-8."""
+    return commit_gold(df.sparkSession, stage_gold(df, root), root, mode, days)
 
 
 def write_quarantine(df: DataFrame, root: str, days: list[str]) -> None:

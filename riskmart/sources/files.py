@@ -9,13 +9,13 @@ folders before any file is opened.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart import fs
 from riskmart import schemas as S
-from riskmart.functions.columns import lenient_double, lenient_integral
+from riskmart.functions.columns import check_ingestion_date, lenient_double, lenient_integral
 
 EVENT_FILE_GLOB = "*.{csv,tsv}"
 NO_QUOTE = "\u0000"  # the event feed has no quoting: a leading '"' is data
@@ -38,38 +38,40 @@ def events_reader(spark: SparkSession, named: bool = False, quote: str | None =
             .option("pathGlobFilter", EVENT_FILE_GLOB))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-split scan over the cluster's task slots.
-
-    A file whose rows sit in one indivisible unit (one Parquet row group, one
-    gzip file) is read by a single task, and all narrow work up to the first
-    shuffle (parsing, typing, the map side of dedup) then runs in that task.
-    When the scan yields fewer partitions than ``min_partitions`` (default:
-    the session's default parallelism) its rows are hash-partitioned on their
-    position in the scan: even shares, no hot partition even when many rows
-    are identical copies, no sort (unlike round-robin), and the same split
-    when a lost task re-reads its file.  A scan that is already split at
-    least that wide -- every large input -- is returned unchanged, so no
-    shuffle is added at scale.
-
-    ``df`` is a file scan, optionally with projections and filters: its
-    partition count is read off the planned scan and no job runs to decide.
-    (On a plan holding a shuffle, Spark would run the stages below it to
-    answer, so apply this right at the read.)
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Hash-partition the rows of a file scan on their position in it.
+
+    For inputs that one task would read alone (one Parquet row group, one gzip
+    file): even shares, no hot partition even when many rows are identical
+    copies, no sort, and the same split when a lost task re-reads its file.
+    It is a shuffle, so the caller decides.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, F.monotonically_increasing_id())
+    return df.repartition(partitions, F.monotonically_increasing_id())
+
+
+def is_day(column: str = "ingestion_date") -> Column:
+    """SRC-7: the landing folder is a valid ISO date."""
+    c = F.col(column)
+    return c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_date(c, "yyyy-MM-dd").isNotNull()
+
+
+def file_day(path: str) -> str:
+    """The ISO date of a delivered file's ``ingestion_date=`` folder."""
+    folder = path.rstrip("/").rsplit("/", 2)[-2] if "/" in path.rstrip("/") else ""
+    value = folder.removeprefix("ingestion_date=")
+    if folder == value:
+        raise ValueError(f"{path} stands in no ingestion_date folder: give the ingestion date")
+    return check_ingestion_date(value)
 
 
 def read_events(spark: SparkSession, path: str, named: bool = False,
                 ingestion_dates: list[str] | None = None) -> DataFrame:
-    """SRC-1/3/6/7: landing or Bronze events, optionally pruned to some days."""
+    """SRC-1/3/6/7: landing or Bronze events, optionally pruned to some days.
+    Folders that are no valid date are left out."""
     df = events_reader(spark, named=named).csv(path)
     if ingestion_dates is not None:
         df = df.where(F.col("ingestion_date").isin(list(ingestion_dates)))
-    return df
+    return df.where(is_day())
 
 
 def read_events_file(spark: SparkSession, path: str, named: bool = False) -> DataFrame:
@@ -110,6 +112,15 @@ def read_silver(spark: SparkSession, root: str, ingestion_dates: list[str] | Non
     return df.select(*S.SILVER_COLUMNS)
 
 
+def read_staged_silver(spark: SparkSession, staging: str) -> DataFrame:
+    """Silver rows a run has staged (a run without rows stages no folder)."""
+    return spark.read.schema(S.SILVER).parquet(staging).select(*S.SILVER_COLUMNS)
+
+
+def read_staged_gold(spark: SparkSession, staging: str) -> DataFrame:
+    return spark.read.schema(S.GOLD).parquet(staging).select(*S.GOLD_COLUMNS)
+
+
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(S.GOLD).parquet(root).select(*S.GOLD_COLUMNS)
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart import fs
 from riskmart import schemas as S
 
 # Fixed values of the adapter (documented in FIXTURES.md section 3).
@@ -27,6 +28,7 @@ REFERENCE_UPDATED_AT = "2024-01-20"
 OLD_REFERENCE_UPDATED_AT = "2023-12-15"
 REFERENCE_INGESTION_DATE = "2024-01-21"
 OLD_REFERENCE_INGESTION_DATE = "2023-12-16"
+REDELIVERED_GOLDSTEIN = "-9.5"
 
 
 # Observed schemas of the driver columns the adapter uses (FIXTURES.md section 2);
@@ -44,7 +46,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskmart.sources.files import spread
-    events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    # the driver's events table is one row group: one task would derive the whole feed
+    events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"),
+                    spark.sparkContext.defaultParallelism)
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     # TPC-H ``nation`` has exactly 25 rows at every scale factor (size bound by
     # specification), so it is broadcast without a runtime count.
@@ -109,12 +113,12 @@ def old_reference_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_fixture(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
     """Write the derived feed into a landing area laid out like production:
 
-    ``root/landing/events/ingestion_date=D/part-*.csv`` (tab-separated, one
-    folder per arrival day) and two reference deliveries under
+    ``root/landing/events/ingestion_date=D/events-<D>-<k>.csv`` (tab-separated,
+    one folder per arrival day) and two reference deliveries under
     ``root/landing/country_risk/ingestion_date=D/`` (an old and the current
     one).  Returns the two landing roots.
     """
-    from riskmart.sinks.writers import write_csv, write_events_tsv
+    from riskmart.sinks.writers import write_events_tsv
 
     r = root.rstrip("/")
     events_root, ref_root = f"{r}/landing/events", f"{r}/landing/country_risk"
@@ -122,6 +126,28 @@ def land_fixture(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
     landed = feed.withColumn("ingestion_date", F.date_format("ingest_day", "yyyy-MM-dd")).drop("ingest_day")
     # about one file per arrival day, as delivered (AQE still splits a very large day over several tasks)
     write_events_tsv(landed.hint("rebalance", "ingestion_date"), events_root, partition_by="ingestion_date")
+    for day in fs.partition_days(spark, events_root):
+        fs.name_files(spark, f"{events_root}/ingestion_date={day}", f"events-{day.replace('-', '')}", ".csv")
+    land_reference(spark, sf_dir, root)
+    return {"events": events_root, "reference": ref_root}
+
+
+def land_reference(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """The two reference deliveries of ``land_fixture``; returns their root."""
+    from riskmart.sinks.writers import write_csv
+
+    ref_root = f"{root.rstrip('/')}/landing/country_risk"
     write_csv(old_reference_feed(spark, sf_dir), f"{ref_root}/ingestion_date={OLD_REFERENCE_INGESTION_DATE}")
     write_csv(reference_feed(spark, sf_dir), f"{ref_root}/ingestion_date={REFERENCE_INGESTION_DATE}")
-    return {"events": events_root, "reference": ref_root}
+    return ref_root
+
+
+def land_redelivery(spark: SparkSession, sf_dir: str, root: str, day: str, later_day: str) -> None:
+    """A second delivery of one day's events with another Goldstein value: once into the
+    day's own folder (a new file there), once into a later day's folder."""
+    from riskmart.sinks.writers import write_events_tsv
+
+    feed = event_feed(spark, sf_dir, with_ingest_day=True).where(F.col("ingest_day") == F.lit(day).cast("date"))
+    changed = feed.drop("ingest_day").withColumn(S.POSITIONAL_NAMES[S.POS_GOLDSTEIN], F.lit(REDELIVERED_GOLDSTEIN))
+    for folder in (day, later_day):
+        write_events_tsv(changed, f"{root.rstrip('/')}/landing/events/ingestion_date={folder}", mode="append")

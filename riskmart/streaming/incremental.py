@@ -1,56 +1,73 @@
 """Incremental Silver: pick up newly landed event files exactly once.
 
-A file-source stream over the landing root (same schema, glob filter and
-partition discovery as the batch reader) feeds the stateless ``prepare``
-step, a watermark-bounded cross-file dedup and the stream-static enrichment
-join.  Progress and dedup state live in the checkpoint folder, so a restarted
-or re-run query only processes files it has not committed yet, and the file
-sink's commit log makes the output exactly-once.
-
-Watermark: on the arrival day (``ingestion_date``), not on the event date --
-event dates may be arbitrarily old and batch runs never drop them.  A copy of
-an event that arrives more than ``dedup_window`` after the first one is not
-recognised as a duplicate (state is bounded by the window); backfills of old
-days go through the batch path.
+A file-source stream over the landing root (same schema, glob filter and folder
+rule as the batch reader) feeds the stateless ``prepare`` step, a
+watermark-bounded cross-file dedup and the stream-static enrichment join.
+Progress and dedup state live in the checkpoint folder, so a restarted or
+re-run query only processes files it has not committed yet, and the file sink's
+commit log makes the output exactly-once.
+
+Dedup is per (ingestion day, event), as in a batch run; of copies in different
+files the one read first stays.  The watermark is on the time of the
+micro-batch that reads a row.  That time never runs backwards and is fixed in
+the checkpoint, so no row is ever late, whatever the order in which days land
+or files are read: the window only bounds how long an event is remembered.  A
+copy read more than ``window`` after the first is kept once more; a batch run of
+that day removes it.  As a safeguard, a run in which the engine reports rows
+dropped by the watermark fails.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart import schemas as S
-from riskmart.operators.silver import enrich, prepare, reference_dimension
-from riskmart.sources.files import EVENT_FILE_GLOB, NO_QUOTE
+from riskmart.operators.silver import DEDUP_KEYS, enrich, prepare, reference_dimension
+from riskmart.sources.files import EVENT_FILE_GLOB, NO_QUOTE, is_day
 
 DEFAULT_DEDUP_WINDOW = "2 days"
 
 
-def landing_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def landing_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None = None,
+                   max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """Newly landed files, oldest first.  A micro-batch takes everything there is, or as much
+    as one of the limits allows (bytes suit a large landing area, files a small one)."""
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("give one limit of a micro-batch, files or bytes")
     schema = T.StructType(S.EVENTS_POSITIONAL.fields + [T.StructField("ingestion_date", T.StringType(), True)])
     reader = (spark.readStream.schema(schema)
               .option("sep", "\t").option("header", "false").option("quote", NO_QUOTE)
               .option("pathGlobFilter", EVENT_FILE_GLOB))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(landing_root)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return reader.csv(landing_root).where(is_day())
 
 
 def dedup_stream(prepared: DataFrame, window: str = DEFAULT_DEDUP_WINDOW) -> DataFrame:
-    """STR-2: drop later copies of an event seen within ``window`` of arrival."""
-    stamped = prepared.withColumn("_arrival", F.col("ingestion_date").try_cast("date").cast("timestamp"))
-    return (stamped.withWatermark("_arrival", window)
-                   .dropDuplicatesWithinWatermark(["globaleventid"])
-                   .drop("_arrival"))
+    """STR-2: drop copies of an event of the same ingestion day read within ``window`` of the first."""
+    return (prepared.withColumn("_read_at", F.current_timestamp())
+                    .withWatermark("_read_at", window)
+                    .dropDuplicatesWithinWatermark(DEDUP_KEYS)
+                    .drop("_read_at"))
 
 
 def silver_stream(spark: SparkSession, landing_root: str, ref_raw: DataFrame | None, ingestion_ts: str,
-                  window: str = DEFAULT_DEDUP_WINDOW, max_files_per_trigger: int | None = None) -> DataFrame:
+                  window: str = DEFAULT_DEDUP_WINDOW, **limits) -> DataFrame:
     """STR-1: the streaming Silver plan (``ref_raw=None``: dedup step only)."""
-    raw = landing_stream(spark, landing_root, max_files_per_trigger)
+    raw = landing_stream(spark, landing_root, **limits)
     deduped = dedup_stream(prepare(raw, None, ingestion_ts), window)
-    return deduped if ref_raw is None else enrich(deduped, reference_dimension(ref_raw), ref_raw=ref_raw)
+    return deduped if ref_raw is None else enrich(deduped, reference_dimension(ref_raw))
+
+
+def late_rows(progress: list[dict]) -> int:
+    """Rows that the engine dropped for the watermark, over all micro-batches."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in progress for op in p.get("stateOperators", []))
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str,
@@ -78,6 +95,9 @@ def run_available(stream: DataFrame, out: str, checkpoint: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    dropped = late_rows([json.loads(p.json) if not isinstance(p, dict) else p for p in q.recentProgress])
+    if dropped:
+        raise RuntimeError(f"{dropped} rows were dropped as late; run their days as a batch")
 
 
 def read_stream_output(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:

@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from riskmart.plans import catalog
 
-KEYS = sorted(E.queries())
-ORACLE = E.oracle_sql()
+KEYS = sorted(catalog.QUERIES)
+ORACLE = catalog.ORACLE
 TABLES = ["nation", "events", "region"]
 
 
@@ -34,6 +35,7 @@ def duck(sf_small):
 
 def test_every_key_has_sql():
     assert set(ORACLE) == set(KEYS), set(KEYS) ^ set(ORACLE)
+    assert set(KEYS) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)

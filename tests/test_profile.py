@@ -6,9 +6,18 @@ import pytest
 from riskmart.operators.profile import describe
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 17])
-def test_describe_matches_numpy(spark, partitions):
-    rng = np.random.default_rng(partitions)
+@pytest.mark.parametrize("few,cuts", [(2000, 64), (1, 2), (5, 3), (1, 64)])
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_describe_matches_numpy(spark, few, cuts, reuse):
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        _check_describe(spark, few, cuts)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def _check_describe(spark, few, cuts):
+    rng = np.random.default_rng(few + cuts)
     n = 3000
     x = np.round(rng.normal(0, 5, n), 2)
     x[: n // 3] = 1.25                      # one value holds a third of the rows
@@ -16,7 +25,7 @@ def test_describe_matches_numpy(spark, partitions):
     labels = rng.choice(["a", "b", "c", None], n, p=[0.5, 0.3, 0.15, 0.05])
     rows = [(None if np.isnan(v) else float(v), lab) for v, lab in zip(x, labels)]
     df = spark.createDataFrame(rows, "x double, lab string").repartition(7)
-    out = {r.column_name: r for r in describe(df, ["x"], ["lab"], partitions=partitions).collect()}
+    out = {r.column_name: r for r in describe(df, ["x"], ["lab"], cuts=cuts, few=few).collect()}
     v = x[~np.isnan(x)]
     rx = out["x"]
     assert rx["count"] == len(v) and rx["unique"] == len(np.unique(v))
@@ -42,8 +51,9 @@ def test_describe_approximate_quartiles_within_rank_error(spark):
     exact = describe(df, ["x"], ["lab"]).collect()[0]
     accuracy = 200
     approx = describe(df, ["x"], ["lab"], approximate=True, accuracy=accuracy).collect()[0]
-    for c in ("count", "unique", "mean", "std", "min", "max"):
+    for c in ("count", "unique", "mean", "min", "max"):
         assert approx[c] == exact[c]
+    assert approx["std"] == pytest.approx(exact["std"])
     s = np.sort(x)
     for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
         v = approx[name]
@@ -51,3 +61,14 @@ def test_describe_approximate_quartiles_within_rank_error(spark):
         target = q * (n - 1)
         slack = n / accuracy + 1
         assert lo - slack <= target <= hi + slack
+
+
+@pytest.mark.parametrize("scale", [1e-9, 1e-6, 1.0, 1.2e9, 1e14])
+def test_describe_keeps_small_and_large_values(spark, scale):
+    v = [scale * (1 + i / 1000) for i in range(1000)]
+    df = spark.createDataFrame([(x, None) for x in v] * 20, "x double, empty string").repartition(4)
+    out = {r.column_name: r for r in describe(df, ["x"], ["empty"]).collect()}
+    x = out["x"]
+    assert x["count"] == 20_000 and x["mean"] == pytest.approx(np.mean(v)) and x["p50"] == pytest.approx(np.median(v))
+    assert x["std"] == pytest.approx(np.std(v * 20, ddof=1)) and x["min"] == v[0] and x["max"] == v[-1]
+    assert out["empty"]["count"] == out["empty"]["unique"] == 0 and out["empty"]["top"] is None

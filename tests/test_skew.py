@@ -6,7 +6,6 @@ from contextlib import redirect_stdout
 from pyspark.sql import functions as F
 
 from conftest import raw_rows
-from riskmart.operators import joins
 from riskmart.operators import quality as Q
 from riskmart.operators import silver as SV
 
@@ -40,26 +39,23 @@ def test_reject_accounting_with_null_flood(spark):
     assert got == {"missing_event_id": 1000, "accepted": 2001, "duplicate": 999}
 
 
-def test_reference_join_fallback_without_broadcast(spark):
+def test_reference_join_is_the_same_without_broadcast(spark):
     raw = _hot_feed(spark)
     ref = spark.createDataFrame([("FR", "0.5", "1.2", "2024-01-01"), ("MX", "0.6", "1.25", "2024-01-01")],
                                 "country string, baseline_risk string, risk_multiplier string, updated_at string")
     events = SV.dedup_events(SV.prepare(raw, "2024-01-06", "t"))
     dim = SV.reference_dimension(ref)
-    small = SV.enrich(events, dim, ref_raw=ref)
-    original = joins.MAX_BROADCAST_ROWS
+    small = sorted(map(tuple, SV.enrich(events, dim).collect()))
     auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        joins.MAX_BROADCAST_ROWS = 1          # the size check refuses ...
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # ... and so does Spark
-        big = SV.enrich(events, dim, ref_raw=ref)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        big = SV.enrich(events, dim)
         buf = io.StringIO()
         with redirect_stdout(buf):
             big.explain()
         assert "SortMergeJoin" in buf.getvalue()
-        assert big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
+        assert sorted(map(tuple, big.collect())) == small
     finally:
-        joins.MAX_BROADCAST_ROWS = original
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
 
 
@@ -78,21 +74,6 @@ def test_spread_splits_a_one_unit_scan_evenly(spark, sf_small):
     assert wide.count() == scan.count() + scan.count() // 2
 
 
-def test_spread_decides_without_running_a_job(spark, sf_small):
-    from riskmart.sources.files import spread
-    scan = spark.read.parquet(f"{sf_small}/events.parquet").select("event_id", "user_id")
-    tracker = spark.sparkContext.statusTracker()
-    before = set(tracker.getJobIdsForGroup(None))
-    spread(scan.where("event_id > 5"))
-    assert set(tracker.getJobIdsForGroup(None)) == before
-
-
-def test_spread_leaves_a_wide_scan_alone(spark):
-    from riskmart.sources.files import spread
-    df = spark.range(0, 1000, 1, 8)
-    assert spread(df, 4) is df
-
-
 def test_hot_partition_folder_is_written_by_several_tasks(spark, tmp_path):
     import os
     from riskmart.sinks import writers as W
@@ -129,8 +110,9 @@ def test_stream_dedup_with_a_hot_id_across_files_and_batches(spark, tmp_path):
     stream = ST.silver_stream(spark, root, None, "t", max_files_per_trigger=2)   # several micro-batches
     ST.run_available(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), state_partitions=4)
     out = ST.read_stream_output(spark, str(tmp_path / "out"), stream.schema)
-    assert out.where(F.col("globaleventid") == 7).count() == 1
-    assert out.count() == out.select("globaleventid").distinct().count() == 1 + 2000
+    # one row an ingestion day, as in a batch run
+    assert out.where(F.col("globaleventid") == 7).count() == 2
+    assert out.count() == out.select("ingestion_date", "globaleventid").distinct().count() == 2 * (1 + 2000)
 
 
 def test_gold_hot_group_matches_brute_force(spark):
