@@ -74,16 +74,21 @@ def planned(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS
             whole_rows: bool = False) -> DataFrame:
     """doc_id, size, source_size, target, repeats (whole repetitions, the sampled one included), taken;
     with ``whole_rows`` also ``_row``, the input row as a struct."""
-    row = [F.struct(*[docs[c] for c in docs.columns]).alias("_row")] if whole_rows else []
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *row)
-    targets = water_fill(stored(source_sizes(sized, weights), "mix-sources"), share, max_epochs)
+    order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+
+    def sized_rows(*more) -> DataFrame:
+        rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *more)
+        return rows.withColumn("_order", order).withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS))
+
+    # The texts are read once for their sizes; everything but whole rows goes on from there.
+    slim = stored(sized_rows(), "mix-sizes")
+    sized = sized_rows(F.struct(*[docs[c] for c in docs.columns]).alias("_row")) if whole_rows else slim
+    targets = water_fill(stored(source_sizes(slim, weights), "mix-sources"), share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.select(
         "source", "source_size", "target", whole.cast("long").alias("whole"),
         (F.col("target") - whole * F.col("source_size")).alias("rest"))
-    order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = sized.withColumn("_order", order).withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS))
-    slices = sized.groupBy("source", "_slice").agg(F.sum("size").alias("_sum"))
+    slices = slim.groupBy("source", "_slice").agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.select(F.col("source").alias("_source"), F.col("_slice").alias("_at"),
                            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
