@@ -176,22 +176,43 @@ def _counts(texts: DataFrame) -> DataFrame:
         run, "lang string, buckets array<int>, counts array<int>")
 
 
+def hashed_sample(rows: DataFrame, label: str, counts: dict, most: int, seed: int) -> DataFrame:
+    """At most ``most`` rows of each label, the same in every run: those of the smallest hash of doc_id.
+    A share by hash, four times too large, comes first, so that few rows meet to be ranked."""
+    share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4.0 * most / n))]), F.col(label))
+    place = F.xxhash64("doc_id", F.lit(seed))
+    near = rows.where(F.pmod(place, F.lit(1 << 20)) / float(1 << 20) < share)
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(F.pmod(place, F.lit(1 << 20)), place, "doc_id"))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
+
+
+def arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of an Arrow column as numpy arrays, without Python numbers."""
+    found = []
+    for chunk in column.chunks:
+        values = chunk.flatten().to_numpy(zero_copy_only=False)
+        cuts = np.concatenate([[0], np.cumsum(chunk.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        found += [values[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+    return found
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, seed: int = SEED) -> Model:
     """Learn from the non-null lang of ``docs``; the sample is bounded by per_language * languages rows."""
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    known = sorted(r[0] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-                   .orderBy(F.col("n").desc(), "lang").limit(languages).collect())
+    counts = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.col("n").desc(), "lang").limit(languages).collect()}
+    known = sorted(counts)
     if not known:
         return Model([], np.zeros((BUCKETS * len(LENGTHS), 0), np.float32), np.zeros(0), 1.0, 1.0)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id"))
-    chosen = labelled.where(F.col("lang").isin(known)).select("doc_id", "lang", place.alias("place")).where(
-        F.col("place") <= per_language).select("doc_id", "lang").distinct()
-    texts = labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
+    chosen = hashed_sample(labelled.where(F.col("lang").isin(known)).select("doc_id", "lang"), "lang", counts,
+                           per_language, seed).distinct()
+    # At most per_language * languages rows: small enough to go to every task, so that the texts stay where they are.
+    texts = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     # Ordered, so that a rerun trains on the same rows in the same order.
     rows = _counts(texts.select("lang", "text")).orderBy("lang", F.xxhash64("buckets", "counts")).limit(
         2 * per_language * len(known)).toArrow()
-    found = [(lang, np.array(b, np.int64), np.array(c, np.float64)) for lang, b, c in
-             zip(rows["lang"].to_pylist(), rows["buckets"].to_pylist(), rows["counts"].to_pylist())]
+    found = [(lang, b.astype(np.int64), c.astype(np.float64)) for lang, b, c in
+             zip(rows["lang"].to_pylist(), arrays(rows["buckets"]), arrays(rows["counts"]))]
     return train(found, known, seed)
 
 
