@@ -154,7 +154,7 @@ gold AS (
   SELECT event_date AS DTE_EVENT, country AS NAM_COUNTRY, city AS NAM_CITY,
          COUNT(*) AS CNT_EVENTS,
          {exact_avg('goldstein_scale')} AS NUM_GOLDSTEIN_AVG,
-         round({exact_sum('risk_weight_adj')} / COUNT(*) * 100, 2) AS NUM_RISK_SCORE,
+         round(round({exact_sum('risk_weight_adj')} / COUNT(*) * 100, 9), 2) AS NUM_RISK_SCORE,
          CAST(ingestion_date AS DATE) AS DTE_INGESTION
   FROM silver GROUP BY ingestion_date, event_date, country, city
 )
