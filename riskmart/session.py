@@ -8,11 +8,17 @@ cluster that setting must point at shared storage; only a local-mode session
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
+_SHIPPED: set[str] = set()
+
 
 def build_session(master: str = "local[8]", app_name: str = "riskmart",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
@@ -54,3 +60,19 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused folder under the shared root."""
     return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once an application and before a Python step
+    is planned.  A local master whose workers find it by their path needs nothing; otherwise
+    Spark hands it to every executor (``addPyFile``)."""
+    sc = spark.sparkContext
+    seen = {os.path.realpath(p or ".") for p in [".", *os.environ.get("PYTHONPATH", "").split(os.pathsep)]}
+    if sc.applicationId in _SHIPPED or (sc.master.startswith("local") and str(PACKAGE.parent) in seen):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskmart-code-"), f"{PACKAGE.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(PACKAGE.rglob("*.py")):
+            out.write(source, source.relative_to(PACKAGE.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
