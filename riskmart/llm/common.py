@@ -8,13 +8,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.session import new_work_dir
+from riskmart.session import new_work_dir, ship_package
 
 #: Bytes of text handled by one numpy step inside a task (a longer single text is one step of its own).
 CHUNK_BYTES = 1 << 21
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
