@@ -149,11 +149,16 @@ def name_files(spark: SparkSession, folder: str, stem: str, suffix: str) -> None
         _rename(fs, path(base, name), path(base, f"{stem}-{k}{suffix}"))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create (or replace) one small text file."""
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Create (or replace) one small file."""
     p, fs = _path_fs(spark, path)
     out = fs.create(p, True)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(content))
     finally:
         out.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create (or replace) one small text file."""
+    write_bytes(spark, path, text.encode("utf-8"))

@@ -8,6 +8,7 @@ cluster that setting must point at shared storage; only a local-mode session
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -16,6 +17,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from riskmart import fs
+
 PACKAGE = Path(__file__).resolve().parent
 _SHIPPED: set[str] = set()
 
@@ -65,14 +68,16 @@ def new_work_dir(spark: SparkSession, tag: str) -> str:
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package, once an application and before a Python step
     is planned.  A local master whose workers find it by their path needs nothing; otherwise
-    Spark hands it to every executor (``addPyFile``)."""
+    it is put into the shared folder, from which Spark hands it to every executor."""
     sc = spark.sparkContext
     seen = {os.path.realpath(p or ".") for p in [".", *os.environ.get("PYTHONPATH", "").split(os.pathsep)]}
     if sc.applicationId in _SHIPPED or (sc.master.startswith("local") and str(PACKAGE.parent) in seen):
         return
-    archive = os.path.join(tempfile.mkdtemp(prefix="riskmart-code-"), f"{PACKAGE.name}.zip")
-    with zipfile.ZipFile(archive, "w") as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for source in sorted(PACKAGE.rglob("*.py")):
             out.write(source, source.relative_to(PACKAGE.parent))
+    archive = f"{new_work_dir(spark, 'code')}/{PACKAGE.name}.zip"
+    fs.write_bytes(spark, archive, packed.getvalue())
     sc.addPyFile(archive)
     _SHIPPED.add(sc.applicationId)

@@ -208,3 +208,22 @@ def test_stream_loses_no_row_in_any_order_of_arrival(spark, sf_small, newest_fir
 def test_rows_dropped_as_late_are_an_error():
     progress = [{"stateOperators": [{"numRowsDroppedByWatermark": 2}]}, {"stateOperators": []}, {}]
     assert ST.late_rows(progress) == 2
+
+
+def test_workers_elsewhere_can_import_the_package(tmp_path):
+    """A session started in another folder, without the package on the workers' path."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from riskmart.session import build_session, ship_package
+from riskmart.functions.columns import check_ingestion_date
+spark = build_session(master="local[1]", shuffle_partitions=1)
+ship_package(spark)
+print("DAY", spark.sparkContext.parallelize(["2024-01-05"]).map(check_ingestion_date).collect())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert "DAY ['2024-01-05']" in done.stdout, done.stderr[-2000:]
