@@ -18,12 +18,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskmart.llm import toxicity as tox
-from riskmart.llm.common import stored, table
+from riskmart.llm.common import ready, stored, table
 from riskmart.llm.mixing import mixed
 from riskmart.llm.packing import packed
 from riskmart.llm.simhash import one_of_each
 from riskmart.llm.substrings import without_repeats
-from riskmart.session import ship_package
 
 #: Tokenizing and a trained classifier are not expressible in SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
@@ -37,22 +36,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    ready(spark)
     return one_of_each(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    ready(spark)
     return without_repeats(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    ready(spark)
     return mixed(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    ready(spark)
     return packed(docs)
 
 

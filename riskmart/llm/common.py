@@ -11,11 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from riskmart.session import new_work_dir, ship_package
 
 #: Bytes of text handled by one numpy step inside a task (a longer single text is one step of its own).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows of an Arrow batch, where the session has Spark's default: whole texts are long, and a
+#: batch is held several times, outside the heap of the JVM and in Python.
+BATCH_ROWS, DEFAULT_BATCH_ROWS = "1000", "10000"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ready(spark: SparkSession) -> None:
+    """Call before a Python step is planned: workers can import this package, and batches are small."""
     ship_package(spark)
+    if spark.conf.get(_BATCH_SETTING) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

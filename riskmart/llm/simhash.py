@@ -40,6 +40,8 @@ SEED = 42
 BLOCKS = 6
 #: Members of a group compared in one go.
 GROUP = 8192
+#: Rows of whole groups that a task compares at once (more if one group is larger).
+ROWS = 1 << 16
 #: Work items (a query against 64 members) in one numpy step.
 ITEMS = 8192
 
@@ -222,23 +224,26 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, group
     member = member.repartition("key").sortWithinPartitions("key", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held_fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out(key, fp):
             a, b = close_pairs(fp.view(np.uint64), key, radius)
             return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], ["u", "v"])
 
+        def joined():
+            return tuple(np.concatenate(parts) for parts in zip(*held))
+
         for batch in batches:
-            key = np.r_[held_key, batch.column(0).to_numpy(zero_copy_only=False)]
-            fp = np.r_[held_fp, batch.column(1).to_numpy(zero_copy_only=False)]
-            if not len(key):
+            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)))
+            if sum(len(key) for key, _ in held) < ROWS:
                 continue
+            key, fp = joined()
             cut = int(np.searchsorted(key, key[-1]))  # the last group may go on in the next batch
-            held_key, held_fp = key[cut:], fp[cut:]
+            held = [(key[cut:], fp[cut:])]
             if cut:
                 yield out(key[:cut], fp[:cut])
-        if len(held_key):
-            yield out(held_key, held_fp)
+        if held:
+            yield out(*joined())
 
     return member.select("key", "fp").mapInArrow(run, "u long, v long")
 
