@@ -10,7 +10,7 @@ whole; for the fractional rest its documents are put in a seeded order and
 taken until the rest is filled (the document at the border is in if at least
 half of it fits).  Running sums are made in two steps, over (source, slice of
 the seeded order) and then inside a slice, so that a source with a third of all
-rows is spread over ``SLICES`` groups.
+rows is spread over 16 ** SLICE_DIGITS groups.
 
 Cases: a null or blank text has size 0, target 0 if its source has no words,
 and is taken 0 times; a null source is a source of its own, last in order;
