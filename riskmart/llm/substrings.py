@@ -100,8 +100,9 @@ def _words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: int, n: in
     return b" ".join(data[starts[a]:ends[a + n - 1]].tobytes().split())
 
 
-def _packed(texts: DataFrame, window: int, inner: int) -> DataFrame:
-    """Super-k-mers of the minimisers listed in column ``wanted``."""
+def _packing(window: int, inner: int):
+    """Batches of (row, doc, text, wanted minimisers) to batches of (h, row, doc, place, words): the
+    packed super-k-mers of the wanted minimisers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = as_bytes(batch.column(2))
@@ -120,7 +121,7 @@ def _packed(texts: DataFrame, window: int, inner: int) -> DataFrame:
                     [pa.array(key), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(place),
                      pa.array(strings, pa.binary())], ["h", "row", "doc", "place", "words"])
 
-    return texts.mapInArrow(run, "h long, row long, doc long, place long, words binary")
+    return run
 
 
 def _member(text: np.ndarray, key: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -174,7 +175,7 @@ def bucket_spans(rows: list[tuple[int, int, int, bytes]], window: int = WINDOW)
     return out
 
 
-def _bucket_spans(packed: DataFrame, window: int) -> DataFrame:
+def _bucket_spans(texts: DataFrame, window: int, inner: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, bytes]] = []
         key = None
@@ -198,14 +199,17 @@ def _bucket_spans(packed: DataFrame, window: int) -> DataFrame:
             found += bucket_spans(held, window)
         yield flush(found)
 
+    packed = texts.mapInArrow(_packing(window, inner), "h long, row long, doc long, place long, words binary")
     sorted_ = packed.repartition("h").sortWithinPartitions("h")
     return sorted_.select("h", "row", "doc", "place", "words").mapInArrow(run, "row long, a long, b long")
 
 
-def _large_spans(packed: DataFrame, window: int) -> DataFrame:
+def _large_spans(texts: DataFrame, window: int, inner: int) -> DataFrame:
     """The same spans for minimisers above the bucket limit, by grouped minimum over window digests."""
+    packing = _packing(window, inner)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in packing(batches):  # in one Python step: a second one would be a second process a task
             rows, place, digest = [], [], []
             for i, (at, words) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
                 for j, w in enumerate(_windows(words, window)):
@@ -217,8 +221,7 @@ def _large_spans(packed: DataFrame, window: int) -> DataFrame:
                 [pa.array(digest, pa.binary()), batch.column(1).take(take), batch.column(2).take(take),
                  pa.array(place, pa.int64())], ["digest", "row", "doc", "place"])
 
-    digested = packed.select("h", "row", "doc", "place", "words").mapInArrow(
-        run, "digest binary, row long, doc long, place long")
+    digested = texts.mapInArrow(run, "digest binary, row long, doc long, place long")
     # One exchange, read by both sides below; a digest's rows are dealt over SALTS tasks.
     single = digested.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))).repartition("digest", "salt")
     parts = single.groupBy("digest", "salt").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
@@ -249,8 +252,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, inner: int = INNER, buck
     texts = keyed.repartition("row")  # both text passes use this one exchange
     asked = texts.join(wanted, "row")
     listed = lambda name: asked.where(F.size(name) > 0).select("row", "doc", "text", name)
-    found = _bucket_spans(_packed(listed("small"), window, inner), window).union(
-        _large_spans(_packed(listed("big"), window, inner), window))
+    found = _bucket_spans(listed("small"), window, inner).union(_large_spans(listed("big"), window, inner))
     cover = found.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
