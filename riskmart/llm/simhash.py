@@ -102,6 +102,10 @@ def close_pairs(fps: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tup
     word_of = np.repeat(word_base, sizes) + slot // 64
     planes = _planes(fps, word_of, slot % 64, int(words.sum()))
     last_word = np.repeat(word_base + words - 1, sizes)
+    # Lanes past a group's last member hold nobody, though their bits look like fingerprint zero.
+    empty = np.zeros(int(words.sum()), np.uint64)
+    ragged = sizes % 64 != 0
+    empty[(word_base + words - 1)[ragged]] = ~np.uint64(0) << (sizes[ragged] % 64).astype(np.uint64)
     # Work items: every member against its own lane word and the later ones of its group.
     reach = last_word - word_of + 1
     reach[(slot == np.repeat(sizes, sizes) - 1)] = 0  # the last member has nobody after it
@@ -115,7 +119,7 @@ def close_pairs(fps: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tup
         who = np.repeat(np.arange(at, upto), counts)
         step = np.arange(len(who)) - np.repeat(np.cumsum(counts) - counts, counts)
         word = word_of[who] + step
-        rows, near = _within(planes, word, fps[who], radius)
+        rows, near = _within(planes, empty, word, fps[who], radius)
         who, word, step = who[rows], word[rows], step[rows]
         own = step == 0  # in the own lane word only later lanes count
         lanes = (slot[who] % 64).astype(np.uint64)
@@ -147,12 +151,14 @@ def _planes(fps: np.ndarray, word: np.ndarray, lane: np.ndarray, n_words: int) -
     return out
 
 
-def _within(planes: np.ndarray, word: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(alive item rows, lanes within the radius as bits), counting with carry-save adders of enough bits."""
+def _within(planes: np.ndarray, empty: np.ndarray, word: np.ndarray, queries: np.ndarray,
+            radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(alive item rows, lanes within the radius as bits), counting with carry-save adders of enough bits.
+    ``empty``: the lanes of each word that are never within."""
     width = max(1, radius.bit_length())
     rows = np.arange(len(word))
     counters = [np.zeros(len(word), np.uint64) for _ in range(width)]
-    over = np.zeros(len(word), np.uint64)  # sticky: the counter ran past its bits
+    over = empty[word]  # sticky: the counter ran past its bits, or the lane is empty
     for k in range(64):
         spread = np.uint64(0) - ((queries >> np.uint64(k)) & np.uint64(1))
         carry = planes[k, word] ^ spread

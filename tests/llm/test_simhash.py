@@ -103,3 +103,17 @@ def test_bit_sliced_pairs_connect_like_brute_force(radius):
     assert all((fps[i] ^ fps[j]).bit_count() <= radius and group[i] == group[j] for i, j in zip(a, b))
     assert parts(want) == parts(list(zip(a.tolist(), b.tolist())))
     assert len(a) < len(fps)
+
+
+@pytest.mark.parametrize("size", [2, 63, 64, 65])
+def test_empty_lanes_are_nobody(size):
+    """Fingerprints 0 and 1 are within the radius of an empty lane, but not of other groups or of what lies past the end."""
+    far = [(0xFFFF << 40) ^ (i * 0x11111) for i in range(size - 2)]
+    fps, group = [], []
+    for g, members in enumerate([[2**60 - 1, 2**59 - 1], [0, 1, *far], [2**50 - 1, 2**49 - 1], [0, 1, *far]]):
+        fps += members
+        group += [g] * len(members)
+    a, b = S.close_pairs(np.array(fps, np.uint64), np.array(group), 4)
+    assert all((fps[i] ^ fps[j]).bit_count() <= 4 and group[i] == group[j] and i < j for i, j in zip(a.tolist(), b.tolist()))
+    firsts = [group.index(g) for g in range(4)]
+    assert {(i, i + 1) for i in firsts} <= set(zip(a.tolist(), b.tolist()))
