@@ -45,7 +45,7 @@ from riskmart.llm.common import stored, table
 
 GAMMA = 0.9
 LOW = 0.3
-#: Pages of a host that a path must stand on before statistics may remove it.
+#: Pages of a host that a path must stand on before statistics may remove it; a rarer one has importance 1.
 ENOUGH = 4
 
 #: Element names by role in HTML.
@@ -207,7 +207,8 @@ def with_host(pages: DataFrame, *columns: str) -> DataFrame:
 
 
 def tree(pages: DataFrame) -> DataFrame:
-    """The merged tree: (host, path, parent, pages, presentation, content) of paths on ``ENOUGH`` pages."""
+    """The merged tree: (host, path, parent, pages, presentation, content, own) of paths on ``ENOUGH`` pages.
+    ``own``: pages times rarer children that hold text; they count in their parent's importance."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[tuple, int] = {}
@@ -216,7 +217,13 @@ def tree(pages: DataFrame) -> DataFrame:
                     continue
                 page = Page(html)
                 # A feature counts once a page, whatever number of elements show it.
-                seen = {(host, e.path, 2, e.parent) for e in page.elements}
+                above = {e.path: e.parent for e in page.elements}
+                full: set[int] = set()  # branches that hold text
+                for path in {e.path for e, _ in page.blocks if e.prior}:
+                    while path in above and path not in full:
+                        full.add(path)
+                        path = above[path]
+                seen = {(host, path, 3 if path in full else 2, parent) for path, parent in above.items()}
                 seen |= {(host, e.path, 0, xxhash.xxh64_intdigest(" ".join(e.children)) >> 1) for e in page.elements}
                 seen |= {(host, e.path, 1, xxhash.xxh64_intdigest(text) >> 1) for e, text in page.blocks}
                 for key in seen:
@@ -232,20 +239,30 @@ def tree(pages: DataFrame) -> DataFrame:
     features = found.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"))
     n_log = F.col("n") * F.log("n")
     of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
+    element = F.col("kind") >= 2
     stats = features.groupBy("host", "path").agg(
-        of(2, F.col("n")).alias("pages"), F.max(F.when(F.col("kind") == 2, F.col("feature"))).alias("parent"),
-        of(0, F.col("n")).alias("shown"), of(0, n_log).alias("shown_log"),
-        of(1, F.col("n")).alias("said"), of(1, n_log).alias("said_log")).where(F.col("pages") >= ENOUGH)
+        F.sum(F.when(element, F.col("n"))).alias("pages"), F.max(F.when(element, F.col("feature"))).alias("parent"),
+        of(3, F.col("n")).alias("full"), of(0, F.col("n")).alias("shown"), of(0, n_log).alias("shown_log"),
+        of(1, F.col("n")).alias("said"), of(1, n_log).alias("said_log"))
+    # A rare path only leaves its pages with its parent: once more a sum, combined in the task.
+    often = F.col("pages") >= ENOUGH
+    numbers = ["parent", "pages", "shown", "shown_log", "said", "said_log"]
+    stats = stats.where(often | F.col("full").isNotNull()).select(
+        "host", F.when(often, F.col("path")).otherwise(F.col("parent")).alias("path"),
+        *[F.when(often, F.col(c)).alias(c) for c in numbers], F.when(~often, F.col("full")).alias("own"))
+    stats = stats.groupBy("host", "path").agg(*[F.max(c).alias(c) for c in numbers], F.coalesce(
+        F.sum("own"), F.lit(0)).alias("own")).where("pages IS NOT NULL")
     # Entropy of n_i / N is log N - sum(n_i log n_i) / N.
     base = F.log("pages")
     shown = (F.log("shown") - F.col("shown_log") / F.col("shown")) / base
     said = 1 - (F.col("said_log") / F.col("said")) / base
     return stats.select("host", "path", "parent", "pages", F.least(shown, F.lit(1.0)).alias("presentation"),
-                        F.greatest(said, F.lit(0.0)).alias("content"))
+                        F.greatest(said, F.lit(0.0)).alias("content"), "own")
 
 
 def importances(rows: pd.DataFrame) -> pd.Series:
-    """Of one host's paths, children before parents: the largest composite importance in the branch."""
+    """Of one host's paths, children before parents: the largest composite importance in the branch.
+    Children on too few pages (``own``, none if the column is missing) have importance 1."""
     at = {p: i for i, p in enumerate(rows["path"])}
     below: dict[int, list[int]] = {}
     depth = {}
@@ -266,15 +283,18 @@ def importances(rows: pd.DataFrame) -> pd.Series:
         below.setdefault(parent, []).append(at[p])
     out, branch = np.ones(len(rows)), np.ones(len(rows))
     pages, shown, said = (rows[c].to_numpy(float) for c in ("pages", "presentation", "content"))
+    own = rows["own"].to_numpy(float) if "own" in rows else np.zeros(len(rows))
     for p in sorted(at, key=lambda p: -depth[p]):
         i = at[p]
         parts = [(pages[j], out[j]) for j in below.get(p, [])]
         if not np.isnan(said[i]):
             parts.append((pages[i], said[i]))
+        if own[i]:
+            parts.append((own[i], 1.0))
         if parts:
             weight = sum(w for w, _ in parts)
             out[i] = (1 - GAMMA) * shown[i] + GAMMA * sum(w * x for w, x in parts) / weight
-        branch[i] = max([out[i], *(branch[j] for j in below.get(p, []))])
+        branch[i] = max([out[i], float(own[i] > 0), *(branch[j] for j in below.get(p, []))])
     return pd.Series(branch, rows.index)
 
 

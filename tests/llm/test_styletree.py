@@ -78,3 +78,12 @@ def test_importance_of_one_and_many(n):
     rows["content"] = [float("nan"), 0.0, 0.4]
     rows["presentation"] = [0.5, 0.0, 0.0]
     assert S.importances(rows).tolist() == pytest.approx([0.36, 0.0, 0.36])
+
+
+def test_page_own_elements_count_in_their_container(spark):
+    """The article stands in an element of one page only, beside a line that all pages share."""
+    text = lambda i: " ".join(f"word{i}x{k}" for k in range(30))
+    rows = [(i, f"http://a.example/{i}", f"<body><div class=date>day {i}</div><div class=box><p>Always the same line</p>"
+             f"<div id=post-{i}><p>{text(i)}</p></div></div><div class=legal><p>Same</p><p>And <a id=x{i}></a>same</p></div></body>")
+            for i in range(12)]
+    assert extract(spark, rows) == {i: f"day {i}\n{text(i)}" for i in range(12)}
