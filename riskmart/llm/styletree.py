@@ -11,15 +11,17 @@ with class and id, and the merged tree counts on how many pages a path occurs.
   (``GAMMA`` to the children), bottom up in the host's tree.
 
 Before that, each element has a prior from its own mark-up: menus, page headers,
-footers, sidebars, adverts, notices, forms, scripts, styles and comments have none;
-an article is protected, because copies of an article on one host are still an
-article; where a page marks its article, what stands outside has none either.
+footers, sidebars, adverts, notices, forms, scripts, styles and comments have none.
 Branches whose every element is below ``LOW`` are removed from each page, and the
-text of the remaining blocks is the main text.
+text of the remaining blocks is the main text.  Where a page marks its article,
+what stands outside goes too, and an article whose own branch is low keeps its text,
+because copies of an article on one host are still an article.  If important text
+outside is longer than all marked text, the marks mean something else (teasers),
+and the statistics decide alone.
 
 Pages are parsed twice; between the passes only path statistics move: one row
 per (host, path, feature), combined in the task first, and for the second pass
-one list of removed paths a host.  Hot hosts spread by feature.
+a list of removed and one of important paths a host.  Hot hosts spread by feature.
 
 Cases: null or empty html gives an empty text; a null or hostless url has a tree
 of its own page only (nothing removed by statistics); cut-off or wrongly nested
@@ -45,6 +47,8 @@ from riskmart.llm.common import stored, table
 
 GAMMA = 0.9
 LOW = 0.3
+#: Content importance from which on a text outside the marked article counts as important.
+HIGH = 0.5
 #: Pages of a host that a path must stand on before statistics may remove it; a rarer one has importance 1.
 ENOUGH = 4
 
@@ -55,6 +59,7 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary "
     "table tbody td tfoot th thead tr ul video audio canvas".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 NO_TEXT = frozenset("nav footer aside form head script style textarea title noscript template iframe svg math button select "
                     "dialog menu object audio video canvas datalist label input".split())
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
@@ -78,12 +83,14 @@ _NAME = re.compile(r"[a-z0-9_-]+")
 
 
 class Element:
-    """prior: may hold text by its mark-up; rank: 2 in an article, 1 in a main part; low: in a removed branch."""
+    """prior: may hold text by its mark-up; rank: 2 in an article, 1 in a main part; low: in a removed branch;
+    spared: in an article or main part that is low as a whole; rated: in an important branch."""
 
-    __slots__ = ("tag", "path", "parent", "prior", "rank", "low", "children")
+    __slots__ = ("tag", "path", "parent", "prior", "rank", "low", "spared", "rated", "children")
 
-    def __init__(self, tag, path, parent, prior, rank, low):
+    def __init__(self, tag, path, parent, prior, rank, low, spared, rated):
         self.tag, self.path, self.parent, self.prior, self.rank, self.low = tag, path, parent, prior, rank, low
+        self.spared, self.rated = spared, rated
         self.children: list[str] = []
 
 
@@ -105,11 +112,11 @@ def _label(tag: str, attributes: str) -> tuple[str, frozenset, str]:
 class Page:
     """One walk over a page: text blocks with their element, and every element's child sequence."""
 
-    def __init__(self, html: str, removed: frozenset = frozenset()):
+    def __init__(self, html: str, removed: frozenset = frozenset(), rated: frozenset = frozenset()):
         self.blocks: list[tuple[Element, str]] = []
         self.elements: list[Element] = []
-        self._removed = removed
-        self._stack = [Element("", 0, 0, True, 0, False)]
+        self._removed, self._rated = removed, rated
+        self._stack = [Element("", 0, 0, True, 0, False, False, False)]
         self._text: list[str] = []
         self._walk(html)
 
@@ -137,7 +144,10 @@ class Page:
             rank = 1
         prior = parent.prior and tag not in NO_TEXT and role not in NO_TEXT_ROLES and not names & NO_TEXT_NAMES \
             and not (tag == "header" and rank == 0)
-        element = Element(tag, path, parent.path, prior, rank, parent.low or path in self._removed)
+        low = parent.low or path in self._removed
+        spared = low if rank > parent.rank else parent.spared
+        rated = not low and (parent.rated or path in self._rated)
+        element = Element(tag, path, parent.path, prior, rank, low, spared, rated)
         parent.children.append(label)
         self.elements.append(element)
         return element
@@ -193,12 +203,20 @@ class Page:
 
     def text(self) -> str:
         """The blocks of the main text in page order."""
-        rank = max((e.rank for e, _ in self.blocks if e.prior), default=0)
-        kept = [(e, t) for e, t in self.blocks if e.prior and e.rank >= rank]
-        if rank == 0:
-            important = [(e, t) for e, t in kept if not e.low]
-            kept = important or kept
-        return "\n".join(t for _, t in kept)
+        return "\n".join(t for _, t in self._main([b for b in self.blocks if b[0].prior]))
+
+    @staticmethod
+    def _main(blocks: list[tuple[Element, str]]) -> list[tuple[Element, str]]:
+        rank = max((e.rank for e, _ in blocks), default=0)
+        marked = [(e, t) for e, t in blocks if e.rank >= rank]
+        if rank and _length(marked) >= _length([(e, t) for e, t in blocks if e.rank < rank and e.rated]):
+            important = [(e, t) for e, t in marked if e.spared or not e.low]
+            return important if any(e.tag not in HEADINGS for e, _ in important) else marked
+        return [(e, t) for e, t in blocks if not e.low] or blocks
+
+
+def _length(blocks: list[tuple[Element, str]]) -> int:
+    return sum(len(t) for _, t in blocks)
 
 
 def with_host(pages: DataFrame, *columns: str) -> DataFrame:
@@ -298,29 +316,33 @@ def importances(rows: pd.DataFrame) -> pd.Series:
     return pd.Series(branch, rows.index)
 
 
-def removed_paths(pages: DataFrame, low: float = LOW) -> DataFrame:
-    """(host, paths): the paths of a host whose whole branch is below ``low``."""
+def rated_paths(pages: DataFrame, low: float = LOW) -> DataFrame:
+    """(host, paths, rated): the paths of a host whose whole branch is below ``low``, and those that hold
+    important text themselves or in page-own children."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        score = importances(rows)
-        return pd.DataFrame({"host": [rows["host"].iat[0]], "paths": [rows["path"][score < low].tolist()]})
+        removed = importances(rows) < low
+        rated = ~removed & ((rows["content"] >= HIGH) | (rows["own"] > 0))
+        return pd.DataFrame({"host": [rows["host"].iat[0]], "paths": [rows["path"][removed].tolist()],
+                             "rated": [rows["path"][rated].tolist()]})
 
     # A group is a host's tree of paths on several pages: templates, not pages.
-    return tree(pages).groupBy("host").applyInPandas(run, "host string, paths array<long>").where(F.size("paths") > 0)
+    return tree(pages).groupBy("host").applyInPandas(run, "host string, paths array<long>, rated array<long>").where(
+        F.size("paths") + F.size("rated") > 0)
 
 
 def extracted(pages: DataFrame, low: float = LOW) -> DataFrame:
     """page_id, url, text of every page."""
-    removed = stored(removed_paths(pages, low), "style-tree")
-    asked = with_host(pages, "page_id", "url", "html").join(removed, "host", "left")
+    found = stored(rated_paths(pages, low), "style-tree")
+    asked = with_host(pages, "page_id", "url", "html").join(found, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [Page(html, frozenset(paths or ())).text() if html else ""
-                     for html, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts = [Page(html, frozenset(paths or ()), frozenset(rated or ())).text() if html else ""
+                     for html, paths, rated in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
-    return asked.select(F.col("page_id").cast("long"), "url", "html", "paths").mapInArrow(
+    return asked.select(F.col("page_id").cast("long"), "url", "html", "paths", "rated").mapInArrow(
         run, "page_id long, url string, text string")
 
 

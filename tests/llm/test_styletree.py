@@ -87,3 +87,15 @@ def test_page_own_elements_count_in_their_container(spark):
              f"<div id=post-{i}><p>{text(i)}</p></div></div><div class=legal><p>Same</p><p>And <a id=x{i}></a>same</p></div></body>")
             for i in range(12)]
     assert extract(spark, rows) == {i: f"day {i}\n{text(i)}" for i in range(12)}
+
+
+def test_statistics_decide_beside_the_marks(spark):
+    """Boilerplate inside an article goes; articles that are teasers do not replace the text; a copied article stays."""
+    text = lambda i: " ".join(f"word{i}x{k}" for k in range(30))
+    inside = "<body><main><article><h1>T {0}</h1><p>{1}</p><div class=c><p>Same on all pages</p></div></article></main></body>"
+    teaser = "<body><div class=c><h2>T {0}</h2><p>{1}</p></div><div class=d><article>One</article><article>Two</article></div></body>"
+    copied = "<body><div class=c>Visit {0}</div><article><h1>T</h1><p>the same article</p></article></body>"
+    rows = [(100 * k + i, f"http://{k}.example/{i}", html.format(i, text(i)))
+            for k, html in enumerate((inside, teaser, copied)) for i in range(12)]
+    want = {100 * k + i: f"T {i}\n{text(i)}" for k in (0, 1) for i in range(12)}
+    assert extract(spark, rows) == want | {200 + i: "T\nthe same article" for i in range(12)}
