@@ -17,7 +17,9 @@ text of the remaining blocks is the main text.  Where a page marks its article,
 what stands outside goes too, and an article whose own branch is low keeps its text,
 because copies of an article on one host are still an article.  If important text
 outside is longer than all marked text, the marks mean something else (teasers),
-and the statistics decide alone.
+and the statistics decide alone.  A form or a name such as menu above an article or
+main part (or, on a page without other text, above an important branch) shuts it out
+only where a page has another article or more text elsewhere.
 
 Pages are parsed twice; between the passes only path statistics move: one row
 per (host, path, feature), combined in the task first, and for the second pass
@@ -68,6 +70,10 @@ NO_TEXT_NAMES = frozenset(
     "breadcrumb breadcrumbs footer masthead topbar cookie cookies consent gdpr notice alert popup modal overlay newsletter "
     "subscribe subscription paywall signup login social share sharing related recommended comments comment commentlist "
     "disqus respond reply replies pagination pager toolbar widget skip".split())
+#: Of these, other people's words and adverts: an article inside them is no article of the page.
+FOREIGN_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion related recommended comments comment "
+    "commentlist disqus respond reply replies".split())
 ARTICLE_NAMES = frozenset("article-body articlebody article-content post-content post-body entry-content story-body".split())
 #: Start tags that end an open element of these names first.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -84,13 +90,15 @@ _NAME = re.compile(r"[a-z0-9_-]+")
 
 class Element:
     """prior: may hold text by its mark-up; rank: 2 in an article, 1 in a main part; low: in a removed branch;
-    spared: in an article or main part that is low as a whole; rated: in an important branch."""
+    spared: in an article or main part that is low as a whole; rated: in an important branch.
+    shut: without a prior for good; opened: without one only by a form or a name above, and since then 2 in an
+    article or main part, 1 in an important branch."""
 
-    __slots__ = ("tag", "path", "parent", "prior", "rank", "low", "spared", "rated", "children")
+    __slots__ = ("tag", "path", "parent", "prior", "rank", "low", "spared", "rated", "shut", "opened", "children")
 
-    def __init__(self, tag, path, parent, prior, rank, low, spared, rated):
+    def __init__(self, tag, path, parent, prior, rank, low, spared, rated, shut, opened):
         self.tag, self.path, self.parent, self.prior, self.rank, self.low = tag, path, parent, prior, rank, low
-        self.spared, self.rated = spared, rated
+        self.spared, self.rated, self.shut, self.opened = spared, rated, shut, opened
         self.children: list[str] = []
 
 
@@ -116,7 +124,7 @@ class Page:
         self.blocks: list[tuple[Element, str]] = []
         self.elements: list[Element] = []
         self._removed, self._rated = removed, rated
-        self._stack = [Element("", 0, 0, True, 0, False, False, False)]
+        self._stack = [Element("", 0, 0, True, 0, False, False, False, False, 0)]
         self._text: list[str] = []
         self._walk(html)
 
@@ -142,12 +150,17 @@ class Page:
             rank = 2
         elif rank == 0 and (tag == "main" or role == "main"):
             rank = 1
-        prior = parent.prior and tag not in NO_TEXT and role not in NO_TEXT_ROLES and not names & NO_TEXT_NAMES \
-            and not (tag == "header" and rank == 0)
+        kept_out = (tag in NO_TEXT and tag != "form") or (role in NO_TEXT_ROLES and role != "form") \
+            or bool(names & FOREIGN_NAMES) or (tag == "header" and rank == 0)
+        closed = kept_out or tag == "form" or role == "form" or bool(names & NO_TEXT_NAMES)
+        shut = parent.shut or kept_out
         low = parent.low or path in self._removed
         spared = low if rank > parent.rank else parent.spared
         rated = not low and (parent.rated or path in self._rated)
-        element = Element(tag, path, parent.path, prior, rank, low, spared, rated)
+        opened = 0
+        if not closed and not shut and not parent.prior:
+            opened = 2 if rank > parent.rank == 0 else parent.opened or int(path in self._rated)
+        element = Element(tag, path, parent.path, parent.prior and not closed, rank, low, spared, rated, shut, opened)
         parent.children.append(label)
         self.elements.append(element)
         return element
@@ -203,16 +216,25 @@ class Page:
 
     def text(self) -> str:
         """The blocks of the main text in page order."""
-        return "\n".join(t for _, t in self._main([b for b in self.blocks if b[0].prior]))
+        allowed = [b for b in self.blocks if b[0].prior]
+        kept = self._main(allowed)
+        # An article that a form or a name above it shut, on a page without another and longer than the rest.
+        opened = [b for b in self.blocks if b[0].opened == 2]
+        if not opened and not kept:
+            opened = [b for b in self.blocks if b[0].opened]
+        if all(e.rank == 0 for e, _ in allowed) and _length(opened) > _length(allowed):
+            chosen = {id(b) for b in kept + self._main(opened)}
+            kept = [b for b in self.blocks if id(b) in chosen]
+        return "\n".join(t for _, t in kept)
 
     @staticmethod
     def _main(blocks: list[tuple[Element, str]]) -> list[tuple[Element, str]]:
         rank = max((e.rank for e, _ in blocks), default=0)
-        marked = [(e, t) for e, t in blocks if e.rank >= rank]
-        if rank and _length(marked) >= _length([(e, t) for e, t in blocks if e.rank < rank and e.rated]):
-            important = [(e, t) for e, t in marked if e.spared or not e.low]
+        marked = [b for b in blocks if b[0].rank >= rank]
+        if rank and _length(marked) >= _length([b for b in blocks if b[0].rank < rank and b[0].rated]):
+            important = [b for b in marked if b[0].spared or not b[0].low]
             return important if any(e.tag not in HEADINGS for e, _ in important) else marked
-        return [(e, t) for e, t in blocks if not e.low] or blocks
+        return [b for b in blocks if not b[0].low] or blocks
 
 
 def _length(blocks: list[tuple[Element, str]]) -> int:
@@ -237,7 +259,7 @@ def tree(pages: DataFrame) -> DataFrame:
                 # A feature counts once a page, whatever number of elements show it.
                 above = {e.path: e.parent for e in page.elements}
                 full: set[int] = set()  # branches that hold text
-                for path in {e.path for e, _ in page.blocks if e.prior}:
+                for path in {e.path for e, _ in page.blocks if e.prior or e.opened}:
                     while path in above and path not in full:
                         full.add(path)
                         path = above[path]

@@ -99,3 +99,17 @@ def test_statistics_decide_beside_the_marks(spark):
             for k, html in enumerate((inside, teaser, copied)) for i in range(12)]
     want = {100 * k + i: f"T {i}\n{text(i)}" for k in (0, 1) for i in range(12)}
     assert extract(spark, rows) == want | {200 + i: "T\nthe same article" for i in range(12)}
+
+
+def test_text_below_a_form_or_name_opens_again(spark):
+    words = "the long text of the page"
+    pages = [f"<body class=login><div class=skip>to</div><article><h1>T</h1><p>{words}</p><div class=ad>Buy</div></article></body>",
+             f"<body><form><nav>m</nav><main><p>{words}</p></main></form></body>",
+             f"<body><p>text</p><p>{words}</p><div class=sidebar><article>teaser</article></div></body>",
+             f"<body><p>{words}</p><div class=comments><article>a comment {words}</article></div></body>",
+             f"<body><p>{words}</p><aside><article>aside {words}</article></aside></body>"]
+    rows = [(i, f"http://h{i}.example/", html) for i, html in enumerate(pages)]
+    rows += [(10 + i, f"http://f.example/{i}", f"<body><form><div class=c><p>{words} {i}</p></div><p class=d>Same</p></form></body>")
+             for i in range(12)]
+    want = {0: f"T\n{words}", 1: words, 2: f"text\n{words}", 3: words, 4: words}
+    assert extract(spark, rows) == want | {10 + i: f"{words} {i}" for i in range(12)}
