@@ -6,10 +6,11 @@ a length.  Embeddings and softmax are trained by stochastic gradient descent in
 numpy on a bounded sample of labelled rows; part of the sample is kept back to
 fit a temperature and the rejection level: the lowest confidence from which on
 the kept-back rows reach ``PRECISION``.  For prediction the embedding and the
-softmax matrix are multiplied once, so a text costs one table row per n-gram.
+softmax matrix are multiplied once, so a text costs one table row per n-gram;
+with more languages than dimensions they stay apart, so that rows stay short.
 
 The sample is drawn by a seeded hash of doc_id, at most ``PER_LANGUAGE`` rows a
-language; each row comes to the driver as n-gram counts (bounded by the number of
+language, of every language there is; each row comes to the driver as n-gram counts (bounded by the number of
 buckets), not as text.  Prediction reads whole texts and nothing but the text.
 
 Cases: a null text or one without a letter is ``und`` with score 0 and is rejected;
@@ -34,8 +35,8 @@ from riskmart.llm.common import LOWER, as_bytes, row_chunks, table
 LENGTHS = (3, 4)
 BUCKETS = 1 << 15
 DIMENSION = 16
-#: Bounds of the training sample.
-PER_LANGUAGE, LANGUAGES = 400, 256
+#: Rows of a language in the training sample. With more than LANGUAGES languages each gives fewer, down to FEWEST.
+PER_LANGUAGE, LANGUAGES, FEWEST = 400, 256, 100
 EPOCHS, BATCH, RATE = 6, 32, 0.5
 #: One row in so many of the sample is kept back for calibration.
 KEPT_BACK = 5
@@ -86,14 +87,15 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.n
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # one row a bucket: its share of the logits
+    table: np.ndarray  # one row a bucket: its share of the logits, or with a weight its embedding
     bias: np.ndarray
     temperature: float
     level: float
+    weight: np.ndarray | None = None
 
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = len(offsets) - 1
-        total, count = np.zeros((n, len(self.languages))), np.zeros(n)
+        total, count = np.zeros((n, self.table.shape[1])), np.zeros(n)
         for a, b in row_chunks(offsets, STEP_BYTES):
             part = data[offsets[a]:offsets[b]]
             for bucket, who in ngrams(part, offsets[a:b + 1] - offsets[a]):
@@ -101,7 +103,8 @@ class Model:
                     edges = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
                     total[a + who[edges]] += np.add.reduceat(self.table[bucket], edges, axis=0, dtype=np.float64)
                     count += np.bincount(who + a, minlength=n)
-        return total / np.maximum(count, 1)[:, None] + self.bias
+        mean = total / np.maximum(count, 1)[:, None]
+        return (mean if self.weight is None else mean @ self.weight) + self.bias
 
     def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return softmax(self.logits(data, offsets) / self.temperature)
@@ -144,8 +147,10 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], languages: list[str],
             for i, g in zip(batch, back_x):
                 # A mean over very many n-grams moves each a little; the step is scaled back up by their number.
                 embedding[rows[i][1]] -= rate * np.minimum(share[i] * 200, 1)[:, None] * g
-    folded = embedding @ weight
-    logits = lambda i: share[i] @ folded[rows[i][1]] + bias
+    apart = len(languages) > DIMENSION
+    folded = embedding if apart else embedding @ weight
+    mean = lambda i: share[i] @ folded[rows[i][1]]
+    logits = lambda i: (mean(i) @ weight if apart else mean(i)) + bias
     temperature, level = 1.0, 0.0
     if len(back):
         z, y = np.array([logits(i) for i in back]), target[back]
@@ -156,7 +161,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], languages: list[str],
         down = np.argsort(-sure)
         good = np.flatnonzero(np.cumsum(right[down]) / np.arange(1, len(down) + 1) >= PRECISION)
         level = float(sure[down[good[-1]]]) if len(good) else 1.0
-    return Model(languages, folded.astype(np.float32), bias, float(temperature), level)
+    return Model(languages, folded.astype(np.float32), bias, float(temperature), level, weight if apart else None)
 
 
 def _counts(texts: DataFrame) -> DataFrame:
@@ -197,16 +202,15 @@ def arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, seed: int = SEED) -> Model:
-    """Learn from the non-null lang of ``docs``; the sample is bounded by per_language * languages rows."""
+    """Learn every non-null lang of ``docs`` from at most per_language rows; beyond ``languages`` of them, from fewer rows each."""
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    counts = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.col("n").desc(), "lang").limit(languages).collect()}
+    counts = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     known = sorted(counts)
     if not known:
         return Model([], np.zeros((BUCKETS * len(LENGTHS), 0), np.float32), np.zeros(0), 1.0, 1.0)
-    chosen = hashed_sample(labelled.where(F.col("lang").isin(known)).select("doc_id", "lang"), "lang", counts,
-                           per_language, seed).distinct()
-    # At most per_language * languages rows: small enough to go to every task, so that the texts stay where they are.
+    per_language = min(per_language, max(FEWEST, per_language * languages // len(known)))
+    chosen = hashed_sample(labelled.select("doc_id", "lang"), "lang", counts, per_language, seed).distinct()
+    # At most per_language rows a language: small enough to go to every task, so that the texts stay where they are.
     texts = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     # Ordered, so that a rerun trains on the same rows in the same order.
     rows = _counts(texts.select("lang", "text")).orderBy("lang", F.xxhash64("buckets", "counts")).limit(
@@ -218,7 +222,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANG
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, accepted (the score reaches the calibrated level) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by buckets * languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by buckets * dimensions
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -70,3 +70,15 @@ def test_ngrams_stay_in_their_word_and_text():
         for i, t in enumerate(texts):
             alone = L.ngrams(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[k][0]
             assert joined[k][0][joined[k][1] == i].tolist() == alone.tolist()
+
+
+def test_every_language_is_learned(spark):
+    """Above the number of languages with full samples, and above that of the dimensions."""
+    assert L.fit(docs(spark, corpus(300)), languages=2).languages == ["de", "en", "fr"]
+    rng = random.Random(3)
+    stems = {f"l{k:02d}": [chr(97 + k) + a + b for a in "aeiou" for b in "nrs"] for k in range(20)}
+    rows = [(100 * k + i, " ".join(rng.choices(stems[lang], k=40)), lang) for k, lang in enumerate(stems) for i in range(40)]
+    model = L.fit(docs(spark, rows), languages=2)
+    out = L.predicted(docs(spark, rows), model).collect()
+    truth = {d: lang for d, _, lang in rows}
+    assert model.languages == sorted(stems) and sum(r.lang_pred == truth[r.doc_id] for r in out) >= 0.97 * len(rows)
