@@ -14,8 +14,8 @@ language, of every language there is; each row comes to the driver as n-gram cou
 buckets), not as text.  Prediction reads whole texts and nothing but the text.
 
 Cases: a null text or one without a letter is ``und`` with score 0 and is rejected;
-rows with a null lang, text or doc_id are not learned from; repeated rows count again in
-training; without any learnable row everything is ``und``; an empty table gives
+rows with a null lang, text or doc_id are not learned from; of rows that repeat a doc_id
+and lang one text is learned from; without any learnable row everything is ``und``; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -181,12 +181,14 @@ def _counts(texts: DataFrame) -> DataFrame:
         run, "lang string, buckets array<int>, counts array<int>")
 
 
-def hashed_sample(rows: DataFrame, label: str, counts: dict, most: int, seed: int) -> DataFrame:
+def hashed_sample(rows: DataFrame, label: str, counts: dict, most: int, seed: int, once: bool = False) -> DataFrame:
     """At most ``most`` rows of each label, the same in every run: those of the smallest hash of doc_id.
-    A share by hash, four times too large, comes first, so that few rows meet to be ranked."""
+    A share by hash, four times too large, comes first, so that few rows meet to be ranked.
+    ``once``: equal rows count as one (``counts`` too)."""
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4.0 * most / n))]), F.col(label))
     place = F.xxhash64("doc_id", F.lit(seed))
     near = rows.where(F.pmod(place, F.lit(1 << 20)) / float(1 << 20) < share)
+    near = near.distinct() if once else near
     rank = F.row_number().over(Window.partitionBy(label).orderBy(F.pmod(place, F.lit(1 << 20)), place, "doc_id"))
     return near.withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
 
@@ -204,17 +206,18 @@ def arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, seed: int = SEED) -> Model:
     """Learn every non-null lang of ``docs`` from at most per_language rows; beyond ``languages`` of them, from fewer rows each."""
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    counts = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Of doc_ids, not of rows: a much repeated one must not take the place of others.
+    counts = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
     known = sorted(counts)
     if not known:
         return Model([], np.zeros((BUCKETS * len(LENGTHS), 0), np.float32), np.zeros(0), 1.0, 1.0)
     per_language = min(per_language, max(FEWEST, per_language * languages // len(known)))
-    chosen = hashed_sample(labelled.select("doc_id", "lang"), "lang", counts, per_language, seed).distinct()
+    chosen = hashed_sample(labelled.select("doc_id", "lang"), "lang", counts, per_language, seed, once=True)
     # At most per_language rows a language: small enough to go to every task, so that the texts stay where they are.
     texts = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    texts = texts.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     # Ordered, so that a rerun trains on the same rows in the same order.
-    rows = _counts(texts.select("lang", "text")).orderBy("lang", F.xxhash64("buckets", "counts")).limit(
-        2 * per_language * len(known)).toArrow()
+    rows = _counts(texts.select("lang", "text")).orderBy("lang", F.xxhash64("buckets", "counts")).toArrow()
     found = [(lang, b.astype(np.int64), c.astype(np.float64)) for lang, b, c in
              zip(rows["lang"].to_pylist(), arrays(rows["buckets"]), arrays(rows["counts"]))]
     return train(found, known, seed)

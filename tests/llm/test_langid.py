@@ -82,3 +82,17 @@ def test_every_language_is_learned(spark):
     out = L.predicted(docs(spark, rows), model).collect()
     truth = {d: lang for d, _, lang in rows}
     assert model.languages == sorted(stems) and sum(r.lang_pred == truth[r.doc_id] for r in out) >= 0.97 * len(rows)
+
+
+def test_a_repeated_doc_id_leaves_the_others_in_the_sample(spark):
+    """Copies of one id neither fill the ranks of its own language nor the rows of those after it."""
+    rows = corpus(300)
+    hot = [(0, "ein ung schkeit", "de")] * 3000
+    seen = []
+    keep, L.train = L.train, lambda found, *a: seen.append(sorted(lang for lang, _, _ in found)) or keep(found, *a)
+    try:
+        for frame in (rows, rows + hot):
+            L.fit(docs(spark, [r for r in frame if r[0] or r in hot] + hot[:1]), per_language=50)
+    finally:
+        L.train = keep
+    assert seen[0] == seen[1] == ["de"] * 50 + ["en"] * 50 + ["fr"] * 50
