@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from riskmart.llm.langid import op4_langid
 from riskmart.llm.licenses import op6_licenses
+from riskmart.llm.manifest import OP11_SQL, op11_merkle
 from riskmart.llm.mixing import OP7_SQL, op7_mixing
 from riskmart.llm.packing import op2_packing
 from riskmart.llm.simhash import op1_simhash
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_toxicity": op9_toxicity,
     "op10_topk": op10_topk,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLE = {
     "op7_mixing": OP7_SQL,
     "op8_substrings": OP8_SQL,
     "op10_topk": OP10_SQL,
+    "op11_merkle": OP11_SQL,
 }
