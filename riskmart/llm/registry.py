@@ -13,6 +13,7 @@ from riskmart.llm.substrings import OP8_SQL, op8_substrings
 from riskmart.llm.syncmers import op5_syncmers
 from riskmart.llm.topk import OP10_SQL, op10_topk
 from riskmart.llm.toxicity import op9_toxicity
+from riskmart.llm.urlrules import op13_urls
 from riskmart.llm.whitening import op12_whitening
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_topk": op10_topk,
     "op11_merkle": op11_merkle,
     "op12_whitening": op12_whitening,
+    "op13_urls": op13_urls,
 }
 
 ORACLE = {
