@@ -1,14 +1,13 @@
 """Folder-level operations on any Hadoop-compatible store (HDFS, S3A, GCS, local).
 
 Used for the few things the DataFrame API does not cover: listing partition
-folders (so run days come from metadata, not from scanning data), swapping in
-the staged folders of the days a run replaces, and existence checks.  Goes through the
+folders (so run days come from metadata, not from scanning data), removing
+folders, and existence checks.  Goes through the
 session's Hadoop FileSystem via the JVM gateway, the usual PySpark way.
 """
 
 from __future__ import annotations
 
-import uuid
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -62,82 +61,14 @@ def _rename(fs, src, dst) -> None:
         raise OSError(f"could not move {src} to {dst}")
 
 
-def recover_partitions(spark: SparkSession, root: str) -> list[str]:
-    """Finish or undo a swap that was cut off: a folder set aside whose live
-    folder is missing goes back in place, the other set-aside folders go.
-    Returns the folder names put back.  Call it when no swap is running."""
-    jvm = spark.sparkContext._jvm
-    base, fs = _path_fs(spark, root)
-    back = []
-    for aside in [p for p in _children(fs, base) if p.getName().startswith("_old-")]:
-        for old in _children(fs, aside):
-            live = jvm.org.apache.hadoop.fs.Path(base, old.getName())
-            if not fs.exists(live):
-                _rename(fs, old, live)
-                back.append(old.getName())
-        fs.delete(aside, True)
-    return back
-
-
-def swap_partitions(spark: SparkSession, staging: str, root: str, column: str, values: list[str]) -> list[str]:
-    """Replace ``root/column=v`` by ``staging/column=v`` for every listed value
-    and every value present in ``staging``; a listed value with nothing staged
-    is removed.  Returns the values replaced.
-
-    A live folder is never deleted before its successor is in place: it is
-    renamed into a hidden ``_old-*`` folder, the staged one is renamed in, and the
-    hidden folder is deleted at the end.  If a rename fails, the folder is put
-    back and the error raised; if the driver dies in between, the next swap (or
-    ``recover_partitions``) puts it back.  Readers that list the table during a
-    swap can see some days old and some new, and for the moment between the two
-    renames a day missing."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    base, fs = _path_fs(spark, root)
-    fs.mkdirs(base)
-    recover_partitions(spark, root)
-    replaced = sorted(set(values) | set(partition_values(spark, staging, column)))
-    aside = path(base, f"_old-{uuid.uuid4().hex[:12]}")
-    fs.mkdirs(aside)
-    for v in replaced:
-        name = f"{column}={v}"
-        live, old, new = path(base, name), path(aside, name), path(staging.rstrip("/") + "/" + name)
-        had = fs.exists(live)
-        if had:
-            _rename(fs, live, old)
-        if fs.exists(new):
-            try:
-                _rename(fs, new, live)
-            except Exception:
-                if had:
-                    _rename(fs, old, live)
-                raise
-    fs.delete(aside, True)
-    fs.delete(path(staging), True)
-    return replaced
-
-
-def add_partitions(spark: SparkSession, staging: str, root: str, column: str) -> list[str]:
-    """Append the staged files: every file below ``staging/column=v`` is renamed
-    to the same folder below ``root`` (the writer's file names are unique)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
+def partition_folders(spark: SparkSession, root: str, column: str) -> list[tuple[str, str, int]]:
+    """(path, value, time of change in milliseconds) of the ``root/column=value`` sub-folders."""
     base, fs = _path_fs(spark, root)
-    values = partition_values(spark, staging, column)
-
-    def move(folder, target) -> None:
-        fs.mkdirs(target)
-        for st in fs.listStatus(folder):
-            child = st.getPath()
-            if st.isDirectory():
-                move(child, path(target, child.getName()))
-            elif not child.getName().startswith((".", "_")):
-                _rename(fs, child, path(target, child.getName()))
-
-    for v in values:
-        move(path(staging.rstrip("/") + f"/{column}={v}"), path(base, f"{column}={v}"))
-    fs.delete(path(staging), True)
-    return values
+    if not fs.exists(base):
+        return []
+    prefix = column + "="
+    return sorted((st.getPath().toString(), st.getPath().getName()[len(prefix):], st.getModificationTime())
+                  for st in fs.listStatus(base) if st.isDirectory() and st.getPath().getName().startswith(prefix))
 
 
 def name_files(spark: SparkSession, folder: str, stem: str, suffix: str) -> None:

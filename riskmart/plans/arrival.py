@@ -1,7 +1,7 @@
 """Runs started by what has landed.
 
-A file-source stream notices each delivered file once and notes its day; the
-noted days are then run as a whole (Bronze, Silver, Gold, staged replace), so a
+A file-source stream that delivers names only notices each delivered file once
+and notes its day, without opening it; the noted days are then run as a whole (Bronze, Silver, Gold, staged replace), so a
 new upload refreshes every layer and a call without new files runs nothing.  A
 note is taken away only after its day has been run: a call that dies in between
 is made up for by the next one.
@@ -15,16 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart import fs
-from riskmart.plans.runs import RunConfig, run
-from riskmart.sources.files import read_gold
-from riskmart.streaming.incremental import landing_stream
+from riskmart.plans.runs import RunConfig, read_gold, run
+from riskmart.streaming.incremental import landed_files
 
 
 def notice(spark: SparkSession, landing_events: str, checkpoint: str) -> list[str]:
     """Note the days of every file landed since the last call; returns all noted days."""
     root = checkpoint.rstrip("/")
-    # One short row for each landed row, written beside its day; only the folder names are read.
-    rows = landing_stream(spark, landing_events).select(F.col("ingestion_date").alias("day"), F.lit(1).alias("row"))
+    # One short row for each file, written beside its day; only the folder names are read.
+    rows = landed_files(spark, landing_events).select(F.col("ingestion_date").alias("day"), "path")
     query = (rows.writeStream.format("parquet").option("checkpointLocation", f"{root}/files")
              .partitionBy("day").trigger(availableNow=True).start(f"{root}/noted"))
     query.awaitTermination()
@@ -35,7 +34,7 @@ def run_arrived(spark: SparkSession, cfg: RunConfig, checkpoint: str) -> DataFra
     """Run the days that files have landed for since the last call; returns the stored Gold table."""
     days = notice(spark, cfg.landing_events, checkpoint)
     if not days:
-        return read_gold(spark, cfg.gold) if fs.exists(spark, cfg.gold) else None
+        return read_gold(spark, cfg) if fs.exists(spark, cfg.runs) else None
     gold = run(spark, replace(cfg, ingestion_dates=days))
     for day in days:
         fs.delete(spark, f"{checkpoint.rstrip('/')}/noted/day={day}")

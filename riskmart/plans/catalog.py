@@ -290,7 +290,7 @@ def _snk_bronze_events(spark, sf):
     W.write_events_tsv(padded.select(*POSITIONAL_NAMES, day), cfg.landing_events, partition_by="ingestion_date")
     FX.land_reference(spark, sf, root)
     P.bronze(spark, cfg)
-    return SRC.read_events(spark, cfg.bronze_events)
+    return SRC.read_bronze_events(spark, cfg.bronze_events, cfg.runs)
 
 
 @register("snk_bronze_reference", O.q(
@@ -299,7 +299,7 @@ def _snk_bronze_events(spark, sf):
 def _snk_bronze_reference(spark, sf):
     cfg = _run_cfg(spark, sf, "snk-bronze-ref")
     P.bronze(spark, cfg)
-    return SRC.read_reference(spark, cfg.bronze_reference, partitioned=True)
+    return SRC.read_bronze_reference(spark, cfg.bronze_reference, cfg.runs)
 
 
 @register("snk_bronze_metadata", O.q(
@@ -320,7 +320,7 @@ def _snk_bronze_metadata(spark, sf):
 def _snk_silver(spark, sf):
     cfg = _run_cfg(spark, sf, "snk-silver")
     P.silver_run(spark, cfg)
-    return SRC.read_silver(spark, cfg.silver)
+    return P.read_silver(spark, cfg)
 
 
 @register("snk_gold_table", O.q("SELECT * FROM gold"))
@@ -375,7 +375,7 @@ def _inc_backfill(spark, sf):
     cfg = _run_cfg(spark, sf, "backfill")
     P.backfill(spark, cfg, end="2024-01-15")
     gold_ = P.backfill(spark, cfg, start="2024-01-16")
-    return gold_.withColumn("bronze_rows", SRC.read_events(spark, cfg.bronze_events).agg(F.count(F.lit(1))).scalar())
+    return gold_.withColumn("bronze_rows", SRC.read_bronze_events(spark, cfg.bronze_events, cfg.runs).agg(F.count(F.lit(1))).scalar())
 
 
 @register("inc_append", O.q("SELECT * FROM gold UNION ALL SELECT * FROM gold", per_day=True))
@@ -590,10 +590,9 @@ QUARANTINE_REASON = ("CASE WHEN try_strptime(_c1, '%Y%m%d') IS NULL THEN 'missin
     f"SELECT * FROM (SELECT {FEED_COLS}, {QUARANTINE_REASON} AS reject_reason, "
     "strftime(ingest_day, '%Y-%m-%d') AS ingestion_date FROM feed) WHERE reject_reason IS NOT NULL"))
 def _dq_quarantine(spark, sf):
-    from riskmart import schemas as S
     cfg = _run_cfg(spark, sf, "dq-quarantine").with_quarantine()
     P.silver_run(spark, cfg)
-    return spark.read.schema(S.QUARANTINE).parquet(cfg.quarantine).select(*S.QUARANTINE.fieldNames())
+    return P.read_quarantine(spark, cfg)
 
 
 @register("dq_required_columns", O.q(" UNION ALL ".join((
@@ -621,17 +620,15 @@ def _stream_to_table(spark, sf, tag, with_reference: bool) -> DataFrame:
     root, paths = landed_anew(spark, sf, tag)
     ref = SRC.latest_reference(spark, paths["reference"]) if with_reference else None
     for start in (1, 2):
-        stream = ST.silver_stream(spark, paths["events"], ref, K.RUN_TS)
-        ST.run_available(stream, f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream",
-                         state_partitions=spark.sparkContext.defaultParallelism)
+        ST.run_available(spark, paths["events"], f"{root}/silver_stream", f"{root}/_checkpoints/silver_stream", K.RUN_TS, ref)
         if start == 1:
             FX.land_redelivery(spark, sf, root, K.REDELIVERED_DAY, K.REDELIVERY_DAY)
-    return ST.read_stream_output(spark, f"{root}/silver_stream", stream.schema)
+    return ST.read_stream_output(spark, f"{root}/silver_stream", S.SILVER if with_reference else ST.PREPARED)
 
 
 register("str_incremental_silver", O.q(f"SELECT {O.SILVER_SELECT} FROM silver", per_day=True,
                                        redelivered=(K.REDELIVERY_DAY,)))(
-    lambda spark, sf: _stream_to_table(spark, sf, "str-silver", True).select(*S.SILVER_COLUMNS))
+    lambda spark, sf: _stream_to_table(spark, sf, "str-silver", True))
 
 register("str_dedup", O.q("SELECT * FROM dedup", per_day=True, redelivered=(K.REDELIVERY_DAY,)))(
     lambda spark, sf: _stream_to_table(spark, sf, "str-dedup", False))

@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from riskmart.plans.arrival import run_arrived
 from riskmart.plans.runs import RunConfig, backfill, run
-from riskmart.sinks.writers import MODES
+from riskmart.sinks.register import MODES
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:

@@ -7,14 +7,16 @@ Gold grouped per ingestion), but all days of a run share one Spark job per
 layer.  The events feed is parsed once for Bronze and once for Silver (and once
 more for the quarantine, when asked for).
 
-Silver is staged, checked and read back; Gold is computed from exactly these
-rows, staged and checked too; only then do both become part of their tables.
-So a failed check or write changes neither table, and an appended Silver run
-never counts rows of earlier runs again.
+Every layer is written to folders of the run's own, checked and read back; Gold
+is computed from exactly the run's Silver rows.  One entry in the register,
+written last, shows all layers together (``sinks.register``): a run that fails,
+or is cut off anywhere before it, leaves the old Bronze, Silver and Gold in
+view, and runs that overlap in time never see or touch each other's rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
@@ -26,6 +28,7 @@ from riskmart import schemas as S
 from riskmart.operators import quality as Q
 from riskmart.operators import silver as SV
 from riskmart.operators.gold import gold
+from riskmart.sinks import register as REG
 from riskmart.sinks import writers as W
 from riskmart.sources import files as SRC
 
@@ -47,6 +50,7 @@ class RunConfig:
     check: bool = True                            # stop before a write that breaks a contract
     gold_csv: str | None = None                   # optional CSV export of the run's Gold rows
     quarantine: str | None = None                 # optional folder for rejected rows (as delivered)
+    register: str | None = None                   # where the runs of these tables are registered (default: with Gold)
 
     @staticmethod
     def under(root: str, **kw) -> "RunConfig":
@@ -55,6 +59,11 @@ class RunConfig:
                          bronze_events=f"{r}/bronze/events", bronze_reference=f"{r}/bronze/country_risk",
                          silver=f"{r}/silver/events", gold=f"{r}/gold/risk_events", **kw)
 
+    @property
+    def runs(self) -> str:
+        """The register of all layers; readers of Silver and Bronze need it, Gold finds it by itself."""
+        return self.register or REG.default_register(self.gold)
+
     @property
     def bronze_metadata(self) -> str:
         return self.bronze_events.rstrip("/") + "_metadata"
@@ -94,72 +103,126 @@ def _reference(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return SRC.latest_reference(spark, cfg.landing_reference)
 
 
-def bronze(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """PIP-1: as-delivered copies of the run's event files and the reference, and
-    beside them the metadata of every delivered file."""
+def _bronze_layers(spark: SparkSession, cfg: RunConfig, run: REG.Run) -> DataFrame:
+    """Write the as-delivered copies; returns the reference used."""
     days = _days(spark, cfg)
     events, ref = _events(spark, cfg, days), _reference(spark, cfg)
-    W.replace_days(events, cfg.bronze_events, "ingestion_date", days,
-                   lambda frame, path: W.write_events_tsv(frame, path, partition_by="ingestion_date"))
-    W.replace_days(Q.bronze_metadata(events, cfg.ingestion_ts), cfg.bronze_metadata, "ingestion_date", days,
-                   lambda frame, path: frame.write.partitionBy("ingestion_date").parquet(path))
+    W.write_events_tsv(events, run.folder(cfg.bronze_events), partition_by="ingestion_date")
+    W.run_parquet(Q.bronze_metadata(events, cfg.ingestion_ts), run, cfg.bronze_metadata)
     # one snapshot of the reference per run day (the day list is small)
     ref_out = ref.withColumn("ingestion_date", F.explode(F.array(*[F.lit(d) for d in days])))
-    W.replace_days(ref_out, cfg.bronze_reference, "ingestion_date", days,
-                   lambda frame, path: W.write_csv(frame, path, partition_by="ingestion_date"))
-    return events, ref
+    W.write_csv(ref_out, run.folder(cfg.bronze_reference), partition_by="ingestion_date")
+    for layer, root in (("bronze_events", cfg.bronze_events), ("bronze_metadata", cfg.bronze_metadata),
+                        ("bronze_reference", cfg.bronze_reference)):
+        run.note(layer, root, "ingestion_date", "replace", days)
+    return ref
 
 
-def read_bronze_metadata(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    return spark.read.schema(S.BRONZE_METADATA).parquet(cfg.bronze_metadata).select(*S.BRONZE_METADATA.fieldNames())
+def _silver_layer(spark: SparkSession, cfg: RunConfig, run: REG.Run, ref_raw: DataFrame | None) -> DataFrame:
+    """Write and check the run's Silver rows; returns them as written."""
+    days = _days(spark, cfg)
+    events = _events(spark, cfg, days)
+    out = SV.silver(events, ref_raw if ref_raw is not None else _reference(spark, cfg), None, cfg.ingestion_ts)
+    written = SRC.read_run(spark, W.run_silver(out, run, cfg.silver), S.SILVER)
+    _checked(written, "silver", cfg)
+    if cfg.quarantine:
+        W.run_parquet(Q.rejected_rows(events), run, cfg.quarantine)
+        run.note("quarantine", cfg.quarantine, "ingestion_date", "replace", days)
+    run.note("silver", cfg.silver, W.SILVER_DAY, cfg.mode_silver, days)
+    return written
+
+
+def _gold_layer(spark: SparkSession, cfg: RunConfig, run: REG.Run, silver_rows: DataFrame, days: list[str]) -> None:
+    """Write and check the Gold rows of ``silver_rows``."""
+    written = SRC.read_run(spark, W.run_gold(gold(silver_rows), run, cfg.gold), S.GOLD)
+    _checked(written, "gold", cfg)
+    if cfg.gold_csv:
+        W.write_csv(written, cfg.gold_csv)
+    run.note("gold", cfg.gold, W.GOLD_DAY, cfg.mode_gold, days)
 
 
-def _checked(df: DataFrame, layer: str, cfg: RunConfig) -> DataFrame:
+def _checked(df: DataFrame, layer: str, cfg: RunConfig) -> None:
     if cfg.check:
         Q.require(df, layer)
-    return df
 
 
-def _stage_silver(spark: SparkSession, cfg: RunConfig, ref_raw: DataFrame | None) -> tuple[str, list[str]]:
-    days = _days(spark, cfg)
-    events = _events(spark, cfg, days)
-    out = SV.silver(events, ref_raw if ref_raw is not None else _reference(spark, cfg), None, cfg.ingestion_ts)
-    staging = W.stage_silver(out, cfg.silver)
-    _checked(SRC.read_staged_silver(spark, staging), "silver", cfg)
-    if cfg.quarantine:
-        W.write_quarantine(Q.rejected_rows(events), cfg.quarantine, days)
-    return staging, days
+def steps(spark: SparkSession, cfg: RunConfig, layers: tuple[str, ...] = ("bronze", "silver", "gold")) -> Iterator[str]:
+    """A run step by step: the name of each step when it is done, ``shown`` last.  A step that fails removes the run's rows."""
+    run = REG.Run(spark, cfg.runs)
+    REG.check_mode(cfg.mode_silver, cfg.mode_gold)
+    try:
+        ref = None
+        if "bronze" in layers:
+            ref = _bronze_layers(spark, cfg, run)
+            yield "bronze"
+        if "silver" in layers:
+            rows = _silver_layer(spark, cfg, run, ref)
+            yield "silver"
+        if "gold" in layers:
+            # PIP-3: Gold of this run's Silver rows, whatever else the table holds.
+            _gold_layer(spark, cfg, run, rows, _days(spark, cfg))
+            yield "gold"
+        run.commit()
+    except Exception:
+        run.discard()
+        raise
+    yield "shown"
+
+
+def _finish(run_steps: Iterator[str]) -> None:
+    for _ in run_steps:
+        pass
+
+
+def bronze(spark: SparkSession, cfg: RunConfig) -> None:
+    """PIP-1: as-delivered copies of the run's event files and the reference, and
+    beside them the metadata of every delivered file."""
+    _finish(steps(spark, cfg, ("bronze",)))
+
+
+def read_bronze_metadata(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    return SRC.read_layer(spark, "bronze_metadata", cfg.bronze_metadata, S.BRONZE_METADATA, cfg.runs)
+
+
+def read_silver(spark: SparkSession, cfg: RunConfig, ingestion_dates: list[str] | None = None) -> DataFrame:
+    """Stored Silver, as of the same runs as the stored Gold."""
+    return SRC.read_silver(spark, cfg.silver, ingestion_dates, cfg.runs)
+
 
+def read_gold(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    return SRC.read_gold(spark, cfg.gold, cfg.runs)
 
-def silver_run(spark: SparkSession, cfg: RunConfig, ref_raw: DataFrame | None = None) -> list[str]:
+
+def read_quarantine(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    return SRC.read_layer(spark, "quarantine", cfg.quarantine, S.QUARANTINE, cfg.runs)
+
+
+def silver_run(spark: SparkSession, cfg: RunConfig) -> None:
     """PIP-2: landing -> Silver table."""
-    staging, days = _stage_silver(spark, cfg, ref_raw)
-    W.commit_silver(spark, staging, cfg.silver, cfg.mode_silver, days)
-    return days
+    _finish(steps(spark, cfg, ("silver",)))
 
 
 def run(spark: SparkSession, cfg: RunConfig, with_bronze: bool = True) -> DataFrame:
     """PIP-4: end to end; returns the stored Gold table."""
-    ref = bronze(spark, cfg)[1] if with_bronze else None
-    staged_silver, days = _stage_silver(spark, cfg, ref)
-    # PIP-3: Gold of this run's Silver rows, whatever else the table holds.
-    mart = gold(SRC.read_staged_silver(spark, staged_silver))
-    staged_gold = W.stage_gold(mart, cfg.gold)
-    run_gold = _checked(SRC.read_staged_gold(spark, staged_gold), "gold", cfg)
-    if cfg.gold_csv:
-        W.write_csv(run_gold, cfg.gold_csv)
-    W.commit_silver(spark, staged_silver, cfg.silver, cfg.mode_silver, days)
-    W.commit_gold(spark, staged_gold, cfg.gold, cfg.mode_gold, days)
-    return SRC.read_gold(spark, cfg.gold)
+    _finish(steps(spark, cfg, ("bronze", "silver", "gold") if with_bronze else ("silver", "gold")))
+    return read_gold(spark, cfg)
 
 
 def gold_run(spark: SparkSession, cfg: RunConfig, days: list[str]) -> DataFrame:
     """PIP-3 on its own: Gold of the stored Silver rows of ``days``."""
-    mart = gold(SRC.read_silver(spark, cfg.silver, ingestion_dates=days))
-    staging = W.stage_gold(mart, cfg.gold)
-    _checked(SRC.read_staged_gold(spark, staging), "gold", cfg)
-    W.commit_gold(spark, staging, cfg.gold, cfg.mode_gold, days)
-    return SRC.read_gold(spark, cfg.gold)
+    one = REG.Run(spark, cfg.runs)
+    try:
+        _gold_layer(spark, cfg, one, read_silver(spark, cfg, days), days)
+        one.commit()
+    except Exception:
+        one.discard()
+        raise
+    return read_gold(spark, cfg)
+
+
+def vacuum(spark: SparkSession, cfg: RunConfig, keep_hours: float = 24 * 7) -> list[str]:
+    """Remove rows that no reader sees any more; see ``sinks.register.vacuum``."""
+    return REG.vacuum(spark, cfg.runs, keep_hours)
 
 
 def backfill(spark: SparkSession, cfg: RunConfig, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -167,5 +230,5 @@ def backfill(spark: SparkSession, cfg: RunConfig, start: str | None = None, end:
     days = [d for d in landed_days(spark, cfg.landing_events)
             if (start is None or d >= start) and (end is None or d <= end)]
     if not days:
-        return SRC.read_gold(spark, cfg.gold) if fs.exists(spark, cfg.gold) else None
+        return read_gold(spark, cfg) if fs.exists(spark, cfg.runs) else None
     return run(spark, replace(cfg, ingestion_dates=days))

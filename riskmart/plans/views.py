@@ -14,8 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskmart.plans import runs as P
 from riskmart.plans.runs import RunConfig
-from riskmart.sources import files as SRC
 
 GOLD_VIEW = "risk_events"
 SILVER_VIEW = "silver_events"
@@ -27,6 +27,6 @@ def register_gold(gold: DataFrame, name: str = GOLD_VIEW) -> str:
 
 
 def register_views(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
-    SRC.read_gold(spark, cfg.gold).createOrReplaceTempView(GOLD_VIEW)
-    SRC.read_silver(spark, cfg.silver).createOrReplaceTempView(SILVER_VIEW)
+    P.read_gold(spark, cfg).createOrReplaceTempView(GOLD_VIEW)
+    P.read_silver(spark, cfg).createOrReplaceTempView(SILVER_VIEW)
     return {"gold": GOLD_VIEW, "silver": SILVER_VIEW}

@@ -2,49 +2,29 @@
 
 No writer funnels data through one task (no ``coalesce(1)``): files are
 written in parallel by the tasks that produced the rows.  Partitioned layers
-are laid out ``ingestion_date=D/event_date=E`` (Silver) and
-``DTE_INGESTION=D/DTE_EVENT=E`` (Gold).  ``replace`` mode rewrites exactly the
-ingestion days present in the run, so re-running a day yields the same table
-and never touches other days; ``append`` adds rows; ``overwrite`` replaces the
-whole table.
-
-Every mode is staged: the rows are written through Spark's commit protocol into
-a hidden ``_staging-*`` folder under the table root (readers skip ``_``-prefixed
-folders), and only after that job has committed do renames make them part of
-the table.  A job that fails while computing or writing leaves the table as it
-was.  The renames themselves are not one transaction: see
-``fs.swap_partitions`` for what readers can see and how a cut-off swap is undone.
-On stores where a rename copies (S3, GCS without hierarchical namespace) they
-cost a copy of the run's output, made by the driver's client; there a table
-format with its own commit (through ``write_table``) is the better sink.
+are laid out ``run=R/ingestion_date=D/event_date=E`` (Silver) and
+``run=R/DTE_INGESTION=D/DTE_EVENT=E`` (Gold).  A run writes below its own
+``run=R`` folders with ordinary Spark writes, and its entry in the register
+(``sinks.register``), written last, says for which days these rows show:
+``replace`` rewrites exactly the ingestion days of the run, so re-running a day
+yields the same table and never touches other days; ``append`` adds rows;
+``overwrite`` replaces the whole table.  Nothing is renamed or removed to make
+rows visible, on any store.
+
+Gold is range-partitioned on day, country and city, so that the files of a day
+hold ranges of countries that hardly overlap and Parquet's statistics skip the
+rest of them.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
-
-from riskmart import fs
+from riskmart.sinks.register import Run, check_mode, default_register
 from riskmart.sources.files import NO_QUOTE
 
-MODES = ("replace", "append", "overwrite")
-
-
-def staging_folder(root: str) -> str:
-    """A fresh hidden folder below the table root."""
-    return f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
-
-
-def replace_days(df: DataFrame, root: str, column: str, days: list[str],
-                 write: Callable[[DataFrame, str], None]) -> list[str]:
-    """Staged replace of the ``column=D`` folders of ``days`` (and of any other
-    day the rows hold): ``write(df, staging)`` writes them partitioned by
-    ``column``, then the folders are swapped in."""
-    staging = staging_folder(root)
-    write(df, staging)
-    return fs.swap_partitions(df.sparkSession, staging, root, column, days)
+SILVER_DAY, GOLD_DAY, LANDING_DAY = "ingestion_date", "DTE_INGESTION", "ingestion_date"
 
 
 def write_events_tsv(df: DataFrame, out: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
@@ -66,59 +46,59 @@ def write_csv(df: DataFrame, out: str, partition_by: str | None = None, mode: st
     w.csv(out)
 
 
-def _stage(df: DataFrame, root: str, day_col: str, leaf_col: str, cluster_by: list[str]) -> str:
-    # Cluster rows by partition folder so each task writes few files.  The
-    # rebalance hint lets AQE split a folder holding a large share of the rows
-    # over several tasks (several files) instead of one.  Rows are then sorted
-    # inside each file for row-group min/max skipping.
-    staging = staging_folder(root)
-    (df.hint("rebalance", day_col, leaf_col).sortWithinPartitions(day_col, leaf_col, *cluster_by)
-       .write.partitionBy(day_col, leaf_col).parquet(staging))
-    return staging
+def run_silver(df: DataFrame, run: Run, root: str) -> str:
+    """SNK-3: Silver rows in the run's folder, which is returned.
 
+    The rebalance hint clusters rows by partition folder, so that a task writes few files, and lets adaptive execution
+    split a folder that holds a large share of the rows over several tasks."""
+    folder = run.folder(root)
+    leaf = (SILVER_DAY, "event_date")
+    (df.hint("rebalance", *leaf).sortWithinPartitions(*leaf, "globaleventid").write.partitionBy(*leaf).parquet(folder))
+    return folder
 
-def _commit(spark: SparkSession, staging: str, root: str, day_col: str, mode: str, days: list[str] | None) -> list[str]:
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    if mode == "append":
-        return fs.add_partitions(spark, staging, root, day_col)
-    gone = list(days or []) if mode == "replace" else fs.partition_values(spark, root, day_col)
-    return fs.swap_partitions(spark, staging, root, day_col, gone)
 
+def run_gold(df: DataFrame, run: Run, root: str, files: int | None = None) -> str:
+    """SNK-4 / SNK-7: Gold rows in the run's folder, partitioned by date, clustered by country and city across files.
 
-def stage_silver(df: DataFrame, root: str) -> str:
-    """SNK-3: Silver rows in a hidden folder, laid out as the table."""
-    return _stage(df, root, "ingestion_date", "event_date", ["globaleventid"])
+    ``files`` fixes the number of ranges over the whole run; otherwise it follows from the session's partition count and
+    adaptive execution, which merges neighbouring ranges up to its advisory size."""
+    folder = run.folder(root)
+    leaf, cluster = (GOLD_DAY, "DTE_EVENT"), ("NAM_COUNTRY", "NAM_CITY")
+    spread = [*leaf, *cluster]
+    ranged = df.repartitionByRange(files, *spread) if files else df.repartitionByRange(*[F.col(c) for c in spread])
+    ranged.sortWithinPartitions(*spread).write.partitionBy(*leaf).parquet(folder)
+    return folder
 
 
-def commit_silver(spark: SparkSession, staging: str, root: str, mode: str, days: list[str] | None) -> list[str]:
-    """SNK-8: staged Silver becomes part of the table; metadata operations only."""
-    return _commit(spark, staging, root, "ingestion_date", mode, days)
+def run_parquet(df: DataFrame, run: Run, root: str, day_column: str = LANDING_DAY) -> str:
+    """Any other rows with a day, as Parquet in the run's folder."""
+    folder = run.folder(root)
+    df.hint("rebalance", day_column).write.partitionBy(day_column).parquet(folder)
+    return folder
 
 
-def stage_gold(df: DataFrame, root: str) -> str:
-    """SNK-4 / SNK-7: partition by date, cluster by country and city."""
-    return _stage(df, root, "DTE_INGESTION", "DTE_EVENT", ["NAM_COUNTRY", "NAM_CITY"])
-
-
-def commit_gold(spark: SparkSession, staging: str, root: str, mode: str, days: list[str] | None) -> list[str]:
-    return _commit(spark, staging, root, "DTE_INGESTION", mode, days)
+def _alone(layer: str, write, df: DataFrame, root: str, day_column: str, mode: str, days: list[str] | None, **options) -> list[str]:
+    """One layer as a run of its own, registered with the table."""
+    check_mode(mode)
+    run = Run(df.sparkSession, default_register(root))
+    try:
+        write(df, run, root, **options)
+        named = run.note(layer, root, day_column, mode, days)
+        run.commit()
+    except Exception:
+        run.discard()
+        raise
+    return named
 
 
 def write_silver(df: DataFrame, root: str, mode: str = "replace", days: list[str] | None = None) -> list[str]:
-    """SNK-3 + SNK-8; without a day list a replace takes the days the rows hold."""
-    return commit_silver(df.sparkSession, stage_silver(df, root), root, mode, days)
+    """SNK-3 + SNK-8; without a day list a replace takes the days the rows hold.  Returns the days named."""
+    return _alone("silver", run_silver, df, root, SILVER_DAY, mode, days)
 
 
-def write_gold(df: DataFrame, root: str, mode: str = "replace", days: list[str] | None = None) -> list[str]:
+def write_gold(df: DataFrame, root: str, mode: str = "replace", days: list[str] | None = None, files: int | None = None) -> list[str]:
     """SNK-4 / SNK-7 + SNK-8."""
-    return commit_gold(df.sparkSession, stage_gold(df, root), root, mode, days)
-
-
-def write_quarantine(df: DataFrame, root: str, days: list[str]) -> None:
-    """DQ-9: rejected rows as Parquet by ingestion day (replaces the run's days)."""
-    replace_days(df.hint("rebalance", "ingestion_date"), root, "ingestion_date", days,
-                 lambda frame, path: frame.write.mode("overwrite").partitionBy("ingestion_date").parquet(path))
+    return _alone("gold", run_gold, df, root, GOLD_DAY, mode, days, files=files)
 
 
 def write_table(df: DataFrame, fmt: str, options: dict[str, str] | None = None, mode: str = "append",

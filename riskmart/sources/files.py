@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from riskmart import fs
 from riskmart import schemas as S
 from riskmart.functions.columns import check_ingestion_date, lenient_double, lenient_integral
+from riskmart.sinks import register as REG
 
 EVENT_FILE_GLOB = "*.{csv,tsv}"
 NO_QUOTE = "\u0000"  # the event feed has no quoting: a leading '"' is data
@@ -81,9 +82,12 @@ def read_events_file(spark: SparkSession, path: str, named: bool = False) -> Dat
 
 def read_reference(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:
     """SRC-2: country-risk CSV with header, as text (typed by Silver)."""
-    schema = _with_partition(S.REFERENCE_RAW) if partitioned else S.REFERENCE_RAW
+    return _reference_reader(spark, _with_partition(S.REFERENCE_RAW) if partitioned else S.REFERENCE_RAW).csv(path)
+
+
+def _reference_reader(spark: SparkSession, schema: T.StructType):
     return (spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
-            .option("pathGlobFilter", "*.csv").csv(path))
+            .option("pathGlobFilter", "*.csv"))
 
 
 def latest_reference(spark: SparkSession, root: str) -> DataFrame:
@@ -105,24 +109,42 @@ def latest_reference(spark: SparkSession, root: str) -> DataFrame:
     return day.where(F.col("_file") == first_file).select(*S.REFERENCE_COLUMNS)
 
 
-def read_silver(spark: SparkSession, root: str, ingestion_dates: list[str] | None = None) -> DataFrame:
-    df = spark.read.schema(S.SILVER).parquet(root)
-    if ingestion_dates is not None:
-        df = df.where(F.col("ingestion_date").isin(list(ingestion_dates)))
-    return df.select(*S.SILVER_COLUMNS)
+def _registered(spark: SparkSession, layer: str, root: str, register: str | None, day_column: str, schema: T.StructType,
+                days: list[str] | None = None, load=None) -> DataFrame:
+    """The rows of a table that show (see ``sinks.register``), of some days or all."""
+    load = load or (lambda paths: spark.read.schema(schema).option("basePath", root).parquet(*paths))
+    return REG.read(spark, load, register or REG.default_register(root), layer, root, day_column, days,
+                    schema).select(*schema.fieldNames())
+
+
+def read_bronze_events(spark: SparkSession, root: str, register: str | None = None) -> DataFrame:
+    return _registered(spark, "bronze_events", root, register, "ingestion_date", _with_partition(S.EVENTS_POSITIONAL),
+                       load=lambda paths: events_reader(spark).option("basePath", root).csv(paths))
+
+
+def read_bronze_reference(spark: SparkSession, root: str, register: str | None = None) -> DataFrame:
+    return _registered(spark, "bronze_reference", root, register, "ingestion_date", _with_partition(S.REFERENCE_RAW),
+                       load=lambda paths: _reference_reader(spark, _with_partition(S.REFERENCE_RAW)).option("basePath", root).csv(paths))
+
+
+def read_layer(spark: SparkSession, layer: str, root: str, schema: T.StructType, register: str | None = None,
+               ingestion_dates: list[str] | None = None) -> DataFrame:
+    """Any other Parquet layer by ingestion day."""
+    return _registered(spark, layer, root, register, "ingestion_date", schema, ingestion_dates)
 
 
-def read_staged_silver(spark: SparkSession, staging: str) -> DataFrame:
-    """Silver rows a run has staged (a run without rows stages no folder)."""
-    return spark.read.schema(S.SILVER).parquet(staging).select(*S.SILVER_COLUMNS)
+def read_silver(spark: SparkSession, root: str, ingestion_dates: list[str] | None = None, register: str | None = None) -> DataFrame:
+    """Stored Silver; a run of several layers registers them together, so give its register (``RunConfig.runs``)."""
+    return _registered(spark, "silver", root, register, "ingestion_date", S.SILVER, ingestion_dates)
 
 
-def read_staged_gold(spark: SparkSession, staging: str) -> DataFrame:
-    return spark.read.schema(S.GOLD).parquet(staging).select(*S.GOLD_COLUMNS)
+def read_gold(spark: SparkSession, root: str, register: str | None = None, ingestion_dates: list[str] | None = None) -> DataFrame:
+    return _registered(spark, "gold", root, register, "DTE_INGESTION", S.GOLD, ingestion_dates)
 
 
-def read_gold(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(S.GOLD).parquet(root).select(*S.GOLD_COLUMNS)
+def read_run(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What a run has written so far, before it shows (a run without rows writes no day folder)."""
+    return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
 
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:

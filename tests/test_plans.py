@@ -43,10 +43,12 @@ def test_day_reads_prune_partitions(spark, sf_small):
     paths = FX.land_fixture(spark, sf_small, root)
     p = plan(SRC.read_events(spark, paths["events"], ingestion_dates=["2024-01-05"]), "simple")
     assert "PartitionFilters: [isnotnull(ingestion_date" in p and "2024-01-05" in p
-    cfg = P.RunConfig.under(root, ingestion_ts="t", ingestion_dates=["2024-01-05"])
+    cfg = P.RunConfig.under(root, ingestion_ts="t", ingestion_dates=["2024-01-05", "2024-01-06"])
     P.silver_run(spark, cfg)
-    p = plan(SRC.read_silver(spark, cfg.silver, ingestion_dates=["2024-01-05"]), "simple")
-    assert "PartitionFilters: [isnotnull(ingestion_date" in p
+    # the folders of other days are not even listed
+    files = P.read_silver(spark, cfg, ["2024-01-05"]).inputFiles()
+    assert files and all("ingestion_date=2024-01-05" in f for f in files)
+    assert len(P.read_silver(spark, cfg).inputFiles()) > len(files)
 
 
 def test_no_single_partition_window(spark, sf_small):

@@ -54,58 +54,16 @@ def test_bad_cells_do_not_end_a_run(spark):
     assert out[0].NUM_GOLDSTEIN_AVG == pytest.approx((1e14 + 1e-7 + 2.5) / 3)
 
 
-# --- staged writes -------------------------------------------------------------
-class _Stub:
-    """Fails the n-th rename."""
-
-    def __init__(self, monkeypatch, n):
-        self.left, real = n, fs._rename
-
-        def rename(f, src, dst):
-            self.left -= 1
-            if self.left == 0:
-                raise OSError("rename refused")
-            real(f, src, dst)
-        monkeypatch.setattr(fs, "_rename", rename)
-
-
-@pytest.mark.parametrize("n", [1, 2, 3, 4])
-def test_a_failing_rename_loses_no_day(spark, sf_small, monkeypatch, n):
-    out = new_work_dir(spark, "swap") + "/t"
-    frame = lambda v: spark.createDataFrame([(d, "2024-01-01", i, v) for d in ("2024-01-02", "2024-01-03") for i in range(3)],
-                                            "ingestion_date string, event_date string, globaleventid long, v int")
-    W.write_silver(frame(1), out)
-    with monkeypatch.context() as patch:
-        _Stub(patch, n)
-        with pytest.raises(OSError):
-            W.write_silver(frame(2), out)
-    assert spark.read.parquet(out).groupBy("ingestion_date").count().count() == 2
-    W.write_silver(frame(3), out)
-    assert {r.v for r in spark.read.parquet(out).collect()} == {3} and spark.read.parquet(out).count() == 6
-    assert not [x for x in os.listdir(local(out)) if x.startswith("_old")]
-
-
-def test_a_cut_off_swap_is_recovered(spark):
-    out = new_work_dir(spark, "recover") + "/t"
-    W.write_silver(spark.createDataFrame([("2024-01-02", "2024-01-01", 1)],
-                                         "ingestion_date string, event_date string, globaleventid long"), out)
-    root = local(out)
-    os.makedirs(f"{root}/_old-dead")
-    os.rename(f"{root}/ingestion_date=2024-01-02", f"{root}/_old-dead/ingestion_date=2024-01-02")
-    assert fs.recover_partitions(spark, out) == ["ingestion_date=2024-01-02"]
-    assert spark.read.parquet(out).count() == 1
-
-
+# --- modes and contracts --------------------------------------------------------
 def test_appended_runs_count_their_own_rows(spark, sf_small):
     root = new_work_dir(spark, "append")
     FX.land_fixture(spark, sf_small, root)
     cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS, ingestion_dates=["2024-01-05"], mode_silver="append", mode_gold="append")
     once = P.run(spark, cfg).agg(F.sum("CNT_EVENTS")).first()[0]
     assert P.run(spark, cfg).agg(F.sum("CNT_EVENTS")).first()[0] == 2 * once
-    assert SRC.read_silver(spark, cfg.silver).count() == 2 * once
+    assert P.read_silver(spark, cfg).count() == 2 * once
 
 
-# --- contracts -------------------------------------------------------------------
 def test_a_broken_contract_stops_the_write(spark, sf_small, monkeypatch):
     root = new_work_dir(spark, "contract")
     FX.land_fixture(spark, sf_small, root)
@@ -117,7 +75,7 @@ def test_a_broken_contract_stops_the_write(spark, sf_small, monkeypatch):
         "CNT_EVENTS", F.when(F.col("CNT_EVENTS") < 0, F.col("CNT_EVENTS"))))
     with pytest.raises(Q.ContractError, match="CNT_EVENTS_not_null"):
         P.run(spark, cfg)
-    silver_rows = SRC.read_silver(spark, cfg.silver).count()
+    silver_rows = P.read_silver(spark, cfg).count()
     assert sorted(map(tuple, SRC.read_gold(spark, cfg.gold).collect())) == before and silver_rows > 0
 
 
@@ -139,7 +97,7 @@ def test_bronze_is_as_delivered_with_utc_metadata(spark, tmp_path):
         meta = P.read_bronze_metadata(spark, cfg).collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    assert SRC.read_events(spark, cfg.bronze_events).first()["_c50"] == "  Paris , F "
+    assert SRC.read_bronze_events(spark, cfg.bronze_events, cfg.runs).first()["_c50"] == "  Paris , F "
     assert [(m.source_file, m.source_system, m.rows) for m in meta] == [("delivered.csv", "gdelt", 1)]
     assert abs(time.time() - time.mktime(time.strptime(meta[0].ingestion_ts, "%Y-%m-%dT%H:%M:%SZ")) + time.timezone) < 3600
 
@@ -151,7 +109,7 @@ def test_cli_runs_one_file_with_a_chosen_reference(spark, sf_small):
     one = f"{root}/landing/events/ingestion_date=2024-01-05/events-20240105-0.csv"
     out = cli.main(["--root", root, "--ingestion-ts", K.RUN_TS, "--events-file", one, "--reference-file", old], spark=spark)
     assert {str(r.DTE_INGESTION) for r in out.collect()} == {"2024-01-05"}
-    used = SRC.read_silver(spark, f"{root}/silver/events").where("updated_at IS NOT NULL").select("updated_at").distinct().collect()
+    used = P.read_silver(spark, P.RunConfig.under(root)).where("updated_at IS NOT NULL").select("updated_at").distinct().collect()
     assert [r[0] for r in used] == [FX.OLD_REFERENCE_UPDATED_AT]
     with pytest.raises(ValueError):
         cli.main(["--root", root, "--events-file", "loose.csv"], spark=spark)
@@ -177,10 +135,9 @@ def test_folders_that_are_no_date_are_left_out(spark, tmp_path):
         (tmp_path / f"ingestion_date={folder}").mkdir()
         (tmp_path / f"ingestion_date={folder}" / "e.csv").write_text(line)
     assert [r.ingestion_date for r in SRC.read_events(spark, str(tmp_path)).collect()] == ["2024-01-05"]
-    stream = ST.silver_stream(spark, str(tmp_path), None, "t")
     out = new_work_dir(spark, "dates")
-    ST.run_available(stream, f"{out}/o", f"{out}/c")
-    assert ST.read_stream_output(spark, f"{out}/o", stream.schema).count() == 1
+    ST.run_available(spark, str(tmp_path), f"{out}/o", f"{out}/c", "t")
+    assert ST.read_stream_output(spark, f"{out}/o", ST.PREPARED).count() == 1
 
 
 # --- streams -----------------------------------------------------------------------
@@ -196,18 +153,78 @@ def test_stream_loses_no_row_in_any_order_of_arrival(spark, sf_small, newest_fir
     for k, day in enumerate(d for d in days if d.startswith("ingestion_date=")):
         for name in os.listdir(f"{base}/{day}"):
             os.utime(f"{base}/{day}/{name}", (1_700_000_000 + 60 * k,) * 2)
-    stream = ST.silver_stream(spark, f"{root}/landing/events", None, "t", max_files_per_trigger=24)
-    ST.run_available(stream, f"{root}/out", f"{root}/ckpt", state_partitions=2)
+    ST.run_available(spark, f"{root}/landing/events", f"{root}/out", f"{root}/ckpt", "t", max_files_per_trigger=24)
     from riskmart.operators.silver import dedup_events, prepare
     batch = dedup_events(prepare(SRC.read_events(spark, f"{root}/landing/events"), None, "t"))
-    streamed = ST.read_stream_output(spark, f"{root}/out", stream.schema)
+    streamed = ST.read_stream_output(spark, f"{root}/out", ST.PREPARED)
     key = lambda df: sorted(map(tuple, df.select("ingestion_date", "globaleventid", "event_date").collect()))
     assert key(streamed) == key(batch)
 
 
-def test_rows_dropped_as_late_are_an_error():
-    progress = [{"stateOperators": [{"numRowsDroppedByWatermark": 2}]}, {"stateOperators": []}, {}]
-    assert ST.late_rows(progress) == 2
+def _line(event, day="20240104", city="A"):
+    cells = [str(event), day] + [""] * 56
+    cells[50], cells[51] = city, "fr"
+    return "\t".join(cells) + "\n"
+
+
+def test_a_copy_is_dropped_however_late_it_comes(spark, tmp_path, monkeypatch):
+    """Nothing in the stream depends on the time of the run: no watermark, no state, the stored keys decide."""
+    day = tmp_path / "in" / "ingestion_date=2024-01-05"
+    day.mkdir(parents=True)
+    (day / "a.csv").write_text(_line(1) + _line(2) + _line(2, city="B"))
+    out, ckpt = new_work_dir(spark, "late"), new_work_dir(spark, "late-ckpt")
+    ST.run_available(spark, str(tmp_path / "in"), out, ckpt, "first")
+    assert not fs.exists(spark, f"{ckpt}/state")
+    years = time.time() + 5 * 365 * 86400
+    monkeypatch.setattr(time, "time", lambda: years)
+    (day / "b.csv").write_text(_line(1, city="C") + _line(3, city="C"))
+    os.utime(day / "b.csv", (years, years))              # landed years after
+    other = tmp_path / "in" / "ingestion_date=2024-01-06"
+    other.mkdir()
+    (other / "c.csv").write_text(_line(1, city="D"))     # another ingestion: kept
+    ST.run_available(spark, str(tmp_path / "in"), out, ckpt, "second")
+    rows = sorted((r.ingestion_date, r.globaleventid, r.city, r.ingestion_ts) for r in ST.read_stream_output(spark, out, ST.PREPARED).collect())
+    assert rows == [("2024-01-05", 1, "A", "first"), ("2024-01-05", 2, "A", "first"), ("2024-01-05", 3, "C", "second"),
+                    ("2024-01-06", 1, "D", "second")]
+
+
+def test_a_repeated_micro_batch_stores_the_same_rows(spark, tmp_path):
+    """A crash after the write and before the checkpoint: Spark hands over the batch once more."""
+    from riskmart.operators.silver import prepare
+    day = tmp_path / "ingestion_date=2024-01-05"
+    day.mkdir()
+    (day / "a.csv").write_text(_line(1) + _line(2))
+    (day / "b.csv").write_text(_line(2, city="Z") + _line(4))
+    first, second = (prepare(SRC.read_events(spark, f"{tmp_path}").where(f"_metadata.file_name = '{n}.csv'"), None, "t") for n in "ab")
+    out = new_work_dir(spark, "again")
+    for frame, batch in ((first, "q-0"), (first, "q-0"), (second, "q-1"), (second, "q-1"), (second, "q-1")):
+        ST.add_batch(frame, out, batch)
+    rows = sorted((r.globaleventid, r.city) for r in ST.read_stream_output(spark, out, ST.PREPARED).collect())
+    assert rows == [(1, "A"), (2, "A"), (4, "A")]
+
+
+def test_stored_keys_read_the_days_of_the_batch_only(spark, tmp_path):
+    from riskmart.operators.silver import prepare
+    for d in ("2024-01-05", "2024-01-06", "2024-01-07"):
+        (tmp_path / f"ingestion_date={d}").mkdir()
+        (tmp_path / f"ingestion_date={d}" / "a.csv").write_text(_line(1))
+    out = new_work_dir(spark, "pruned")
+    ST.add_batch(prepare(SRC.read_events(spark, str(tmp_path)), None, "t"), out, "q-0")
+    keys = ST.stored_keys(spark, out, ["2024-01-06", "2024-02-01"], "q-1")
+    assert [tuple(r) for r in keys.collect()] == [("2024-01-06", 1)]
+    assert all("ingestion_date=2024-01-06" in f for f in keys.inputFiles())
+    assert "ReadSchema: struct<globaleventid:bigint>" in keys._jdf.queryExecution().toString()
+
+
+def test_arrivals_are_noticed_without_opening_files(spark, tmp_path):
+    (tmp_path / "ingestion_date=2024-01-05").mkdir()
+    (tmp_path / "ingestion_date=2024-01-05" / "a.csv").write_text(_line(1))
+    files = ST.landed_files(spark, str(tmp_path))
+    query = files.writeStream.format("memory").queryName("arrivals").trigger(availableNow=True).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False) or ""
+    assert spark.table("arrivals").count() == 1
+    assert "binaryFile" in plan and "content" not in plan.split("ReadSchema:")[1].split("\n")[0] and "csv" not in plan.lower().replace("a.csv", "")
 
 
 def test_workers_elsewhere_can_import_the_package(tmp_path):

@@ -91,7 +91,7 @@ def test_hot_partition_folder_is_written_by_several_tasks(spark, tmp_path):
         W.write_silver(df, str(tmp_path / "silver"), mode="replace")
     finally:
         spark.conf.set(key, previous)
-    folder = tmp_path / "silver" / "ingestion_date=2024-01-06" / "event_date=2024-01-02"
+    folder = next((tmp_path / "silver").glob("run=*")) / "ingestion_date=2024-01-06" / "event_date=2024-01-02"
     files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
     assert len(files) > 1
     back = spark.read.parquet(str(tmp_path / "silver"))
@@ -107,9 +107,8 @@ def test_stream_dedup_with_a_hot_id_across_files_and_batches(spark, tmp_path):
                   .repartition(6))
     root = str(tmp_path / "landing")
     W.write_events_tsv(landed, root, partition_by="ingestion_date")
-    stream = ST.silver_stream(spark, root, None, "t", max_files_per_trigger=2)   # several micro-batches
-    ST.run_available(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), state_partitions=4)
-    out = ST.read_stream_output(spark, str(tmp_path / "out"), stream.schema)
+    ST.run_available(spark, root, str(tmp_path / "out"), str(tmp_path / "ckpt"), "t", max_files_per_trigger=2)   # several micro-batches
+    out = ST.read_stream_output(spark, str(tmp_path / "out"), ST.PREPARED)
     # one row an ingestion day, as in a batch run
     assert out.where(F.col("globaleventid") == 7).count() == 2
     assert out.count() == out.select("ingestion_date", "globaleventid").distinct().count() == 2 * (1 + 2000)
