@@ -6,7 +6,7 @@ used as scalar subqueries: no unpartitioned window, no join, no driver round tri
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskmart.functions.columns import RISK_LEVEL_UNKNOWN, risk_level
@@ -87,12 +87,40 @@ def score_correlation(gold: DataFrame) -> DataFrame:
                                 F.lit(1))).alias("pairs"))
 
 
+NULL_COUNTS = "dataset string, column_name string, null_count bigint, total_rows bigint"
+
+
+def _null_aggregates(columns: list[str]) -> list[Column]:
+    """Rows, and values per column: a plain count is half the work of counting nulls."""
+    return [F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)]]
+
+
 def null_counts(df: DataFrame, dataset: str) -> DataFrame:
-    """AGG-16/18: nulls per column and the row count of one input, one pass, most nulls first."""
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
-    long = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_count"))
-                               for i, c in enumerate(df.columns)]))
-    return (counts.select(long.alias("x"), F.col("_rows").alias("total_rows"))
-                  .select(F.lit(dataset).alias("dataset"), "x.column_name", "x.null_count", "total_rows")
-                  .orderBy(F.col("null_count").desc(), F.col("column_name").asc()))
+    """AGG-16/18: nulls per column and the row count of one input: one aggregate, most nulls first."""
+    counts = df.agg(*_null_aggregates(df.columns))
+    # ordered inside its one row: no sort exchange
+    long = F.array_sort(F.array(*[F.struct(F.col(f"_n{i}").alias("o"), F.lit(c).alias("column_name"),
+                                           (F.col("_rows") - F.col(f"_n{i}")).alias("null_count"))
+                                  for i, c in enumerate(df.columns)]))
+    return (counts.select(F.explode(long).alias("x"), F.col("_rows").alias("total_rows"))
+                  .select(F.lit(dataset).alias("dataset"), "x.column_name", "x.null_count", "total_rows"))
+
+
+class NullCounts:
+    """AGG-16/18 beside a job that reads the rows anyway: observed metrics, no scan of their own.
+
+    Put ``observed(df)`` where ``df`` would be written or aggregated (in the job's last stage, so that no row is
+    seen twice), and take ``rows()`` after the action.  ``names`` are the reported names of ``columns``."""
+
+    def __init__(self, dataset: str, columns: list[str], names: list[str] | None = None):
+        self.dataset, self.columns, self.names = dataset, columns, names or columns
+        self._observation = Observation()
+
+    def observed(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._observation, *_null_aggregates(self.columns))
+
+    def rows(self) -> list[tuple[str, str, int, int]]:
+        """(dataset, column_name, null_count, total_rows), most nulls first."""
+        found = self._observation.get
+        out = [(self.dataset, name, found["_rows"] - found[f"_n{i}"], found["_rows"]) for i, name in enumerate(self.names)]
+        return sorted(out, key=lambda r: (-r[2], r[1]))

@@ -27,6 +27,7 @@ from riskmart import fs
 from riskmart import schemas as S
 from riskmart.operators import quality as Q
 from riskmart.operators import silver as SV
+from riskmart.operators.analysis import NULL_COUNTS, NullCounts
 from riskmart.operators.gold import gold
 from riskmart.sinks import register as REG
 from riskmart.sinks import writers as W
@@ -50,6 +51,7 @@ class RunConfig:
     check: bool = True                            # stop before a write that breaks a contract
     gold_csv: str | None = None                   # optional CSV export of the run's Gold rows
     quarantine: str | None = None                 # optional folder for rejected rows (as delivered)
+    profile: str | None = None                    # optional folder for the null counts of a run's inputs and mart
     register: str | None = None                   # where the runs of these tables are registered (default: with Gold)
 
     @staticmethod
@@ -68,6 +70,10 @@ class RunConfig:
     def bronze_metadata(self) -> str:
         return self.bronze_events.rstrip("/") + "_metadata"
 
+    def with_profile(self) -> "RunConfig":
+        """Same run, also keeping the null counts of its inputs and mart under ``<silver>/../profile``."""
+        return replace(self, profile=self.silver.rstrip("/").rsplit("/", 1)[0] + "/profile")
+
     def with_quarantine(self) -> "RunConfig":
         """Same run, also keeping rejected rows under ``<silver>/../quarantine``."""
         base = self.silver.rstrip("/").rsplit("/", 1)[0]
@@ -103,14 +109,21 @@ def _reference(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return SRC.latest_reference(spark, cfg.landing_reference)
 
 
-def _bronze_layers(spark: SparkSession, cfg: RunConfig, run: REG.Run) -> DataFrame:
-    """Write the as-delivered copies; returns the reference used."""
+def _bronze_layers(spark: SparkSession, cfg: RunConfig, run: REG.Run, counts: list[NullCounts]) -> DataFrame:
+    """Write the as-delivered copies; returns the reference used, and adds to ``counts`` what was counted on the way."""
     days = _days(spark, cfg)
     events, ref = _events(spark, cfg, days), _reference(spark, cfg)
-    W.write_events_tsv(events, run.folder(cfg.bronze_events), partition_by="ingestion_date")
+    copied, copied_ref = events, ref
+    if cfg.profile:
+        # The copies read every cell anyway: the counts ride on the write.
+        of_events = NullCounts("events", S.POSITIONAL_NAMES, S.EVENT_COLUMN_NAMES)
+        of_reference = NullCounts("country_risk", S.REFERENCE_COLUMNS)
+        copied, copied_ref = of_events.observed(events), of_reference.observed(ref)
+        counts += [of_events, of_reference]
+    W.write_events_tsv(copied, run.folder(cfg.bronze_events), partition_by="ingestion_date")
     W.run_parquet(Q.bronze_metadata(events, cfg.ingestion_ts), run, cfg.bronze_metadata)
     # one snapshot of the reference per run day (the day list is small)
-    ref_out = ref.withColumn("ingestion_date", F.explode(F.array(*[F.lit(d) for d in days])))
+    ref_out = copied_ref.withColumn("ingestion_date", F.explode(F.array(*[F.lit(d) for d in days])))
     W.write_csv(ref_out, run.folder(cfg.bronze_reference), partition_by="ingestion_date")
     for layer, root in (("bronze_events", cfg.bronze_events), ("bronze_metadata", cfg.bronze_metadata),
                         ("bronze_reference", cfg.bronze_reference)):
@@ -132,10 +145,16 @@ def _silver_layer(spark: SparkSession, cfg: RunConfig, run: REG.Run, ref_raw: Da
     return written
 
 
-def _gold_layer(spark: SparkSession, cfg: RunConfig, run: REG.Run, silver_rows: DataFrame, days: list[str]) -> None:
+def _gold_layer(spark: SparkSession, cfg: RunConfig, run: REG.Run, silver_rows: DataFrame, days: list[str],
+                counts: list[NullCounts]) -> None:
     """Write and check the Gold rows of ``silver_rows``."""
     written = SRC.read_run(spark, W.run_gold(gold(silver_rows), run, cfg.gold), S.GOLD)
-    _checked(written, "gold", cfg)
+    if cfg.profile and cfg.check:
+        of_gold = NullCounts("gold", S.GOLD_COLUMNS)
+        _checked(of_gold.observed(written), "gold", cfg)
+        counts.append(of_gold)
+    else:
+        _checked(written, "gold", cfg)
     if cfg.gold_csv:
         W.write_csv(written, cfg.gold_csv)
     run.note("gold", cfg.gold, W.GOLD_DAY, cfg.mode_gold, days)
@@ -151,17 +170,19 @@ def steps(spark: SparkSession, cfg: RunConfig, layers: tuple[str, ...] = ("bronz
     run = REG.Run(spark, cfg.runs)
     REG.check_mode(cfg.mode_silver, cfg.mode_gold)
     try:
-        ref = None
+        ref, counts = None, []
         if "bronze" in layers:
-            ref = _bronze_layers(spark, cfg, run)
+            ref = _bronze_layers(spark, cfg, run, counts)
             yield "bronze"
         if "silver" in layers:
             rows = _silver_layer(spark, cfg, run, ref)
             yield "silver"
         if "gold" in layers:
             # PIP-3: Gold of this run's Silver rows, whatever else the table holds.
-            _gold_layer(spark, cfg, run, rows, _days(spark, cfg))
+            _gold_layer(spark, cfg, run, rows, _days(spark, cfg), counts)
             yield "gold"
+        if counts:
+            _write_profile(spark, cfg, run, counts)
         run.commit()
     except Exception:
         run.discard()
@@ -193,6 +214,18 @@ def read_gold(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return SRC.read_gold(spark, cfg.gold, cfg.runs)
 
 
+def _write_profile(spark: SparkSession, cfg: RunConfig, run: REG.Run, counts: list[NullCounts]) -> None:
+    rows = spark.createDataFrame([row for c in counts for row in c.rows()], NULL_COUNTS)
+    rows.withColumn("ingestion_ts", F.lit(cfg.ingestion_ts)).coalesce(1).write.parquet(run.folder(cfg.profile))
+
+
+def read_profile(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """(run, dataset, column_name, null_count, total_rows, ingestion_ts) of the runs whose Bronze or Gold rows show."""
+    runs = sorted({run for layer in ("bronze_events", "gold") for _, run in REG.shown(spark, cfg.runs, layer)})
+    schema = S.T.StructType.fromDDL(NULL_COUNTS + ", ingestion_ts string, run string")
+    return spark.read.schema(schema).parquet(cfg.profile).where(F.col("run").isin(runs))
+
+
 def read_quarantine(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     return SRC.read_layer(spark, "quarantine", cfg.quarantine, S.QUARANTINE, cfg.runs)
 
@@ -212,7 +245,7 @@ def gold_run(spark: SparkSession, cfg: RunConfig, days: list[str]) -> DataFrame:
     """PIP-3 on its own: Gold of the stored Silver rows of ``days``."""
     one = REG.Run(spark, cfg.runs)
     try:
-        _gold_layer(spark, cfg, one, read_silver(spark, cfg, days), days)
+        _gold_layer(spark, cfg, one, read_silver(spark, cfg, days), days, [])
         one.commit()
     except Exception:
         one.discard()

@@ -72,3 +72,21 @@ def test_describe_keeps_small_and_large_values(spark, scale):
     assert x["count"] == 20_000 and x["mean"] == pytest.approx(np.mean(v)) and x["p50"] == pytest.approx(np.median(v))
     assert x["std"] == pytest.approx(np.std(v * 20, ddof=1)) and x["min"] == v[0] and x["max"] == v[-1]
     assert out["empty"]["count"] == out["empty"]["unique"] == 0 and out["empty"]["top"] is None
+
+
+def test_large_ids_stay_apart_and_the_written_counts_are_small(spark):
+    from riskmart.operators.profile import value_counts
+    ids = [2 ** 53 + i for i in range(50)] * 3
+    df = spark.createDataFrame([(i, None, "x") for i in ids], "id long, none double, lab string").repartition(5)
+    out = {r.column_name: r for r in describe(df, ["id", "none"], ["lab"]).collect()}
+    assert out["id"]["unique"] == 50 and out["id"]["count"] == 150
+    assert out["none"]["count"] == 0 and out["none"].p50 is None
+    assert value_counts(df, ["id", "none"], ["lab"]).count() == 51          # null cells and repeats are no rows
+
+
+def test_describe_odd_values(spark):
+    df = spark.createDataFrame([(float("inf"), 1), (1.0, None), (1.0, 3)], "x double, y int")
+    out = {r.column_name: r for r in describe(df, ["x", "y"], []).collect()}
+    assert out["x"].p50 == 1.0 and out["x"]["max"] == float("inf") and out["x"]["unique"] == 2
+    assert (out["y"].p25, out["y"].p50, out["y"].p75, out["y"].std) == (1.5, 2.0, 2.5, pytest.approx(2 ** 0.5))
+    assert describe(df.where("false"), ["x"], []).collect()[0]["count"] == 0

@@ -3,6 +3,7 @@
 import math
 import os
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -244,3 +245,21 @@ print("DAY", spark.sparkContext.parallelize(["2024-01-05"]).map(check_ingestion_
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
     assert "DAY ['2024-01-05']" in done.stdout, done.stderr[-2000:]
+
+
+def test_null_counts_ride_on_the_run(spark, sf_small):
+    """AGG-16/18 observed while Bronze is copied and Gold checked: the same numbers as a scan of their own."""
+    from riskmart import schemas as S
+    from riskmart.operators.analysis import null_counts
+    root = new_work_dir(spark, "observed")
+    paths = FX.land_fixture(spark, sf_small, root)
+    cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS).with_profile()
+    mart = P.run(spark, cfg)
+    got = sorted(tuple(r)[:4] for r in P.read_profile(spark, cfg).select("dataset", "column_name", "null_count", "total_rows").collect())
+    events = SRC.read_events(spark, paths["events"]).select(*S.POSITIONAL_NAMES).toDF(*S.EVENT_COLUMN_NAMES)
+    frames = [(events, "events"), (SRC.latest_reference(spark, paths["reference"]), "country_risk"), (mart, "gold")]
+    assert got == sorted(tuple(r) for df, name in frames for r in null_counts(df, name).collect())
+    order = [(-r.null_count, r.column_name) for r in null_counts(mart, "gold").collect()]
+    assert order == sorted(order)
+    P.run(spark, replace(cfg, ingestion_ts="later"))
+    assert {r[0] for r in P.read_profile(spark, cfg).select("ingestion_ts").distinct().collect()} == {"later"}
