@@ -127,6 +127,22 @@ def primary_key_check(df: DataFrame, keys: list[str], stage: str) -> DataFrame:
     )
 
 
+def new_key_check(new: DataFrame, others: DataFrame, key: str, stage: str) -> DataFrame:
+    """DQ-6 over a stored table, for the rows that came last: the same columns as ``primary_key_check``, where a key counts
+    as seen more than once if ``new`` repeats it or ``others`` (the rest of the table) holds it.
+
+    The history is not grouped: only its key column is read, only the row groups whose range meets the new keys' (stored
+    Silver is sorted by id inside its files), and only keys that a semi join finds among the new ones go on."""
+    mine = new.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    lo, hi = new.agg(F.min(key), F.max(key)).first()
+    met = others.where(F.col(key).between(lo, hi)).select(key).join(mine.select(key), key, "left_semi").distinct()
+    marked = mine.join(met.withColumn("held", F.lit(1)), key, "left").withColumn("held", F.coalesce("held", F.lit(0)))
+    first = F.col("n") + F.col("held") - 1
+    return marked.agg(
+        F.lit(stage).alias("stage"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"), F.count(F.lit(1)).alias("distinct_keys"),
+        F.count_if(first > 0).alias("duplicate_keys"), F.coalesce(F.sum(first), F.lit(0)).cast("bigint").alias("surplus_rows"))
+
+
 def schema_conformance(df: DataFrame, layer: str, expected: T.StructType, required: list[str]) -> DataFrame:
     """DQ-1/5: per contract column: required, present, expected vs actual type, and
     how many rows hold a value (one aggregate pass over the data)."""

@@ -563,11 +563,29 @@ def _pk_sql(stage: str, source: str) -> str:
             f"FROM (SELECT globaleventid, COUNT(*) AS n FROM {source} GROUP BY globaleventid)")
 
 
-@register("dq_silver_pk", O.q(_pk_sql("accepted", "accepted") + " UNION ALL " + _pk_sql("silver", "silver")))
+NEW_KEYS_SQL = (
+    "SELECT 'redelivered' AS stage, CAST(SUM(n) AS BIGINT) AS \"rows\", COUNT(*) AS distinct_keys, "
+    "COUNT(*) FILTER (WHERE n + held > 1) AS duplicate_keys, CAST(SUM(n + held - 1) AS BIGINT) AS surplus_rows "
+    "FROM (SELECT globaleventid, COUNT(*) AS n, CASE WHEN globaleventid IN (SELECT globaleventid FROM silver "
+    f"WHERE ingestion_date <> '{K.REDELIVERY_DAY}') THEN 1 ELSE 0 END AS held "
+    f"FROM silver WHERE ingestion_date = '{K.REDELIVERY_DAY}' GROUP BY globaleventid)")
+
+
+@register("dq_silver_pk", " UNION ALL ".join(f"SELECT * FROM ({part})" for part in (
+    O.q(_pk_sql("accepted", "accepted") + " UNION ALL " + _pk_sql("silver", "silver")),
+    O.q(_pk_sql("stored", "silver") + " UNION ALL " + NEW_KEYS_SQL, per_day=True, redelivered=(K.REDELIVERED_DAY, K.REDELIVERY_DAY)))))
 def _dq_silver_pk(spark, sf):
+    """One run's rows before and after deduplication; then the stored Silver of several days, in which a later day
+    delivered one day's events again: the whole table, and the later day against the rest of it."""
     gated = SV.prepare(feed(spark, sf), K.RUN_DATE, K.RUN_TS)
+    root, _ = landed_anew(spark, sf, "dq-pk")
+    FX.land_redelivery(spark, sf, root, K.REDELIVERED_DAY, K.REDELIVERY_DAY)
+    cfg = P.RunConfig.under(root, ingestion_ts=K.RUN_TS)
+    P.silver_run(spark, cfg)
     return (Q.primary_key_check(gated, ["globaleventid"], "accepted")
-            .unionByName(Q.primary_key_check(silver_df(spark, sf), ["globaleventid"], "silver")))
+            .unionByName(Q.primary_key_check(silver_df(spark, sf), ["globaleventid"], "silver"))
+            .unionByName(Q.primary_key_check(P.read_silver(spark, cfg), ["globaleventid"], "stored"))
+            .unionByName(P.key_check(spark, cfg, [K.REDELIVERY_DAY])))
 
 
 register("dq_rejects", O.q(

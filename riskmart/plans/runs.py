@@ -241,6 +241,12 @@ def run(spark: SparkSession, cfg: RunConfig, with_bronze: bool = True) -> DataFr
     return read_gold(spark, cfg)
 
 
+def key_check(spark: SparkSession, cfg: RunConfig, days: list[str]) -> DataFrame:
+    """DQ-6: events of ``days`` that the stored Silver of other days holds already (delivered again), and repeats inside ``days``."""
+    kept = sorted({day for day, _ in REG.shown(spark, cfg.runs, "silver")} - set(days))
+    return Q.new_key_check(read_silver(spark, cfg, days), read_silver(spark, cfg, kept), "globaleventid", "redelivered")
+
+
 def gold_run(spark: SparkSession, cfg: RunConfig, days: list[str]) -> DataFrame:
     """PIP-3 on its own: Gold of the stored Silver rows of ``days``."""
     one = REG.Run(spark, cfg.runs)

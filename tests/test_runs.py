@@ -263,3 +263,24 @@ def test_null_counts_ride_on_the_run(spark, sf_small):
     assert order == sorted(order)
     P.run(spark, replace(cfg, ingestion_ts="later"))
     assert {r[0] for r in P.read_profile(spark, cfg).select("ingestion_ts").distinct().collect()} == {"later"}
+
+
+def test_new_keys_against_the_stored_history(spark):
+    from collections import Counter
+    from riskmart.sinks import writers as W
+    schema = "ingestion_date string, event_date string, globaleventid long"
+    history = [("2024-01-0%d" % (1 + i % 3), "2024-01-01", i) for i in range(0, 3000, 7)]
+    new = [("2024-01-09", "2024-01-01", i) for i in [*range(1000, 1100), 1001, 1001, 99_999]]
+    out = new_work_dir(spark, "keys") + "/t"
+    W.write_silver(spark.createDataFrame(history, schema), out)
+    from riskmart.sinks import register as REG
+    others = spark.read.schema(schema).option("basePath", out).parquet(*REG.folders(spark, REG.default_register(out), "silver", out, "ingestion_date"))
+    got = Q.new_key_check(spark.createDataFrame(new, schema), others, "globaleventid", "s")
+    n, held = Counter(r[2] for r in new), {r[2] for r in history}
+    dup = {k for k, c in n.items() if c > 1 or k in held}
+    assert tuple(got.first()) == ("s", len(new), len(n), len(dup), sum(c if k in held else c - 1 for k, c in n.items()))
+    plan = got._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(globaleventid), GreaterThanOrEqual(globaleventid,1000), LessThanOrEqual(globaleventid,99999)]" in plan
+    assert "ReadSchema: struct<globaleventid:bigint>" in plan
+    empty = spark.createDataFrame([], schema)
+    assert tuple(Q.new_key_check(empty, others, "globaleventid", "s").first()) == ("s", 0, 0, 0, 0)
