@@ -279,7 +279,8 @@ def test_new_keys_against_the_stored_history(spark):
     n, held = Counter(r[2] for r in new), {r[2] for r in history}
     dup = {k for k, c in n.items() if c > 1 or k in held}
     assert tuple(got.first()) == ("s", len(new), len(n), len(dup), sum(c if k in held else c - 1 for k, c in n.items()))
-    plan = got._jdf.queryExecution().toString()
+    from test_plans import plan as explained
+    plan = explained(got, "formatted")
     assert "PushedFilters: [IsNotNull(globaleventid), GreaterThanOrEqual(globaleventid,1000), LessThanOrEqual(globaleventid,99999)]" in plan
     assert "ReadSchema: struct<globaleventid:bigint>" in plan
     empty = spark.createDataFrame([], schema)
