@@ -13,17 +13,20 @@ super-k-mer and travel as one string of their words to the minimiser's bucket.
 3. In a bucket equal strings collapse; the windows of the different strings are
    sorted, equal ones stand together, the smallest document of each is known,
    and every row learns which of its windows start in a smaller document too.
-4. A minimiser with more than ``BUCKET`` super-k-mers is not gathered: its windows
-   become single rows keyed by a 128-bit digest of their words and a salt; the
-   smallest document is found per salt, then per digest, and joined back per salt.
+4. A minimiser with more than ``BUCKET`` super-k-mers or ``BUCKET_BYTES`` of them is not
+   gathered: its windows become single rows keyed by a 128-bit digest of their words
+   and a salt; the smallest document is found per salt, then per digest, and joined
+   back per salt.
 
-Hashes only choose where windows meet; in a bucket, windows are compared as words.
+Hashes only choose where windows meet; in a bucket, windows are compared as words.  A
+row is known by its doc_id and a hash of its text, so rows of different documents are
+never taken for each other.
 
 Cases: a null text has no words; a document with fewer words than a window loses
 none; a null doc_id keeps its words and removes none; rows that repeat a doc_id are
 judged each on its own text, and never against each other; white space between
 kept words becomes one space; an empty table gives no rows; other columns are
-carried untouched by ``deduplicated``.
+carried untouched by ``deduplicated``, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,6 +47,10 @@ WINDOW = 50
 INNER = 8
 #: Super-k-mers of one minimiser that a task gathers.
 BUCKET = 4096
+#: Bytes of the super-k-mers of one minimiser that a task gathers (their windows are some 50 times as much).
+BUCKET_BYTES = 1 << 21
+#: Window digests of one Arrow batch.
+DIGESTS = 50_000
 #: Tasks that the windows with one digest are dealt over.
 SALTS = 16
 
@@ -86,13 +93,15 @@ def _minimisers(docs: DataFrame, window: int, inner: int) -> DataFrame:
         for batch in batches:
             data, offsets = as_bytes(batch.column(2))
             for a, b in row_chunks(offsets):
-                text, _, _, _, key, _, _ = super_kmers(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a],
-                                                       window, inner)
+                text, at, _, count, key, starts, ends = super_kmers(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a],
+                                                                    window, inner)
+                size = ends[at + count + window - 2] - starts[at] if len(at) else at
                 rows = pa.array(text + a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), batch.column(0).take(rows), batch.column(1).take(rows)], ["h", "row", "doc"])
+                    [pa.array(key), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(size)],
+                    ["h", "row", "doc", "size"])
 
-    return docs.where("doc IS NOT NULL").select("row", "doc", "text").mapInArrow(run, "h long, row long, doc long")
+    return docs.where("named").select("row", "doc", "text").mapInArrow(run, "h long, row long, doc long, size long")
 
 
 def _words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: int, n: int) -> bytes:
@@ -131,15 +140,14 @@ def _member(text: np.ndarray, key: np.ndarray, owner: np.ndarray, wanted: np.nda
     return np.isin(code(text, key), code(owner, wanted))
 
 
-def _windows(words: bytes, window: int) -> list[bytes]:
+def _windows(words: bytes, window: int) -> Iterator[bytes]:
     cuts = np.flatnonzero(np.frombuffer(words, np.uint8) == 32)
-    begin = [0, *(cuts + 1).tolist()]
-    end = [*cuts.tolist(), len(words)]
-    return [words[a:b] for a, b in zip(begin, end[window - 1:])]
+    begin, end = np.r_[0, cuts + 1], np.r_[cuts, len(words)]
+    return (words[a:b] for a, b in zip(begin.tolist(), end[window - 1:].tolist()))
 
 
-def bucket_spans(rows: list[tuple[int, int, int, bytes]], window: int = WINDOW) -> list[tuple[int, int, int]]:
-    """(row, from, to) word spans of one bucket's rows (row, doc, place, words) covered by windows
+def bucket_spans(rows: list[tuple[int, int, int, bytes]], window: int = WINDOW) -> list[tuple[int, int, int, int]]:
+    """(row, doc, from, to) word spans of one bucket's rows (row, doc, place, words) covered by windows
     that also start in a smaller document."""
     least: dict[bytes, int] = {}
     for _, doc, _, words in rows:
@@ -149,7 +157,7 @@ def bucket_spans(rows: list[tuple[int, int, int, bytes]], window: int = WINDOW)
     if len(least) == 1:
         smallest = {words: None for words in least}  # every row has the same windows
     else:
-        listed = {words: _windows(words, window) for words in least}
+        listed = {words: list(_windows(words, window)) for words in least}
         every = sorted((w, least[words]) for words, ws in listed.items() for w in ws)
         best: dict[bytes, int] = {}
         for w, doc in every:  # equal windows stand together, the smallest document first
@@ -160,7 +168,7 @@ def bucket_spans(rows: list[tuple[int, int, int, bytes]], window: int = WINDOW)
         first = smallest[words]
         if first is None:
             if least[words] < doc:
-                out.append((row, place, place + words.count(b" ") + 1))
+                out.append((row, doc, place, place + words.count(b" ") + 1))
             continue
         open_at = None
         for j, other in enumerate(first):
@@ -168,10 +176,10 @@ def bucket_spans(rows: list[tuple[int, int, int, bytes]], window: int = WINDOW)
                 if open_at is None:
                     open_at = j
             elif open_at is not None:
-                out.append((row, place + open_at, place + j - 1 + window))
+                out.append((row, doc, place + open_at, place + j - 1 + window))
                 open_at = None
         if open_at is not None:
-            out.append((row, place + open_at, place + len(first) - 1 + window))
+            out.append((row, doc, place + open_at, place + len(first) - 1 + window))
     return out
 
 
@@ -181,10 +189,10 @@ def _bucket_spans(texts: DataFrame, window: int, inner: int) -> DataFrame:
         key = None
 
         def flush(found):
-            cols = list(zip(*found)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["row", "a", "b"])
+            cols = list(zip(*found)) or [(), (), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["row", "doc", "a", "b"])
 
-        found: list[tuple[int, int, int]] = []
+        found: list[tuple[int, int, int, int]] = []
         for batch in batches:
             for h, *row in zip(*[c.to_pylist() for c in batch.columns]):
                 if h != key:
@@ -201,7 +209,7 @@ def _bucket_spans(texts: DataFrame, window: int, inner: int) -> DataFrame:
 
     packed = texts.mapInArrow(_packing(window, inner), "h long, row long, doc long, place long, words binary")
     sorted_ = packed.repartition("h").sortWithinPartitions("h")
-    return sorted_.select("h", "row", "doc", "place", "words").mapInArrow(run, "row long, a long, b long")
+    return sorted_.select("h", "row", "doc", "place", "words").mapInArrow(run, "row long, doc long, a long, b long")
 
 
 def _large_spans(texts: DataFrame, window: int, inner: int) -> DataFrame:
@@ -210,16 +218,25 @@ def _large_spans(texts: DataFrame, window: int, inner: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in packing(batches):  # in one Python step: a second one would be a second process a task
-            rows, place, digest = [], [], []
+            rows: list[int] = []
+            place: list[int] = []
+            digest: list[bytes] = []
+
+            def flush() -> pa.RecordBatch:
+                take = pa.array(rows, pa.int64())
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(digest, pa.binary()), batch.column(1).take(take), batch.column(2).take(take),
+                     pa.array(place, pa.int64())], ["digest", "row", "doc", "place"])
+
             for i, (at, words) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
                 for j, w in enumerate(_windows(words, window)):
                     rows.append(i)
                     place.append(at + j)
                     digest.append(hashlib.blake2b(w, digest_size=16).digest())
-            take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digest, pa.binary()), batch.column(1).take(take), batch.column(2).take(take),
-                 pa.array(place, pa.int64())], ["digest", "row", "doc", "place"])
+                    if len(rows) >= DIGESTS:
+                        yield flush()
+                        rows, place, digest = [], [], []
+            yield flush()
 
     digested = texts.mapInArrow(run, "digest binary, row long, doc long, place long")
     # One exchange, read by both sides below; a digest's rows are dealt over SALTS tasks.
@@ -229,38 +246,45 @@ def _large_spans(texts: DataFrame, window: int, inner: int) -> DataFrame:
                                         F.collect_set("salt").alias("salts")).where("least < most")
     least = least.select("digest", "least", F.explode("salts").alias("salt"))
     hit = single.join(least, ["digest", "salt"]).where("least < doc")
-    return hit.select("row", F.col("place").alias("a"), (F.col("place") + window).alias("b"))
+    return hit.select("row", "doc", F.col("place").alias("a"), (F.col("place") + window).alias("b"))
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, inner: int = INNER, bucket: int = BUCKET,
-                 verbatim: bool = False) -> DataFrame:
+                 verbatim: bool = False, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept (the kept words joined by one
-    space; ``verbatim``: the text as it is where nothing is removed) and ``_row`` (the other columns
-    without text, and ``_null``: the text was null)."""
+    space; null for a null text; ``verbatim``: the text as it is where nothing is removed) and, if ``docs`` has other
+    columns, ``_row`` with them."""
     if not 0 < inner <= window:
         raise ValueError("a minimiser is made inside a window")
-    rest = F.struct(*[docs[c] for c in docs.columns if c not in ("doc_id", "text")], F.col("text").isNull().alias("_null")).alias("_row")
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long").alias("doc"),
-                        F.col("text").cast("binary").alias("text"), rest)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = [F.struct(*[docs[c] for c in others]).alias("_row")] if others else []
+    # Keys that cannot be null: the joins below then put no filter of their own under the exchange of the texts.
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("doc"),
+                        F.col("text").cast("binary").alias("text"), F.col("doc_id").isNotNull().alias("named"), *rest)
     seen = stored(_minimisers(keyed, window, inner), "substring-minimisers")
-    shared = seen.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n"))
-    shared = stored(shared.where("a < b").select("h", (F.col("n") > bucket).alias("large")), "substring-shared")
-    wanted = seen.select("h", "row").join(shared, "h").groupBy("row").agg(
+    shared = seen.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n"),
+                                   F.sum("size").alias("size"))
+    large = (F.col("n") > bucket) | (F.col("size") > bucket_bytes)
+    shared = stored(shared.where("a < b").select("h", large.alias("large")), "substring-shared")
+    wanted = seen.select("h", "row", "doc").join(shared, "h").groupBy("row", "doc").agg(
         F.collect_set(F.when(~F.col("large"), F.col("h"))).alias("small"),
         F.collect_set(F.when(F.col("large"), F.col("h"))).alias("big"))
     wanted = stored(wanted, "substring-wanted")
-    texts = keyed.repartition("row")  # both text passes use this one exchange
-    asked = texts.join(wanted, "row")
-    listed = lambda name: asked.where(F.size(name) > 0).select("row", "doc", "text", name)
+    # All text passes read this one exchange: each takes all of its columns, for only equal exchanges are reused.
+    texts = keyed.repartition("row", "doc")
+    carried = [c for c in ("_row",) if others]
+    asked = texts.join(wanted, ["row", "doc"])
+    listed = lambda name: asked.where(F.size(name) > 0).select("row", "doc", "text", name, "named", *carried)
     found = _bucket_spans(listed("small"), window, inner).union(_large_spans(listed("big"), window, inner))
-    cover = found.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    cover = found.groupBy("row", "doc").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = as_bytes(batch.column(1))
             raw, cuts = data.tobytes(), offsets.tolist()
             total, gone, kept = [], [], []
-            for a, b, covered in zip(cuts, cuts[1:], batch.column(2).to_pylist()):
+            for a, b, null, covered in zip(cuts, cuts[1:], batch.column(1).is_null().to_pylist(), batch.column(2).to_pylist()):
                 words = raw[a:b].split()
                 total.append(len(words))
                 if covered:
@@ -269,16 +293,16 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, inner: int = INNER, buck
                         keep[s["a"]:s["b"]] = False
                     words = [w for w, k in zip(words, keep.tolist()) if k]
                 gone.append(total[-1] - len(words))
-                kept.append(raw[a:b] if verbatim and not gone[-1] else b" ".join(words))
+                kept.append(None if null else raw[a:b] if verbatim and not gone[-1] else b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string()), batch.column(3)],
-                ["doc_id", "n_words", "n_removed", "kept", "_row"])
+                 pa.array(kept, pa.binary()).cast(pa.string()), *batch.columns[3:]],
+                ["doc_id", "n_words", "n_removed", "kept", *carried])
 
-    joined = texts.join(cover, "row", "left").select("doc", "text", "spans", "_row")
+    joined = texts.join(cover, ["row", "doc"], "left").select(F.when(F.col("named"), F.col("doc")).alias("doc"), "text", "spans", *carried)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()),
-                           joined.schema["_row"]])
+                           *(joined.schema[c] for c in carried)])
     return joined.mapInArrow(run, schema)
 
 
@@ -286,18 +310,17 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with its texts shortened (n_chars follows, where there is one); a row that loses all of its
     words goes, one that had none stays."""
     out = deduplicated(docs, verbatim=True, **options).where("n_removed = 0 OR n_removed < n_words")
-    text = F.when(~F.col("_row._null"), F.col("kept"))
-    value = {"doc_id": F.col("doc_id"), "text": text}
+    value = {"doc_id": F.col("doc_id"), "text": F.col("kept")}
     if "n_chars" in docs.columns:
         value["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(
-            F.col("_row.n_chars"))
-    return out.select(*[value.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+            F.col("_row")["n_chars"])
+    return out.select(*[value[c].alias(c) if c in value else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def op8_substrings(spark, sf_dir) -> DataFrame:
     """Every text of ``documents`` without the 50-word passages that a smaller doc_id has too."""
     out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 OP8_SQL = r"""
