@@ -15,12 +15,14 @@ rows is spread over 16 ** SLICE_DIGITS groups.
 Cases: a null or blank text has size 0, target 0 if its source has no words,
 and is taken 0 times; a null source is a source of its own, last in order;
 repeated rows are separate documents; rows that tie in the seeded order have
-the same doc_id, and the smaller comes first; an empty table gives an empty
+the same doc_id, and the smaller comes first (equal ones are told apart in no order that matters); an empty table gives an empty
 mix; columns other than the named ones pass through ``mixed`` untouched.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,11 +56,13 @@ def source_sizes(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFra
 def water_fill(sizes: DataFrame, share: tuple[int, int] = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Adds ``target``.  The level is a quotient of whole numbers, so equal inputs give equal bits."""
     up, down = share
+    # Products of sums of words and of weights outgrow 64 bits with very many sources.
+    exact = lambda x: F.lit(Decimal(x)).cast("decimal(38,0)") if isinstance(x, int) else x.cast("decimal(19,0)")
     clamp = F.col("source_size") * max_epochs
     total = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0] * up  # in units of 1/down words
     level, n_clamped = (0, 1), -1
     while True:
-        above = clamp * F.lit(level[1]) <= F.col("weight") * F.lit(level[0])
+        above = exact(clamp) * exact(level[1]) <= exact(F.col("weight")) * exact(level[0])
         clamped, used, free = sizes.agg(
             F.coalesce(F.sum(above.cast("long")), F.lit(0)),
             F.coalesce(F.sum(F.when(above, clamp)), F.lit(0)),
@@ -66,23 +70,16 @@ def water_fill(sizes: DataFrame, share: tuple[int, int] = SHARE, max_epochs: int
         if clamped == n_clamped or not free:
             break
         level, n_clamped = (total - used * down, free * down), clamped
-    share_of = (F.col("weight") * F.lit(level[0])).cast("double") / F.lit(float(level[1]))
+    share_of = (exact(F.col("weight")) * exact(level[0])).cast("double") / F.lit(float(level[1]))
     return sizes.withColumn("target", F.when(above, clamp.cast("double")).otherwise(share_of))
 
 
-def planned(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, seed: str = SEED,
-            whole_rows: bool = False) -> DataFrame:
-    """doc_id, size, source_size, target, repeats (whole repetitions, the sampled one included), taken;
-    with ``whole_rows`` also ``_row``, the input row as a struct."""
+def _decided(docs: DataFrame, weights, share, max_epochs: int, seed: str) -> DataFrame:
+    """doc_id, source, size, _text (a hash), source_size, target and repeats of every row; no text goes on from here."""
     order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-
-    def sized_rows(*more) -> DataFrame:
-        rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *more)
-        return rows.withColumn("_order", order).withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS))
-
-    # The texts are read once for their sizes; everything but whole rows goes on from there.
-    slim = stored(sized_rows(), "mix-sizes")
-    sized = sized_rows(F.struct(*[docs[c] for c in docs.columns]).alias("_row")) if whole_rows else slim
+    # The texts are read once for their sizes; everything goes on from there.
+    slim = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_text"))
+    slim = stored(slim.withColumn("_order", order).withColumn("_slice", F.substring("_order", 1, SLICE_DIGITS)), "mix-sizes")
     targets = water_fill(stored(source_sizes(slim, weights), "mix-sources"), share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.select(
@@ -95,20 +92,38 @@ def planned(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS
     # One row per source (and slice); whether that is broadcast is left to the sizes seen at run time.
     slices = slices.join(targets, F.col("_source").eqNullSafe(F.col("source"))).drop("source")
     inside = Window.partitionBy("source", "_slice").orderBy("_order", "size").rowsBetween(Window.unboundedPreceding, -1)
-    sized = sized.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    sized = slim.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     out = sized.join(slices, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_slice") == F.col("_at")))
     left = F.col("rest") - F.col("_before") - F.col("_inside")
     extra = (F.col("size") > 0) & (left * 2 >= F.col("size"))
-    repeats = F.col("whole") + extra.cast("long")
-    return out.select("doc_id", "size", "source_size", "target", repeats.alias("repeats"),
-                      (F.col("size") * repeats).alias("taken"), *(["_row"] if whole_rows else []))
-
-
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, with its own columns."""
-    plan = planned(docs, whole_rows=True, **options).where("repeats > 0")
-    plan = plan.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
-    return plan.select("_row.*")
+    return out.select("doc_id", "source", "size", "_text", "source_size", "target", (F.col("whole") + extra.cast("long")).alias("repeats"))
+
+
+def planned(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, repeats (whole repetitions, the sampled one included), taken."""
+    return _decided(docs, weights, share, max_epochs, seed).select(
+        "doc_id", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with its own columns.
+
+    Rows are joined to their decision by doc_id, source and text.  Of rows that agree in these some may be taken once more
+    than others (at the border of a source's sampled repetition, so one such group a source): there they are numbered."""
+    key = ("doc_id", "source", "_text")
+    decided = _decided(docs, weights, share, max_epochs, seed).groupBy(*key).agg(
+        F.min("repeats").alias("_least"), F.max("repeats").alias("_most"), (F.sum("repeats") - F.min("repeats") * F.count(F.lit(1))).alias("_more"))
+    decided = stored(decided.where("_most > 0"), "mix-decided").withColumnsRenamed({c: f"_of{c}" for c in key})
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["doc_id"].alias("doc_id"),
+                       docs["source"].alias("source"), F.xxhash64(docs["text"]).alias("_text"))
+    same = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in key]
+    even = rows.join(decided.where("_least = _most"), same).select("_row", F.col("_least").alias("_times"))
+    other = F.xxhash64(*[F.col("_row")[c] for c, t in docs.dtypes if "map<" not in t])
+    numbered = F.row_number().over(Window.partitionBy(*[f"_of{c}" for c in key]).orderBy(other))
+    uneven = rows.join(decided.where("_least < _most"), same).withColumn("_number", numbered).select(
+        "_row", (F.col("_least") + (F.col("_number") <= F.col("_more")).cast("long")).alias("_times"))
+    times = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
+    return even.unionByName(uneven).where("_times > 0").select("_row", times).select("_row.*")
 
 
 def op7_mixing(spark, sf_dir) -> DataFrame:

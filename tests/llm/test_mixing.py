@@ -3,6 +3,8 @@ import random
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from riskmart.llm import mixing as M
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string"
@@ -82,3 +84,25 @@ def test_tiny_tables(spark, rows):
     out = M.planned(docs(spark, rows)).collect()
     assert len(out) == len(rows)
     assert all(r.target <= 2 * r.source_size for r in out)
+
+
+def test_many_large_sources_do_not_overflow(spark):
+    """Sums and weights whose products need more than 64 bits."""
+    sizes = spark.range(5000).select(F.concat(F.lit("s"), F.col("id")).alias("source"), (F.col("id") + 10 ** 13).alias("source_size"),
+                                     (F.col("id") % 3 * 1000 + 1).alias("weight"))
+    out = M.water_fill(sizes)
+    total, clamped = out.agg(F.sum("target"), F.max(F.col("target") / F.col("source_size"))).first()
+    want = 1.5 * sum(i + 10 ** 13 for i in range(5000))
+    assert abs(total - want) < 1e-6 * want and clamped <= 2
+
+
+def test_equal_rows_at_the_border(spark):
+    """Rows that agree in everything but a column that plays no part: as many are taken once more as the plan says."""
+    data = [(1, "a b c", "x", i) for i in range(10)] + [(2, "d e f g", "x", 100), (3, "h", "y", 101)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string, k int")
+    taken = M.planned(frame).groupBy("doc_id").agg(F.sum("repeats")).collect()
+    mix = M.mixed(frame).collect()
+    assert {r[0]: r[1] for r in taken} == {d: sum(m.doc_id == d for m in mix) for d in (1, 2, 3)}
+    per_row = [sum(m.k == k for m in mix) for k in range(10)]
+    assert max(per_row) - min(per_row) == 1 and M.mixed(frame).collect() and sorted(per_row) == sorted(
+        sum(m.k == k for m in M.mixed(frame).collect()) for k in range(10))
