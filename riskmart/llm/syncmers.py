@@ -8,9 +8,10 @@ from the anchor before, written in hex; the likeness of two fingerprints is the
 share of anchors that agree in hash and relative position (2 common / all).
 
 The next document (descending doc_id) is found by order, without a global sort of
-texts: ids fall into buckets of about ``BUCKET`` rows by value, the heads of the
-buckets (one id per bucket) are chained, and each bucket gets a copy of the
-next bucket's head as its last row.  Texts move once, to their bucket.
+texts: rows fall into buckets between borders that are quantiles of the ids, an id
+that holds several borders is spread over as many buckets by its text hash, the
+heads of the buckets are chained, and each bucket gets a copy of the next
+bucket's head as its last row.  Texts move once, to their bucket.
 
 Cases: a null text counts as empty; an empty text has an empty fingerprint, like
 1 to another empty one and like 0 to the rest; fewer words than a k-mer give one
@@ -22,15 +23,19 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import stored, table
 
-#: Words of a k-mer and of its inner runs.
-KMER, INNER = 5, 2
-#: Rows of a bucket, on average.
-BUCKET = 1024
+#: Words of a k-mer and of its inner runs: of 8 places 2 are edges, so about every fourth k-mer is an anchor.
+KMER, INNER = 9, 2
+#: Rows of a bucket, on average, up to ``BORDERS`` buckets; with more rows the buckets grow (they are sorted, not gathered).
+BUCKET, BORDERS = 1024, 4096
+#: Borders that are looked through at once: first every ``STRIDE``-th, then those between two.
+STRIDE = 64
 
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -73,31 +78,52 @@ def likeness(a: str, b: str) -> Column:
     return F.when(every == 0, F.lit(1.0)).otherwise(common / every)
 
 
-def in_order(docs: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, object]:
+def _borders_below(key: Column, borders: list[int]) -> Column:
+    """How many of the sorted ``borders`` are smaller than ``key``."""
+    if not borders:
+        return F.lit(0)
+    every = F.array(*[F.lit(x).cast("long") for x in borders])
+    coarse = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in borders[::STRIDE]]), lambda x: x < key))
+    near = F.slice(every, F.greatest(coarse - 1, F.lit(0)) * STRIDE + 1, F.lit(STRIDE))
+    return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * STRIDE + F.size(F.filter(near, lambda x: x < key)))
+
+
+def bucket_of(key: Column, text_hash: Column, borders: list[int]) -> Column:
+    """The bucket of a row, rising with (key, text hash)."""
+    hot = {x: n for x, n in Counter(borders).items() if n > 1}
+    spread = F.lit(0)
+    if hot:
+        # A key on several borders: by the upper 31 bits of its text hash, moved to 0 and above.
+        share = F.element_at(F.create_map(*[F.lit(v) for x, n in hot.items() for v in (F.lit(x).cast("long"), n)]), key)
+        spread = F.coalesce(1 + F.floor((F.shiftright(text_hash, 33) + (1 << 30)) * share / F.lit(1 << 31)), F.lit(0))
+    return _borders_below(key, borders).cast("long") * (1 << 20) + spread.cast("long")
+
+
+def in_order(docs: DataFrame, bucket: int = BUCKET, borders: int = BORDERS) -> tuple[DataFrame, object]:
     """(rows with doc_id, text, _ghost, and the window in which a row's lead is its next document).
     Rows with _ghost = 1 only close a bucket."""
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_t"))
-    # Three numbers about the ids; nothing else leaves the table.
-    low, high, n = keyed.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    low, high = (0, 0) if low is None else (low, high)
-    width = max(1, -(-(high - low + 1) * bucket // max(n, 1)))
-    far = F.lit(low - 1) - F.pmod(F.col("_t"), F.lit(1 << 20))  # ids that are null: below all others
+    low = keyed.agg(F.min("doc_id")).first()[0] or 0
+    # ids that are null: below all others (the lowest ids of all leave no room there, and share it)
+    far = F.greatest(F.lit(max(low - 1, -1 << 63)).cast("decimal(20,0)") - F.pmod(F.col("_t"), F.lit(1 << 20)),
+                     F.lit(-1 << 63).cast("decimal(20,0)")).cast("long")
     keyed = keyed.withColumn("_k", F.coalesce("doc_id", far))
-    keyed = keyed.withColumn("_b", F.floor((F.col("_k") - low) / width) if high - low < 1 << 52
-                             else F.shiftright("_k", max(0, width.bit_length() - 1)))
+    n = keyed.count()
+    parts = max(1, min(borders, -(-n // bucket)))
+    cuts = []
+    if parts > 1:
+        at = [i / parts for i in range(1, parts)]
+        cuts = sorted(keyed.agg(F.percentile_approx("_k", at, 8 * parts)).first()[0])  # at most ``borders`` numbers
+    keyed = keyed.withColumn("_b", bucket_of(F.col("_k"), F.col("_t"), cuts))
     heads = stored(keyed.groupBy("_b").agg(F.max(F.struct("_k", "_t")).alias("head")), "syncmer-heads")
-    # One id a bucket: chained inside super-buckets, and the heads of those once more.
-    outer = heads.withColumn("_s", F.floor(F.col("_b") / bucket))
-    tops = outer.groupBy("_s").agg(F.max(F.struct("_b", "head")).alias("top"))
-    every = Window.orderBy(F.col("_s").desc())
-    tops = tops.select("_s", F.coalesce(F.lead("top").over(every),
-                                        F.max("top").over(every.rowsBetween(Window.unboundedPreceding, 0))).alias("after"))
-    own = Window.partitionBy("_s").orderBy(F.col("_b").desc())
-    chained = outer.withColumn("next", F.lead("head").over(own)).join(tops, "_s")
-    ends = chained.select("_b", F.coalesce("next", F.col("after.head")).alias("next")).select(
-        F.col("_b").alias("_to"), F.col("next._k").alias("_k"), F.col("next._t").alias("_t"))
-    ghosts = keyed.select("_k", "_t", "text").join(ends, ["_k", "_t"]).select(
+    # One row a bucket, at most twice ``borders``.
+    every = Window.orderBy(F.col("_b").desc())
+    ends = heads.select(F.col("_b").alias("_to"), F.coalesce(
+        F.lead("head").over(every), F.max("head").over(every.rowsBetween(Window.unboundedPreceding, 0))).alias("next"))
+    ends = ends.select("_to", F.col("next._k").alias("_k"), F.col("next._t").alias("_t"))
+    # Of equal rows one closes the bucket.
+    ghosts = keyed.select("_k", "_t", "text").join(ends, ["_k", "_t"]).dropDuplicates(["_to"]).select(
         F.lit(None).cast("long").alias("doc_id"), "text", "_t", "_k", F.col("_to").alias("_b"), F.lit(1).alias("_ghost"))
     rows = keyed.withColumn("_ghost", F.lit(0)).unionByName(ghosts)
     order = Window.partitionBy("_b").orderBy("_ghost", F.col("_k").desc(), F.col("_t").desc())

@@ -21,7 +21,7 @@ def long_hash(values, seed=42):
     return seed - (1 << 64) if seed >> 63 else seed
 
 
-def brute_anchors(text, k=5, s=2):
+def brute_anchors(text, k=9, s=2):
     words = [w for w in text.translate({c: " " for c in range(9, 14)}).split(" ") if w]
     h = [long_hash([w]) for w in words]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
@@ -65,7 +65,7 @@ def corpus(seed, n):
     rng = random.Random(seed)
     words = [f"w{i}" for i in range(50)] + ["É", "a\xa0b", "\U0001F600"]
     ids = rng.sample(range(-50, 10 * n), n)
-    return [(i, rng.choice([" ", "\n\t"]).join(rng.choices(words, k=rng.choice([0, 1, 4, 5, 6, 40, 200])))) for i in ids]
+    return [(i, rng.choice([" ", "\n\t"]).join(rng.choices(words, k=rng.choice([0, 1, 8, 9, 10, 40, 200])))) for i in ids]
 
 
 @pytest.mark.parametrize("bucket", [1024, 4, 1])
@@ -93,6 +93,28 @@ def test_likeness_follows_the_edit(spark):
     assert out[31].near_next == 1.0 and out[31].fingerprint == out[30].fingerprint
 
 
+def test_an_outlier_and_a_hot_id_leave_no_large_bucket(spark):
+    rows = [(i, f"t {i}") for i in range(1000)] + [(2 ** 50, "far")] + [(700, f"hot {i}") for i in range(600)] + [(None, f"n {i}") for i in range(300)]
+    rows += [(900, "same text")] * 50
+    frame = spark.createDataFrame([(d, t, None, "x", "y") for d, t in rows], SCHEMA)
+    out, _ = S.in_order(frame, 64)
+    sizes = [r["count"] for r in out.where("_ghost = 0").groupBy("_b").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 2 * 64
+    assert got(run(spark, rows, bucket=64)) == brute(rows)
+    assert got(run(spark, rows[:300], bucket=1)) == brute(rows[:300])      # more borders than are looked through at once
+
+
+def test_anchors_are_sparse(spark):
+    """About a quarter of all places, and fingerprints well below the texts."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(4000)]
+    rows = [(i, " ".join(rng.choices(words, k=2000))) for i in range(12)]
+    out = run(spark, rows)
+    anchors = sum(len(r.fingerprint.split()) for r in out)
+    assert 0.2 < anchors / (12 * 1992) < 0.3
+    assert sum(len(r.fingerprint) for r in out) < 0.7 * sum(len(t) for _, t in rows)
+
+
 def test_plan_has_no_python(spark, sf_small):
     plan = S.op5_syncmers(spark, sf_small)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
