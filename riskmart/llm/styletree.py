@@ -35,6 +35,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -125,6 +126,9 @@ class Page:
         self.elements: list[Element] = []
         self._removed, self._rated = removed, rated
         self._stack = [Element("", 0, 0, True, 0, False, False, False, False, 0)]
+        # Places in the stack by tag and of block elements, so that no tag walks over all open elements.
+        self._places: dict[str, list[int]] = {}
+        self._open_blocks: list[int] = [0]
         self._text: list[str] = []
         self._walk(html)
 
@@ -136,10 +140,7 @@ class Page:
                 self.blocks.append((self._block(), " ".join(words)))
 
     def _block(self) -> Element:
-        for e in reversed(self._stack):
-            if e.tag in BLOCK or not e.tag:
-                return e
-        return self._stack[0]
+        return self._stack[self._open_blocks[-1]]
 
     def _open(self, tag: str, attributes: str) -> Element:
         label, names, role = _label(tag, attributes)
@@ -165,11 +166,28 @@ class Page:
         self.elements.append(element)
         return element
 
+    def _push(self, element: Element) -> None:
+        self._places.setdefault(element.tag, []).append(len(self._stack))
+        if element.tag in BLOCK:
+            self._open_blocks.append(len(self._stack))
+        self._stack.append(element)
+
     def _close(self, keep: int) -> None:
+        for element in self._stack[keep:]:
+            self._places[element.tag].pop()
+        while self._open_blocks[-1] >= keep:
+            self._open_blocks.pop()
         del self._stack[keep:]
 
+    def _implied_end(self, tag: str) -> int | None:
+        """The lowest open element that a start of ``tag`` ends: a p or one of its ``ENDS`` above what holds them."""
+        ends = ("p", *ENDS.get(tag, ()))
+        hold = max((at[-1] for name in HOLDS if name not in ends and (at := self._places.get(name))), default=0)
+        found = [at[k] for name in ends if (at := self._places.get(name)) and (k := bisect_right(at, hold)) < len(at)]
+        return min(found, default=None)
+
     def _walk(self, html: str) -> None:
-        at, stack = 0, self._stack
+        at = 0
         while True:
             m = _TOKEN.search(html, at)
             if not m:
@@ -185,12 +203,11 @@ class Page:
                 if tag == "br":
                     self._text.append(" ")
                     continue
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        if any(e.tag in BLOCK for e in stack[k:]):
-                            self._flush()
-                        self._close(k)
-                        break
+                places = self._places.get(tag)
+                if places:
+                    if self._open_blocks[-1] >= places[-1]:
+                        self._flush()
+                    self._close(places[-1])
                 continue
             if tag in VOID:
                 if tag in BLOCK:
@@ -204,14 +221,12 @@ class Page:
                 continue
             if tag in BLOCK:
                 self._flush()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == "p" or stack[k].tag in ENDS.get(tag, ()):
-                        self._close(k)
-                    elif stack[k].tag in HOLDS:
-                        break
-            stack.append(self._open(tag, m.group(3)))
+                ended = self._implied_end(tag)
+                if ended is not None:
+                    self._close(ended)
+            self._push(self._open(tag, m.group(3)))
             if m.group(3).endswith("/") and tag not in BLOCK:
-                stack.pop()
+                self._close(len(self._stack) - 1)
         self._flush()
 
     def text(self) -> str:

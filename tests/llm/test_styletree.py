@@ -1,4 +1,5 @@
 import random
+import time
 from html import escape
 
 import pytest
@@ -113,3 +114,11 @@ def test_text_below_a_form_or_name_opens_again(spark):
              for i in range(12)]
     want = {0: f"T\n{words}", 1: words, 2: f"text\n{words}", 3: words, 4: words}
     assert extract(spark, rows) == want | {10 + i: f"{words} {i}" for i in range(12)}
+
+
+@pytest.mark.parametrize("html", ["<b>" * 120_000 + "<p>x y</p>" * 70_000, "<td>" * 100_000 + "<li>x</b>" * 70_000, "<div>" * 90_000 + "<p>a" * 90_000 + "</div>" * 50_000])
+def test_a_megabyte_of_unclosed_elements(html):
+    """Time follows the length, not the number of open elements."""
+    began = time.time()
+    page = S.Page(html)
+    assert page.text() and time.time() - began < 20
