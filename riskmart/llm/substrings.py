@@ -52,7 +52,7 @@ BUCKET_BYTES = 1 << 21
 #: Window digests of one Arrow batch.
 DIGESTS = 50_000
 #: Tasks that the windows with one digest are dealt over.
-SALTS = 16
+SALTS = 32
 
 
 def super_kmers(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, inner: int = INNER):
@@ -240,7 +240,7 @@ def _large_spans(texts: DataFrame, window: int, inner: int) -> DataFrame:
 
     digested = texts.mapInArrow(run, "digest binary, row long, doc long, place long")
     # One exchange, read by both sides below; a digest's rows are dealt over SALTS tasks.
-    single = digested.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS))).repartition("digest", "salt")
+    single = digested.withColumn("salt", F.pmod(F.xxhash64("row", "place"), F.lit(SALTS))).repartition("digest", "salt")
     parts = single.groupBy("digest", "salt").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
     least = parts.groupBy("digest").agg(F.min("a").alias("least"), F.max("b").alias("most"),
                                         F.collect_set("salt").alias("salts")).where("least < most")
