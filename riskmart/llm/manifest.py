@@ -207,8 +207,10 @@ def op11_merkle(spark, sf_dir) -> DataFrame:
 
 #: Levels that the SQL below spells out: 8 ** 10 leaves a tree.
 SQL_LEVELS = 10
-#: The CRC-32 of the 16 half bytes, which follow from the polynomial.
+
+
 def _crc_half_bytes() -> list[int]:
+    """CRC-32 of the 16 half bytes, from its polynomial."""
     out = []
     for value in range(16):
         for _ in range(4):
