@@ -1,6 +1,9 @@
+import math
 import random
 import re
 
+import pytest
+
 from riskmart.llm import licenses as L
 
 SCHEMA = "doc_id long, text string, lang string, words string, at string"
@@ -13,7 +16,7 @@ def words_of(text):
 
 def base(text):
     words = words_of(text)
-    places = {n.label: [i for i in range(len(words)) if words[i:i + len(n.text.split())] == n.text.split()] for n in L.BASE}
+    places = {n.label: [i for i in range(len(words)) if words[i:i + len(n.words)] == n.words] for n in L.BASE}
     every = sorted(p for ps in places.values() for p in ps)
     return (len(words), len(every), every[0] if every else None, every[-1] if every else None,
             ",".join(sorted(k for k, ps in places.items() if ps)))
@@ -37,6 +40,60 @@ def test_base_columns_match_brute_force(spark):
         assert r.labels == ",".join(sorted(set(r.labels.split(",")))) and 0 <= r.score <= 1
 
 
+def brute(rows, notices):
+    """Every start of every notice, without an index: labels, score and places."""
+    docs = [words_of(t) for _, t in rows]
+    df = {w: sum(w in d for d in map(set, docs)) for n in notices for w in n.words}
+    idf = {w: math.log((len(docs) + 1) / (c + 1)) + 1 for w, c in df.items()}
+    out = []
+    for words in docs:
+        found = []
+        for n in notices:
+            of, key = n.words, n.key.split()
+            total = sum(idf[w] for w in of)
+            for s in range(len(words)):
+                if words[s + n.key_at:s + n.key_at + len(key)] != key:
+                    continue
+                share = 0.0
+                for i, w in enumerate(of):
+                    share += idf[w] / total if s + i < len(words) and words[s + i] == w else 0.0
+                share = 1.0 if n.base else min(1.0, share)
+                if share >= L.SHARE:
+                    found.append((n.label, s, len(of), share))
+        out.append((",".join(sorted({f[0] for f in found})), max((f[3] for f in found), default=0.0), sorted(found)))
+    return out
+
+
+def test_labels_and_score_match_brute_force(spark):
+    """Whole, damaged, cut and overlapping notices between other words; licence words in other orders."""
+    rng = random.Random(6)
+    pool = sorted({w for n in L.ALL for w in n.words}) + ["plain", "words", "été"]
+    rows = [(1000, None), (1001, ""), (1002, "cc by " * 200)]
+    for i in range(250):
+        words = rng.choices(pool, k=rng.randint(0, 20))
+        for n in rng.choices(L.ALL, k=rng.randint(0, 3)):
+            part = [rng.choice(pool) if rng.random() < rng.choice([0, 0.05, 0.3]) else w for w in n.words]
+            words += part[rng.choice([0, 0, 0, 1]):] + rng.choices(pool, k=rng.randint(0, 3))
+        rows.append((i, " ".join(words)))
+    want = dict(zip([d for d, _ in rows], brute(rows, L.ALL)))
+    assert len({w[0] for w in want.values()}) > 50
+    for r in scan(spark, rows):
+        labels, score, found = want[r.doc_id]
+        assert r.labels == labels and r.score == pytest.approx(score, abs=1e-12)
+        got = sorted((f.label, f.start, f.words, f.share) for f in r.found)
+        assert [g[:3] for g in got] == [f[:3] for f in found] and [g[3] for g in got] == pytest.approx([f[3] for f in found])
+
+
+def test_a_file_looks_up_its_rarest_words_only(spark):
+    """Frequent words stay unread where no notice can stand; a word without second key word still reaches it."""
+    idf = {w: 5.0 for n in L.BASE for w in n.words} | {"by": 1.0, "general": 2.0, "all": 0.5}
+    assert L.reach(idf, L.BASE) == {"cc": 1.0, "license": 5.0, "reserved": 5.0}
+    frame = spark.createDataFrame([("by all general".split(),), ("rights reserved by all".split(),), ("cc by all".split(),)],
+                                  "words array<string>")
+    got = [r[0] and sorted(r[0]) for r in frame.select(L._looked_up(idf, L.BASE)).collect()]
+    assert got == [None, ["reserved", "rights"], ["by", "cc"]]
+
+
 def test_notices(spark):
     rows = [(0, "Foo bar. Licensed under the Apache License, Version 2.0."), (1, "Released under the MIT License."),
             (2, "Licensed under CC BY-NC 4.0."), (3, "This work is licensed under the GNU General Public License, version 3."),
