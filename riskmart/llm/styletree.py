@@ -3,12 +3,21 @@
 The DOMs of a host's pages are merged: an element stands for its path of tags
 with class and id, and the merged tree counts on how many pages a path occurs.
 
-* Presentation importance of a path with m pages: the entropy (base m) of the
-  child sequences it shows.  One page: 1.
+* Presentation importance of a path with m pages: the entropy (base m, ``STYLES`` at
+  most) of the styles it shows, 1 at most.  A page's style of a path is how many such elements it has, their
+  child sequences and the magnitude of their text (``MAGNITUDE``).  One page: 1.
 * Content importance of a text-bearing path: 1 minus the mean log_m of the number
   of pages its texts occur on; a text on every page gives 0.
 * An element's importance mixes its presentation with its children's importance
-  (``GAMMA`` to the children), bottom up in the host's tree.
+  (``GAMMA`` to the children), bottom up in the host's tree.  Inline elements and other
+  children without text of their own have no say.
+
+Two mixtures are used.  With nearly all weight on content (``GAMMA``, ``LOW``) a branch
+is low if it says the same on most pages; such branches go everywhere.  With equal
+weights (``EVEN``, ``UNIFORM``) it is also low if its words differ but always come in
+one shape: menus, notices, footers.  Where no article is marked, such lists go
+(``SEVERAL`` texts of one path); without marks at all, all that is uniform goes.  A
+heading has its container's importance there.
 
 Before that, each element has a prior from its own mark-up: menus, page headers,
 footers, sidebars, adverts, notices, forms, scripts, styles and comments have none.
@@ -38,6 +47,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
+from math import log
 
 import numpy as np
 import pandas as pd
@@ -50,6 +60,13 @@ from riskmart.llm.common import stored, table
 
 GAMMA = 0.9
 LOW = 0.3
+EVEN = 0.5
+UNIFORM = 0.72
+SEVERAL = 3
+#: So many equally frequent styles are full diversity, however many pages a host has.
+STYLES = 16
+#: Texts of a path on a page are of one magnitude up to this factor in their number of words.
+MAGNITUDE = 16
 #: Content importance from which on a text outside the marked article counts as important.
 HIGH = 0.5
 #: Pages of a host that a path must stand on before statistics may remove it; a rarer one has importance 1.
@@ -90,15 +107,17 @@ _NAME = re.compile(r"[a-z0-9_-]+")
 
 
 class Element:
-    """prior: may hold text by its mark-up; rank: 2 in an article, 1 in a main part; low: in a removed branch;
+    """prior: may hold text by its mark-up; rank: 2 in an article, 1 in a main part; low: in a removed branch; flat: in
+    one of uniform shape;
     spared: in an article or main part that is low as a whole; rated: in an important branch.
     shut: without a prior for good; opened: without one only by a form or a name above, and since then 2 in an
     article or main part, 1 in an important branch."""
 
-    __slots__ = ("tag", "path", "parent", "prior", "rank", "low", "spared", "rated", "shut", "opened", "children")
+    __slots__ = ("tag", "path", "parent", "prior", "rank", "low", "flat", "spared", "rated", "shut", "opened", "children")
 
-    def __init__(self, tag, path, parent, prior, rank, low, spared, rated, shut, opened):
+    def __init__(self, tag, path, parent, prior, rank, low, flat, spared, rated, shut, opened):
         self.tag, self.path, self.parent, self.prior, self.rank, self.low = tag, path, parent, prior, rank, low
+        self.flat = flat
         self.spared, self.rated, self.shut, self.opened = spared, rated, shut, opened
         self.children: list[str] = []
 
@@ -119,13 +138,15 @@ def _label(tag: str, attributes: str) -> tuple[str, frozenset, str]:
 
 
 class Page:
-    """One walk over a page: text blocks with their element, and every element's child sequence."""
+    """One walk over a page: text blocks with their element, and every element's child sequence.
+    Without ``marks``, names of elements, classes and roles say nothing."""
 
-    def __init__(self, html: str, removed: frozenset = frozenset(), rated: frozenset = frozenset()):
+    def __init__(self, html: str, removed: frozenset = frozenset(), rated: frozenset = frozenset(),
+                 uniform: frozenset = frozenset(), marks: bool = True):
         self.blocks: list[tuple[Element, str]] = []
         self.elements: list[Element] = []
-        self._removed, self._rated = removed, rated
-        self._stack = [Element("", 0, 0, True, 0, False, False, False, False, 0)]
+        self._removed, self._rated, self._uniform, self._marks = removed, rated, uniform, marks
+        self._stack = [Element("", 0, 0, True, 0, False, False, False, False, False, 0)]
         # Places in the stack by tag and of block elements, so that no tag walks over all open elements.
         self._places: dict[str, list[int]] = {}
         self._open_blocks: list[int] = [0]
@@ -147,21 +168,24 @@ class Page:
         parent = self._stack[-1]
         path = xxhash.xxh64_intdigest(label, parent.path) >> 1
         rank = parent.rank
-        if tag == "article" or role == "article" or names & ARTICLE_NAMES:
+        if not self._marks:
+            names, role = frozenset(), ""
+        elif tag == "article" or role == "article" or names & ARTICLE_NAMES:
             rank = 2
         elif rank == 0 and (tag == "main" or role == "main"):
             rank = 1
-        kept_out = (tag in NO_TEXT and tag != "form") or (role in NO_TEXT_ROLES and role != "form") \
-            or bool(names & FOREIGN_NAMES) or (tag == "header" and rank == 0)
-        closed = kept_out or tag == "form" or role == "form" or bool(names & NO_TEXT_NAMES)
+        kept_out = self._marks and (tag in NO_TEXT and tag != "form") or (role in NO_TEXT_ROLES and role != "form") \
+            or bool(names & FOREIGN_NAMES) or (self._marks and tag == "header" and rank == 0)
+        closed = kept_out or (self._marks and tag == "form") or role == "form" or bool(names & NO_TEXT_NAMES)
         shut = parent.shut or kept_out
         low = parent.low or path in self._removed
+        flat = parent.flat or (path in self._uniform and tag not in HEADINGS)
         spared = low if rank > parent.rank else parent.spared
         rated = not low and (parent.rated or path in self._rated)
         opened = 0
         if not closed and not shut and not parent.prior:
             opened = 2 if rank > parent.rank == 0 else parent.opened or int(path in self._rated)
-        element = Element(tag, path, parent.path, parent.prior and not closed, rank, low, spared, rated, shut, opened)
+        element = Element(tag, path, parent.path, parent.prior and not closed, rank, low, flat, spared, rated, shut, opened)
         parent.children.append(label)
         self.elements.append(element)
         return element
@@ -242,14 +266,40 @@ class Page:
             kept = [b for b in self.blocks if id(b) in chosen]
         return "\n".join(t for _, t in kept)
 
-    @staticmethod
-    def _main(blocks: list[tuple[Element, str]]) -> list[tuple[Element, str]]:
+    def _main(self, blocks: list[tuple[Element, str]]) -> list[tuple[Element, str]]:
         rank = max((e.rank for e, _ in blocks), default=0)
         marked = [b for b in blocks if b[0].rank >= rank]
         if rank and _length(marked) >= _length([b for b in blocks if b[0].rank < rank and b[0].rated]):
             important = [b for b in marked if b[0].spared or not b[0].low]
             return important if any(e.tag not in HEADINGS for e, _ in important) else marked
-        return [b for b in blocks if not b[0].low] or blocks
+        lively = [b for b in blocks if not b[0].low] or blocks
+        if not self._marks:
+            return [b for b in lively if not b[0].flat] or lively
+        lists = self._lists()
+        lists = [b for b in lively if b[0].path in lists]
+        # A list longer than the rest of the page is its text.
+        if not lists or 2 * _length(lists) > _length(lively):
+            return lively
+        out = {id(b) for b in lists}
+        return [b for b in lively if id(b) not in out]
+
+    def _lists(self) -> set[int]:
+        """Paths of uniform shape with several texts on this page; a single line of one shape may be a date or a byline."""
+        count: dict[int, int] = {}
+        for element, _ in self.blocks:
+            count[element.path] = count.get(element.path, 0) + element.flat
+        return {path for path, n in count.items() if n >= SEVERAL}
+
+    def styles(self) -> dict[int, str]:
+        """Path -> its style on this page."""
+        words: dict[int, int] = {}
+        for element, text in self.blocks:
+            words[element.path] = words.get(element.path, 0) + text.count(" ") + 1
+        shapes: dict[int, list[str]] = {}
+        for element in self.elements:
+            shapes.setdefault(element.path, []).append(" ".join(element.children))
+        size = lambda path: int(log(words[path], MAGNITUDE)) if path in words else -1
+        return {path: "\n".join([str(len(of)), str(size(path)), *sorted(set(of))]) for path, of in shapes.items()}
 
 
 def _length(blocks: list[tuple[Element, str]]) -> int:
@@ -279,7 +329,7 @@ def tree(pages: DataFrame) -> DataFrame:
                         full.add(path)
                         path = above[path]
                 seen = {(host, path, 3 if path in full else 2, parent) for path, parent in above.items()}
-                seen |= {(host, e.path, 0, xxhash.xxh64_intdigest(" ".join(e.children)) >> 1) for e in page.elements}
+                seen |= {(host, path, 0, xxhash.xxh64_intdigest(style) >> 1) for path, style in page.styles().items()}
                 seen |= {(host, e.path, 1, xxhash.xxh64_intdigest(text) >> 1) for e, text in page.blocks}
                 for key in seen:
                     counts[key] = counts.get(key, 0) + 1
@@ -309,13 +359,13 @@ def tree(pages: DataFrame) -> DataFrame:
         F.sum("own"), F.lit(0)).alias("own")).where("pages IS NOT NULL")
     # Entropy of n_i / N is log N - sum(n_i log n_i) / N.
     base = F.log("pages")
-    shown = (F.log("shown") - F.col("shown_log") / F.col("shown")) / base
+    shown = (F.log("shown") - F.col("shown_log") / F.col("shown")) / F.least(base, F.log(F.lit(float(STYLES))))
     said = 1 - (F.col("said_log") / F.col("said")) / base
     return stats.select("host", "path", "parent", "pages", F.least(shown, F.lit(1.0)).alias("presentation"),
-                        F.greatest(said, F.lit(0.0)).alias("content"), "own")
+                        F.when(said.isNotNull(), F.greatest(said, F.lit(0.0))).alias("content"), "own")
 
 
-def importances(rows: pd.DataFrame) -> pd.Series:
+def importances(rows: pd.DataFrame, gamma: float = GAMMA) -> pd.Series:
     """Of one host's paths, children before parents: the largest composite importance in the branch.
     Children on too few pages (``own``, none if the column is missing) have importance 1."""
     at = {p: i for i, p in enumerate(rows["path"])}
@@ -336,50 +386,56 @@ def importances(rows: pd.DataFrame) -> pd.Series:
     for p, parent in zip(rows["path"], rows["parent"]):
         level(p)
         below.setdefault(parent, []).append(at[p])
-    out, branch = np.ones(len(rows)), np.ones(len(rows))
+    out, branch, text = np.ones(len(rows)), np.zeros(len(rows)), np.zeros(len(rows), bool)
     pages, shown, said = (rows[c].to_numpy(float) for c in ("pages", "presentation", "content"))
     own = rows["own"].to_numpy(float) if "own" in rows else np.zeros(len(rows))
     for p in sorted(at, key=lambda p: -depth[p]):
         i = at[p]
-        parts = [(pages[j], out[j]) for j in below.get(p, [])]
+        parts = [(pages[j], out[j]) for j in below.get(p, []) if text[j]]
         if not np.isnan(said[i]):
             parts.append((pages[i], said[i]))
         if own[i]:
             parts.append((own[i], 1.0))
+        text[i] = bool(parts)
         if parts:
             weight = sum(w for w, _ in parts)
-            out[i] = (1 - GAMMA) * shown[i] + GAMMA * sum(w * x for w, x in parts) / weight
-        branch[i] = max([out[i], float(own[i] > 0), *(branch[j] for j in below.get(p, []))])
+            out[i] = (1 - gamma) * shown[i] + gamma * sum(w * x for w, x in parts) / weight
+            branch[i] = max([out[i], float(own[i] > 0), *(branch[j] for j in below.get(p, []))])
     return pd.Series(branch, rows.index)
 
 
 def rated_paths(pages: DataFrame, low: float = LOW) -> DataFrame:
-    """(host, paths, rated): the paths of a host whose whole branch is below ``low``, and those that hold
-    important text themselves or in page-own children."""
+    """(host, paths, rated, uniform): the paths of a host whose whole branch is below ``low``, those that hold
+    important text themselves or in page-own children, and those whose branch is uniform."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         removed = importances(rows) < low
         rated = ~removed & ((rows["content"] >= HIGH) | (rows["own"] > 0))
         return pd.DataFrame({"host": [rows["host"].iat[0]], "paths": [rows["path"][removed].tolist()],
-                             "rated": [rows["path"][rated].tolist()]})
+                             "rated": [rows["path"][rated].tolist()],
+                             "uniform": [rows["path"][importances(rows, EVEN) < UNIFORM].tolist()]})
 
     # A group is a host's tree of paths on several pages: templates, not pages.
-    return tree(pages).groupBy("host").applyInPandas(run, "host string, paths array<long>, rated array<long>").where(
-        F.size("paths") + F.size("rated") > 0)
+    return tree(pages).groupBy("host").applyInPandas(run, "host string, paths array<long>, rated array<long>, uniform array<long>").where(
+        F.size("paths") + F.size("rated") + F.size("uniform") > 0)
 
 
-def extracted(pages: DataFrame, low: float = LOW) -> DataFrame:
-    """page_id, url, text of every page."""
+def extracted(pages: DataFrame, low: float = LOW, marks: bool = True) -> DataFrame:
+    """page_id, url, text of every page. Without ``marks``, the style tree decides alone."""
     found = stored(rated_paths(pages, low), "style-tree")
     asked = with_host(pages, "page_id", "url", "html").join(found, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [Page(html, frozenset(paths or ()), frozenset(rated or ())).text() if html else ""
-                     for html, paths, rated in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
+            lists: dict[str, list[frozenset]] = {}  # read once a host, not once a page
+            texts = []
+            for i, (host, html) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                if host not in lists:
+                    lists[host] = [frozenset(batch.column(k)[i].as_py() or ()) for k in (4, 5, 6)]
+                texts.append(Page(html, *lists[host], marks).text() if html else "")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
-    return asked.select(F.col("page_id").cast("long"), "url", "html", "paths", "rated").mapInArrow(
+    return asked.select(F.col("page_id").cast("long"), "url", "host", "html", "paths", "rated", "uniform").mapInArrow(
         run, "page_id long, url string, text string")
 
 

@@ -122,3 +122,65 @@ def test_a_megabyte_of_unclosed_elements(html):
     began = time.time()
     page = S.Page(html)
     assert page.text() and time.time() - began < 20
+
+
+def _varied_pages(rng, n, host="http://v.example"):
+    word = lambda: rng.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(rng.randrange(50))
+    line = lambda k: " ".join(word() for _ in range(k))
+    rows, want = [], {}
+    for i in range(n):
+        paragraphs = [line(rng.randint(4, 300)) for _ in range(rng.randint(1, 9))]
+        menu = "".join(f"<li><a href='/{word()}'>{word()}</a></li>" for _ in range(6))
+        title = line(4)
+        want[i] = "\n".join([title, *paragraphs])
+        rows.append((i, f"{host}/{i}", f"<body><div><ul>{menu}</ul></div><div>{line(5)}</div><section><h1>{title}</h1>"
+                     + "".join(f"<p>{p}</p>" for p in paragraphs) + f"</section><div class=c>{line(3)}</div><div>{line(6)}</div></body>"))
+    return rows, want
+
+
+def test_shape_decides_without_any_marks(spark):
+    """Menus and notices whose words differ on every page are uniform; paragraphs are not."""
+    rows, want = _varied_pages(random.Random(3), 60)
+    got = extract(spark, rows, marks=False)
+    assert all(got[i] == want[i] for i in want)
+    # With marks nothing is marked here: the menu goes, single lines of one shape may be bylines and stay.
+    kept = extract(spark, rows)
+    assert all(set(want[i].split("\n")) <= set(kept[i].split("\n")) for i in want)
+    assert all(len(kept[i].split("\n")) == len(want[i].split("\n")) + 3 for i in want)
+
+
+def test_a_list_that_is_the_text_stays(spark):
+    rows = [(i, f"http://l.example/{i}", "<body><p>Top</p><ul>" + "".join(f"<li>entry {i} {k} of the page" for k in range(8)) + "</ul></body>")
+            for i in range(20)]
+    assert all(len([t for t in text.split("\n") if t.startswith("entry")]) == 8 for text in extract(spark, rows).values())
+
+
+def test_entropies_match_brute_force(spark):
+    from collections import Counter
+    from math import log
+    rows, _ = _varied_pages(random.Random(8), 23)
+    rows += [(100 + i, u, h) for i, u, h in rows[:4]] + [(200, "http://v.example/x", "<body><p>one</p><nav>"), (201, "http://v.example/y", None)]
+    frame = spark.createDataFrame([(i, u, h, "x", "y") for i, u, h in rows], SCHEMA)
+    got = {r.path: r for r in S.tree(frame).collect()}
+    pages = [S.Page(h) for _, _, h in rows if h]
+    on = Counter(p for page in pages for p in {e.path for e in page.elements})
+    assert set(got) == {p for p, n in on.items() if n >= S.ENOUGH}
+    for path, row in got.items():
+        m = on[path]
+        styles = Counter(page.styles()[path] for page in pages if path in page.styles())
+        entropy = -sum(n / m * log(n / m) for n in styles.values())
+        assert row.pages == m and row.presentation == pytest.approx(min(1, entropy / log(min(m, S.STYLES))), abs=1e-9)
+        said = Counter((t,) for page in pages for t in {t for e, t in page.blocks if e.path == path})
+        if not said:
+            assert row.content is None
+            continue
+        mean = sum(n * log(n) / log(m) for n in said.values()) / sum(said.values())
+        assert row.content == pytest.approx(max(0, 1 - mean), abs=1e-9)
+
+
+def test_children_without_text_have_no_say():
+    import pandas as pd
+    nan = float("nan")
+    rows = pd.DataFrame({"path": [1, 2, 3], "parent": [0, 1, 2], "pages": [8] * 3, "presentation": [0.2, 1.0, 0.0],
+                         "content": [nan, 1.0, nan]})
+    assert S.importances(rows).tolist() == pytest.approx([1.0, 1.0, 0.0])
