@@ -52,6 +52,34 @@ def test_plan_places_every_piece_once(histogram):
     assert bins >= volume
 
 
+def fewest(sizes, capacity):
+    """The least possible number of bins, by trying every place of every piece."""
+    sizes, best = sorted(sizes, reverse=True), [len(sizes)]
+
+    def put(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(rooms)
+            return
+        for room in sorted({r for r in rooms if r >= sizes[i]}):
+            k = rooms.index(room)
+            put(i + 1, [*rooms[:k], room - sizes[i], *rooms[k + 1:]])
+        put(i + 1, [*rooms, capacity - sizes[i]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_plan_against_the_least_possible_number_of_bins():
+    rng, over = random.Random(5), Counter()
+    for _ in range(400):
+        top = rng.choice([15, 30, 60])
+        sizes = [rng.randint(1, top) for _ in range(rng.randint(1, 9))]
+        over[sum(times for times, _ in P.plan(Counter(sizes), 60)) - fewest(sizes, 60)] += 1
+    assert set(over) <= {0, 1} and over[0] >= 380
+
+
 def check(rows, out, tokenizer, capacity):
     want = Counter()
     for d, t in rows:

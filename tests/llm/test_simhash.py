@@ -117,3 +117,12 @@ def test_empty_lanes_are_nobody(size):
     assert all((fps[i] ^ fps[j]).bit_count() <= 4 and group[i] == group[j] and i < j for i, j in zip(a.tolist(), b.tolist()))
     firsts = [group.index(g) for g in range(4)]
     assert {(i, i + 1) for i in firsts} <= set(zip(a.tolist(), b.tolist()))
+
+
+def test_rows_of_one_id_and_text_are_chosen_by_their_other_columns(spark):
+    data = [(1, "a b c d", "z", 9), (1, "a b c d", "m", 3), (1, "a b c d", "m", 2), (None, "a b c d", "a", 0), (2, "x", None, None),
+            (2, "x", "q", None)]
+    for order in (data, data[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, others string, row long").repartition(4)
+        got = sorted(tuple(r) for r in S.one_of_each(docs).select("doc_id", "others", "row").collect())
+        assert got == [(1, "m", 2), (2, "q", None)]
