@@ -272,13 +272,15 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     by row hash among rows that share it, and by the other columns among rows of one doc_id and text."""
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     chosen = classes(docs, **options).groupBy("root").agg(F.min_by(F.struct("row", "doc_id"), rank).alias("best"))
-    chosen = stored(chosen.select(F.col("best.row").alias("best_row"), F.col("best.doc_id").alias("best_id")), "simhash-chosen")
+    # Keys without nulls, so that the join and the choice among equal rows share one exchange of the texts.
+    keys = lambda row, id: [row.alias("row"), F.coalesce(id, F.lit(0)).alias("id"), id.isNull().alias("no_id")]
+    chosen = stored(chosen.select(*keys(F.col("best.row"), F.col("best.doc_id"))), "simhash-chosen")
     others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select(
-        F.xxhash64("doc_id", "text").alias("row"), docs["doc_id"].alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        *keys(F.xxhash64("doc_id", "text"), docs["doc_id"].cast("long")), F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
         F.to_json(F.struct(*others)).alias("others") if others else F.lit("").alias("others"))
-    rows = rows.join(chosen, F.col("row").eqNullSafe(F.col("best_row")) & F.col("id").eqNullSafe(F.col("best_id")), "left_semi")
-    first = F.row_number().over(Window.partitionBy("row", "id").orderBy("others"))  # of fully equal rows one
+    rows = rows.join(chosen, ["row", "id", "no_id"], "left_semi")
+    first = F.row_number().over(Window.partitionBy("row", "id", "no_id").orderBy("others"))  # of fully equal rows one
     return rows.withColumn("_n", first).where("_n = 1").select("_row.*")
 
 
