@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from riskmart.llm import toxicity as T
 
@@ -81,3 +82,60 @@ def test_steps_do_not_change_pooling(monkeypatch):
 def test_best_threshold():
     z, y = np.array([3.0, 2.0, 1.0, 0.0]), np.array([1, 1, 0, 0])
     assert T.best_threshold(z, y, np.ones(4)) == 1.5
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    """More rows of a label than the bound of the former sample (3000), dealt over several shards."""
+    docs, labels = corpus(300)
+    docs += [(1000 + i, f"word{i} the ing", "en") for i in range(3600)]
+    labels += [(1000 + i, 1, i % 40 == 0) for i in range(3600)]
+    docs += docs[:5]
+    labels = [(d, q, int(y)) for d, q, y in labels] + [(0, 1, 0), (0, 1, 1)]
+    frame, marks = frames(spark, docs, labels)
+    texts = frame.select("doc_id", "text").join(marks.select("doc_id", "toxic").distinct(), "doc_id").withColumn(
+        "place", F.xxhash64("doc_id", "toxic", "text"))
+    rows = T.shards(texts, 1, 20000)
+    assert rows.select("shard").distinct().count() > 3
+    by_id = dict((d, t) for d, t, _ in docs)
+    want, n = np.zeros((2, T.TABLES, 1 << T.BITS)), [0, 0]
+    for d, y in {(d, y) for d, _, y in labels}:
+        raw = np.frombuffer(by_id[d].encode(), np.uint8)
+        found, _ = T.word_rows(raw, np.array([0, len(raw)]))
+        T._count(want, [found], [y])
+        n[y] += 1
+    seen, count = T.evidence(rows)
+    assert count.tolist() == n and n[0] > 3000 and (seen == want).all()
+    # A rerun on rows spread in another way trains the same network.
+    one, two = [T.started(seen, count) for _ in range(2)]
+    T.epoch_over(rows, one, count, 0, 1)
+    T.epoch_over(T.shards(texts.repartition(7), 1, 20000), two, count, 0, 1)
+    assert all((a == b).all() for a, b in zip(one.network.tables, two.network.tables)) and (one.network.out == two.network.out).all()
+    assert (one.network.tables[0] != T.started(seen, count).network.tables[0]).any()
+
+
+def test_best_thresholds_are_those_of_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(int(g), float(np.round(rng.normal(y, 1), 2)), int(y)) for g, y in zip(rng.integers(-1, 3, 3000), rng.random(3000) < 0.3)]
+    rows += [(7, 1.5, 1), (8, 0.5, 0), (8, -0.5, 0)]
+    frame = spark.createDataFrame(rows, "group int, z double, toxic int").repartition(5)
+    monkeypatch.setattr(T, "stored", lambda df, tag: spark.createDataFrame(df.collect(), df.schema))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = T.best_thresholds(frame, (2.0, 0.5))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for group in {g for g, _, _ in rows}:
+        z, y = (np.array([r[k] for r in rows if r[0] == group]) for k in (1, 2))
+        assert np.isclose(got[group], T.best_threshold(z, y, np.array([2.0, 0.5])[y])), group
+
+
+def test_long_texts_train_in_steps(monkeypatch):
+    rng = np.random.default_rng(0)
+    texts = [rng.integers(1, 1 << T.BITS, (n, T.TABLES)).astype(np.int32) for n in (1, 2, 3, 50, 7, 200)]
+    net = T.train(texts * 3, np.array([0, 1, 0, 1, 0, 1] * 3))
+    rows, begin = T.padded(*T._joined(texts + [texts[0][:0]]))
+    whole = net.tops(rows, begin)
+    monkeypatch.setattr(T, "STEP_WORDS", 5)
+    steps = net.tops(rows, begin)
+    assert np.allclose(whole[1], steps[1], atol=1e-5) and (whole[0] == steps[0]).all()
+    assert np.allclose(whole[1], net.pooled(*T._joined(texts + [texts[0][:0]])), atol=1e-5)
