@@ -11,7 +11,10 @@ Where none fits, mined rules decide:
    ``MIN_SUPPORT`` of them hold (and ``MIN_COUNT`` pages).  Before that, tokens too
    rare for any set go, a token on every labelled page says nothing, and tokens that
    always stand in the same bad baskets are mined as one (closed sets), so that a URL
-   repeated very often cannot blow up the search.
+   repeated very often cannot blow up the search.  Where a basket holds more than
+   ``WIDEST`` such tokens, whose sets FP-growth would list one by one, the sets are
+   searched level by level instead (``free_sets``): every set that can be a rule, and
+   none that has the pages of a smaller one.
 3. A set's confidence is the share of bad pages among all labelled pages that hold
    it, as the lower end of its Wilson interval, so that a small set needs a
    clearer share.  Sets not above the share among all labelled pages go, and sets
@@ -45,7 +48,7 @@ MIN_SUPPORT, MIN_COUNT = 0.002, 20
 BLOCK = 0.5
 #: Normal quantile of the confidence's interval.
 Z = 1.96
-#: Frequent tokens of one basket that are mined, the most frequent ones (matching always uses whole rules and whole baskets).
+#: Frequent tokens of one basket up to which FP-growth lists the sets; with a wider basket they are searched by ``free_sets``.
 WIDEST = 16
 #: Copies of a basket that one row stands for while they are dealt.
 RUN = 1024
@@ -101,6 +104,41 @@ def _matches(baskets: DataFrame, rules: DataFrame) -> DataFrame:
     return met.where(F.size(F.array_except("items", "tokens")) == 0).drop("posting")
 
 
+def free_sets(held: DataFrame, least: float) -> DataFrame:
+    """(mined) of the token sets that may be rules, from (id, n, bad, token) of all labelled baskets.
+
+    A set grows by one token at a time, inside the baskets that hold it, while all its
+    subsets of one token less are in the running.  Out of it go, with all that contain
+    them, sets of too few bad pages; sets of the very pages of a subset; and sets whose
+    bad pages, were there no others, would not make them surer than a subset: a
+    rule that contains one of those is redundant."""
+    place = held.select("id", "n", "bad", F.array().cast("array<string>").alias("head"), F.col("token").alias("last"))
+    known = found = None
+    while True:
+        sets = place.groupBy("head", "last").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least)
+        sets = sets.select(F.concat("head", F.array("last")).alias("mined"), "head", "last", "n", "bad",
+                           _sure(F.col("bad"), F.col("n")).alias("own"), _sure(F.col("bad"), F.col("bad")).alias("most"))
+        if known is None:
+            sets = sets.withColumn("top", F.col("own"))
+        else:
+            below = F.transform("mined", lambda x, i: F.filter("mined", lambda _, j: i != j))
+            subsets = sets.select("mined", F.col("n").alias("of"), F.col("bad").alias("of_bad"), F.explode(below).alias("subset")).join(
+                known.select(F.col("mined").alias("subset"), "n", "bad", "top"), "subset")
+            same = F.bool_or((F.col("n") == F.col("of")) & (F.col("bad") == F.col("of_bad")))
+            tops = subsets.groupBy("mined").agg(F.count(F.lit(1)).alias("subsets"), same.alias("same"), F.max("top").alias("above"))
+            sets = sets.join(tops.where(~F.col("same")), "mined").where(
+                (F.col("subsets") == F.size("mined")) & (F.col("above") < F.col("most"))).withColumn("top", F.greatest("own", "above"))
+        sets = stored(sets.select("mined", "head", "last", "n", "bad", "top", "most"), "url-level")
+        found = sets.select("mined") if found is None else found.unionAll(sets.select("mined"))
+        known = sets.where(F.col("top") < F.col("most"))
+        if known.isEmpty():
+            return found
+        place = stored(place.join(known.select("head", "last"), ["head", "last"], "left_semi"), "url-places")
+        more = place.select("id", "head", F.col("last").alias("next"))
+        place = place.join(more, ["id", "head"]).where(F.col("last") < F.col("next")).select(
+            "id", "n", "bad", F.concat("head", F.array("last")).alias("head"), F.col("next").alias("last"))
+
+
 def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT) -> DataFrame:
     """(items, n, bad, confidence, anchor) of the rules of ``labelled`` (tokens, bad boolean)."""
     spark = labelled.sparkSession
@@ -119,8 +157,16 @@ def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int
     closed = stored(frequent.groupBy("held", "where").agg(F.min("token").alias("token"), F.collect_set("token").alias("all")),
                     "url-tokens")
     baskets = held.where("bad > 0").join(closed.select("token", "held"), "token").groupBy("tokens", "bad").agg(
-        F.slice(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("held")).alias("o"), "token"))), lambda x: x["token"]),
-                1, WIDEST).alias("items"))
+        F.transform(F.array_sort(F.collect_list(F.struct((-F.col("held")).alias("o"), "token"))), lambda x: x["token"]).alias("items"))
+    baskets = stored(baskets.select("items", "bad"), "url-bad")
+    if (baskets.agg(F.max(F.size("items"))).first()[0] or 0) > WIDEST:
+        # A basket holds what is mined as one if it holds all of it; a good one may hold a part.
+        numbered = counted.withColumn("id", F.monotonically_increasing_id())  # before the tokens are spread
+        every = numbered.select("id", "n", "bad", F.explode("tokens").alias("token")).join(
+            closed.select(F.col("token").alias("one"), "all", F.explode("all").alias("token")), "token").groupBy("id", "n", "bad", "one").agg(
+            (F.count(F.lit(1)) == F.first(F.size("all"))).alias("whole"))
+        places = stored(every.where("whole").select("id", "n", "bad", F.col("one").alias("token")), "url-places")
+        return _rules(counted, closed, free_sets(places, least), least, bad / n)
     # A basket as often as it is bad; one that is very often is dealt over the tasks in runs.
     runs = baskets.select("items", "bad", F.explode(F.sequence(F.lit(0), F.floor((F.col("bad") - 1) / RUN))).alias("run"))
     copies = runs.repartition("items", "run").select("items", F.explode(F.sequence(
@@ -131,6 +177,11 @@ def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int
         return none
     sets = stored(FPGrowth(itemsCol="items", minSupport=min(1.0, least / total)).fit(copies).freqItemsets.select(
         F.col("items").alias("mined"), F.col("freq").cast("long").alias("freq")).where(F.col("freq") >= least), "url-sets")
+    return _rules(counted, closed, sets, least, bad / n)
+
+
+def _rules(counted: DataFrame, closed: DataFrame, sets: DataFrame, least: float, share: float) -> DataFrame:
+    """The rules among the mined sets: counted, surer than ``share`` and than each of their subsets."""
     whole = sets.withColumn("id", F.monotonically_increasing_id())
     whole = stored(whole.select("id", F.explode("mined").alias("token")).join(closed, "token").groupBy("id").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("all")))).alias("items"),
@@ -138,7 +189,7 @@ def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int
     # The confidence counts all labelled baskets, the good ones too.
     seen = _matches(counted, whole).groupBy("items", "anchor").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     rules = stored(seen.where(F.col("bad") >= least).withColumn("confidence", _sure(F.col("bad"), F.col("n")))
-                   .where(F.col("confidence") > bad / n).select(*none.columns), "url-rules")
+                   .where(F.col("confidence") > share).select("items", "n", "bad", "confidence", "anchor"), "url-rules")
     # A rule as a basket meets its subsets; one at least as sure makes it redundant.
     weaker = _matches(rules.select(F.col("items").alias("tokens"), F.col("confidence").alias("own")), rules).where(
         (F.size("items") < F.size("tokens")) & (F.col("confidence") >= F.col("own"))).select(F.col("tokens").alias("items")).distinct()

@@ -111,6 +111,32 @@ def test_a_hot_url_of_many_tokens_stays_one_set(spark):
     assert any(set(hot) <= set(r["items"]) and r.bad == 300 for r in got) and len(got) < 100
 
 
+@pytest.mark.parametrize("seed", [6, 7])
+def test_wide_baskets_are_mined_whole(spark, monkeypatch, seed):
+    """The rules of baskets wider than FP-growth takes are those of the power set."""
+    rng = random.Random(seed)
+    labelled = random_labelled(seed, 300)
+    for i in range(120):
+        words = rng.sample("abcdefgh", rng.randint(3, 7))
+        labelled.append((sorted({"q:" + w for w in words} | {"h:shop", "p:half"} | ({"p:twin"} if rng.random() < 0.8 else set())),
+                         rng.random() < (0.9 if "a" in words and "b" in words else 0.3)))
+    labelled += [(["h:shop", "q:z"], True)] * 9 + [(["q:y"], False)] * 5
+    want = brute_rules(labelled, 0.05, 4)
+    rules = lambda: {frozenset(r["items"]): (r.n, r.bad) for r in U.mined(frame(spark, labelled), 0.05, 4).collect()}
+    assert rules() == want and any(len(x) > 2 for x in want)
+    monkeypatch.setattr(U, "WIDEST", 3)
+    assert rules() == want
+
+
+def test_rare_tokens_of_a_wide_url_are_mined(spark):
+    """Twenty-four frequent tokens stand together on 200 bad pages, and apart; the rarest of them, too, is a rule."""
+    wide = [f"q:t{chr(97 + i)}" for i in range(24)]
+    labelled = [(wide, True)] * 200 + [(wide[:23], False)] * 300
+    labelled += [([t], bad) for i, t in enumerate(wide) for bad in [i < 23, True] for _ in range(40 - i)]
+    got = {r.tokens[0]: r.risk for r in U.scored(frame(spark, [([wide[23]], True)]), U.mined(frame(spark, labelled), 0.002, 20)).collect()}
+    assert got == {wide[23]: pytest.approx(sure(217, 234), rel=1e-12)}
+
+
 URLS = [None, "", "no scheme", "http://a.NET", "http://a.net/", "https://B.Example.net/en/1?x#y", "http://example.net/en", "http://www.example.net/en/#f",
         "http://example.com/de/3.html", "http://badexample.com/de/3", "http://x.org/fr/9", "http://org/fr/", "http://x.org?u=/fr/", "a://b://c.net/",
         "http://ÄB.net/é?q", "http://n\new.net/x\ny", "://net/", "http:///net/", "http://net:80/", "http://" + "a." * 5000 + "net/" + "p/" * 20000]
