@@ -9,6 +9,10 @@ the kept-back rows reach ``PRECISION``.  For prediction the embedding and the
 softmax matrix are multiplied once, so a text costs one table row per n-gram;
 with more languages than dimensions they stay apart, so that rows stay short.
 
+``fit_all`` learns from every labelled row instead, for use inside another operator that
+needs the likeliest language only: tasks train side by side on the rows they read, from the
+common model, which then moves by their mean change; no row goes to the driver.
+
 The sample is drawn by a seeded hash of doc_id, at most ``PER_LANGUAGE`` rows a
 language, of every language there is; each row comes to the driver as n-gram counts (bounded by the number of
 buckets), not as text.  Prediction reads whole texts and nothing but the text.
@@ -41,6 +45,8 @@ EPOCHS, BATCH, RATE = 6, 32, 0.5
 #: One row in so many of the sample is kept back for calibration.
 KEPT_BACK = 5
 PRECISION = 0.99
+#: Rows that ``fit_all`` gives a task at least, and rows of all its passes together (two passes at least, EPOCHS at most).
+TASK_ROWS, PASS_ROWS = 8192, 9600
 SEED = 17
 #: Bytes of text in one numpy step.
 STEP_BYTES = 1 << 19
@@ -115,6 +121,20 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
+def _step(embedding, weight, bias, buckets: list, share: list, target: np.ndarray, importance: np.ndarray, rate: float) -> None:
+    """One mini-batch; a text is its buckets and their shares."""
+    x = np.array([s @ embedding[b] for s, b in zip(share, buckets)])
+    error = softmax(x @ weight + bias)
+    error[np.arange(len(x)), target] -= 1
+    error *= importance[:, None]
+    back_x = error @ weight.T
+    weight -= rate * x.T @ error / len(x) * 8
+    bias -= rate * error.mean(axis=0)
+    for s, b, g in zip(share, buckets, back_x):
+        # A mean over very many n-grams moves each a little; the step is scaled back up by their number.
+        embedding[b] -= rate * np.minimum(s * 200, 1)[:, None] * g
+
+
 def train(rows: list[tuple[str, np.ndarray, np.ndarray]], languages: list[str], seed: int = SEED) -> Model:
     """rows: (language, buckets, their counts). Stochastic gradient descent, then calibration."""
     rng = np.random.default_rng(seed)
@@ -137,16 +157,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], languages: list[str],
             batch = order[at:at + BATCH]
             rate = RATE * (1 - done / steps)
             done += 1
-            x = np.array([share[i] @ embedding[rows[i][1]] for i in batch])
-            error = softmax(x @ weight + bias)
-            error[np.arange(len(batch)), target[batch]] -= 1
-            error *= importance[batch][:, None]
-            back_x = error @ weight.T
-            weight -= rate * x.T @ error / len(batch) * 8
-            bias -= rate * error.mean(axis=0)
-            for i, g in zip(batch, back_x):
-                # A mean over very many n-grams moves each a little; the step is scaled back up by their number.
-                embedding[rows[i][1]] -= rate * np.minimum(share[i] * 200, 1)[:, None] * g
+            _step(embedding, weight, bias, [rows[i][1] for i in batch], [share[i] for i in batch], target[batch], importance[batch], rate)
     apart = len(languages) > DIMENSION
     folded = embedding if apart else embedding @ weight
     mean = lambda i: share[i] @ folded[rows[i][1]]
@@ -223,6 +234,75 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANG
     return train(found, known, seed)
 
 
+def _shares(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, their shares) of every text."""
+    size = BUCKETS * len(LENGTHS)
+    for a, b in row_chunks(offsets, STEP_BYTES):
+        grams = ngrams(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+        key, count = np.unique(np.concatenate([who * size + bucket for bucket, who in grams]), return_counts=True)
+        cuts = np.searchsorted(key, np.arange(b - a + 1) * size)
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield key[lo:hi] % size, count[lo:hi] / max(1, count[lo:hi].sum())
+
+
+def _pass_over(labelled: DataFrame, model: tuple, number: dict, importance: np.ndarray, rates: tuple, seed: list) -> tuple:
+    """The model after the tasks' passes over their rows, each from ``model``: the mean change of the tasks that touched a row of it."""
+    shared = labelled.sparkSession.sparkContext.broadcast(tuple(x.astype(np.float32) for x in model))  # bounded by the buckets
+    names, unit = [f"c{i}" for i in range(DIMENSION)], 2.0 ** -32
+
+    def flat(embedding: np.ndarray, weight: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        rest = np.r_[weight.ravel(), bias]
+        return np.concatenate([embedding, np.pad(rest, (0, -len(rest) % DIMENSION)).reshape(-1, DIMENSION)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = [x.astype(np.float64) for x in shared.value]
+        now, rng, done = [x.copy() for x in before], np.random.default_rng(seed), 0
+        for batch in batches:
+            target = np.array([number[x] for x in batch.column(0).to_pylist()])
+            texts = list(_shares(*as_bytes(batch.column(1))))
+            order = rng.permutation(len(texts))
+            for at in range(0, len(order), BATCH):
+                some = order[at:at + BATCH]
+                # The rate falls over the task's rows, about TASK_ROWS.
+                rate = rates[0] + (rates[1] - rates[0]) * min(1, done / TASK_ROWS)
+                _step(*now, [texts[i][0] for i in some], [texts[i][1] for i in some], target[some], importance[target[some]], rate)
+                done += len(some)
+        change = np.rint((flat(*now) - flat(*before)) / unit).astype(np.int64)
+        at = np.flatnonzero(change.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(np.ascontiguousarray(x)) for x in change[at].T)], ["row", *names])
+
+    moved = labelled.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(
+        run, ", ".join(f"{x} long" for x in ["row", *names])).groupBy("row").agg(
+        *[(F.sum(x) / F.count(F.lit(1)) * unit).cast("float").alias(x) for x in names]).toArrow()
+    shared.destroy()
+    out = flat(*model)
+    out[moved["row"].to_numpy()] += np.column_stack([moved[x].to_numpy() for x in names])
+    embedding, weight, bias = model
+    rest = out[len(embedding):].ravel()
+    return out[:len(embedding)], rest[:weight.size].reshape(weight.shape), rest[weight.size:weight.size + len(bias)]
+
+
+def fit_all(docs: DataFrame, seed: int = SEED) -> Model:
+    """Learn every non-null lang of ``docs`` from all its rows; without temperature and rejection level."""
+    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
+    counts = dict(labelled.groupBy("lang").count().collect())
+    known, total = sorted(counts), sum(counts.values())
+    if not known:
+        return Model([], np.zeros((BUCKETS * len(LENGTHS), 0), np.float32), np.zeros(0), 1.0, 1.0)
+    rng = np.random.default_rng(seed)
+    model = (rng.normal(0, 0.1, (BUCKETS * len(LENGTHS), DIMENSION)), rng.normal(0, 0.3, (DIMENSION, len(known))), np.zeros(len(known)))
+    # Every language weighs the same, however many rows it has.
+    importance = np.array([total / counts[x] / len(known) for x in known])
+    dealt = labelled.coalesce(-(-total // TASK_ROWS))  # partitions joined as they lie: no text is shuffled
+    passes = max(2, min(EPOCHS, -(-PASS_ROWS // total)))
+    for k in range(passes):
+        rates = tuple(RATE * (1 - x / passes) for x in (k, k + 1))
+        model = _pass_over(dealt, model, {x: i for i, x in enumerate(known)}, importance, rates, [seed, k])
+    embedding, weight, bias = model
+    apart = len(known) > DIMENSION
+    return Model(known, (embedding if apart else embedding @ weight).astype(np.float32), bias, 1.0, 0.0, weight if apart else None)
+
+
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, accepted (the score reaches the calibrated level) for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by buckets * dimensions

@@ -139,3 +139,23 @@ def test_long_texts_train_in_steps(monkeypatch):
     steps = net.tops(rows, begin)
     assert np.allclose(whole[1], steps[1], atol=1e-5) and (whole[0] == steps[0]).all()
     assert np.allclose(whole[1], net.pooled(*T._joined(texts + [texts[0][:0]])), atol=1e-5)
+
+
+def test_language_is_learned_from_every_row(spark):
+    """The model that picks the threshold: a language's rows are learned from beyond the former 400."""
+    rng = random.Random(5)
+    docs = [(i, " ".join("".join(rng.choices(["sch", "ung", "keit"] if i % 2 else ["the", "tion", "ing"], k=2)) for _ in range(8)),
+             "de" if i % 2 else "en") for i in range(2400)]
+    docs += [(5000, None, "de"), (5001, "", "en"), (5002, "1 2", None), (None, "xyz", "xx")]
+    frame, _ = frames(spark, docs, [])
+    model = T.langid.fit_all(frame.repartition(4))
+    assert model.languages == ["de", "en"]
+    raw = [t.encode() for _, t, _ in docs[:200]]
+    found = model.logits(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])).argmax(axis=1)
+    assert [model.languages[k] for k in found] == [g for _, _, g in docs[:200]]
+    # All rows leave a trace: n-grams of the last ones alone move the table.
+    odd = docs[:2400] + [(6000 + i, "qqqq " * 3, "de") for i in range(3)]
+    start = T.langid.fit_all(frames(spark, docs[:2400], [])[0].coalesce(1)).table
+    with_odd = T.langid.fit_all(frames(spark, odd, [])[0].coalesce(1))
+    bucket = T.langid.ngrams(np.frombuffer(b"qqqq", np.uint8), np.array([0, 4]))[1][0]
+    assert (with_odd.table[bucket, 0] - with_odd.table[bucket, 1] > start[bucket, 0] - start[bucket, 1]).all()
