@@ -46,7 +46,7 @@ EPOCHS, BATCH, RATE = 6, 32, 0.5
 KEPT_BACK = 5
 PRECISION = 0.99
 #: Rows that ``fit_all`` gives a task at least, and rows of all its passes together (two passes at least, EPOCHS at most).
-TASK_ROWS, PASS_ROWS = 8192, 9600
+TASK_ROWS, PASS_ROWS = 16384, 9600
 SEED = 17
 #: Bytes of text in one numpy step.
 STEP_BYTES = 1 << 19

@@ -366,9 +366,13 @@ def best_thresholds(rows: DataFrame, weight: tuple[float, float]) -> dict[int, f
     return {group: best - 1 if below is None else (best + below) / 2 for group, best, below in found.collect()}
 
 
-def _once(texts: DataFrame, *kept: str) -> DataFrame:
-    """Equal labelled rows count once."""
-    return texts.groupBy(*kept, "doc_id", "toxic", "place").agg(F.min("text").alias("text"))
+def labelled_texts(docs: DataFrame, marked: DataFrame, seed: int) -> DataFrame:
+    """(doc_id, toxic, place, text) of every labelled row, equal ones once; place: a hash that deals them."""
+    # Labels grow with the texts, so they are not broadcast; the texts are shuffled once, here.
+    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        marked.distinct().hint("merge"), "doc_id")
+    return texts.groupBy("doc_id", "toxic", F.xxhash64("doc_id", "toxic", "text", F.lit(seed)).alias("place")).agg(
+        F.min("text").alias("text"))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
@@ -400,7 +404,7 @@ def shards(texts: DataFrame, seed: int, shard_bytes: int) -> DataFrame:
             words = pa.ListArray.from_arrays(pa.array((first * TABLES).astype(np.int32)), pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays([words, *batch.columns[1:]], ["words", *batch.schema.names[1:]])
 
-    rows = _once(dealt.repartition("shard"), "shard").select(F.col("text").cast("binary").alias("text"), "toxic", "place", "doc_id", "shard")
+    rows = dealt.repartition("shard").select(F.col("text").cast("binary").alias("text"), "toxic", "place", "doc_id", "shard")
     rows = rows.mapInArrow(run, "words array<int>, toxic int, place long, doc_id long, shard int")
     rows = rows.sortWithinPartitions("shard", "place", "doc_id", "toxic").select("words", "toxic", "shard")
     path = new_work_dir(texts.sparkSession, "toxicity-shards")
@@ -474,8 +478,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = SEED, shard_bytes: int =
         F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     total = {r[0]: r[1] for r in marked.groupBy("toxic").agg(F.count(F.lit(1))).collect()}
     share = total.get(1, 0) / max(1, sum(total.values()))
-    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        marked.distinct(), "doc_id").withColumn("place", F.xxhash64("doc_id", "toxic", "text", F.lit(seed)))
+    texts = stored(labelled_texts(docs, marked, seed), "toxicity-labelled")
     back: Column = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(KEPT_BACK)) == 0
     languages = langid.fit_all(docs, seed=seed)
     rows = shards(texts.where(~back), seed, shard_bytes)
@@ -512,7 +515,7 @@ def _logits(texts: DataFrame, model: Classifier) -> DataFrame:
             z, language = shared.value.logits(*as_bytes(batch.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array(z), pa.array(language.astype(np.int32)), batch.column(1)], ["z", "language", "toxic"])
 
-    rows = _once(texts).select(F.col("text").cast("binary").alias("text"), "toxic")
+    rows = texts.select(F.col("text").cast("binary").alias("text"), "toxic")
     return stored(rows.mapInArrow(run, "z double, language int, toxic int"), "toxicity-kept-back")
 
 

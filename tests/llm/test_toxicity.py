@@ -2,7 +2,6 @@ import random
 import zlib
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from riskmart.llm import toxicity as T
 
@@ -92,8 +91,8 @@ def test_every_labelled_row_is_learned_from(spark):
     docs += docs[:5]
     labels = [(d, q, int(y)) for d, q, y in labels] + [(0, 1, 0), (0, 1, 1)]
     frame, marks = frames(spark, docs, labels)
-    texts = frame.select("doc_id", "text").join(marks.select("doc_id", "toxic").distinct(), "doc_id").withColumn(
-        "place", F.xxhash64("doc_id", "toxic", "text"))
+    marks = marks.select("doc_id", "toxic")
+    texts = T.labelled_texts(frame, marks, 1)
     rows = T.shards(texts, 1, 20000)
     assert rows.select("shard").distinct().count() > 3
     by_id = dict((d, t) for d, t, _ in docs)
@@ -108,7 +107,7 @@ def test_every_labelled_row_is_learned_from(spark):
     # A rerun on rows spread in another way trains the same network.
     one, two = [T.started(seen, count) for _ in range(2)]
     T.epoch_over(rows, one, count, 0, 1)
-    T.epoch_over(T.shards(texts.repartition(7), 1, 20000), two, count, 0, 1)
+    T.epoch_over(T.shards(T.labelled_texts(frame.repartition(7), marks, 1), 1, 20000), two, count, 0, 1)
     assert all((a == b).all() for a, b in zip(one.network.tables, two.network.tables)) and (one.network.out == two.network.out).all()
     assert (one.network.tables[0] != T.started(seen, count).network.tables[0]).any()
 
