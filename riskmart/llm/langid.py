@@ -50,6 +50,8 @@ TASK_ROWS, PASS_ROWS = 16384, 9600
 SEED = 17
 #: Bytes of text in one numpy step.
 STEP_BYTES = 1 << 19
+#: N-grams of a text whose table rows are added up in one.
+STEP_GRAMS = 1 << 15
 
 _BORDER = np.full(256, 32, np.uint8)
 for _b in (*range(97, 123), *range(128, 256)):
@@ -62,34 +64,36 @@ def has_letter(text: str) -> bool:
     return any(m.group().isalpha() for m in _LETTERS.finditer(text))
 
 
-def ngrams(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per length: (bucket, text) of every n-gram that holds a letter byte; a text is closed by a border."""
+def grams(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per length: (bucket of every n-gram that holds a letter byte, first n-gram of each text + total); a text is closed by a border."""
     n = len(offsets) - 1
-    folded = np.full(len(data) + 2 * n, 32, np.uint8)
-    shift = 2 * np.arange(n) + 1  # a border before and after every text
-    lengths = np.diff(offsets)
-    text_of = np.repeat(np.arange(n), lengths)
-    folded[np.arange(len(data)) + shift[text_of]] = _FOLD[data]
-    owner = np.repeat(np.arange(n), lengths + 2)
+    borders = offsets + np.arange(n + 1)  # one before the first text and one after every text
+    folded = np.full(len(data) + n + 1, 32, np.uint8)
+    between = np.ones(len(folded), bool)
+    between[borders] = False
+    folded[between] = _FOLD[data]
+    letter = folded != 32
     out = []
     for k, width in enumerate(LENGTHS):
-        m = len(folded) - width + 1
-        if m <= 0:
-            out.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
-            continue
+        m = max(0, len(folded) - width + 1)
         code = np.zeros(m, np.uint32)
         for j in range(width):
             code = (code << np.uint32(8)) | folded[j:j + m]
-        # A word's pieces only: no border inside, and both ends in one text.
-        keep = owner[:m] == owner[width - 1:]
-        for j in range(1, width - 1):
-            keep &= folded[j:j + m] != 32
-        code, who = code[keep], owner[:m][keep]
-        bucket = ((code * np.uint32(0x9E3779B1)) >> np.uint32(17)) + np.uint32(k * BUCKETS)
-        out.append((bucket.astype(np.int64), who))
+        # A word's pieces only: no border inside, and so both ends in one text.
+        keep = letter[1:1 + m].copy()
+        for j in range(2, width - 1):
+            keep &= letter[j:j + m]
+        at = np.flatnonzero(keep)
+        bucket = ((code[at] * np.uint32(0x9E3779B1)) >> np.uint32(17)) + np.uint32(k * BUCKETS)
+        out.append((bucket, np.searchsorted(at, borders)))
     return out
 
 
+def ngrams(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per length: (bucket, text) of every n-gram that ``grams`` finds."""
+    return [(bucket.astype(np.int64), np.repeat(np.arange(len(offsets) - 1), np.diff(first))) for bucket, first in grams(data, offsets)]
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -102,13 +106,15 @@ class Model:
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = len(offsets) - 1
         total, count = np.zeros((n, self.table.shape[1])), np.zeros(n)
+        table, ones = self.table.astype(np.float64), np.ones(STEP_GRAMS)
         for a, b in row_chunks(offsets, STEP_BYTES):
             part = data[offsets[a]:offsets[b]]
-            for bucket, who in ngrams(part, offsets[a:b + 1] - offsets[a]):
-                if len(bucket):
-                    edges = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-                    total[a + who[edges]] += np.add.reduceat(self.table[bucket], edges, axis=0, dtype=np.float64)
-                    count += np.bincount(who + a, minlength=n)
+            for bucket, first in grams(part, offsets[a:b + 1] - offsets[a]):
+                for i, lo, hi in zip(range(a, b), first.tolist(), first[1:].tolist()):
+                    for at in range(lo, hi, STEP_GRAMS):
+                        some = np.take(table, bucket[at:min(at + STEP_GRAMS, hi)], axis=0)
+                        total[i] += ones[:len(some)] @ some
+                count[a:b] += np.diff(first)
         mean = total / np.maximum(count, 1)[:, None]
         return (mean if self.weight is None else mean @ self.weight) + self.bias
 
@@ -123,7 +129,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 def _step(embedding, weight, bias, buckets: list, share: list, target: np.ndarray, importance: np.ndarray, rate: float) -> None:
     """One mini-batch; a text is its buckets and their shares."""
-    x = np.array([s @ embedding[b] for s, b in zip(share, buckets)])
+    x = np.array([s @ np.take(embedding, b, axis=0) for s, b in zip(share, buckets)])
     error = softmax(x @ weight + bias)
     error[np.arange(len(x)), target] -= 1
     error *= importance[:, None]
@@ -132,7 +138,9 @@ def _step(embedding, weight, bias, buckets: list, share: list, target: np.ndarra
     bias -= rate * error.mean(axis=0)
     for s, b, g in zip(share, buckets, back_x):
         # A mean over very many n-grams moves each a little; the step is scaled back up by their number.
-        embedding[b] -= rate * np.minimum(s * 200, 1)[:, None] * g
+        moved = np.take(embedding, b, axis=0)
+        moved -= np.multiply.outer(rate * np.minimum(s * 200, 1), g)
+        embedding[b] = moved
 
 
 def train(rows: list[tuple[str, np.ndarray, np.ndarray]], languages: list[str], seed: int = SEED) -> Model:
@@ -236,13 +244,13 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANG
 
 def _shares(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(buckets, their shares) of every text."""
-    size = BUCKETS * len(LENGTHS)
     for a, b in row_chunks(offsets, STEP_BYTES):
-        grams = ngrams(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-        key, count = np.unique(np.concatenate([who * size + bucket for bucket, who in grams]), return_counts=True)
-        cuts = np.searchsorted(key, np.arange(b - a + 1) * size)
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            yield key[lo:hi] % size, count[lo:hi] / max(1, count[lo:hi].sum())
+        parts = grams(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+        for i in range(b - a):
+            found = np.concatenate([bucket[first[i]:first[i + 1]] for bucket, first in parts])
+            found.sort()
+            edges = np.flatnonzero(np.diff(found, prepend=~np.uint32(0)))
+            yield found[edges].astype(np.int64), np.diff(edges, append=len(found)) / max(1, len(found))
 
 
 def _pass_over(labelled: DataFrame, model: tuple, number: dict, importance: np.ndarray, rates: tuple, seed: list) -> tuple:

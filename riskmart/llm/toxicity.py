@@ -61,8 +61,11 @@ SWAPPED = 0.25
 #: Kept-back toxic rows that a language needs for a threshold of its own.
 ENOUGH = 15
 SEED = 23
+#: Words of a mini-batch, about (one text at least).
+BATCH_WORDS = 1 << 16
 STEP_BYTES = 1 << 19
-STEP_WORDS = 1 << 16
+#: Words whose filter responses are held at once; few, so that they stay in the processor's cache.
+STEP_WORDS = 1 << 13
 
 #: All bytes that are no letter, digit or part of a non-ASCII character.
 _BETWEEN = ~byte_set((48, 57), (65, 90), (97, 122), (128, 255))
@@ -71,12 +74,12 @@ _BETWEEN = ~byte_set((48, 57), (65, 90), (97, 122), (128, 255))
 def word_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """((words, TABLES) table rows, first word of each text + total). Row 0 is the empty word after a text."""
     starts, ends, first = spans(data, offsets, _BETWEEN)
-    data = LOWER[data]
-    whole = span_hashes(data, starts, ends)
-    front = span_hashes(data, starts, np.minimum(ends, starts + PREFIX))
-    mask = np.uint64((1 << BITS) - 1)
-    rows = np.stack([whole & mask, whole >> np.uint64(32) & mask, front & mask], axis=1)
-    return (rows | np.uint64(1)).astype(np.int32), first
+    # Words and their fronts in one call, for one pass over the bytes.
+    whole, front = span_hashes(LOWER[data], np.r_[starts, starts], np.r_[ends, np.minimum(ends, starts + PREFIX)]).reshape(2, -1)
+    rows = np.empty((len(starts), TABLES), np.int32)
+    for k, found in enumerate((whole, whole >> np.uint64(32), front)):
+        rows[:, k] = found & np.uint64((1 << BITS) - 1) | np.uint64(1)
+    return rows, first
 
 
 @dataclass
@@ -88,53 +91,59 @@ class Network:
     shift: float
 
     def embedded(self, rows: np.ndarray) -> np.ndarray:
-        return np.concatenate([t[rows[..., k]] for k, t in enumerate(self.tables)], axis=-1)
-
-    def responses(self, rows: np.ndarray) -> np.ndarray:
-        """Filter responses at every position; the last max(WIDTHS) - 1 words only look ahead."""
-        x = self.embedded(rows)
-        n = len(x) - WIDTHS[-1] + 1
-        found = []
-        for width in WIDTHS:
-            y = x[:n] @ self.taps[width][0]
+        return np.concatenate([np.take(t, rows[..., k], axis=0) for k, t in enumerate(self.tables)], axis=-1)
+
+    def flat_taps(self) -> np.ndarray:
+        """All taps as one matrix, a row each, so that one product serves every width."""
+        return np.ascontiguousarray(np.concatenate([tap for w in WIDTHS for tap in self.taps[w]], axis=1).T)
+
+    def responses(self, rows: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """(filters, positions): responses before the bias; the last max(WIDTHS) - 1 words only look ahead."""
+        y = flat @ self.embedded(rows).T
+        n = len(rows) - WIDTHS[-1] + 1
+        found, at = np.empty((len(self.bias), n), np.float32), 0
+        for k, width in enumerate(WIDTHS):
+            own = found[k * FILTERS:(k + 1) * FILTERS]
+            own[:] = y[at:at + FILTERS, :n]
             for j in range(1, width):
-                y += x[j:j + n] @ self.taps[width][j]
-            found.append(y)
-        return np.concatenate(found, axis=1) + self.bias
+                own += y[at + j * FILTERS:at + (j + 1) * FILTERS, j:j + n]
+            at += width * FILTERS
+        return found
+
+    def steps(self, rows: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first position, responses, texts, start and end of each) in steps of bounded size, of padded texts."""
+        pad, flat = WIDTHS[-1] - 1, self.flat_taps()
+        for at in range(0, len(rows) - pad, STEP_WORDS):
+            y = self.responses(rows[at:at + STEP_WORDS + pad], flat)
+            text = np.arange(np.searchsorted(begin, at, side="right") - 1, np.searchsorted(begin[:-1], at + y.shape[1]))
+            # Positions that start in the text (one for an empty text).
+            lo, hi = np.maximum(begin[text] - at, 0), np.minimum(begin[text + 1] - pad - at, y.shape[1])
+            inside = lo < hi
+            if inside.any():
+                yield at, y, text[inside], lo[inside], hi[inside]
 
     def pooled(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
         """(texts, filters): largest response of each text, in steps of bounded size."""
-        n = len(first) - 1
         rows, begin = padded(rows, first)
-        best = np.full((n, len(self.bias)), -np.inf, np.float32)
-        pad = WIDTHS[-1] - 1
-        length = np.diff(begin) - pad  # positions that start in the text (one for an empty text)
-        for at in range(0, len(rows) - pad, STEP_WORDS):
-            upto = min(at + STEP_WORDS, len(rows) - pad)
-            y = self.responses(rows[at:upto + pad])
-            text = np.searchsorted(begin, np.arange(at, upto), side="right") - 1
-            inside = np.arange(at, upto) - begin[text] < length[text]
-            y, text = y[inside], text[inside]
-            if len(text):
-                edges = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-                np.maximum.at(best, text[edges], np.maximum.reduceat(y, edges, axis=0))
-        return best
+        best = np.full((len(first) - 1, len(self.bias)), -np.inf, np.float32)
+        for _, y, text, lo, hi in self.steps(rows, begin):
+            edges = np.column_stack([lo, hi]).ravel()  # every second stretch is between texts
+            found = np.maximum.reduceat(y, edges[:-1] if hi[-1] == y.shape[1] else edges, axis=1)[:, ::2]
+            best[text] = np.maximum(best[text], found.T)
+        return best + self.bias
 
     def tops(self, rows: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of padded texts: (texts, filters) place of the largest response and the response, in steps of bounded size."""
-        pad, filters = WIDTHS[-1] - 1, np.arange(len(self.bias))
+        filters = np.arange(len(self.bias))
         top = np.zeros((len(begin) - 1, len(filters)), np.int64)
         best = np.full(top.shape, -np.inf, np.float32)
-        for at in range(0, len(rows) - pad, STEP_WORDS):
-            y = self.responses(rows[at:at + STEP_WORDS + pad])
-            for i in range(np.searchsorted(begin, at, side="right") - 1, np.searchsorted(begin[:-1], at + len(y))):
-                lo, hi = max(begin[i], at), min(begin[i + 1] - pad, at + len(y))
-                if lo < hi:
-                    k = y[lo - at:hi - at].argmax(axis=0)
-                    found = y[lo - at + k, filters]
-                    top[i] = np.where(found > best[i], lo + k, top[i])
-                    best[i] = np.maximum(found, best[i])
-        return top, best
+        for at, y, texts, starts, ends in self.steps(rows, begin):
+            for i, lo, hi in zip(texts.tolist(), starts.tolist(), ends.tolist()):
+                k = lo + y[:, lo:hi].argmax(axis=1)
+                found = y[filters, k]
+                top[i] = np.where(found > best[i], at + k, top[i])
+                best[i] = np.maximum(found, best[i])
+        return top, best + self.bias
 
     def logits(self, pooled: np.ndarray) -> np.ndarray:
         return np.maximum(pooled, 0) @ self.out + self.shift
@@ -249,11 +258,11 @@ def _adagrad(value: np.ndarray, seen: np.ndarray, grad: np.ndarray, rate: float)
 
 
 def _batches(order: np.ndarray, words: np.ndarray) -> Iterator[np.ndarray]:
-    """At most BATCH texts and about STEP_WORDS words (one text at least)."""
+    """At most BATCH texts and about BATCH_WORDS words (one text at least)."""
     at = 0
     while at < len(order):
         total = np.cumsum(words[order[at:at + BATCH]])
-        upto = at + max(1, int(np.searchsorted(total, STEP_WORDS, side="right")))
+        upto = at + max(1, int(np.searchsorted(total, BATCH_WORDS, side="right")))
         yield order[at:upto]
         at = upto
 
@@ -261,8 +270,8 @@ def _batches(order: np.ndarray, words: np.ndarray) -> Iterator[np.ndarray]:
 def _count(seen: np.ndarray, texts: list[np.ndarray], label: np.ndarray) -> None:
     """Adds the texts that hold each table row to ``seen`` (label, table, row)."""
     for rows, y in zip(texts, label):
-        for k in range(TABLES):
-            seen[y, k, np.unique(rows[:, k])] += 1
+        for k, found in enumerate(np.sort(rows.T, axis=1)):
+            seen[y, k, found[np.diff(found, prepend=-1) > 0]] += 1
 
 
 def started(seen: np.ndarray, n: np.ndarray, seed: int = SEED) -> Training:

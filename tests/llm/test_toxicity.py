@@ -1,4 +1,7 @@
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -158,3 +161,82 @@ def test_language_is_learned_from_every_row(spark):
     with_odd = T.langid.fit_all(frames(spark, odd, [])[0].coalesce(1))
     bucket = T.langid.ngrams(np.frombuffer(b"qqqq", np.uint8), np.array([0, 4]))[1][0]
     assert (with_odd.table[bucket, 0] - with_odd.table[bucket, 1] > start[bucket, 0] - start[bucket, 1]).all()
+
+
+def former_pooled(net, rows, first):
+    """Filters one width after the other over all words, a text at a time."""
+    best = []
+    for a, b in zip(first[:-1], first[1:]):
+        x = np.concatenate([rows[a:b] if b > a else np.zeros((1, T.TABLES), np.int32), np.zeros((T.WIDTHS[-1] - 1, T.TABLES), np.int32)])
+        x = np.concatenate([t[x[:, k]] for k, t in enumerate(net.tables)], axis=1)
+        n = len(x) - T.WIDTHS[-1] + 1
+        best.append(np.concatenate([sum(x[j:j + n] @ net.taps[w][j] for j in range(w)) for w in T.WIDTHS], axis=1).max(axis=0) + net.bias)
+    return np.array(best)
+
+
+def test_responses_are_those_of_each_width():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(1, 1 << T.BITS, (n, T.TABLES)).astype(np.int32) for n in (0, 1, 2, 3, 0, 50, 9000, 7, T.STEP_WORDS - 2, 200, 0)]
+    net = T.train([t for t in texts if len(t)] * 2, np.arange(16) % 2)
+    want, rows = former_pooled(net, *T._joined(texts)), T._joined(texts)
+    assert np.allclose(net.pooled(*rows), want, atol=1e-5)
+    padded, begin = T.padded(*rows)
+    top, best = net.tops(padded, begin)
+    assert np.allclose(best, want, atol=1e-5) and (top >= begin[:-1, None]).all() and (top < begin[1:, None] - T.WIDTHS[-1] + 1).all()
+
+
+COST = """
+import time
+import numpy as np
+from riskmart.llm import langid as L, toxicity as T
+
+def seconds(*fs):
+    # Of each, the least of several times by turns.
+    took = []
+    for _ in range(12):
+        for f in fs:
+            began = time.process_time()
+            f()
+            took.append(time.process_time() - began)
+    return [min(took[k::len(fs)]) for k in range(len(fs))]
+
+def by_width():
+    padded, begin = T.padded(rows, first)
+    x = np.concatenate([t[padded[..., k]] for k, t in enumerate(net.tables)], axis=-1)
+    n = len(x) - 2
+    found = []
+    for w in T.WIDTHS:
+        y = x[:n] @ net.taps[w][0]
+        for j in range(1, w):
+            y += x[j:j + n] @ net.taps[w][j]
+        found.append(y)
+    y = np.concatenate(found, axis=1) + net.bias
+    text = np.searchsorted(begin, np.arange(n), side="right") - 1
+    inside = np.arange(n) - begin[text] < np.diff(begin)[text] - 2
+    y, text = y[inside], text[inside]
+    np.maximum.reduceat(y, np.flatnonzero(np.r_[True, text[1:] != text[:-1]]), axis=0)
+
+def by_gram():
+    for bucket, who in L.ngrams(data, offsets):
+        edges = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+        np.add.reduceat(model.table[bucket], edges, axis=0, dtype=np.float64)
+        np.bincount(who, minlength=len(texts))
+
+rng = np.random.default_rng(0)
+words = ["".join(rng.choice(list("abcdefghij"), n)) for n in rng.integers(2, 10, 4000)]
+texts = [" ".join(words[i] for i in rng.integers(0, 4000, 500)).encode() for _ in range(150)]
+data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+model = L.Model(list("abcd"), rng.normal(0, 1, (L.BUCKETS * 2, 4)).astype(np.float32), np.zeros(4), 1.0, 0.0)
+rows, first = T.word_rows(data, offsets)
+net = T.started(np.ones((2, T.TABLES, 1 << T.BITS)), np.array([9, 9])).network
+pooling, former_pooling, language, former_language = seconds(
+    lambda: net.pooled(rows, first), by_width, lambda: model.logits(data, offsets), by_gram)
+print((pooling + language) / (former_pooling + former_language))
+"""
+
+
+def test_scoring_costs_less_than_by_width_and_gram():
+    """CPU time of pooling and of the language's logits against the former steps."""
+    env = os.environ | {"OMP_NUM_THREADS": "1", "PYTHONPATH": os.pathsep.join(sys.path)}
+    said = subprocess.run([sys.executable, "-c", COST], env=env, capture_output=True, text=True, timeout=300, check=True)
+    assert float(said.stdout) < 0.65, said.stdout
