@@ -129,18 +129,28 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 def _step(embedding, weight, bias, buckets: list, share: list, target: np.ndarray, importance: np.ndarray, rate: float) -> None:
     """One mini-batch; a text is its buckets and their shares."""
-    x = np.array([s @ np.take(embedding, b, axis=0) for s, b in zip(share, buckets)])
+    met = np.zeros(len(embedding), bool)
+    for b in buckets:
+        met[b] = True
+    met = np.flatnonzero(met)
+    place = np.empty(len(embedding), np.int64)
+    place[met] = np.arange(len(met))
+    shares = np.zeros((len(buckets), len(met)))
+    for row, b, s in zip(shares, buckets, share):
+        row[place[b]] = s
+    own = embedding[met]  # the rows that the batch met, read and written once
+    x = shares @ own
     error = softmax(x @ weight + bias)
     error[np.arange(len(x)), target] -= 1
     error *= importance[:, None]
     back_x = error @ weight.T
     weight -= rate * x.T @ error / len(x) * 8
     bias -= rate * error.mean(axis=0)
-    for s, b, g in zip(share, buckets, back_x):
-        # A mean over very many n-grams moves each a little; the step is scaled back up by their number.
-        moved = np.take(embedding, b, axis=0)
-        moved -= np.multiply.outer(rate * np.minimum(s * 200, 1), g)
-        embedding[b] = moved
+    # A mean over very many n-grams moves each a little; the step is scaled back up by their number.
+    shares *= 200
+    np.minimum(shares, 1, out=shares)
+    own -= rate * (shares.T @ back_x)
+    embedding[met] = own
 
 
 def train(rows: list[tuple[str, np.ndarray, np.ndarray]], languages: list[str], seed: int = SEED) -> Model:

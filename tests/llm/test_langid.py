@@ -96,3 +96,21 @@ def test_a_repeated_doc_id_leaves_the_others_in_the_sample(spark):
     finally:
         L.train = keep
     assert seen[0] == seen[1] == ["de"] * 50 + ["en"] * 50 + ["fr"] * 50
+
+
+def test_a_batch_steps_as_its_texts_one_by_one():
+    rng = np.random.default_rng(2)
+    buckets = [np.sort(rng.choice(300, n, replace=False)) for n in (0, 1, 40, 250, 300)]
+    share = [rng.random(len(b)) / max(1, len(b)) for b in buckets]
+    embedding, weight, bias = rng.normal(0, 0.1, (500, 16)), rng.normal(0, 0.3, (16, 3)), np.zeros(3)
+    target, importance = np.array([0, 1, 2, 0, 1]), rng.random(5) + 0.5
+    x = np.array([s @ embedding[b] for s, b in zip(share, buckets)])
+    error = L.softmax(x @ weight + bias)
+    error[np.arange(5), target] -= 1
+    error *= importance[:, None]
+    want = embedding.copy()
+    for s, b, g in zip(share, buckets, error @ weight.T):
+        want[b] -= 0.1 * np.minimum(s * 200, 1)[:, None] * g
+    new_weight, new_bias = weight - 0.1 * x.T @ error / 5 * 8, bias - 0.1 * error.mean(axis=0)
+    L._step(embedding, weight, bias, buckets, share, target, importance, 0.1)
+    assert np.allclose(embedding, want, atol=1e-12) and np.allclose(weight, new_weight, atol=1e-12) and np.allclose(bias, new_bias, atol=1e-12)
